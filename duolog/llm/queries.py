@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duolog.llm import exact_dedup, ngram_join
+from duolog.llm import exact_dedup, ngram_join, packing, word_bpe
+
+
+def vocabulary_path() -> str:
+    """The public vocabulary file of the packing and encoding queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +26,16 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), width=5, percent=80)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary_path(), capacity=4096, end_id=1)
+
+
+def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.code_digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_word_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
