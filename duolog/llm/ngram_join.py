@@ -243,29 +243,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Equal sets form classes, joined by digest. Each class posts its prefix: as many of its rarest
     shingles as leave one in common with any partner (T-occurrence with all other lists set aside).
-    First, in every list, only the smallest class is tried against the others, which connects
-    groups of near-copies with a number of pairs linear in their size. Then pairs that are still
-    apart are counted over all lists, those that cannot reach the threshold by their count go, and the rest
-    are verified by `divide_skip`. Components close over both kinds of links. Shingles are 64-bit hashes.
+    Postings that no other class shares go; what is left of a prefix bounds the overlap with anyone.
+    First, in every list, only the class with the largest part of its prefix left is tried against the
+    others, which connects groups of near-copies with a number of pairs linear in their size. Then pairs
+    still apart whose bounds allow it are counted over all lists, those that cannot reach the threshold by their
+    count go, and the rest are verified by `divide_skip`. Components close over both kinds of links.
+    Shingles are 64-bit hashes.
     """
     sig = signatures(docs, width, percent)
     classes = materialize(sig.where("n > 0").groupBy("digest", "cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
     posts = sig.where("prefix is not null").select("cls", "n", F.explode("prefix").alias("token"))
-    lists = posts.groupBy("token").agg(F.min("cls").alias("hub"), F.max("cls").alias("_last")).where("hub < _last").select("token", "hub")
-    live = materialize(posts.join(lists.hint("merge"), "token"))
-
-    size = F.expr(f"n - cast(ceil({percent} * n / 100.0) as bigint) + 1")
-    star = live.where("cls <> hub").groupBy("hub", "cls", "n").count().where(F.col("count") * 10 >= size * 3)
-    first = verified_links(docs, classes, star.select(F.col("hub").alias("a"), F.col("cls").alias("b")), width, percent)
+    lists = posts.groupBy("token").agg(F.min("cls").alias("_first"), F.max("cls").alias("_last")).where("_first < _last").select("token")
+    live = materialize(posts.join(lists.hint("merge"), "token").select("token", "cls", "n").dropDuplicates(["token", "cls", "n"]))
+
+    rest = f"cast(ceil({percent} * n / 100.0) as bigint) - 1"  # tokens outside the prefix
+    reach = live.groupBy("cls", "n").agg(F.count("*").alias("_live")).select("cls", F.expr(f"_live + {rest} as most"), F.expr(f"_live / (n - ({rest})) as share"))
+    live = materialize(live.join(reach.hint("merge"), "cls").select("token", "cls", "n", "most", "share"))
+    hub = live.groupBy("token").agg(F.max(F.struct("share", "cls", "n", "most")).alias("h")).select("token", F.col("h.cls").alias("a"), F.col("h.n").alias("na"), F.col("h.most").alias("ma"))
+    possible = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * least(ma, mb) >= {percent} * (na + nb)"
+    bound = F.expr(f"ceil({percent} * (na + nb) / {100 + percent}.0) - ceil({percent} * greatest(na, nb) / 100.0) + 1")
+    star = live.toDF("token", "b", "nb", "mb", "_share").join(hub.hint("merge"), "token").where(f"a <> b and {possible}")
+    star = star.groupBy("a", "b", "na", "nb").count().where(F.col("count") >= F.greatest(bound, F.expr(f"(nb - ceil({percent} * nb / 100.0) + 1) * 0.3")))
+    first = verified_links(docs, classes, star.select("a", "b"), width, percent)
     near = connected_components(first.select(F.col("a").alias("src"), F.col("b").alias("dst"))).toDF("cls", "root")
 
-    placed = live.select("cls", "n", "token").distinct().join(near.hint("merge"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    placed = live.join(near.hint("merge"), "cls", "left").select("token", "cls", "n", "most", F.coalesce("root", "cls").alias("root"))
     placed = materialize(placed)
     mixed = placed.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select("token")
     placed = materialize(placed.join(mixed.hint("merge"), "token", "left_semi"))
-    a, b = placed.toDF("token", "a", "na", "ra"), placed.toDF("token", "b", "nb", "rb")
-    apart = a.join(b.hint("merge"), "token").where(f"(na < nb or na = nb and a < b) and ra <> rb and 100 * na >= {percent} * nb")
-    bound = F.expr(f"ceil({percent} * (na + nb) / {100 + percent}.0) - ceil({percent} * nb / 100.0) + 1")
+    a, b = placed.toDF("token", "a", "na", "ma", "ra"), placed.toDF("token", "b", "nb", "mb", "rb")
+    apart = a.join(b.hint("merge"), "token").where(f"(na < nb or na = nb and a < b) and ra <> rb and {possible}")
     counted = apart.groupBy("a", "b", "na", "nb").count().where(F.col("count") >= bound)
     second = verified_links(docs, classes, counted.select("a", "b"), width, percent)
 
