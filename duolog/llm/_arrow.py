@@ -21,9 +21,9 @@ LOWER[65:91] += 32
 WORDLIKE = np.zeros(256, bool)
 WORDLIKE[48:58] = WORDLIKE[65:91] = WORDLIKE[97:123] = WORDLIKE[128:] = True
 
-_BASE = 0x9E3779B97F4A7C15
-_BYTES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: list[np.ndarray] = []
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_BYTES = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -60,24 +60,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
+def _tables(n: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    if kind not in _powers or len(_powers[kind][0]) < n:
         size = max(n, CHUNK + 1024)
-        _powers[:] = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
+        made = []
+        for base in (_BASES[kind], pow(_BASES[kind], -1, 2**64)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
-            _powers.append(np.multiply.accumulate(steps))
-    return _powers[0], _powers[1]
+            made.append(np.multiply.accumulate(steps))
+        _powers[kind] = (made[0], made[1])
+    return _powers[kind]
 
 
 class Rolling:
-    """Hash of any byte range by prefix sums of byte value * base ** place, in 64 bits."""
+    """Hash of any byte range by prefix sums of byte value * base ** place, in 64 bits; kind 0 or 1 for independent hashes."""
 
-    def __init__(self, data: np.ndarray):
-        power, self.inverse = _tables(len(data) + 1)
+    def __init__(self, data: np.ndarray, kind: int = 0):
+        power, self.inverse = _tables(len(data) + 1, kind)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * power[: len(data)], out=self.sums[1:])
+        np.cumsum(_BYTES[kind][data] * power[: len(data)], out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))

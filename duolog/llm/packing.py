@@ -29,10 +29,11 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 1) -> DataFr
 
     def cut(batches):
         for part in slices(batches):
-            ids_of = encoded(part.column("text").to_pylist(), path)
+            flat, offsets = encoded(part.column("text"), path)
+            raw, edge = flat.astype("<u4").tobytes(), (4 * offsets).tolist()
             rows = []
-            for doc_id, (ids, _) in zip(part.column("doc_id").to_pylist(), ids_of):
-                ids += tail
+            for doc_id, a, b in zip(part.column("doc_id").to_pylist(), edge[:-1], edge[1:]):
+                ids = raw[a:b] + tail
                 rows += [(doc_id, k, k * capacity, ids[4 * k * capacity : 4 * (k + 1) * capacity]) for k in range(-(-len(ids) // (4 * capacity)))]
             doc, piece, start, data = map(list, zip(*rows))
             lengths = [len(d) // 4 for d in data]

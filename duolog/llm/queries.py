@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duolog.llm import exact_dedup, ngram_join, packing, word_bpe
+from duolog.llm import embedding_dedup, exact_dedup, language_id, ngram_join, packing, quality, toxicity, word_bpe
 
 
 def vocabulary_path() -> str:
@@ -34,8 +34,24 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.code_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), modulus=3, held_out=1)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), modulus=5, held_out=0)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"), modulus=4, held_out=2)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_word_bpe)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_word_bpe, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

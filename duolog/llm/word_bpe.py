@@ -5,8 +5,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from array import array
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,16 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from duolog.llm._arrow import slices
+from duolog.llm._arrow import LOWER, SPACE, Rolling, slices, text_bytes, words
 
-#: Distinct chunks kept between batches in a worker; beyond it the store starts anew.
-STORE = 600_000
+#: Slots of a worker's table of encoded chunks; at half of them it starts anew.
+SLOTS = 1 << 22
 END = "</w>"
 NEVER = 1 << 40
-#: White space for Python's split() but not for the pattern: texts with it are not split into chunks.
-_ODD = re.compile("[\x1c-\x1f]")
-
-
 class Vocabulary:
     """A vocabulary file of the tokenizers library: BPE over UTF-8 bytes whose last symbol in a word carries an end mark."""
 
@@ -48,6 +42,8 @@ class Vocabulary:
             shown.setdefault(b, chr(256 + b - sum(v < b for v in visible)))
         self.shown = [shown[b] for b in range(256)]
         self.longest = max(map(len, self.ids))
+        spelled = [(self.names.get(i, "") + " ").encode() for i in range(max(self.names) + 1)]
+        self.spelled = np.frombuffer(b"".join(spelled), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in spelled])])
         self._spines(model["merges"])
 
     def _spines(self, merges: list[list[str]]) -> None:
@@ -101,26 +97,19 @@ class Vocabulary:
                 fine &= ~((rank >= 0) & (rank < self.right_until[a, i]) & (rank <= self.left_until[b, j]))
         return fine
 
-    def chunks(self, text: str) -> list[str]:
-        """Special tokens, and pieces between white space: no word crosses white space, so a chunk's ids depend on it alone."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        if self.cut is None or "<|" not in text:
-            return [text] if _ODD.search(text) else text.split()
-        out: list[str] = []
-        for piece in self.cut.split(text):
-            out += [piece] if piece in self.special or _ODD.search(piece) else piece.split()
-        return out
-
-    def words(self, chunk: str) -> list[str]:
-        """The words of a chunk that is no special token, lower-cased character by character. For characters
-        that Python's Unicode tables do not know, the library's own pre-tokenizer decides."""
-        if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
+    def words(self, text: str) -> list[str]:
+        """The words of a text, lower-cased character by character; special tokens as themselves (no word equals one).
+        For characters that Python's Unicode tables do not know, the library's own pre-tokenizer decides."""
+        if self.cut is not None and "<|" in text and len(pieces := self.cut.split(text)) > 1:
+            return [w for p in pieces for w in ([p] if p in self.special else self.words(p))]
+        if text.isascii():
+            return self.exact.findall(text.lower())
+        if any(unicodedata.category(c) == "Cn" for c in text):
             if self.library is None:
                 self.library = Tokenizer.from_file(self.path)
-            plain = self.library.normalizer.normalize_str(chunk)
+            plain = self.library.normalizer.normalize_str(text)
             return [plain[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(plain)]
-        return self.exact.findall(chunk.replace("Σ", "σ").lower())
+        return self.exact.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def greedy(self, word: str) -> list[int]:
         """Longest match from the left."""
@@ -183,42 +172,102 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-class _Store(dict):
-    """Encoded chunks of a worker: chunk -> (ids as bytes, decoded tokens)."""
+class _Store:
+    """A worker's encoded chunks (runs between ASCII white space, which no word crosses), by two independent 64-bit
+    hashes in an open table; ids lie in one array."""
 
     def __init__(self, path: str):
-        super().__init__()
         self.vocabulary = vocabulary(path)
-        self.update({t: (array("I", [i]).tobytes(), t) for t, i in self.vocabulary.special.items()})
+        self.known = {t: [i] for t, i in self.vocabulary.special.items()}
+        self.reset()
+
+    def reset(self) -> None:
+        self.keys = np.zeros((2, SLOTS), np.uint64)
+        self.start = np.full(SLOTS, -1, np.int32)
+        self.count = np.zeros(SLOTS, np.int32)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = self.held = 0
+
+    def find(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """Slots, -1 where a chunk is new."""
+        out = np.full(len(h), -1, np.int64)
+        left = np.arange(len(h))
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(left):
+            hit = (self.keys[0][slot] == h[left]) & (self.keys[1][slot] == g[left]) & (self.start[slot] >= 0)
+            out[left[hit]] = slot[hit]
+            more = ~hit & (self.start[slot] >= 0)
+            left, slot = left[more], (slot[more] + 1) & (SLOTS - 1)
+        return out
 
-    def learn(self, chunks: list[str]) -> None:
-        names = self.vocabulary.names
+    def add(self, h: np.ndarray, g: np.ndarray, ids: list[list[int]]) -> None:
+        """Put distinct new chunks into the table."""
+        sizes = np.array([len(i) for i in ids], np.int64)
+        total = int(sizes.sum())
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        first = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+        self.held += len(ids)
+        left = np.arange(len(h))
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.start[slot] < 0)
+            _, one = np.unique(slot[free], return_index=True)
+            put = free[one]
+            at, who = slot[put], left[put]
+            self.keys[0][at], self.keys[1][at] = h[who], g[who]
+            self.start[at], self.count[at] = first[who], sizes[who]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, slot = left[rest], (slot[rest] + 1) & (SLOTS - 1)
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
         split = [self.vocabulary.words(c) for c in chunks]
-        distinct = list({w for words in split for w in words})
-        ids_of = dict(zip(distinct, self.vocabulary.encode_words(distinct)[0]))
-        for chunk, words in zip(chunks, split):
-            ids = [i for w in words for i in ids_of[w]]
-            self[chunk] = (array("I", ids).tobytes(), " ".join([names[i] for i in ids]))
+        distinct = list({w for words in split for w in words} - self.known.keys())
+        ids_of = self.known | dict(zip(distinct, self.vocabulary.encode_words(distinct)[0]))
+        return [[i for w in words for i in ids_of[w]] for words in split]
 
 
 _stores: dict[str, _Store] = {}
 
 
-def encoded(texts: list[str | None], path: str) -> Iterator[tuple[bytes, str]]:
-    """Per text its ids as little-endian unsigned 32-bit integers, and its decoded text."""
-    store = _stores.get(path)
-    if store is None or len(store) > STORE:
-        store = _stores[path] = _Store(path)
-    split = [store.vocabulary.chunks(t or "") for t in texts]
-    new = set()
-    for chunks in split:
-        new.update(chunks)
-    new.difference_update(store.keys())
-    if new:
-        store.learn(list(new))
-    for chunks in split:
-        pairs = [store[c] for c in chunks]
-        yield b"".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs if p[1]])
+def encoded(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts (unsigned 32-bit), and len + 1 offsets."""
+    if path not in _stores:
+        _stores[path] = _Store(path)
+    store = _stores[path]
+    data, offsets = text_bytes(column)
+    if not (data[:-1] == 60)[data[1:] == 124].any():  # special tokens keep their case
+        data = LOWER[data]
+    starts, ends, at = words(data, offsets, SPACE[data])
+    h, g = Rolling(data, 0)(starts, ends), Rolling(data, 1)(starts, ends)
+    slots = store.find(h, g)
+    new = np.flatnonzero(slots < 0)
+    if len(new):
+        _, one = np.unique(h[new] ^ (g[new] << np.uint64(1)), return_index=True)
+        new = new[one]
+        if store.held + len(new) > SLOTS // 2:
+            store.reset()
+            _, new = np.unique(h ^ (g << np.uint64(1)), return_index=True)
+        raw = data.tobytes()
+        store.add(h[new], g[new], store.encode([raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]))
+        slots = store.find(h, g)
+    sizes = store.count[slots].astype(np.int64)
+    ends = np.cumsum(sizes)
+    ids = store.ids[np.repeat(store.start[slots] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+    return ids, np.concatenate([[0], ends])[at]
+
+
+def decoded(ids: np.ndarray, offsets: np.ndarray, path: str) -> pa.Array:
+    """Texts of token ids: the tokens with a blank between them."""
+    names, at = vocabulary(path).spelled
+    sizes = (at[1:] - at[:-1])[ids]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    data = names[np.repeat(at[ids] - ends[:-1], sizes) + np.arange(int(ends[-1]))]
+    raw, edge = data.tobytes(), ends[offsets].tolist()
+    return pa.array([raw[a : b - 1] if b > a else b"" for a, b in zip(edge[:-1], edge[1:])], pa.binary()).cast(pa.string())
 
 
 def codes(docs: DataFrame, path: str) -> DataFrame:
@@ -230,8 +279,10 @@ def codes(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         for part in slices(batches):
-            done = list(encoded(part.column("text").to_pylist(), path))
-            yield pa.record_batch([part.column("doc_id"), pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.string())], ["doc_id", "ids", "decoded"])
+            ids, offsets = encoded(part.column("text"), path)
+            raw, edge = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
+            packed = pa.array([raw[a:b] for a, b in zip(edge[:-1], edge[1:])], pa.binary())
+            yield pa.record_batch([part.column("doc_id"), packed, decoded(ids, offsets, path)], ["doc_id", "ids", "decoded"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return plain.mapInArrow(run, "doc_id long, ids binary, decoded string")
