@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duolog.llm import embedding_dedup, exact_dedup, language_id, ngram_join, packing, quality, toxicity, word_bpe
+from duolog.llm import embedding_dedup, exact_dedup, language_id, licenses, ngram_join, packing, quality, toxicity, warc, word_bpe
 
 
 def vocabulary_path() -> str:
@@ -30,6 +30,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary_path(), capacity=4096, end_id=1)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.code_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -51,8 +59,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_word_bpe, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_warc, op5_word_bpe, op6_licenses, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op6_licenses": licenses.oracle()}
