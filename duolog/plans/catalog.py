@@ -1,11 +1,823 @@
-"""Registered queries over the test tables and their SQL."""
+"""Registered queries over the test tables, each beside its SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duolog.functions import clean
+from duolog.operators import dims, drift, facts, features, quality, reshape
+from duolog.plans import lens
+from duolog.plans.sql import METRICS, STATS, sql
+from duolog.sources import landing
+from duolog.streaming import incremental
+
+_QUERIES: dict[str, Callable] = {}
+_SQL: dict[str, str] = {}
+
+
+def queries() -> dict[str, Callable]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def oracle(uses: str, body: str, digits: dict[int, str] | None = None, extra: str = "") -> Callable:
+    """Register a query under its function's name, with its SQL; columns in digits are rounded on both sides."""
+
+    def register(f: Callable[[Tables], DataFrame]) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = f(Tables(spark, sf_dir))
+            return df.withColumns({c: F.round(c, d) + F.lit(0.0) for d, cs in (digits or {}).items() for c in cs.split()})
+
+        run.__name__ = f.__name__
+        _QUERIES[f.__name__], _SQL[f.__name__] = run, sql(uses, body, digits, extra)
+        return f
+
+    return register
+
+
+class Tables:
+    """What queries share; every attribute is a lazy plan over the given tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __call__(self, name: str) -> DataFrame:
+        return lens.table(self.spark, self.sf_dir, name)
+
+    pairs = property(lambda t: lens.pairs(t.spark, t.sf_dir))
+    calendar = property(lambda t: lens.calendar(t.spark, t.sf_dir))
+    stats = property(lambda t: lens.stats(t.spark, t.sf_dir))
+    games = property(lambda t: facts.with_opponent(t.stats, t.pairs.join(t.calendar, "game_id")).select("game_id", "team_id", *STATS, "game_date", "season", "season_type", "is_home", "opp_team_id"))
+    reb = property(lambda t: t.games.withColumn("reb", F.col("oreb") + F.col("dreb")))
+    raw = property(lambda t: lens.raw_log(t.games))
+    schedule = property(lambda t: features.schedule_features(t.games))
+    rated = property(lambda t: features.derived_ratings(features.opponent_box(t.games)))
+    formed = property(lambda t: features.rolling_form(t.rated))
+    month = property(lambda t: features.calendar_features(t.formed, t.schedule))
+    players = property(lambda t: facts.player_games(lens.player_box(t.spark, t.sf_dir), t.calendar, lens.PLAYER_STATS))
+    totals = property(lambda t: features.season_totals(t.players, ("season", "player_id")))
+    league = property(lambda t: features.league_efficiency(t.games))
+    shooting = property(lambda t: features.shooting_profile(t.totals, t.league))
+    rates = property(lambda t: features.rate_stats(t.totals))
+    load = property(lambda t: features.load_index(t.totals, t.shooting))
+    scores = property(lambda t: features.external_scores(lens.external(t.spark, t.sf_dir)))
+    composites = property(lambda t: features.external_composites(t.scores))
+    passer = property(lambda t: features.passer_index(t.load, t.totals, lens.bio(t.spark, t.sf_dir)))
+    port = property(lambda t: features.portability_index(t.rates, t.shooting, t.composites, t.passer, t.load, lens.versatility(t.spark, t.sf_dir)))
+    cuts = property(lambda t: drift.decile_cuts(t.reb))
+    base = property(lambda t: drift.baseline(t.reb))
+    monthly = property(lambda t: drift.monthly(t.reb, t.schedule))
+    shift = property(lambda t: drift.mean_shift(drift.monthly_league(t.monthly), t.base))
+    psi_base = property(lambda t: drift.psi_baseline(t.reb, t.cuts))
+    psi = property(lambda t: drift.psi_monthly(t.reb, t.cuts, t.psi_base))
+    long = property(lambda t: t.games.withColumn("side", F.when(F.col("is_home"), "home").otherwise("away")))
+    wide = property(lambda t: reshape.pivot_sides(t.long, ["game_id", "game_date", "season", "season_type"], ["team_id", *STATS]))
+
+
+# Facts and schedule
+
+
+@oracle("games", "select * from games")
+def entity_facts(t: Tables) -> DataFrame:
+    return t.games
+
+
+SCHED = "game_id team_id season game_date gnum prev_date days_rest rest_bucket is_0in2 is_b2b is_3in4 is_4in6 pts_l5 tov_l5 tpm_l10 reb_l10".split()
+
+
+@oracle("sched", f"select {', '.join(SCHED)} from sched", {4: "pts_l5 tov_l5 tpm_l10 reb_l10"})
+def schedule_features(t: Tables) -> DataFrame:
+    return t.schedule.select(*SCHED)
+
+
+# Cleaning
+
+
+@oracle("raw", "select game_id, team_id, nullif(trim(label_raw), '') as label, try_cast(nullif(date_raw, '') as date) as day, try_cast(nullif(pts_raw, '') as double) as pts, try_cast(nullif(flag_raw, '') as boolean) as flag from raw")
+def clean_cast(t: Tables) -> DataFrame:
+    c = F.col
+    return t.raw.select("game_id", "team_id", clean.blank_to_null(c("label_raw")).alias("label"), clean.tolerant(c("date_raw"), "date").alias("day"), clean.tolerant(c("pts_raw"), "double").alias("pts"), clean.tolerant(c("flag_raw"), "boolean").alias("flag"))
+
+
+@oracle("raw", "select game_id, team_id, cast(round(try_cast(nullif(pts_raw, '') as double)) as bigint) as pts, cast(round(try_cast(nullif(fgm_raw, '') as double)) as int) as fgm from raw")
+def typed_stats(t: Tables) -> DataFrame:
+    return t.raw.select("game_id", "team_id", clean.tolerant(F.col("pts_raw"), "bigint").alias("pts"), clean.tolerant(F.col("fgm_raw"), "int").alias("fgm"))
+
+
+@oracle("raw", "select game_id, team_id, padded, prefix_known, digits from (select game_id, team_id, lpad(id_raw, 10, '0') as padded, substr(lpad(regexp_extract(id_raw, '(\\d+)', 1), 10, '0'), 1, 3) in ('001', '002', '003', '004', '005') as prefix_known, lpad(regexp_extract(id_raw, '(\\d+)', 1), 10, '0') as digits from raw)")
+def canonical_ids(t: Tables) -> DataFrame:
+    digits = clean.digits_id(F.col("id_raw"))
+    return t.raw.select("game_id", "team_id", clean.padded_id(F.col("id_raw")).alias("padded"), clean.known_prefix(digits).alias("prefix_known"), digits.alias("digits"))
+
+
+_LABEL = "case when lower(l) in ('preseason', 'pre season', 'pre-season') then 'Pre Season' when lower(l) = 'regular season' then 'Regular Season' when lower(l) = 'playoffs' then 'Playoffs' else l end"
+
+
+@oracle("raw", f"select game_id, team_id, {_LABEL} as label, coalesce({_LABEL}, 'Regular Season') as label_filled from (select *, nullif(trim(label_raw), '') as l from raw)")
+def canonical_labels(t: Tables) -> DataFrame:
+    label = clean.canonical_label(clean.blank_to_null(F.col("label_raw")))
+    return t.raw.select("game_id", "team_id", label.alias("label"), F.coalesce(label, F.lit("Regular Season")).alias("label_filled"))
+
+
+@oracle("raw", "select game_id, team_id, cast(round(try_cast(nullif(pts_raw, '') as double)) as bigint) as pts, try_cast(nullif(date_raw, '') as date) as game_day, cast(null as double) as plus_minus from raw")
+def align_schema(t: Tables) -> DataFrame:
+    from pyspark.sql.types import StructType
+
+    target = StructType.fromDDL("game_id bigint, team_id bigint, pts bigint, game_day date, plus_minus double")
+    return clean.align(t.raw.select("game_id", "team_id", F.col("pts_raw").alias("PTS"), F.col("date_raw").alias("Game Day"), "label_raw"), target)
+
+
+# Reshape
+
+_WIDE = ", ".join(f"max({c}) filter (where {w}is_home) as {c}_{s}" for s, w in (("home", ""), ("away", "not ")) for c in ["team_id", *STATS])
+
+
+@oracle("games", f"select game_id, game_date, season, season_type, {_WIDE} from games group by 1, 2, 3, 4")
+def pivot_sides(t: Tables) -> DataFrame:
+    return t.wide
+
+
+@oracle("games", "select game_id, game_date, season, season_type, case when is_home then 'home' else 'away' end as side, team_id, " + ", ".join(STATS) + " from games")
+def unpivot_sides(t: Tables) -> DataFrame:
+    return reshape.unpivot_sides(t.wide, ["game_id", "game_date", "season", "season_type"], ["team_id", *STATS])
+
+
+# Dimensions
+
+
+@oracle("games", "select distinct cast(substr(cast(season as varchar) || '22', 1, 4) as int) as season_year from games")
+def season_year(t: Tables) -> DataFrame:
+    return t.games.select(F.substring(F.concat(F.col("season").cast("string"), F.lit("22")), 1, 4).cast("int").alias("season_year")).distinct()
+
+
+@oracle(
+    "games",
+    """select team_id, name, origin from (select *, row_number() over (partition by team_id order by p, name is null, origin is null, name, origin) as r from (
+      select 1 as p, team_id, cast(null as varchar) as name, 'seen' as origin from (select distinct team_id from games where game_date >= date '1996-01-01')
+      union all select 2, s_suppkey, s_name, 'listed' from supplier union all select * from (values (0, cast(1 as bigint), 'One', 'fixed'), (0, cast(-5 as bigint), 'Minus', 'fixed')) v)) where r = 1""",
+)
+def dim_precedence(t: Tables) -> DataFrame:
+    fixed = t.spark.createDataFrame([(1, "One", "fixed"), (-5, "Minus", "fixed")], "team_id bigint, name string, origin string")
+    seen = t.games.where("game_date >= date '1996-01-01'").select("team_id").distinct().select("team_id", F.lit(None).cast("string").alias("name"), F.lit("seen").alias("origin"))
+    listed = t("supplier").select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("name"), F.lit("listed").alias("origin"))
+    return dims.by_precedence([(0, fixed), (1, seen), (2, listed)], "team_id", ["name", "origin"])
+
+
+@oracle(
+    "raw games",
+    """select game_id, game_date, home_id, away_id, cast(year(game_date) + case when month(game_date) >= 8 then 1 else 0 end as int) as season, case when post > greatest(reg, pre) then 'POST' when pre > greatest(reg, post) then 'PRE' when reg > greatest(pre, post) then 'REG'
+      when month(game_date) in (9, 10) then 'PRE' when month(game_date) in (5, 6, 7) then 'POST' else 'REG' end as season_type
+      from (select game_id, min(day) as game_date, min(team_id) as home_id, max(team_id) as away_id, sum(case when l like '%pre%' then 1 else 0 end) as pre, sum(case when l like '%post%' then 1 else 0 end) as post, sum(case when l like '%reg%' then 1 else 0 end) as reg
+        from (select r.game_id, r.team_id, g.game_date as day, lower(nullif(trim(case when r.team_id % 2 = 0 then label_raw else 'Pre' end), '')) as l from raw r join games g on g.game_id = r.game_id and g.team_id = r.team_id) group by 1)""",
+)
+def majority_label(t: Tables) -> DataFrame:
+    log = t.raw.join(t.games.select("game_id", "team_id", "game_date"), ["game_id", "team_id"]).withColumn("season_type", F.when(F.col("team_id") % 2 == 0, F.col("label_raw")).otherwise("Pre"))
+    labels = dims.vote_label(log, "game_id", "game_date", "season_type")
+    return dims.extreme_sides(log, "game_id", "game_date", "team_id").join(labels, ["game_id", "game_date"]).withColumn("season", clean.season(F.col("game_date")))
+
+
+_GAMEDIM = """select c.game_id, c.game_date, coalesce(case when c.game_id % 6 = 0 then null when season_type = 'POST' then case when c.game_id % 2 = 0 then 'Playoffs' else 'post season' end when season_type = 'PRE' then 'Pre Season' else 'Regular' end, 'Regular Season') as label_raw,
+  home_id, away_id, season from cal c join pair p on p.game_id = c.game_id"""
+
+
+def _game_dim(t: Tables) -> DataFrame:
+    label = (
+        F.when(F.col("game_id") % 6 == 0, F.lit(None)).when(F.col("season_type") == "POST", F.when(F.col("game_id") % 2 == 0, "Playoffs").otherwise("post season"))
+        .when(F.col("season_type") == "PRE", "Pre Season").otherwise("Regular")
+    )
+    games = t.calendar.join(t.pairs, "game_id").select("game_id", "game_date", label.alias("label"), "home_id")
+    return dims.game_dimension(games, t.pairs.select("game_id", "away_id"))
+
+
+_KIND = "case when lower(label_raw) like '%pre%' then 'PRE' when lower(label_raw) like '%post%' then 'POST' else 'REG' end"
+
+
+@oracle("pair cal", f"select *, {_KIND} as season_type from ({_GAMEDIM})")
+def game_dim(t: Tables) -> DataFrame:
+    return _game_dim(t)
+
+
+_FIX = "case when m = 9 then 'PRE' when m in (10, 11, 12, 1, 2, 3) then 'REG' when m = 4 then case when k = 'POST' then 'POST' else 'REG' end when m in (5, 6) then 'POST' else coalesce(k, 'POST') end"
+
+
+@oracle("pair cal", f"select game_id, game_date, season_type, {_FIX} as season_type_fixed from (select *, {_KIND} as season_type, {_KIND} as k, month(game_date) as m from ({_GAMEDIM}))")
+def month_label_fix(t: Tables) -> DataFrame:
+    return _game_dim(t).select("game_id", "game_date", "season_type", dims.label_by_month(F.col("game_date"), F.col("season_type")).alias("season_type_fixed"))
+
+
+_BAD = "(month(game_date) in (5, 6, 7) and season_type = 'REG' or month(game_date) in (9, 10) and season_type = 'POST')"
+
+
+@oracle("cal", f"select game_id, game_date, season, case when {_BAD} then case when month(game_date) in (5, 6, 7) then 'POST' else 'REG' end else season_type end as season_type from cal")
+def label_overrides(t: Tables) -> DataFrame:
+    return dims.apply_label_overrides(t.calendar, dims.label_overrides(t.calendar)).select("game_id", "game_date", "season", "season_type")
+
+
+@oracle("cal", f"select game_id, game_date, season_type from cal where {_BAD}")
+def impossible_labels(t: Tables) -> DataFrame:
+    return t.calendar.where(dims.impossible_label(F.col("game_date"), F.col("season_type"))).select("game_id", "game_date", "season_type")
+
+
+@oracle("cal games", "select distinct game_id, game_date, season from cal where game_date is not null union all select distinct game_id, game_date, season from games")
+def canonical_union(t: Tables) -> DataFrame:
+    columns = ["game_id", "game_date", "season"]
+    return dims.union_of_distinct(t.calendar.where("game_date is not null").select(*columns), t.games.select(*columns))
+
+
+@oracle("st cal", "select game_id, game_date, team_a, team_b from (select a.game_id, a.team_id as team_a, b.team_id as team_b from st a join st b on b.game_id = a.game_id and a.team_id < b.team_id) p join cal using (game_id)")
+def pair_reconstruct(t: Tables) -> DataFrame:
+    log = t.stats.select("game_id", "team_id").join(t.calendar.select("game_id", "game_date"), "game_id")
+    return dims.pairs_of_games(log, "game_id", "game_date", "team_id").select("game_id", "game_date", "team_a", "team_b")
+
+
+@oracle(
+    "pair cal",
+    """select distinct l.game_id as left_id, r.game_id + 1000000 as right_id from (select * from pair join cal using (game_id)) l join (select * from pair join cal using (game_id)) r
+      on l.game_date = r.game_date and l.home_id = r.home_id and l.away_id = r.away_id""",
+)
+def id_bridge(t: Tables) -> DataFrame:
+    games = t.pairs.join(t.calendar, "game_id")
+    left = games.select("game_id", "game_date", F.col("home_id").alias("side_1"), F.col("away_id").alias("side_2"))
+    flip = F.col("game_id") % 2 == 0
+    right = games.select((F.col("game_id") + 1000000).alias("game_id"), "game_date", F.when(flip, F.col("away_id")).otherwise(F.col("home_id")).alias("side_1"), F.when(flip, F.col("home_id")).otherwise(F.col("away_id")).alias("side_2"))
+    return dims.bridge_ids(left, right)
+
+
+@oracle("praw", "select p_partkey as player_id, min(p_name) as name, lower(min(p_name)) as name_key from part where p_partkey in (select player_id from praw) group by 1")
+def key_table(t: Tables) -> DataFrame:
+    seen = lens.player_box(t.spark, t.sf_dir).select("player_id").distinct()
+    named = t("part").select(F.col("p_partkey").alias("player_id"), F.col("p_name").alias("name")).join(seen, "player_id", "left_semi")
+    return dims.first_per_key(named, ["player_id"], [F.col("name")]).withColumn("name_key", F.lower("name"))
+
+
+@oracle("games", "select game_id, min(team_id) filter (where is_home) as home_id, min(team_id) filter (where not is_home) as away_id from games group by 1")
+def resolve_sides(t: Tables) -> DataFrame:
+    return dims.resolve_sides(t.long.select("game_id", "team_id", "side"))
+
+
+_OVERRIDE = "select game_id, away_id as home_id, home_id as away_id, game_id % 100 = 0 as home_override, game_id % 100 = 50 as away_override from pair where game_id % 50 = 0"
+
+
+def _overrides(t: Tables) -> DataFrame:
+    k = F.col("game_id") % 100
+    return t.pairs.where("game_id % 50 = 0").select("game_id", F.col("away_id").alias("home_id"), F.col("home_id").alias("away_id"), (k == 0).alias("home_override"), (k == 50).alias("away_override"))
+
+
+@oracle(
+    "games pair",
+    "select g.game_id, coalesce(case when home_override then home_id when away_override then away_id end, team_id) as team_id, coalesce(case when home_override then 'home' when away_override then 'away' end, case when is_home then 'home' else 'away' end) as side from games g left join ov on ov.game_id = g.game_id",
+    extra=f"ov as ({_OVERRIDE})",
+)
+def apply_overrides(t: Tables) -> DataFrame:
+    sides = t.long.select(F.col("game_id").cast("string").alias("game_id"), "team_id", "side")
+    return dims.apply_side_overrides(sides, _overrides(t)).select(F.col("game_id").cast("bigint").alias("game_id"), "team_id", "side")
+
+
+# Facts
+
+_PERIODS = [f"pts_qtr{k}" for k in range(1, 5)] + [f"pts_ot{k}" for k in range(1, 11)]
+_LINE = "select l_orderkey as game_id, l_suppkey as team_id, " + ", ".join(f"cast(sum(case when l_linenumber = {k} then cast(floor(l_quantity) as bigint) end) as int) as {c}" for k, c in enumerate(_PERIODS, 1)) + ", cast(sum(cast(floor(l_quantity) as bigint)) as int) as pts from lineitem group by 1, 2"
+
+
+def _line(t: Tables) -> DataFrame:
+    """Wide line scores as text: a line's number is its period."""
+    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("team_id"))
+    quantity = F.floor("l_quantity").cast("bigint")
+    long = lines.agg(*[F.sum(F.when(F.col("l_linenumber") == k, quantity)).alias(c) for k, c in enumerate(_PERIODS, 1)], F.sum(quantity).alias("pts"))
+    sides = long.join(t.pairs, "game_id").where("team_id in (home_id, away_id)").withColumn("side", F.when(F.col("team_id") == F.col("home_id"), "home").otherwise("away"))
+    sides = sides.join(t.calendar, "game_id").withColumn("team_abbreviation", F.when(F.col("team_id") % 4 == 0, " ").otherwise(F.concat(F.lit(" T"), F.col("team_id").cast("string"))))
+    text = sides.select("game_id", "game_date", "side", *[F.col(c).cast("string").alias(c) for c in ["team_id", "team_abbreviation", *_PERIODS, "pts"]])
+    return reshape.pivot_sides(text, ["game_id", "game_date"], ["team_id", "team_abbreviation", *_PERIODS, "pts"]).withColumn("game_date", F.col("game_date").cast("string"))
+
+
+@oracle(
+    "pair cal",
+    f"select lpad(cast(game_id as varchar), 10, '0') as game_id, game_date, case when team_id = home_id then 'home' else 'away' end as side, cast(team_id as varchar) as team_id, nullif(trim(case when team_id % 4 = 0 then ' ' else ' T' || team_id end), '') as team_abbreviation, {', '.join(_PERIODS)}, pts from ln join pair using (game_id) join cal using (game_id) where team_id in (home_id, away_id)",
+    extra=f"ln as ({_LINE})",
+)
+def line_score_sides(t: Tables) -> DataFrame:
+    return facts.line_scores(_line(t))
+
+
+@oracle("pg", "select * from pg", {4: "minutes"})
+def collapse_rows(t: Tables) -> DataFrame:
+    return t.players
+
+
+@oracle(
+    "pair cal",
+    f"""select game_id, game_date, label, cast(ot as int) as ot_periods, cast(ot * 25 as int) as ot_minutes, cast(240 + ot * 25 as int) as target_minutes from (
+      select c.game_id, c.game_date, coalesce(case when c.game_id % 3 = 0 then null else 'Regular Season' end, case c.game_id % 5 when 1 then 'Pre Season' when 2 then 'Regular Season' when 4 then 'Playoffs' end) as label,
+        coalesce(({' + '.join(f'cast(coalesce(bool_or(pts_ot{k} is not null), false) as int)' for k in range(1, 11))}), 0) as ot
+      from cal c join pair p on p.game_id = c.game_id left join ln on ln.game_id = c.game_id and ln.team_id in (p.home_id, p.away_id) group by 1, 2, 3)""",
+    extra=f"ln as ({_LINE})",
+)
+def overtime_targets(t: Tables) -> DataFrame:
+    padded = F.concat(F.lit("00"), (F.col("game_id") % 5).cast("string"), F.col("game_id").cast("string"))
+    label = clean.prefix_label(F.when(F.col("game_id") % 3 != 0, "Regular Season"), padded)
+    games = t.calendar.join(t.pairs, "game_id", "left_semi").select("game_id", "game_date", label.alias("label"))
+    return facts.overtime_targets(games, _line(t))
+
+
+@oracle("games pair", "select game_id, team_id, exists (select 1 from lineitem l where l.l_orderkey = g.game_id and l.l_suppkey = g.team_id and l_linestatus = 'F') as has_line, case when game_id % 4 = 0 then true else exists (select 1 from lineitem l where l.l_orderkey = g.game_id and l_returnflag = 'R') end as has_events from games g")
+def coverage_flags(t: Tables) -> DataFrame:
+    lines = t("lineitem").select(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("team_id"), "l_linestatus", "l_returnflag")
+    rows = t.games.select("game_id", "team_id", F.when(F.col("game_id") % 4 == 0, True).alias("has_events"))
+    rows = facts.flag_known(rows, lines.where("l_linestatus = 'F'"), ["game_id", "team_id"], "has_line")
+    return facts.flag_known(rows, lines.where("l_returnflag = 'R'"), ["game_id"], "has_events").select("game_id", "team_id", "has_line", "has_events")
+
+
+@oracle("games", "select a.game_id, a.team_id, a.pts, b.pts as pts_opp, case when a.pts > b.pts then 'W' when a.pts < b.pts then 'L' end as wl from games a left join games b on a.game_id = b.game_id and b.team_id <> a.team_id")
+def opponent_result(t: Tables) -> DataFrame:
+    rows = facts.opponent_values(t.games, ["pts"])
+    return rows.select("game_id", "team_id", "pts", "pts_opp", facts.result_of(F.col("pts"), F.col("pts_opp")).alias("wl"))
+
+
+@oracle("", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_returnflag = 'A', l_linestatus = 'F', l_shipdate desc, l_partkey, l_suppkey, l_quantity, l_extendedprice) as r from lineitem) where r = 1")
+def survivor_row(t: Tables) -> DataFrame:
+    order = [F.col("l_returnflag") == "A", F.col("l_linestatus") == "F", F.col("l_shipdate").desc(), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"), F.col("l_extendedprice")]
+    return dims.first_per_key(t("lineitem"), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+@oracle("games", "select game_id, min(season) as season, max(game_date) as game_date, count(*) as n_rows, cast(sum(pts) as bigint) as pts from games group by 1")
+def game_rollup(t: Tables) -> DataFrame:
+    return t.games.groupBy("game_id").agg(F.min("season").alias("season"), F.max("game_date").alias("game_date"), F.count("*").alias("n_rows"), F.sum("pts").alias("pts"))
+
+
+@oracle("games", "select game_id, team_id, opp_team_id as opponent_id, game_date, season as season_id, season_type, is_home as home, pts, pts as points, fgm as field_goals_made, fga as field_goals_tried, oreb + dreb as rebounds, ast as assists from games")
+def mart_fact(t: Tables) -> DataFrame:
+    return t.games.select(
+        "game_id", "team_id", F.col("opp_team_id").alias("opponent_id"), "game_date", F.col("season").alias("season_id"), "season_type", F.col("is_home").alias("home"), "pts", F.col("pts").alias("points"),
+        F.col("fgm").alias("field_goals_made"), F.col("fga").alias("field_goals_tried"), (F.col("oreb") + F.col("dreb")).alias("rebounds"), F.col("ast").alias("assists"),
+    )
+
+
+_SIDE_OUT = "game_id team_id start_year season_type game_date prefix_known matchup wl wl_final is_home pts pts_final bx_pts pts_mismatch fg_pct fg3_pct ft_pct minutes_raw min_final min_bad has_line has_events team_known row_valid".split()
+
+
+def _raw_wide(t: Tables) -> DataFrame:
+    """Wide games as text, with junk, from the lens."""
+    k = F.col("game_id")
+    label = F.when(k % 4 == 0, " pre season ").when(k % 4 == 1, "").when(k % 4 == 2, "Playoffs").otherwise("Cup")
+    text = lambda c: F.col(c).cast("string")
+    long = t.long.select(
+        "game_id", "side", F.concat(F.lit("2"), text("season")).alias("season_id"), label.alias("season_type"), F.when(k % 9 == 0, "").otherwise(text("game_date")).alias("game_date"),
+        F.when(k % 3 == 0, "240").when(k % 3 == 1, "12").otherwise("").alias("min"), text("team_id").alias("team_id"),
+        F.when(k % 3 == 0, F.when(F.col("is_home"), "A vs. B").otherwise("B @ A")).when(k % 3 == 1, "A - B").otherwise("").alias("matchup"), F.when(k % 2 == 0, " w ").otherwise("").alias("wl"),
+        F.when(k % 5 == 0, (F.col("fga") + 3).cast("string")).otherwise(text("fga")).alias("pts"), text("fgm").alias("fgm"), text("fga").alias("fga"), text("tpm").alias("fg3m"), text("tpa").alias("fg3a"), text("ftm").alias("ftm"), text("fta").alias("fta"),
+    )
+    return reshape.pivot_sides(long, ["game_id", "season_id", "season_type", "game_date", "min"], ["team_id", "matchup", "wl", "pts", "fgm", "fga", "fg3m", "fg3a", "ftm", "fta"])
+
+
+_SIDE = """
+wl0 as (select game_id as gid, lpad(cast(game_id as varchar), 10, '0') as game_id, cast(team_id as varchar) as team_id, team_id as tid, season, is_home as home,
+  case game_id % 4 when 0 then 'Pre Season' when 2 then 'Playoffs' when 3 then 'Cup' end as season_type, case when game_id % 9 <> 0 then game_date end as game_date,
+  case game_id % 3 when 0 then 240.0::double when 1 then 12.0::double end as minutes_raw, case game_id % 3 when 0 then case when is_home then 'A vs. B' else 'B @ A' end when 1 then 'A - B' end as matchup,
+  case when game_id % 2 = 0 then 'w' end as wl, cast(case when game_id % 5 = 0 then fga + 3 else fga end as double) as pts, fgm, fga, tpm, tpa, ftm, fta from games),
+wl1 as (select w.*, bx_side, bx_pts from wl0 w left join (select game_id, team_id, case when is_home then 'home' else 'away' end as bx_side, cast(fga as double) as bx_pts from games where game_id % 6 <> 0) b on b.game_id = w.gid and b.team_id = w.tid),
+wl2 as (select wl1.*, coalesce(case when home_override and tid = home_id then true when away_override and tid = away_id then false end,
+    case when bx_side = 'home' then true when bx_side = 'away' then false when matchup like '%vs.%' then true when matchup like '%@%' then false end) as is_home from wl1 left join ov on ov.game_id = gid),
+wl3 as (select *, coalesce(bx_pts, cast((coalesce(fgm, 0) - coalesce(tpm, 0)) * 2 + coalesce(tpm, 0) * 3 + coalesce(ftm, 0) as double), pts) as pts_final,
+  cast(coalesce(year(game_date) - case when month(game_date) >= 8 then 0 else 1 end, try_cast(substr('2' || season, 1, 4) as int)) as int) as start_year from wl2)"""
+
+
+@oracle(
+    "games pair",
+    """select a.game_id, a.team_id, a.start_year, a.season_type, a.game_date, substr(a.game_id, 1, 3) in ('001', '002', '003', '004', '005') as prefix_known, a.matchup, a.wl,
+      case when b.pts_final is not null then case when a.pts_final > b.pts_final then 'W' when a.pts_final < b.pts_final then 'L' end else upper(a.wl) end as wl_final, a.is_home, a.pts, a.pts_final, a.bx_pts,
+      coalesce(abs(a.bx_pts - a.pts) > 2, false) as pts_mismatch, case when a.fga > 0 then greatest(0, least(1, a.fgm / a.fga)) end as fg_pct, case when a.tpa > 0 then greatest(0, least(1, a.tpm / a.tpa)) end as fg3_pct,
+      case when a.fta > 0 then greatest(0, least(1, a.ftm / a.fta)) end as ft_pct, a.minutes_raw, case when a.minutes_raw between 200 and 330 then a.minutes_raw end as min_final,
+      coalesce(a.minutes_raw < 200 or a.minutes_raw > 330, false) as min_bad, a.bx_side is not null as has_line, a.gid in (select l_orderkey from lineitem where l_returnflag = 'R') as has_events,
+      a.tid % 10 <> 0 as team_known, a.tid % 10 <> 0 and a.start_year >= 2010 and a.is_home is not null as row_valid
+      from wl3 a left join wl3 b on b.gid = a.gid and b.tid <> a.tid""",
+    {6: "fg_pct fg3_pct ft_pct"},
+    extra=f"ov as ({_OVERRIDE}), {_SIDE.strip()}",
+)
+def side_fact(t: Tables) -> DataFrame:
+    line = t.long.where("game_id % 6 <> 0").select(clean.padded_id(F.col("game_id")).alias("game_id"), F.col("team_id").cast("string").alias("team_id"), F.col("side").alias("bx_side"), F.col("fga").cast("double").alias("bx_pts"))
+    events = t("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("game_id"))
+    teams = t("supplier").where("s_suppkey % 10 <> 0").select(F.col("s_suppkey").cast("string").alias("team_id"))
+    return facts.side_fact(_raw_wide(t), line, events, _overrides(t), teams).select(*_SIDE_OUT)
+
+
+# Features
+
+
+@oracle("box", "select game_id, team_id, opp_team_id, pts, pts_opp, fga_opp, fta_opp, tpm_opp, tov_opp, oreb_opp, dreb_opp, pf_opp, y_win from box")
+def opponent_box(t: Tables) -> DataFrame:
+    return features.opponent_box(t.games).select("game_id", "team_id", "opp_team_id", "pts", *[f"{c}_opp" for c in features.BOX], "y_win")
+
+
+@oracle("games", "select game_id, team_id, case when pts > (select x.pts from games x where x.game_id = g.game_id and x.team_id = g.opp_team_id) then 1 when (select x.pts from games x where x.game_id = g.game_id and x.team_id = g.opp_team_id) is not null then 0 end as y_win from games g")
+def win_label(t: Tables) -> DataFrame:
+    rows = facts.opponent_values(t.games, ["pts"])
+    return rows.select("game_id", "team_id", facts.win_label(F.col("pts"), F.col("pts_opp")).alias("y_win"))
+
+
+_RATED = "poss_team poss_opp poss_game efg tov_pct orb_pct ftr efg_opp opp_tov_pct opp_orb_pct opp_ftr ortg drtg_opp"
+
+
+@oracle("rated", f"select game_id, team_id, y_win, reb, reb_opp, {', '.join(_RATED.split())} from rated", {4: _RATED})
+def derived_ratings(t: Tables) -> DataFrame:
+    return t.rated.select("game_id", "team_id", "y_win", "reb", "reb_opp", *_RATED.split())
+
+
+_FORM = "win_pct_l10 ortg_l10 drtg_l10 pace_l10 efg_l10 tov_pct_l10 orb_pct_l10 ftr_l10 opp_drtg_l10"
+
+
+@oracle("formed", f"select game_id, team_id, {', '.join(_FORM.split())} from formed", {4: _FORM})
+def rolling_form(t: Tables) -> DataFrame:
+    return t.formed.select("game_id", "team_id", *_FORM.split())
+
+
+_CAL = "game_id team_id days_rest rest_bucket is_b2b is_3in4 is_4in6 gnum prev_date road_trip_len home_stand_len dow month pace".split()
+
+
+@oracle("calf", f"select {', '.join(_CAL)} from calf", {4: "pace"})
+def calendar_features(t: Tables) -> DataFrame:
+    return t.month.select(*_CAL)
+
+
+@oracle(
+    "calf",
+    """select f.game_id, f.team_id, f.ortg, f.drtg_l10 as drtg, f.pace, f.efg, ortg - o as ortg_z, pace - p as pace_z, efg - e as efg_z from calf f left join (select season, season_type, date_trunc('month', game_date) as ym, avg(ortg) as o, avg(pace) as p, avg(efg) as e from calf group by 1, 2, 3) c
+      on c.season = f.season and c.season_type = f.season_type and c.ym = date_trunc('month', f.game_date)""",
+    {6: "pace efg pace_z efg_z", 3: "ortg drtg ortg_z"},
+)
+def league_context(t: Tables) -> DataFrame:
+    return features.league_context(t.month).select("game_id", "team_id", "ortg", "drtg", "pace", "efg", "ortg_z", "pace_z", "efg_z")
+
+
+_V1 = "select s.game_id, s.team_id, s.game_date, s.opp_team_id, y_win, s.oreb + s.dreb as reb, s.days_rest, s.rest_bucket, s.is_b2b, s.is_3in4, s.is_4in6, s.pts_l5, s.tpm_l10, s.reb_l10, o.pts_l5 as pts_l5_opp, o.tpm_l10 as tpm_l10_opp, o.reb_l10 as reb_l10_opp from sched s join box b on b.game_id = s.game_id and b.team_id = s.team_id left join sched o on o.game_id = s.game_id and o.team_id = s.opp_team_id"
+_V1_OUT = "game_id team_id game_date opp_team_id y_win reb days_rest rest_bucket is_b2b is_3in4 is_4in6 pts_l5 tpm_l10 reb_l10 pts_l5_opp tpm_l10_opp reb_l10_opp".split()
+
+
+@oracle("sched box", _V1, {4: "pts_l5 tpm_l10 reb_l10 pts_l5_opp tpm_l10_opp reb_l10_opp"})
+def ml_features_v1(t: Tables) -> DataFrame:
+    return features.recent_features(t.games, t.schedule).select(*_V1_OUT)
+
+
+_Z = " ".join(f"z_{c}" for c in features.OFFENCE + features.DEFENCE)
+
+
+@oracle("zext", "select * from zext", {6: _Z})
+def zscore_group(t: Tables) -> DataFrame:
+    return t.scores
+
+
+@oracle("comp", "select * from comp", {6: "crafted_opm_z crafted_dpm_z"})
+def zscore_composite(t: Tables) -> DataFrame:
+    return t.composites
+
+
+@oracle(
+    "pg",
+    "select *, 100.0 * fg3a / nullif(mp, 0) * 48.0 as fg3a_per100_minutes, 100.0 * fga / nullif(mp, 0) * 48.0 as fga_per100_minutes, 100.0 * fta / nullif(mp, 0) * 48.0 as fta_per100_minutes from (select season, player_id, team_id, sum(minutes) as mp, "
+    + ", ".join(f"cast(sum({c}) as bigint) as {c}" for c in "pts fga fgm fg3a fg3m fta ftm tov ast".split())
+    + ", cast(sum(oreb + dreb) as bigint) as trb from pg group by 1, 2, 3)",
+    {4: "mp fg3a_per100_minutes fga_per100_minutes fta_per100_minutes"},
+)
+def entity_season_totals(t: Tables) -> DataFrame:
+    return features.season_totals(t.players)
+
+
+@oracle("league", "select * from league", {6: "league_efg_mean"})
+def league_efficiency(t: Tables) -> DataFrame:
+    return t.league
+
+
+@oracle("shoot", "select * from shoot", {5: "shooting_proficiency spacing"})
+def shooting_profile(t: Tables) -> DataFrame:
+    return t.shooting
+
+
+@oracle("rates", "select * from rates", {4: "mp efg_pct ts_pct three_par ftr trb_per100_min ast_per100_min tov_per100_min"})
+def rate_stats(t: Tables) -> DataFrame:
+    return t.rates
+
+
+@oracle("load", "select * from load", {6: "box_creation offensive_load"})
+def load_index(t: Tables) -> DataFrame:
+    return t.load
+
+
+@oracle("passer", "select * from passer", {4: "passer_rating_raw"})
+def passer_index(t: Tables) -> DataFrame:
+    return t.passer
+
+
+@oracle("port", "select * from port", {4: "portability_raw"})
+def portability_index(t: Tables) -> DataFrame:
+    return t.port
+
+
+_UNION = "crafted_opm_z crafted_dpm_z shooting_proficiency spacing efg_pct ts_pct three_par ftr box_creation offensive_load passer_rating_raw portability_raw"
+
+
+@oracle(
+    "comp shoot rates load passer port",
+    f"""select season, player_id, {', '.join(_UNION.split())}, cast(null as double) as pts_gained, cast(null as double) as pts_saved from comp full join shoot using (season, player_id) full join rates using (season, player_id)
+      full join load using (season, player_id) full join passer using (season, player_id) full join port using (season, player_id)""",
+    {6: _UNION},
+)
+def player_feature_union(t: Tables) -> DataFrame:
+    rows = features.full_union([t.composites, t.shooting, t.rates, t.load, t.passer, t.port], ["season", "player_id"])
+    none = F.lit(None).cast("double")
+    return rows.select("season", "player_id", *_UNION.split(), none.alias("pts_gained"), none.alias("pts_saved"))
+
+
+@oracle(
+    "comp shoot load",
+    """select coalesce(c.season, s.season, l.season) as season, coalesce(c.player_id, s.player_id, l.player_id) as player_id, crafted_opm_z, shooting_proficiency, offensive_load from comp c full join shoot s on s.season = c.season and s.player_id = c.player_id
+      full join load l on l.season = c.season and l.player_id = c.player_id""",
+    {4: "crafted_opm_z shooting_proficiency offensive_load"},
+)
+def player_feature_union_as_written(t: Tables) -> DataFrame:
+    rows = features.full_union([t.composites, t.shooting, t.load], ["season", "player_id"], as_written=True)
+    return rows.select("season", "player_id", "crafted_opm_z", "shooting_proficiency", "offensive_load")
+
+
+# Quality
+
+_PROFILED = ["season", "season_type", "team_id", *STATS]
+
+
+@oracle("games", " union all ".join(f"select '{c}' as \"column\", count(*) as n, count(*) filter (where {c} is null) as nulls, count(*) filter (where {c} is null) * 100.0::double / count(*) as pct_null, count(distinct {c}) as n_distinct, cast(min({c}) as varchar) as min, cast(max({c}) as varchar) as max from games" for c in _PROFILED), {6: "pct_null"})
+def null_profile(t: Tables) -> DataFrame:
+    return quality.null_profile(t.games, _PROFILED)
+
+
+_SOMETIMES = ["fgm", "ftm", "tpm", "ast"]
+
+
+@oracle("games", "select season, season_type, count(*) as n, " + ", ".join(f"count(*) filter (where {c} is null) as null_{c}" for c in STATS) + " from games group by 1, 2")
+def missing_by_group(t: Tables) -> DataFrame:
+    return quality.missing_by_group(t.games, ["season", "season_type"], STATS)
+
+
+@oracle("games", "select * from (" + " union all ".join(f"select season, team_id, count(*) as n, '{c}' as metric, count(*) filter (where {c} is null) as nulls, count(*) filter (where {c} is null) * 100.0::double / count(*) as pct from games group by 1, 2" for c in _SOMETIMES) + ") where pct >= 20", {6: "pct"})
+def missing_hotspots(t: Tables) -> DataFrame:
+    return quality.missing_hotspots(t.games, ["season", "team_id"], _SOMETIMES)
+
+
+@oracle("games", "select * from (" + " union all ".join(f"select '{a}~{b}' as pair, '{a}' as c1, '{b}' as c2, count(*) filter (where {a} is null and {b} is null) as n, count(*) filter (where {a} is null and {b} is null) * 100.0::double / count(*) as pct from games" for i, a in enumerate(STATS) for b in STATS[i + 1 :]) + ") where n > 0", {6: "pct"})
+def comissing_matrix(t: Tables) -> DataFrame:
+    return reshape.null_pairs(t.games, STATS)
+
+
+@oracle("games", "select 'team' as level, team_id, season, median(fgm) as fgm, median(tpm) as tpm from games group by 2, 3 union all select 'season', null, season, median(fgm), median(tpm) from games group by 3 union all select 'league', null, null, median(fgm), median(tpm) from games")
+def median_levels(t: Tables) -> DataFrame:
+    level = lambda name, keys: quality.medians(t.games, keys, ["fgm", "tpm"], "").select(F.lit(name).alias("level"), *[(F.col(k) if k in keys else F.lit(None).cast(d)).alias(k) for k, d in (("team_id", "bigint"), ("season", "int"))], "fgm", "tpm")
+    return level("team", ["team_id", "season"]).unionByName(level("season", ["season"])).unionByName(level("league", []))
+
+
+@oracle(
+    "games",
+    "select game_id, g.team_id, "
+    + ", ".join(f"coalesce(cast({c} as double), x_{c}, y_{c}, z_{c}) as {c}, {c} is null as was_imputed_{c}" for c in STATS)
+    + f" from games g left join (select team_id, season, {', '.join(f'median({c}) as x_{c}' for c in STATS)} from games group by 1, 2) x on x.team_id = g.team_id and x.season = g.season"
+    + f" left join (select season, {', '.join(f'median({c}) as y_{c}' for c in STATS)} from games group by 1) y on y.season = g.season, (select {', '.join(f'median({c}) as z_{c}' for c in STATS)} from games) z",
+)
+def impute_median(t: Tables) -> DataFrame:
+    return quality.impute_medians(t.games, STATS, [["team_id", "season"], ["season"], []]).select("game_id", "team_id", *[x for c in STATS for x in (c, f"was_imputed_{c}")])
+
+
+@oracle("games", "select game_id, team_id from games where " + " and ".join(f"({r})" for r in quality.RULES))
+def constraint_guard(t: Tables) -> DataFrame:
+    return quality.constraint_guard(t.games).select("game_id", "team_id")
+
+
+@oracle("games", f"select game_id, team_id from games where {quality.LOOSE}")
+def constraint_guard_as_written(t: Tables) -> DataFrame:
+    return quality.constraint_guard(t.games, strict=False).select("game_id", "team_id")
+
+
+@oracle("games", "select game_id, team_id, pts, 2 * (fgm - tpm) + 3 * tpm + ftm as pts_formula, pts = 2 * (fgm - tpm) + 3 * tpm + ftm as pts_ok from games where pts <> 2 * (fgm - tpm) + 3 * tpm + ftm")
+def identity_issues(t: Tables) -> DataFrame:
+    return quality.points_identity(t.games).where("not pts_ok").select("game_id", "team_id", "pts", "pts_formula", "pts_ok")
+
+
+@oracle("", "select count(*) as n_rows, count(distinct (l_orderkey, l_linenumber)) as n_keys from lineitem")
+def key_uniqueness(t: Tables) -> DataFrame:
+    return quality.key_uniqueness(t("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@oracle("", "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
+def duplicate_keys(t: Tables) -> DataFrame:
+    return quality.duplicate_keys(t("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+_COMPLETE = ["pts_l5", "tpm_l10", "reb_l10", "rest_bucket"]
+
+
+@oracle("sched", " union all ".join(f"select '{c}' as feature, 1 - avg(cast({c} is null as int)) as completeness from sched" for c in _COMPLETE), {6: "completeness"})
+def feature_completeness(t: Tables) -> DataFrame:
+    return quality.completeness(t.schedule, _COMPLETE)
+
+
+@oracle("sched box", f"select count(*) filter (where y_win is null) as null_labels, count(*) filter (where pts_l5_opp is null and y_win is not null) as missing_opp_features from ({_V1}) where game_date >= date '1996-01-01'")
+def feature_asserts(t: Tables) -> DataFrame:
+    return quality.feature_asserts(features.recent_features(t.games, t.schedule), "1996-01-01")
+
+
+@oracle(
+    "games cal pair",
+    """select c.game_id, game_date, coalesce(h, 0) as home_ct, coalesce(a, 0) as away_ct, 2 - coalesce(h, 0) - coalesce(a, 0) as null_ct, case when game_date >= date '1998-01-01' then 'failure' else 'warning' end as level
+      from cal c left join (select game_id, count(*) filter (where side = 'home') as h, count(*) filter (where side = 'away') as a from (select g.game_id, coalesce(case when home_override then 'home' when away_override then 'away' end, case when is_home then 'home' else 'away' end) as side from games g left join ov on ov.game_id = g.game_id) group by 1) r
+      on r.game_id = c.game_id where coalesce(h, 0) <> 1 or coalesce(a, 0) <> 1""",
+    extra=f"ov as ({_OVERRIDE})",
+)
+def side_imbalance(t: Tables) -> DataFrame:
+    sides = dims.apply_side_overrides(t.long.select("game_id", "team_id", "side"), _overrides(t))
+    return quality.side_imbalance(t.calendar.select("game_id", "game_date"), sides, "1998-01-01")
+
+
+@oracle("games", "select game_id, team_id, game_date, pts from games order by game_date desc, game_id, team_id limit 200")
+def recent_topk(t: Tables) -> DataFrame:
+    return quality.newest(t.games.select("game_id", "team_id", "game_date", "pts"), 200, "game_date", ["game_id", "team_id"])
+
+
+@oracle("raw", "select coalesce(nullif(trim(label_raw), ''), 'MISSING') as label_raw, count(*) as n from raw group by 1")
+def label_counts(t: Tables) -> DataFrame:
+    return quality.label_counts(t.raw, "label_raw")
+
+
+# Drift
+
+
+@oracle("base", "select * from base", {4: " ".join(f"mean_{m} sd_{m}" for m in METRICS)})
+def drift_baseline(t: Tables) -> DataFrame:
+    return t.base
+
+
+@oracle("cuts", " union all ".join(f"select '{m}' as metric, cast(i as int) as i, round(q_{m}[i], 4) as cut from cuts, range(1, 10) r(i)" for m in METRICS))
+def decile_cuts(t: Tables) -> DataFrame:
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"q_{m}").alias("q")) for m in METRICS])
+    long = t.cuts.select(F.explode(rows).alias("r")).select("r.metric", F.posexplode("r.q").alias("i", "cut"))
+    return long.select("metric", (F.col("i") + 1).alias("i"), F.round("cut", 4).alias("cut"))
+
+
+@oracle("gm cuts", "select game_id, team_id, " + ", ".join(f"case when {m} is not null then cast(len(list_filter(q_{m}, lambda q: q < {m})) + 1 as int) end as bin_{m}" for m in METRICS) + " from gm, cuts")
+def decile_bin(t: Tables) -> DataFrame:
+    return t.reb.crossJoin(F.broadcast(t.cuts)).select("game_id", "team_id", *[drift.decile_bin(F.col(m), F.col(f"q_{m}")).alias(f"bin_{m}") for m in METRICS])
+
+
+_MEANS = " ".join(f"mean_{m}" for m in [*METRICS, "pts_l5", "tpm_l10", "reb_l10"])
+
+
+@oracle("monthly", "select * from monthly", {4: _MEANS})
+def drift_monthly(t: Tables) -> DataFrame:
+    return t.monthly
+
+
+@oracle("flags", "select * from flags", {4: " ".join(f"z_{m}" for m in METRICS)})
+def mean_shift(t: Tables) -> DataFrame:
+    return t.shift
+
+
+@oracle("psib", "select * from psib", {6: "p"})
+def psi_baseline(t: Tables) -> DataFrame:
+    return t.psi_base
+
+
+@oracle("psim", "select * from psim", {6: "psi"})
+def psi_monthly(t: Tables) -> DataFrame:
+    return t.psi
+
+
+@oracle("flags psim", f"select ym, {' or '.join(f'flag_{m}' for m in METRICS)} as any_3sigma, " + ", ".join(f"coalesce((select max(case when psi > 0.25 then 1 else 0 end) from psim p where p.ym = f.ym and metric = '{m}'), 0) as psi_{m}_major" for m in METRICS) + " from flags f")
+def drift_alerts(t: Tables) -> DataFrame:
+    return drift.alerts(t.shift, t.psi)
+
+
+# Incremental
+
+_KEYS = ["o_custkey", "o_orderkey", "label"]
+
+
+def _old_orders(t: Tables) -> DataFrame:
+    return t("orders").where("o_orderdate < timestamp_ntz '2000-01-01'").select("o_custkey", "o_orderkey", F.lower("o_orderpriority").alias("label"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("date").alias("day"))
+
+
+def _new_orders(t: Tables) -> DataFrame:
+    return t("orders").where("o_orderdate >= timestamp_ntz '1999-12-01'").select("o_custkey", "o_orderkey", F.col("o_orderpriority").alias("label"), F.lit("N").alias("status"), F.col("o_orderdate").cast("date").alias("day"))
+
+
+_OLD = "old as (select o_custkey, o_orderkey, lower(o_orderpriority) as label, o_orderstatus as status, cast(o_orderdate as date) as day from orders where o_orderdate < timestamp '2000-01-01')"
+_NEW = "new as (select o_custkey, o_orderkey, o_orderpriority as label, 'N' as status, cast(o_orderdate as date) as day from orders where o_orderdate >= timestamp '1999-12-01')"
+_BOTH = f"{_OLD}, {_NEW}"
+
+
+@oracle("", "select * from new union all select * from old o where not exists (select 1 from new n where n.o_custkey = o.o_custkey and n.o_orderkey = o.o_orderkey and lower(n.label) = lower(o.label))", extra=_BOTH)
+def upsert_merge(t: Tables) -> DataFrame:
+    return incremental.upsert(_old_orders(t), _new_orders(t), _KEYS, label="label")
+
+
+@oracle("", "select * from old union all select * from new n where n.o_orderkey not in (select o_orderkey from old)", extra=_BOTH)
+def merge_insert_absent(t: Tables) -> DataFrame:
+    return incremental.insert_absent(_old_orders(t), _new_orders(t), ["o_orderkey"])
+
+
+@oracle("", "select * from new union all select * from old where o_custkey not in (select o_custkey from new)", extra=_BOTH)
+def replace_by_key(t: Tables) -> DataFrame:
+    return incremental.replace_by_key(_old_orders(t), _new_orders(t), "o_custkey")
+
+
+@oracle("", "select o_custkey, o_orderkey, label, status, day from (select *, row_number() over (partition by o_custkey, day order by p, o_custkey, o_orderkey, label, status, day) as r from (select 0 as p, * from old union all select 1, * from new)) where r = 1", extra=_BOTH)
+def append_keep_first(t: Tables) -> DataFrame:
+    return incremental.append_keep_first(_old_orders(t), _new_orders(t), ["o_custkey", "day"])
+
+
+@oracle("", "select o_custkey, o_orderkey, label, status, day from (select *, row_number() over (partition by o_custkey order by o_custkey, o_orderkey, label, status, day) as r from old where day between date '1997-01-01' and date '1997-06-30') where r = 1", extra=_OLD)
+def window_filter(t: Tables) -> DataFrame:
+    return incremental.within(_old_orders(t), "day", "1997-01-01", "1997-06-30", ["o_custkey"])
+
+
+@oracle("", "select max(day) as watermark, max(day) + 1 as start from old", extra=_OLD)
+def watermark_start(t: Tables) -> DataFrame:
+    old = _old_orders(t)
+    return incremental.watermark(t.spark, [(old.where("false"), "day"), (old, "day")])
+
+
+@oracle(
+    "",
+    """select greatest(lo, m) as from_date, least(hi, cast(m + interval 1 month - interval 1 day as date)) as to_date, label,
+      (y || '-' || lpad(cast((y + 1) % 100 as varchar), 2, '0')) as season from (
+        select lo, hi, m, label, year(greatest(lo, m)) - case when month(greatest(lo, m)) >= 7 then 0 else 1 end as y from (
+          select lo, hi, cast(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), interval 1 month)) as date) as m from (select cast(min(o_orderdate) as date) + 10 as lo, cast(max(o_orderdate) as date) - 3 as hi from orders)) s
+        join (values ('Regular Season', 1), ('Regular Season', 2), ('Regular Season', 3), ('Regular Season', 4), ('Playoffs', 4), ('Playoffs', 5), ('Playoffs', 6), ('Playoffs', 7), ('Regular Season', 8), ('Playoffs', 8), ('Pre Season', 8), ('Pre Season', 9), ('Pre Season', 10), ('Regular Season', 10), ('Regular Season', 11), ('Regular Season', 12)) v(label, mm) on mm = month(m))""",
+)
+def fetch_window_plan(t: Tables) -> DataFrame:
+    day = F.col("o_orderdate").cast("date")
+    return incremental.window_plan(t("orders").agg(F.date_add(F.min(day), 10).alias("start"), F.date_sub(F.max(day), 3).alias("end")))
+
+
+@oracle(
+    "",
+    """select * from (select o_orderkey, o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R') or o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'A') as detail,
+      o_orderkey not in (select l_orderkey from lineitem where l_linestatus = 'F') as events from orders) where detail or events""",
+)
+def new_ids(t: Tables) -> DataFrame:
+    lines = t("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    return incremental.unloaded(t("orders"), lines.where("l_returnflag = 'R'"), lines.where("l_returnflag = 'A'"), lines.where("l_linestatus = 'F'"), "o_orderkey")
+
+
+@oracle(
+    "",
+    "select o_orderkey, coalesce(n.label, o.label) as label, coalesce(n.status, o.status) as status, coalesce(n.day, o.day) as day from old o full join (select o_orderkey, label, case when o_orderkey % 3 <> 0 then status end as status, day from new) n using (o_orderkey)",
+    extra=_BOTH,
+)
+def merge_coalesce(t: Tables) -> DataFrame:
+    source = _new_orders(t).withColumn("status", F.when(F.col("o_orderkey") % 3 != 0, F.col("status"))).drop("o_custkey")
+    return incremental.merge_coalesce(_old_orders(t).drop("o_custkey"), source, "o_orderkey")
+
+
+@oracle(
+    "",
+    """select cast(s as int) as season, s || '-' || lpad(cast((s + 1) % 100 as varchar), 2, '0') as label, n as n_rows, case when s < 1998 then 'skipped' else 'processed' end as status, least(make_date(s + 1, 6, 30), date '2001-03-01') as last_updated
+      from (select year(o_orderdate) - case when month(o_orderdate) >= 7 then 0 else 1 end as s, count(*) as n from orders group by 1)""",
+)
+def season_partition_plan(t: Tables) -> DataFrame:
+    log = t("orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    existing = log.select(clean.season(F.col("day"), 7, "start").alias("season")).where("season < 1998").distinct()
+    return incremental.partition_plan(log, "day", existing, "2001-03-01")
+
+
+@oracle("", "select event_id, event_type as kind, cast(user_id as varchar) as player_id, cast(cast(value * 100 as bigint) as varchar) as pts from events where event_id % 5 <> 0")
+def json_resultset_rows(t: Tables) -> DataFrame:
+    text = F.format_string(
+        '{"resultSets":[{"name":"Other","headers":["A"],"rowSet":[["x"]]},{"name":"Log","headers":["KIND","PLAYER_ID","PTS"],"rowSet":[["%s","%s","%s"]]}]}',
+        "event_type", F.col("user_id").cast("string"), F.bround(F.col("value") * 100).cast("bigint").cast("string"),
+    )
+    payloads = t("events").select("event_id", F.when(F.col("event_id") % 5 == 0, "{broken").otherwise(text).alias("payload"))
+    rows = landing.result_set(payloads, "payload", "Log", ["event_id"])
+    return rows.select("event_id", *[F.col("row")[c].alias(c) for c in ("kind", "player_id", "pts")])
+
+
+def _landed(t: Tables, df: DataFrame, name: str) -> str:
+    """Write df as CSV to a new place that drivers and executors share."""
+    import tempfile
+    import uuid
+
+    shared = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="duolog-")
+    folder = f"{shared}/duolog-csv-{uuid.uuid4().hex}"
+    df.write.option("header", True).csv(f"{folder}/{name}")
+    return folder
+
+
+@oracle("", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
+def csv_roundtrip_scan(t: Tables) -> DataFrame:
+    return landing.read_csv(t.spark, f"{_landed(t, t('supplier'), 'supplier')}/supplier", t("supplier").schema)
+
+
+@oracle("", "select 'files' as source, count(*) as n from customer")
+def load_summary(t: Tables) -> DataFrame:
+    folder = _landed(t, t("customer"), "in")
+    summary = landing.load_summary(t.spark, folder)
+    return summary.groupBy(F.lit("files").alias("source")).agg(F.sum("n").alias("n"))
