@@ -12,15 +12,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from duolog.llm._arrow import LOWER, SPACE, Rolling, mix, slices, text_bytes, words
 from duolog.llm._components import connected_components
 from duolog.llm._scratch import keep_ids, materialize
 
 #: Shingles whose frequency order is known exactly; the others are ordered by hash.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: Shingles counted together before a task reports the repeated ones.
 WINDOW = 1 << 22
+#: Postings of a class that travel with each of them at most.
+CARRIED = 256
 _FOLD = np.random.default_rng(5).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -88,7 +91,7 @@ def frequent_shingles(docs: DataFrame, width: int, keep: int = FREQUENT) -> tupl
             yield last
 
     counts = docs.select("text").mapInArrow(count, "token long, n long")
-    top = counts.groupBy("token").agg(F.sum("n").alias("n")).where("n >= 8").orderBy(F.desc("n"), "token").limit(keep)
+    top = counts.groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4").orderBy(F.desc("n"), "token").limit(keep)
     rows = top.collect()
     token = np.array([r.token for r in rows], np.int64).view(np.uint64)
     level = np.array([int(r.n).bit_length() for r in rows], np.int64)
@@ -232,6 +235,36 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width:
     return materialize(joined.select("a", "b", "ta", "tb").mapInArrow(search, "a long, b long, overlap long"))
 
 
+def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str, bound) -> DataFrame:
+    """Pairs (a, b, na, nb) of classes with different roots that may share as many postings as their sizes ask for.
+
+    A pair of sizes na, nb must share at least `bound` of the postings left to each, so one of the shared ones is among the
+    first l - bound + 1 of either's l, rarest lists first. Bounds depend on both sizes: sizes are dealt
+    into classes, and a posting goes to each class of partners for which it is early enough. Short lists of postings
+    travel along, so that the join counts what a pair shares before it makes a row; longer ones are counted by the caller."""
+    step = 1.04
+    kind = F.floor(F.log(F.col("n")) / math.log(step)).cast("int")
+    spread = math.ceil(math.log(100 / percent) / math.log(step))
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "token"))
+    total = F.count("*").over(Window.partitionBy("cls"))
+    rows = placed.withColumns({"mine": kind, "rank": rank, "total": total})
+    rows = rows.withColumn("other", F.explode(F.sequence(F.col("mine") - spread, F.col("mine") + spread)))
+    low = F.greatest(F.floor(F.pow(F.lit(step), F.col("other"))) - 1, F.ceil(F.col("n") * percent / 100))
+    high = F.least(F.ceil(F.pow(F.lit(step), F.col("other") + 1)) + 1, F.floor(F.col("n") * 100 / percent), F.floor(F.col("most") * (100 + percent) / percent - F.col("n")))
+    rows = rows.withColumns({"low": low.cast("bigint"), "high": high.cast("bigint")}).where("low <= high")
+    least = lambda m: f"ceil({percent} * (n + {m}) / {100 + percent}.0) - ceil({percent} * greatest(n, {m}) / 100.0) + 1"
+    rows = rows.where(f"rank <= total + 1 - greatest(1, least({least('low')}, {least('high')}))")
+    rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "cls", "n", "most", "root")
+    short = held.where(F.size("tokens") <= CARRIED).toDF("cls", "own")
+    rows = rows.join(short.hint("merge"), "cls", "left")
+    a = rows.where("mine = lo").select("token", "lo", "hi", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("root").alias("ra"), F.col("own").alias("oa"))
+    b = rows.where("mine = hi").select("token", "lo", "hi", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("root").alias("rb"), F.col("own").alias("ob"))
+    joined = a.join(b.hint("merge"), ["token", "lo", "hi"]).where(f"(lo < hi or na < nb or na = nb and a < b) and ra <> rb and {possible}")
+    shared = F.size(F.array_intersect("oa", "ob")) >= bound
+    joined = joined.where(F.col("oa").isNull() | F.col("ob").isNull() | shared)
+    return joined.select("a", "b", "na", "nb").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id (smallest id reachable by links, itself included).
 
@@ -246,8 +279,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Postings that no other class shares go; what is left of a prefix bounds the overlap with anyone.
     First, in every list, only the class with the largest part of its prefix left is tried against the
     others, which connects groups of near-copies with a number of pairs linear in their size. Then pairs
-    still apart whose bounds allow it are counted over all lists, those that cannot reach the threshold by their
-    count go, and the rest are verified by `divide_skip`. Components close over both kinds of links.
+    still apart whose bounds allow it are sought in the lists (see `_pairs_apart`), those that share too few
+    postings go, and the rest are verified by `divide_skip`. Components close over both kinds of links.
     Shingles are 64-bit hashes.
     """
     sig = signatures(docs, width, percent)
@@ -269,12 +302,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     placed = live.join(near.hint("merge"), "cls", "left").select("token", "cls", "n", "most", F.coalesce("root", "cls").alias("root"))
     placed = materialize(placed)
-    mixed = placed.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select("token")
-    placed = materialize(placed.join(mixed.hint("merge"), "token", "left_semi"))
-    a, b = placed.toDF("token", "a", "na", "ma", "ra"), placed.toDF("token", "b", "nb", "mb", "rb")
-    apart = a.join(b.hint("merge"), "token").where(f"(na < nb or na = nb and a < b) and ra <> rb and {possible}")
-    counted = apart.groupBy("a", "b", "na", "nb").count().where(F.col("count") >= bound)
-    second = verified_links(docs, classes, counted.select("a", "b"), width, percent)
+    mixed = placed.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("df")).where("_lo < _hi").select("token", "df")
+    placed = materialize(placed.join(mixed.hint("merge"), "token"))
+    held = materialize(placed.groupBy("cls").agg(F.collect_list("token").alias("tokens")))  # at most a prefix
+    pairs = _pairs_apart(placed, held, percent, possible, bound)
+    pairs = pairs.join(held.toDF("a", "_ta").hint("merge"), "a").join(held.toDF("b", "_tb").hint("merge"), "b")
+    second = verified_links(docs, classes, pairs.where(F.size(F.array_intersect("_ta", "_tb")) >= bound).select("a", "b"), width, percent)
 
     links = first.union(second).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     roots = connected_components(links).toDF("cls", "root")
