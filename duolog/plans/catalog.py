@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from duolog.functions import clean
 from duolog.operators import dims, drift, facts, features, quality, reshape
 from duolog.plans import lens
-from duolog.plans.sql import METRICS, STATS, sql
+from duolog.plans.sql import METRICS, NUDGE, STATS, sql
 from duolog.sources import landing
 from duolog.streaming import incremental
 
@@ -27,12 +27,13 @@ def oracle_sql() -> dict[str, str]:
 
 
 def oracle(uses: str, body: str, digits: dict[int, str] | None = None, extra: str = "") -> Callable:
-    """Register a query under its function's name, with its SQL; columns in digits are rounded on both sides."""
+    """Register a query under its function's name, with its SQL; columns in digits are rounded on both sides,
+    a little off so that neither side sees a tie."""
 
     def register(f: Callable[[Tables], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = f(Tables(spark, sf_dir))
-            return df.withColumns({c: F.round(c, d) + F.lit(0.0) for d, cs in (digits or {}).items() for c in cs.split()})
+            return df.withColumns({c: F.round(F.col(c) + F.lit(NUDGE), d) + F.lit(0.0) for d, cs in (digits or {}).items() for c in cs.split()})
 
         run.__name__ = f.__name__
         _QUERIES[f.__name__], _SQL[f.__name__] = run, sql(uses, body, digits, extra)

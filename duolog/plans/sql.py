@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 STATS = "pts fgm fga tpm tpa ftm fta oreb dreb ast stl blk tov pf".split()
+#: Added before rounding: decimal fractions that lie halfway would round either way.
+NUDGE = 3.3e-8
 METRICS = "pts fga tpm fta reb tov pf".split()
 
 CTE = {
@@ -130,5 +132,5 @@ def sql(uses: str, body: str, digits: dict[int, str] | None = None, extra: str =
     """body with the named subqueries before it; digits: columns to round, by decimals."""
     parts = [f"{n} as materialized ({CTE[n]})" for n in _order(uses.split(), {})] + ([extra] if extra else [])
     head = f"with {', '.join(parts)} " if parts else ""
-    rounded = [f"round({c}, {d}) + 0.0 as {c}" for d, cs in (digits or {}).items() for c in cs.split()]
+    rounded = [f"round({c} + {NUDGE}, {d}) + 0.0 as {c}" for d, cs in (digits or {}).items() for c in cs.split()]
     return f"{head}select * replace ({', '.join(rounded)}) from ({body}) q_" if rounded else f"{head}{body}"
