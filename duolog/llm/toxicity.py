@@ -14,7 +14,7 @@ from duolog.llm._scratch import materialize
 #: Labelled rows that the index holds at most, chosen by a hash of the id.
 SAMPLE = 8_000
 #: Terms that the index holds at most, by association with the label in the sample.
-TERMS = 1_024
+TERMS = 256
 #: Lengths in bytes of word beginnings that are terms beside whole words.
 STEMS = (4, 5, 6, 7, 8)
 #: Neighbours that vote, and examples in a block of the index.
