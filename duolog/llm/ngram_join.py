@@ -24,6 +24,8 @@ FREQUENT = 1 << 18
 WINDOW = 1 << 22
 #: Postings of a class that travel with each of them at most.
 CARRIED = 256
+#: Classes in a list that is joined without more ado.
+LIGHT = 64
 _FOLD = np.random.default_rng(5).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -238,16 +240,24 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width:
 def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str, bound) -> DataFrame:
     """Pairs (a, b, na, nb) of classes with different roots that may share as many postings as their sizes ask for.
 
-    A pair of sizes na, nb must share at least `bound` of the postings left to each, so one of the shared ones is among the
-    first l - bound + 1 of either's l, rarest lists first. Bounds depend on both sizes: sizes are dealt
-    into classes, and a posting goes to each class of partners for which it is early enough. Short lists of postings
-    travel along, so that the join counts what a pair shares before it makes a row; longer ones are counted by the caller."""
+    Lists of at most LIGHT classes are joined as they are. For longer ones: a pair of sizes na, nb must share at least
+    `bound` of the postings left to each, so one of the shared ones is among the first l - bound + 1 of either's l, shortest
+    lists first. Bounds depend on both sizes: sizes are dealt into classes, and a posting goes to each class of
+    partners for which it is early enough; most postings of long lists come too late for any. A class's postings
+    travel along, up to CARRIED of them, so that the join counts what a pair shares before it makes a row; longer ones are
+    counted by the caller."""
+    own = Window.partitionBy("cls")
+    ranked = placed.withColumns({"rank": F.row_number().over(own.orderBy("df", "token")), "total": F.count("*").over(own)})
+    ranked = materialize(ranked)
+    side = lambda rows, x, *more: rows.select("token", *more, *[F.col(c).alias(f"{k}{x}") for c, k in (("cls", ""), ("n", "n"), ("most", "m"), ("root", "r"))])
+    light = ranked.where(F.col("df") <= LIGHT)
+    found = side(light, "a").join(side(light, "b").hint("merge"), "token").where(f"(na < nb or na = nb and a < b) and ra <> rb and {possible}")
+    found = found.select("a", "b", "na", "nb")
+
     step = 1.04
     kind = F.floor(F.log(F.col("n")) / math.log(step)).cast("int")
     spread = math.ceil(math.log(100 / percent) / math.log(step))
-    rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "token"))
-    total = F.count("*").over(Window.partitionBy("cls"))
-    rows = placed.withColumns({"mine": kind, "rank": rank, "total": total})
+    rows = ranked.where(F.col("df") > LIGHT).withColumn("mine", kind)
     rows = rows.withColumn("other", F.explode(F.sequence(F.col("mine") - spread, F.col("mine") + spread)))
     low = F.greatest(F.floor(F.pow(F.lit(step), F.col("other"))) - 1, F.ceil(F.col("n") * percent / 100))
     high = F.least(F.ceil(F.pow(F.lit(step), F.col("other") + 1)) + 1, F.floor(F.col("n") * 100 / percent), F.floor(F.col("most") * (100 + percent) / percent - F.col("n")))
@@ -255,14 +265,15 @@ def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str
     least = lambda m: f"ceil({percent} * (n + {m}) / {100 + percent}.0) - ceil({percent} * greatest(n, {m}) / 100.0) + 1"
     rows = rows.where(f"rank <= total + 1 - greatest(1, least({least('low')}, {least('high')}))")
     rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "cls", "n", "most", "root")
+    rows = materialize(rows)
     short = held.where(F.size("tokens") <= CARRIED).toDF("cls", "own")
     rows = rows.join(short.hint("merge"), "cls", "left")
-    a = rows.where("mine = lo").select("token", "lo", "hi", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), F.col("root").alias("ra"), F.col("own").alias("oa"))
-    b = rows.where("mine = hi").select("token", "lo", "hi", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("root").alias("rb"), F.col("own").alias("ob"))
+    a = side(rows.where("mine = lo"), "a", "lo", "hi", F.col("own").alias("oa"))
+    b = side(rows.where("mine = hi"), "b", "lo", "hi", F.col("own").alias("ob"))
     joined = a.join(b.hint("merge"), ["token", "lo", "hi"]).where(f"(lo < hi or na < nb or na = nb and a < b) and ra <> rb and {possible}")
     shared = F.size(F.array_intersect("oa", "ob")) >= bound
     joined = joined.where(F.col("oa").isNull() | F.col("ob").isNull() | shared)
-    return joined.select("a", "b", "na", "nb").distinct()
+    return found.union(joined.select("a", "b", "na", "nb")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
