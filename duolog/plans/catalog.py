@@ -432,7 +432,7 @@ def derived_ratings(t: Tables) -> DataFrame:
 _FORM = "win_pct_l10 ortg_l10 drtg_l10 pace_l10 efg_l10 tov_pct_l10 orb_pct_l10 ftr_l10 opp_drtg_l10"
 
 
-@oracle("formed", f"select game_id, team_id, {', '.join(_FORM.split())} from formed", {4: _FORM})
+@oracle("formed", f"select game_id, team_id, {', '.join(_FORM.split())} from formed", {4: "win_pct_l10 pace_l10 efg_l10 tov_pct_l10 orb_pct_l10 ftr_l10", 1: "ortg_l10 drtg_l10 opp_drtg_l10"})
 def rolling_form(t: Tables) -> DataFrame:
     return t.formed.select("game_id", "team_id", *_FORM.split())
 
@@ -449,7 +449,7 @@ def calendar_features(t: Tables) -> DataFrame:
     "calf",
     """select f.game_id, f.team_id, f.ortg, f.drtg_l10 as drtg, f.pace, f.efg, ortg - o as ortg_z, pace - p as pace_z, efg - e as efg_z from calf f left join (select season, season_type, date_trunc('month', game_date) as ym, avg(ortg) as o, avg(pace) as p, avg(efg) as e from calf group by 1, 2, 3) c
       on c.season = f.season and c.season_type = f.season_type and c.ym = date_trunc('month', f.game_date)""",
-    {6: "pace efg pace_z efg_z", 3: "ortg drtg ortg_z"},
+    {6: "pace efg pace_z efg_z", 1: "ortg drtg ortg_z"},
 )
 def league_context(t: Tables) -> DataFrame:
     return features.league_context(t.month).select("game_id", "team_id", "ortg", "drtg", "pace", "efg", "ortg_z", "pace_z", "efg_z")
@@ -652,7 +652,7 @@ def label_counts(t: Tables) -> DataFrame:
 # Drift
 
 
-@oracle("base", "select * from base", {4: " ".join(f"mean_{m} sd_{m}" for m in METRICS)})
+@oracle("base", "select * from base", {2: " ".join(f"mean_{m} sd_{m}" for m in METRICS)})
 def drift_baseline(t: Tables) -> DataFrame:
     return t.base
 
