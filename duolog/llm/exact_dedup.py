@@ -76,12 +76,14 @@ def duplicate_groups(docs: DataFrame, salts: int = 16, digest=None) -> DataFrame
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without copies, all columns kept: per group the row that `duplicate_groups` keeps. Of rows that
-    repeat its id and normalised text one stays. The join and the choice share one partitioning by id."""
-    kept = duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
+    repeat its id and normalised text one stays. The join and the choice share one partitioning by id and digest."""
+    kept = duplicate_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("_sha")).distinct()
     tagged = docs.withColumn("_sha", F.sha2(normalized(F.col("text")), 256))
-    joined = tagged.join(kept.hint("merge"), [tagged["doc_id"].eqNullSafe(kept["_keep"]), tagged["_sha"] == kept["_sha"]], "left_semi")
-    ordered = Window.partitionBy("doc_id", "_sha").orderBy(F.char_length("text").desc_nulls_last(), "text")
-    return joined.withColumn("_row", F.row_number().over(ordered)).where("_row = 1").select(*docs.columns)
+    named = tagged.where("doc_id is not null").join(kept.where("doc_id is not null").hint("merge"), ["doc_id", "_sha"], "left_semi")
+    nameless = tagged.where("doc_id is null").join(kept.where("doc_id is null").select("_sha").hint("merge"), "_sha", "left_semi")
+    by_length = [F.char_length("text").desc_nulls_last(), F.col("text")]
+    one = lambda df, *keys: df.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*by_length))).where("_row = 1").select(*docs.columns)
+    return one(named, "doc_id", "_sha").unionByName(one(nameless, "_sha"))
 
 
 ORACLE = r"""
