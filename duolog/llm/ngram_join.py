@@ -237,6 +237,14 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width:
     return materialize(joined.select("a", "b", "ta", "tb").mapInArrow(search, "a long, b long, overlap long"))
 
 
+def _least_shared(percent: int) -> str:
+    """SQL for a lower limit of the postings that sets of n and of any m from low to high must share. Up to n they grow
+    with m; beyond it they fall with m, but for rounding, so the value at high is taken before rounding up."""
+    upto = f"ceil({percent} * (n + low) / {100 + percent}.0) - ceil({percent} * greatest(n, low) / 100.0) + 1"
+    beyond = f"floor(({100 * percent} * (n + high) - {percent * (100 + percent)} * greatest(n, high)) / {100 * (100 + percent)}.0) + 1"
+    return f"greatest(1, least({upto}, {beyond}))"
+
+
 def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str, bound) -> DataFrame:
     """Pairs (a, b, na, nb) of classes with different roots that may share as many postings as their sizes ask for.
 
@@ -249,7 +257,7 @@ def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str
     own = Window.partitionBy("cls")
     ranked = placed.withColumns({"rank": F.row_number().over(own.orderBy("df", "token")), "total": F.count("*").over(own)})
     ranked = materialize(ranked)
-    side = lambda rows, x, *more: rows.select("token", *more, *[F.col(c).alias(f"{k}{x}") for c, k in (("cls", ""), ("n", "n"), ("most", "m"), ("root", "r"))])
+    side = lambda rows, x, *more: rows.select("token", *more, *[F.col(c).alias(f"{k}{x}") for c, k in (("cls", ""), ("n", "n"), ("live", "l"), ("root", "r"))])
     light = ranked.where(F.col("df") <= LIGHT)
     found = side(light, "a").join(side(light, "b").hint("merge"), "token").where(f"(na < nb or na = nb and a < b) and ra <> rb and {possible}")
     found = found.select("a", "b", "na", "nb")
@@ -260,11 +268,10 @@ def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str
     rows = ranked.where(F.col("df") > LIGHT).withColumn("mine", kind)
     rows = rows.withColumn("other", F.explode(F.sequence(F.col("mine") - spread, F.col("mine") + spread)))
     low = F.greatest(F.floor(F.pow(F.lit(step), F.col("other"))) - 1, F.ceil(F.col("n") * percent / 100))
-    high = F.least(F.ceil(F.pow(F.lit(step), F.col("other") + 1)) + 1, F.floor(F.col("n") * 100 / percent), F.floor(F.col("most") * (100 + percent) / percent - F.col("n")))
+    high = F.least(F.ceil(F.pow(F.lit(step), F.col("other") + 1)) + 1, F.floor(F.col("n") * 100 / percent))
     rows = rows.withColumns({"low": low.cast("bigint"), "high": high.cast("bigint")}).where("low <= high")
-    least = lambda m: f"ceil({percent} * (n + {m}) / {100 + percent}.0) - ceil({percent} * greatest(n, {m}) / 100.0) + 1"
-    rows = rows.where(f"rank <= total + 1 - greatest(1, least({least('low')}, {least('high')}))")
-    rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "cls", "n", "most", "root")
+    rows = rows.where(f"rank <= total + 1 - {_least_shared(percent)}")
+    rows = rows.select("token", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", "cls", "n", "live", "root")
     rows = materialize(rows)
     short = held.where(F.size("tokens") <= CARRIED).toDF("cls", "own")
     rows = rows.join(short.hint("merge"), "cls", "left")
@@ -287,7 +294,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Equal sets form classes, joined by digest. Each class posts its prefix: as many of its rarest
     shingles as leave one in common with any partner (T-occurrence with all other lists set aside).
-    Postings that no other class shares go; what is left of a prefix bounds the overlap with anyone.
+    Postings that no other class shares go. What two sets share is in both prefixes, or in the rest of the one whose
+    prefix ends first, so the smaller number of postings left and the larger rest bound the overlap.
     First, in every list, only the class with the largest part of its prefix left is tried against the
     others, which connects groups of near-copies with a number of pairs linear in their size. Then pairs
     still apart whose bounds allow it are sought in the lists (see `_pairs_apart`), those that share too few
@@ -301,17 +309,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     live = materialize(posts.join(lists.hint("merge"), "token").select("token", "cls", "n").dropDuplicates(["token", "cls", "n"]))
 
     rest = f"cast(ceil({percent} * n / 100.0) as bigint) - 1"  # tokens outside the prefix
-    reach = live.groupBy("cls", "n").agg(F.count("*").alias("_live")).select("cls", F.expr(f"_live + {rest} as most"), F.expr(f"_live / (n - ({rest})) as share"))
-    live = materialize(live.join(reach.hint("merge"), "cls").select("token", "cls", "n", "most", "share"))
-    hub = live.groupBy("token").agg(F.max(F.struct("share", "cls", "n", "most")).alias("h")).select("token", F.col("h.cls").alias("a"), F.col("h.n").alias("na"), F.col("h.most").alias("ma"))
-    possible = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * least(ma, mb) >= {percent} * (na + nb)"
+    reach = live.groupBy("cls", "n").agg(F.count("*").alias("live")).select("cls", "live", F.expr(f"live / (n - ({rest})) as share"))
+    live = materialize(live.join(reach.hint("merge"), "cls").select("token", "cls", "n", "live", "share"))
+    hub = live.groupBy("token").agg(F.max(F.struct("share", "cls", "n", "live")).alias("h")).select("token", F.col("h.cls").alias("a"), F.col("h.n").alias("na"), F.col("h.live").alias("la"))
+    possible = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * (least(la, lb) + ceil({percent} * greatest(na, nb) / 100.0) - 1) >= {percent} * (na + nb)"
     bound = F.expr(f"ceil({percent} * (na + nb) / {100 + percent}.0) - ceil({percent} * greatest(na, nb) / 100.0) + 1")
-    star = live.toDF("token", "b", "nb", "mb", "_share").join(hub.hint("merge"), "token").where(f"a <> b and {possible}")
+    star = live.toDF("token", "b", "nb", "lb", "_share").join(hub.hint("merge"), "token").where(f"a <> b and {possible}")
     star = star.groupBy("a", "b", "na", "nb").count().where(F.col("count") >= F.greatest(bound, F.expr(f"(nb - ceil({percent} * nb / 100.0) + 1) * 0.3")))
     first = verified_links(docs, classes, star.select("a", "b"), width, percent)
     near = connected_components(first.select(F.col("a").alias("src"), F.col("b").alias("dst"))).toDF("cls", "root")
 
-    placed = live.join(near.hint("merge"), "cls", "left").select("token", "cls", "n", "most", F.coalesce("root", "cls").alias("root"))
+    placed = live.join(near.hint("merge"), "cls", "left").select("token", "cls", "n", "live", F.coalesce("root", "cls").alias("root"))
     placed = materialize(placed)
     mixed = placed.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("df")).where("_lo < _hi").select("token", "df")
     placed = materialize(placed.join(mixed.hint("merge"), "token"))

@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from duolog.llm import ngram_join
 from duolog.llm.ngram_join import distinct_documents, divide_skip, near_duplicates
 
 
@@ -82,3 +84,26 @@ def test_hot_group_of_near_copies(spark):
     words = F.transform(F.array(*[F.lit(w) for w in base]), lambda w, i: F.when(i == F.col("id") % 150, edit).otherwise(w))
     df = spark.range(600).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
     assert [tuple(r) for r in near_duplicates(df).select("component_id").distinct().collect()] == [(0,)]
+
+
+@pytest.mark.parametrize("light", [ngram_join.LIGHT, 0])
+def test_pairs_of_unequal_length_and_at_the_threshold(spark, rows, monkeypatch, light):
+    monkeypatch.setattr(ngram_join, "LIGHT", light)  # 0: all lists are dealt by size class
+    rng = random.Random(17)
+    docs = []
+    for k in range(300):
+        n = rng.randrange(1, 57) if k % 3 else 4 * rng.randrange(1, 12)
+        longer = rng.randrange(1, max(2, n // 4 + 2)) if k % 3 else n // 4  # every third pair is at 0.8 exactly
+        base = [f"p{k}w{i}" for i in range(n + 4)]
+        more = [f"p{k}e{i}" for i in range(longer)]
+        docs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base + more if rng.random() < 0.5 else more + base))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert rows(near_duplicates(df)) == brute(docs)
+
+
+def test_least_shared_is_a_lower_limit(spark):
+    need = lambda n, m: -(-80 * (n + m) // 180) - -(-80 * max(n, m) // 100) + 1
+    ranges = [(n, low, min(low + wide, n * 5 // 4)) for n in range(5, 140, 3) for low in range(-(-4 * n // 5), n * 5 // 4 + 1) for wide in (0, 2, 6)]
+    df = spark.createDataFrame(ranges, "n long, low long, high long")
+    for r in df.selectExpr("*", f"{ngram_join._least_shared(80)} as least").collect():
+        assert 1 <= r.least <= max(1, min(need(r.n, m) for m in range(r.low, r.high + 1)))
