@@ -106,8 +106,14 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, key (hash of id and text, the same whenever it is computed), text."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("key"), "text")
+
+
 def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, digest (of the whole set), cls (64 bits of it), prefix: the set's rarest shingles, at the
+    """doc_id, key, n, digest (of the whole set), cls (64 bits of it), prefix: the set's rarest shingles, at the
     first document of each class in a task, else null. Materialised."""
     token, level = frequent_shingles(docs, width)
     bits = np.zeros(1 << 20, bool)
@@ -138,12 +144,11 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     tokens = tokens[np.argsort(rank, kind="stable")]
                 prefixes.append(tokens[: prefix_size(n, percent)].view(np.int64))
             yield pa.record_batch(
-                [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "n", "digest", "cls", "prefix"],
+                [part.column("doc_id"), part.column("key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+                ["doc_id", "key", "n", "digest", "cls", "prefix"],
             )
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialize(plain.mapInArrow(sign, "doc_id long, n long, digest binary, cls long, prefix array<long>"))
+    return materialize(_keyed(docs).mapInArrow(sign, "doc_id long, key long, n long, digest binary, cls long, prefix array<long>"))
 
 
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], need: list[int]) -> list[int]:
@@ -197,22 +202,27 @@ def _need(na: int, nb: int, percent: int) -> int:
 def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of pairs (a, b: classes) whose sets reach the threshold, with their overlap. Materialised.
 
-    Sets are computed anew for the documents that stand for the candidates. Pairs arrive sorted by a;
+    Sets are computed anew for the documents that stand for the candidates, found by their keys. Pairs arrive sorted by a;
     consecutive pairs with the same a, at most one Arrow batch, share an inverted index."""
     pairs = materialize(pairs)
     wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("cls")
-    chosen = materialize(classes.join(wanted, "cls").select(F.col("rep").alias("doc_id")).distinct())
+    chosen = materialize(classes.join(wanted, "cls").select(F.col("rep.key").alias("key")).distinct())
 
     def compute(batches):
+        seen: set[bytes] = set()
         for part in slices(batches):
-            sets = list(_shingle_sets(part.column("text"), width))
-            digests = [_digest(s) for s in sets]
+            found = {_digest(s): s for s in _shingle_sets(part.column("text"), width)}
+            digests = [d for d in found if d not in seen]
+            sets = [found[d] for d in digests]
+            if len(seen) > 500_000:
+                seen.clear()
+            seen.update(digests)
             yield pa.record_batch(
                 [pa.array(digests, pa.binary()), pa.array([_class_of(d) for d in digests], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                 ["digest", "cls", "tokens"],
             )
 
-    texts = keep_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chosen, "doc_id")
+    texts = keep_ids(_keyed(docs).select("key", "text"), chosen, "key")
     sets = texts.mapInArrow(compute, "digest binary, cls long, tokens array<long>")
     sets = sets.join(classes.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]).select("cls", "tokens")
     sets = materialize(sets)
@@ -302,8 +312,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     postings go, and the rest are verified by `divide_skip`. Components close over both kinds of links.
     Shingles are 64-bit hashes.
     """
+    sig, by_class, _ = _grouped(docs, width, percent)
+    out = sig.select("doc_id", "n", "digest").join(by_class.hint("merge"), "digest", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures; digest and component_id of each class; doc_id and key of the one document that stands for each component,
+    which has the smallest id, null last. Documents without words are in no class."""
     sig = signatures(docs, width, percent)
-    classes = materialize(sig.where("n > 0").groupBy("digest", "cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    classes = materialize(sig.where("n > 0").groupBy("digest", "cls").agg(rep.alias("rep"), F.max("n").alias("n")))
     posts = sig.where("prefix is not null").select("cls", "n", F.explode("prefix").alias("token"))
     lists = posts.groupBy("token").agg(F.min("cls").alias("_first"), F.max("cls").alias("_last")).where("_first < _last").select("token")
     live = materialize(posts.join(lists.hint("merge"), "token").select("token", "cls", "n").dropDuplicates(["token", "cls", "n"]))
@@ -332,13 +351,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     roots = connected_components(links).toDF("cls", "root")
     rooted = classes.join(roots.hint("merge"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rooted = materialize(rooted.select("digest", "root", "rep"))
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = materialize(rooted.join(least.hint("merge"), "root").select("digest", "component_id"))
-    out = sig.select("doc_id", "n", "digest").join(by_class.hint("merge"), "digest", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = materialize(rooted.groupBy("root").agg(F.min("rep").alias("least")))
+    by_class = materialize(rooted.join(least.hint("merge"), "root").select("digest", F.col("least.doc_id").alias("component_id")))
+    return sig, by_class, least.select("least.doc_id", "least.key")
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each group of near-copies, the one whose id names the component; all columns kept."""
-    kept = near_duplicates(docs, width, percent).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+    """docs with one row of each group of near-copies, of the smallest id (null only where no row has one); all columns kept.
+
+    The row is found by its id and a hash of id and text, so where an id repeats, its other texts go. Of rows that are equal in
+    both, any one stays. Rows without words are near-copies of none and all stay."""
+    worded = F.coalesce(F.col("text").rlike(r"[^\t-\r ]"), F.lit(False))
+    doc_id = F.col("doc_id").cast("long")
+    place = ["_near_none", "_near_id", "_near_key"]
+    at = lambda rows, doc_id, key: rows.withColumns(dict(zip(place, (doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), key))))
+    kept = at(_grouped(docs, width, percent)[2], F.col("doc_id"), F.col("key")).select(*place)
+    rows = at(docs.where(worded), doc_id, F.xxhash64(doc_id, "text")).join(kept.hint("merge"), place, "left_semi").dropDuplicates(place)
+    return rows.select(*docs.columns).union(docs.where(~worded))

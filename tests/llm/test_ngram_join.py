@@ -107,3 +107,24 @@ def test_least_shared_is_a_lower_limit(spark):
     df = spark.createDataFrame(ranges, "n long, low long, high long")
     for r in df.selectExpr("*", f"{ngram_join._least_shared(80)} as least").collect():
         assert 1 <= r.least <= max(1, min(need(r.n, m) for m in range(r.low, r.high + 1)))
+
+
+def test_null_and_repeated_ids(spark, rows):
+    text = lambda k, *more: " ".join([*(f"n{k}w{i}" for i in range(30)), *more])
+    docs = [(None, text(0)), (None, text(0, "a")), (None, text(0, *"abcde")), (None, text(1)), (None, None), (None, " \n"), (5, None), (5, "")]
+    docs += [(7, text(2)), (7, text(2, "a")), (7, text(2, "b")), (7, text(3)), (8, text(3, "a")), (7, text(4)), (7, text(4))]
+    docs += [(1, text(5)), (None, text(5, *"abcde")), (2, text(5, *"abcdefghij")), (0, ""), (9, text(6))]
+    df = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(docs)], "doc_id long, text string, key int").repartition(3)
+    sets, group = [shingles(t) for _, t in docs], list(range(len(docs)))
+    for _ in docs:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a & b and 100 * len(a & b) >= 80 * len(a | b):
+                    group[i] = group[j] = min(group[i], group[j])
+    members = [[i for i in range(len(docs)) if group[i] == g] for g in sorted(set(group))]
+    name = lambda m: min((docs[i][0] for i in m if docs[i][0] is not None), default=None)
+    assert rows(near_duplicates(df)) == sorted(((docs[i][0], len(sets[i]), name(m)) for m in members for i in m), key=repr)
+    kept = distinct_documents(df)
+    assert kept.columns == df.columns
+    found = [r.key for r in kept.collect()]
+    assert sorted(group[k] for k in found) == sorted(set(group)) and all(docs[k][0] == name([i for i in range(len(docs)) if group[i] == group[k]]) for k in found)
