@@ -77,6 +77,27 @@ RULES = (
 #: Where sentences end: line ends that close a line, and stops followed by white space or the end.
 BREAK = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+\z|[\r\n]+"
 _MARK = "\x01"
+# Marks of the second reading: stops are _MARK.
+_LINE, _PAUSE = "\x02", "\x03"
+
+
+def _folded(sentence: str) -> str:
+    """Pattern of a known sentence whose words may be parted by one line end, by ; or :, and by the stop of an abbreviated v."""
+    gap = lambda stop: f"(?:{stop}? ?{_LINE} ?|{stop}? )"
+    first, *others = sentence.split(" ")
+    out, last = first, first
+    for word in others:
+        out, last = out + gap(_MARK if last == "v" else _PAUSE) + word, word
+    return out
+
+
+def _pattern() -> str:
+    """Known sentences, longest first, from one mark to the next; notices also after 'this ... is' and the like."""
+    longest = sorted(SENTENCES.values(), key=lambda v: -len(v))
+    led = [v for v in longest if v.startswith(("licensed under ", "released under "))]
+    gap = f"(?:{_PAUSE}? ?{_LINE} ?| )"
+    lead = f"(?:this|these|the)(?:{gap}[a-z0-9]+){{1,6}}{gap}(?:is|are){gap}"
+    return f"(?:^|(?<=[{_MARK}-{_PAUSE}])) ?((?:{'|'.join(map(_folded, longest))})|{lead}(?:{'|'.join(map(_folded, led))})) ?(?=[{_MARK}-{_PAUSE}]|\\z)"
 
 
 def _hits(sequence: str, what: int) -> list[str]:
@@ -92,19 +113,31 @@ def _hits(sequence: str, what: int) -> list[str]:
     return out
 
 
+def _marked():
+    """Text as lower-case letters and digits, blanks, and marks for stops, line ends, and ; or : before white space."""
+    text = F.translate(F.coalesce("text", F.lit("")), _LINE + _PAUSE, "  ")
+    text = F.regexp_replace(text, r"[;:]+(?=[ \t\r\n])", _PAUSE)
+    text = F.regexp_replace(text, rf"[.!?]+(?=[ \t\r\n{_PAUSE}]|\z)", _MARK)
+    text = F.regexp_replace(text, r"\r\n?|\n", _LINE)
+    return F.lower(F.regexp_replace(text, f"[^A-Za-z0-9{_MARK}{_LINE}{_PAUSE}]+", " "))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_sentences, n_known, sentence_ids ('|' between), rules and licenses (',' between, in rule order,
     a licence once), for every row and whole text.
 
     Sentences are normalised to lower-case ASCII letters and digits and looked up in SENTENCES; the sequence of known
-    identifiers, others skipped, is matched against RULES. Licence lines keep their sense in the middle of other text.
+    identifiers, others skipped, is matched against RULES. n_sentences counts a line end as the end of a sentence; known sentences
+    are also found where single line ends, comment signs beside them, and ; or : part their words. Blank lines end them. Licence lines keep their sense in the middle of other text.
     Null and empty texts have no sentences; repeated rows and null ids repeat. Other columns are not read. Only built-in
     functions run, and nothing is shuffled. No table lookup joins: the known sentences are literals of fixed number.
     """
     known = F.create_map(*[F.lit(x) for key, value in SENTENCES.items() for x in (value, key)])
     wordy = F.lower(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), BREAK, _MARK), f"[^A-Za-z0-9{_MARK}]+", " "))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.transform(F.split(wordy, _MARK), lambda s: F.trim(s)), lambda s: s != "").alias("s"))
-    ids = F.filter(F.transform("s", lambda s: known[s]), lambda k: k.isNotNull())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.transform(F.split(wordy, _MARK), lambda s: F.trim(s)), lambda s: s != "").alias("s"), _marked().alias("t"))
+    found = F.transform(F.regexp_extract_all("t", F.lit(_pattern()), 1), lambda m: F.trim(F.regexp_replace(m, f"[{_MARK}-{_PAUSE} ]+", " ")))
+    led = lambda m: F.regexp_replace(m, "^.* (?:is|are) (?=(?:licensed|released) under )", "")
+    ids = F.filter(F.transform(found, lambda m: F.coalesce(known[m], known[led(m)])), lambda k: k.isNotNull())
     rows = rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), ids.alias("k"))
     rows = rows.select("doc_id", "n_sentences", F.size("k").cast("long").alias("n_known"), F.array_join("k", "|").alias("sentence_ids"))
     sequence = "concat('|', sentence_ids, '|')"

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -58,3 +59,30 @@ def test_oracle_agrees(spark):
     mine = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).select(*names)
     assert sorted(map(tuple, mine.collect())) == sorted(found.fetchall())
     assert mine.where(F.col("n_known") > 0).count() == 2
+
+
+def test_wrapped_texts_and_leading_words(spark):
+    s = licenses.SENTENCES
+    apache = ["Copyright 2020 X", "", 'Licensed under the Apache License, Version 2.0 (the "License");', "you may not use this file except in compliance with the License.", "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0"]
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+    wrap = lambda k, sign: textwrap.fill(s[k] + ".", 72, initial_indent=sign, subsequent_indent=sign)
+    docs = {
+        1: "\n".join(f"# {x}" for x in apache), 2: gpl, 3: "\r\n".join("// " + x for x in gpl.split("\n")),
+        4: "\n *\n".join(wrap(k, " * ") for k in ("mit.grant", "mit.keep", "mit.asis", "mit.liability")), 5: "A line\n" + wrap("isc.permit", ""),
+        6: "\n".join(wrap(k, f"{n}. ") for n, k in enumerate(("bsd.permit", "bsd.source", "bsd.binary", "bsd.endorse"))).replace("\n0. ", "\n").replace("\n1. ", "\n").replace("\n2. ", "\n").replace("\n3. ", "\n"),
+        7: "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        8: "This software is licensed under the MIT License.", 9: "This software is not licensed under the MIT License.", 10: "Released under\n\nthe MIT License yes",
+    }
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert got == {1: "Apache-2.0", 2: "GPL-2.0-or-later", 3: "GPL-2.0-or-later", 4: "MIT", 5: "ISC", 6: "BSD-3-Clause", 7: "MPL-2.0", 8: "MIT", 9: "", 10: ""}
+
+
+def test_oracle_agrees_on_the_tables(spark):
+    import duckdb
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}'")
+    found = con.execute(licenses.oracle())
+    names = [c[0] for c in found.description]
+    assert sorted(map(tuple, licenses.scan(spark.read.parquet(path)).select(*names).collect())) == sorted(found.fetchall())
