@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once; a longer document is handled whole, alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: ASCII white space \x09-\x0D and \x20.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -61,15 +61,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _tables(n: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    if kind not in _powers or len(_powers[kind][0]) < n:
-        size = max(n, CHUNK + 1024)
-        made = []
-        for base in (_BASES[kind], pow(_BASES[kind], -1, 2**64)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
+    """Powers of a base and of its inverse. Those for usual runs are kept, those for longer texts are made anew and go again."""
+    usual = CHUNK + 1024
+    if n <= usual and kind in _powers:
+        return _powers[kind]
+    made = []
+    for base in (_BASES[kind], pow(_BASES[kind], -1, 2**64)):
+        steps = np.full(max(n, usual), base, np.uint64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps, out=steps))
+    if n <= usual:
         _powers[kind] = (made[0], made[1])
-    return _powers[kind]
+    return made[0], made[1]
 
 
 class Rolling:

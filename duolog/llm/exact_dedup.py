@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from duolog.llm._scratch import materialize
+from duolog.llm._scratch import fresh, materialize
 
 #: Characters that do not count when texts are compared.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -76,14 +76,18 @@ def duplicate_groups(docs: DataFrame, salts: int = 16, digest=None) -> DataFrame
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without copies, all columns kept: per group the row that `duplicate_groups` keeps. Of rows that
-    repeat its id and normalised text one stays. The join and the choice share one partitioning by id and digest."""
-    kept = duplicate_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("_sha")).distinct()
-    tagged = docs.withColumn("_sha", F.sha2(normalized(F.col("text")), 256))
-    named = tagged.where("doc_id is not null").join(kept.where("doc_id is not null").hint("merge"), ["doc_id", "_sha"], "left_semi")
-    nameless = tagged.where("doc_id is null").join(kept.where("doc_id is null").select("_sha").hint("merge"), "_sha", "left_semi")
+    repeat its id and normalised text one stays, the longest. The join and the choice share one partitioning by id and digest.
+
+    Null texts are empty; of empty texts one stays. A group whose ids are all null keeps one row. An empty table gives no
+    rows. docs may have columns of any other names; those used on the way are chosen apart from them."""
+    sha, row = fresh(docs, "_sha", "_row")
+    kept = duplicate_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias(sha)).distinct()
+    tagged = docs.withColumn(sha, F.sha2(normalized(F.col("text")), 256))
+    named = tagged.where("doc_id is not null").join(kept.where("doc_id is not null").hint("merge"), ["doc_id", sha], "left_semi")
+    nameless = tagged.where("doc_id is null").join(kept.where("doc_id is null").select(sha).hint("merge"), sha, "left_semi")
     by_length = [F.char_length("text").desc_nulls_last(), F.col("text")]
-    one = lambda df, *keys: df.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*by_length))).where("_row = 1").select(*docs.columns)
-    return one(named, "doc_id", "_sha").unionByName(one(nameless, "_sha"))
+    one = lambda df, *keys: df.withColumn(row, F.row_number().over(Window.partitionBy(*keys).orderBy(*by_length))).where(F.col(row) == 1).select(*docs.columns)
+    return one(named, "doc_id", sha).unionByName(one(nameless, sha))
 
 
 ORACLE = r"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -15,8 +16,11 @@ from tokenizers import Tokenizer
 
 from duolog.llm._arrow import LOWER, SPACE, Rolling, slices, text_bytes, words
 
-#: Slots of a worker's table of encoded chunks; at half of them it starts anew.
-SLOTS = 1 << 22
+#: Slots of a worker's table of encoded chunks at its start and at most, and ids that it keeps at most. A full table starts anew;
+#: only for a single run of texts that holds more may it be larger, until the next run.
+FEW, SLOTS, KEPT = 1 << 14, 1 << 20, 1 << 22
+#: Symbols of a word up to which the least rank is sought in a list and not on a heap.
+SHORT = 48
 END = "</w>"
 NEVER = 1 << 40
 class Vocabulary:
@@ -132,6 +136,8 @@ class Vocabulary:
         """Exact merging by rank; the leftmost pair goes first."""
         s = [self.shown[b] for b in word.encode()]
         s[-1] += END
+        if len(s) > SHORT:
+            return self._merged_on_heap(s)
         rank = self.ranks.get
         ranks = [rank(pair, NEVER) for pair in zip(s, s[1:])]
         while ranks and (least := min(ranks)) < NEVER:
@@ -144,6 +150,28 @@ class Vocabulary:
                 ranks[at] = rank((s[at], s[at + 1]), NEVER)
         return [self.ids[x] for x in s if x in self.ids]
 
+    def _merged_on_heap(self, s: list[str]) -> list[int]:
+        """The same in n log n steps: symbols are a linked list, pairs wait on a heap by rank and place. An entry whose symbols
+        have since been merged with others is passed over."""
+        rank, n = self.ranks.get, len(s)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, k, s[k], s[k + 1]) for k in range(n - 1) if (r := rank((s[k], s[k + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, k, left, right = heapq.heappop(heap)
+            j = after[k]
+            if s[k] != left or j >= n or s[j] != right:
+                continue
+            s[k], s[j] = left + right, ""
+            after[k] = after[j]
+            if after[k] < n:
+                before[after[k]] = k
+                if (r := rank((s[k], s[after[k]]))) is not None:
+                    heapq.heappush(heap, (r, k, s[k], s[after[k]]))
+            if before[k] >= 0 and (r := rank((s[before[k]], s[k]))) is not None:
+                heapq.heappush(heap, (r, before[k], s[before[k]], s[k]))
+        return [self.ids[x] for x in s if x in self.ids]
+
     def encode_words(self, found: list[str]) -> tuple[list[list[int]], int]:
         """Token ids of distinct words, and how many needed exact merging: propose by longest match, verify all
         adjacent pairs at once, merge only words with a pair that fails or without a proposal."""
@@ -173,55 +201,77 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class _Store:
-    """A worker's encoded chunks (runs between ASCII white space, which no word crosses), by two independent 64-bit
-    hashes in an open table; ids lie in one array."""
+    """A worker's encoded chunks (runs between ASCII white space, which no word crosses), known by the 128 bits of two
+    independent hashes in an open table that grows with what it holds; ids lie in one array."""
 
     def __init__(self, path: str):
         self.vocabulary = vocabulary(path)
         self.known = {t: [i] for t, i in self.vocabulary.special.items()}
         self.reset()
 
-    def reset(self) -> None:
-        self.keys = np.zeros((2, SLOTS), np.uint64)
-        self.start = np.full(SLOTS, -1, np.int32)
-        self.count = np.zeros(SLOTS, np.int32)
-        self.ids = np.zeros(1 << 16, np.uint32)
+    def reset(self, slots: int = FEW) -> None:
+        self._table(slots)
+        self.ids = np.zeros(1 << 14, np.uint32)
         self.used = self.held = 0
 
+    def _table(self, slots: int) -> None:
+        self.keys = np.zeros((2, slots), np.uint64)
+        self.start = np.full(slots, -1, np.int64)
+        self.count = np.zeros(slots, np.int32)
+
     def find(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
-        """Slots, -1 where a chunk is new."""
+        """Slots, -1 where a chunk is new. At most half of the slots are taken, so every search ends."""
+        mask = len(self.start) - 1
         out = np.full(len(h), -1, np.int64)
         left = np.arange(len(h))
-        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        slot = (h & np.uint64(mask)).astype(np.int64)
         while len(left):
             hit = (self.keys[0][slot] == h[left]) & (self.keys[1][slot] == g[left]) & (self.start[slot] >= 0)
             out[left[hit]] = slot[hit]
             more = ~hit & (self.start[slot] >= 0)
-            left, slot = left[more], (slot[more] + 1) & (SLOTS - 1)
+            left, slot = left[more], (slot[more] + 1) & mask
         return out
 
-    def add(self, h: np.ndarray, g: np.ndarray, ids: list[list[int]]) -> None:
-        """Put distinct new chunks into the table."""
-        sizes = np.array([len(i) for i in ids], np.int64)
-        total = int(sizes.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-        first = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.held += len(ids)
+    def room_for(self, new: int) -> bool:
+        """Make room for as many new chunks. False where the table started anew: what was found before is gone."""
+        slots = len(self.start)
+        while 2 * (self.held + new) > slots:
+            slots *= 2
+        if self.held and (slots > SLOTS or self.used > KEPT):
+            self.reset()
+            return False
+        if slots > len(self.start):
+            taken = np.flatnonzero(self.start >= 0)
+            kept = self.keys[0][taken], self.keys[1][taken], self.start[taken], self.count[taken]
+            self._table(slots)
+            self._put(*kept)
+        return True
+
+    def _put(self, h: np.ndarray, g: np.ndarray, start: np.ndarray, count: np.ndarray) -> None:
+        mask = len(self.start) - 1
         left = np.arange(len(h))
-        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        slot = (h & np.uint64(mask)).astype(np.int64)
         while len(left):
             free = np.flatnonzero(self.start[slot] < 0)
             _, one = np.unique(slot[free], return_index=True)
             put = free[one]
             at, who = slot[put], left[put]
             self.keys[0][at], self.keys[1][at] = h[who], g[who]
-            self.start[at], self.count[at] = first[who], sizes[who]
+            self.start[at], self.count[at] = start[who], count[who]
             rest = np.ones(len(left), bool)
             rest[put] = False
-            left, slot = left[rest], (slot[rest] + 1) & (SLOTS - 1)
+            left, slot = left[rest], (slot[rest] + 1) & mask
+
+    def add(self, h: np.ndarray, g: np.ndarray, ids: list[list[int]]) -> None:
+        """Put distinct new chunks into the table, which has room for them."""
+        sizes = np.array([len(i) for i in ids], np.int64)
+        total = int(sizes.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(self.used, total), np.uint32)])
+        self.ids[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        self._put(h, g, self.used + np.cumsum(sizes) - sizes, sizes)
+        self.used += total
+        self.held += len(ids)
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
         split = [self.vocabulary.words(c) for c in chunks]
@@ -233,6 +283,14 @@ class _Store:
 _stores: dict[str, _Store] = {}
 
 
+def _distinct(h: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """A place of each distinct pair."""
+    order = np.lexsort((g, h))
+    first = np.ones(len(order), bool)
+    first[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    return order[first]
+
+
 def encoded(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts (unsigned 32-bit), and len + 1 offsets."""
     if path not in _stores:
@@ -246,11 +304,9 @@ def encoded(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     slots = store.find(h, g)
     new = np.flatnonzero(slots < 0)
     if len(new):
-        _, one = np.unique(h[new] ^ (g[new] << np.uint64(1)), return_index=True)
-        new = new[one]
-        if store.held + len(new) > SLOTS // 2:
-            store.reset()
-            _, new = np.unique(h ^ (g << np.uint64(1)), return_index=True)
+        new = new[_distinct(h[new], g[new])]
+        while not store.room_for(len(new)):
+            new = _distinct(h, g)
         raw = data.tobytes()
         store.add(h[new], g[new], store.encode([raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]))
         slots = store.find(h, g)

@@ -72,12 +72,44 @@ def test_pieces_and_sequences_are_whole(spark, library):
 def test_local_search_empties_bins_and_loses_nothing():
     rng = random.Random(5)
     saved = 0
-    for size in (30, 100, 400):
-        lengths = [rng.randrange(700, 1700) for _ in range(size)]
-        first = [[i, i + 1] for i in range(0, size, 2)]
-        better = packing.improve([list(b) for b in first], lengths, 4096)
-        assert sorted(i for b in better for i in b) == list(range(size))
-        assert all(sum(lengths[i] for i in b) <= 4096 for b in better)
-        saved += len(first) - len(better)
-        assert len(packing.improve(packing.best_fit(lengths, 4096), lengths, 4096)) <= len(packing.best_fit(lengths, 4096))
-    assert saved > 0
+    for size, low, high in ((30, 700, 1700), (400, 700, 1700), (1500, 1300, 4000), (3000, 5, 900), (1, 9, 10), (0, 1, 2)):
+        lengths = [rng.randrange(low, high) for _ in range(size)]
+        bins = packing.Bins(np.array(lengths), 4096)
+        first, squares = len(bins.items), (bins.fill**2).sum()
+        bins.improve()
+        left = [b for b in bins.items if b]
+        assert sorted(i for b in left for i in b) == list(range(size))
+        assert all(sum(lengths[i] for i in b) <= 4096 for b in left) and (bins.fill**2).sum() >= squares
+        saved += first - len(left)
+        assert len(left) >= bins.least()
+    assert saved > 10
+
+
+def test_least_is_a_lower_bound_and_full_search_reaches_it():
+    assert packing.Bins(np.array([7, 7, 7]), 12).least() == 3 and packing.Bins(np.array([6, 6, 6, 6]), 12).least() == 2
+    assert packing.Bins(np.array([9, 9, 4]), 12).least() == 3 and packing.Bins(np.zeros(0, np.int64), 12).least() == 0
+    for lengths in ([5, 4, 8, 7], [3, 3, 3, 3, 6, 6, 12]):  # the first needs an exchange
+        bins = packing.Bins(np.array(lengths), 12)
+        bins.improve()
+        assert sum(map(bool, bins.items)) == -(-sum(lengths) // 12)
+
+
+def test_long_words_and_more_chunks_than_the_first_table(library):
+    rng = random.Random(3)
+    word = "".join(rng.choice("etaoinshrdlu") for _ in range(200_000))
+    many = " ".join(f"{i:x}q{i * 7919 % 100003:x}" for i in range(60_000))
+    given = [word, many, "a" * 5000, word[:70], "the cat", "\u00e9" * 400]
+    ids, at = word_bpe.encoded(pa.array(given), PATH)
+    for k, text in enumerate(given):
+        assert ids[at[k] : at[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_table_starts_anew_and_grows(monkeypatch, library):
+    monkeypatch.setattr(word_bpe, "SLOTS", 64)
+    monkeypatch.setattr(word_bpe, "FEW", 16)
+    monkeypatch.setattr(word_bpe, "_stores", {})
+    for first in range(0, 400, 50):
+        given = [" ".join(f"w{i}" for i in range(first, first + n)) for n in (3, 40, 200)]
+        ids, at = word_bpe.encoded(pa.array(given), PATH)
+        for k, text in enumerate(given):
+            assert ids[at[k] : at[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
