@@ -97,8 +97,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, languages: l
     learn = np.flatnonzero(~check)
     for epoch in range(EPOCHS):
         rate = STEP * (1 - epoch / EPOCHS) * 10
-        for at in range(0, len(learn), GROUP):
-            group = learn[rng.permutation(len(learn))[:GROUP]] if at else learn[:GROUP]
+        order = rng.permutation(learn)
+        for at in range(0, len(order), GROUP):
+            group = order[at : at + GROUP]
             bag = np.zeros((len(group), BUCKETS))
             for k, i in enumerate(group):
                 bag[k, rows[i][0]] = rows[i][1]
@@ -121,8 +122,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, languages: l
 
 
 def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, limit: int = SAMPLE) -> Model | None:
-    """A model from at most `limit` whole texts with a language, outside the held-out fold. Only their bags reach the
-    driver, at most BUCKETS numbers each. None without such rows."""
+    """A model from at most `limit` whole texts with a language, outside the held-out fold, one text per id. Only their bags
+    reach the driver, at most BUCKETS numbers each. None without such rows."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("doc_id is not null and lang is not null")
     chosen = known.where(fold != held_out).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
@@ -136,7 +137,8 @@ def fit(docs: DataFrame, modulus: int = 4, held_out: int = 2, limit: int = SAMPL
                 ["doc_id", "lang", "buckets", "shares"],
             )
 
-    table = sample.mapInArrow(bag, "doc_id long, lang string, buckets array<int>, shares array<float>").toArrow()
+    table = sample.mapInArrow(bag, "doc_id long, lang string, buckets array<int>, shares array<float>")
+    table = table.groupBy("doc_id").agg(F.min(F.struct("lang", "buckets", "shares")).alias("s")).select("doc_id", "s.*").toArrow()
     if not table.num_rows:
         return None
     table = table.combine_chunks()

@@ -148,8 +148,8 @@ def fit_trees(x: np.ndarray, y: np.ndarray) -> Trees:
     return model.freeze()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> DataFrame:
-    """(text, y) of at most `limit` labelled documents outside the held-out fold, those whose ids hash lowest.
+def _chosen(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> DataFrame:
+    """Rows (doc_id, text, y) of at most `limit` labelled ids outside the held-out fold, those that hash lowest.
     Unlabelled documents, null labels and ids that carry contradicting labels take no part."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).where("_id is not null and _y in (0, 1)")
     known = known.groupBy("_id").agg(F.min("_y").alias("y"), F.max("_y").alias("_most")).where("y = _most")
@@ -159,16 +159,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     return plain.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> DataFrame:
+    """(doc_id, text, y) of at most `limit` labelled documents, see `_chosen`. Where an id repeats, however often, one text of it is
+    taken, combined before the shuffle."""
+    text = F.min_by("text", F.xxhash64("text")).alias("text")
+    return _chosen(docs, labels, label, modulus, held_out, limit).groupBy("doc_id", "y").agg(text).select("doc_id", "text", "y")
+
+
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, limit: int = SAMPLE) -> Trees:
-    """A model from the statistics of a bounded sample; only statistics and labels reach the driver."""
+    """A model from the statistics of a bounded sample, one text per id; only statistics and labels reach the driver."""
 
     def measure(batches):
         for part in slices(batches):
             x = statistics(part.column("text"))
             yield pa.record_batch([part.column("doc_id"), part.column("y"), *[pa.array(c) for c in x.T]], ["doc_id", "y", *STATISTICS])
 
-    rows = labelled_sample(docs, labels, "quality", modulus, held_out, limit)
-    rows = rows.mapInArrow(measure, "doc_id long, y int, " + ", ".join(f"{s} double" for s in STATISTICS)).toPandas().sort_values(["doc_id", *STATISTICS])
+    rows = _chosen(docs, labels, "quality", modulus, held_out, limit)
+    rows = rows.mapInArrow(measure, "doc_id long, y int, " + ", ".join(f"{s} double" for s in STATISTICS))
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("y", *STATISTICS)).alias("s")).select("doc_id", "s.*").toPandas().sort_values("doc_id")
     return fit_trees(rows[list(STATISTICS)].to_numpy(), rows["y"].to_numpy(float))
 
 
@@ -192,7 +200,9 @@ def scored(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs whose predicted quality is 1, each row judged by its own text; all columns kept, nothing shuffled."""
+    """docs whose predicted quality is 1, each row judged by its own text; all columns kept, whatever they are called, nothing
+    shuffled. Null, empty and blank texts are judged at the point of zeros; repeated rows stay or go together; an empty table stays
+    empty. Without labels of both kinds all rows stay or go by the constant score."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def keep(batches):

@@ -12,11 +12,11 @@ from duolog.llm.quality import labelled_sample
 from duolog.llm._scratch import materialize
 
 #: Labelled rows that the index holds at most, chosen by a hash of the id.
-SAMPLE = 8_000
-#: Terms that the index holds at most, by association with the label in the sample.
-TERMS = 256
+SAMPLE = 4_000
 #: Lengths in bytes of word beginnings that are terms beside whole words.
-STEMS = (4, 5, 6, 7, 8)
+STEMS = (6,)
+#: Least relevance of a term, and standard deviations from which it grows.
+FAINT, SURE = 0.1, 3.0
 #: Neighbours that vote, and examples in a block of the index.
 NEAREST, BLOCK = 15, 64
 _WHOLE = np.uint64(0x5851F42D4C957F2D)
@@ -37,46 +37,18 @@ def _terms(column: pa.Array):
     return np.concatenate(rows), np.concatenate(terms)
 
 
-def associated_terms(sample: DataFrame, keep: int) -> np.ndarray:
-    """The terms whose presence tells most about the label (chi-squared on the sample's documents), sorted.
-    Only terms that lean towards label 1 are taken; ties go by hash."""
-
-    def count(batches):
-        for part in slices(batches):
-            y = part.column("y").to_numpy(zero_copy_only=False).astype(bool)
-            rows, terms = _terms(part.column("text"))
-            order = np.lexsort((terms, rows))
-            rows, terms = rows[order], terms[order]
-            first = np.ones(len(rows), bool)
-            first[1:] = (rows[1:] != rows[:-1]) | (terms[1:] != terms[:-1])
-            rows, terms = rows[first], terms[first]
-            value, back = np.unique(terms, return_inverse=True)
-            ones = np.bincount(back, y[rows], len(value)).astype(np.int64)
-            yield pa.record_batch([pa.array(value.view(np.int64)), pa.array(np.bincount(back, minlength=len(value)).astype(np.int64)), pa.array(ones)], ["term", "n", "ones"])
-
-    sizes = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("ones")).first()
-    if not sizes.n or not sizes.ones or sizes.ones == sizes.n:
-        return np.zeros(0, np.uint64)
-    found = sample.mapInArrow(count, "term long, n long, ones long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
-    rate = sizes.ones / sizes.n
-    lean = F.col("ones") - F.col("n") * rate
-    spread = F.col("n") * rate * (1 - rate) * (1 - F.col("n") / (sizes.n + 1.0))
-    top = found.where("n >= 3").withColumn("_chi", lean * lean / (spread + 1e-9)).where(lean > 0).where("_chi > 10").orderBy(F.desc("_chi"), "term").limit(keep)
-    return np.sort(np.array([r.term for r in top.select("term").collect()], np.int64).view(np.uint64))
-
-
 class Lookup:
-    """Places of terms in a small sorted vocabulary, behind a bitmap that turns most others away."""
+    """Places of terms in a sorted vocabulary, behind a bitmap that turns most others away."""
 
     def __init__(self, terms: np.ndarray):
         self.terms = terms
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[(terms & np.uint64(0xFFFFF)).astype(np.int64)] = True
+        self.bits = np.zeros(1 << 21, bool)
+        self.bits[(terms & np.uint64(0x1FFFFF)).astype(np.int64)] = True
 
     def counts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term place, count), sorted."""
         rows, terms = _terms(column)
-        maybe = np.flatnonzero(self.bits[(terms & np.uint64(0xFFFFF)).astype(np.int64)])
+        maybe = np.flatnonzero(self.bits[(terms & np.uint64(0x1FFFFF)).astype(np.int64)])
         if not len(maybe) or not len(self.terms):
             none = np.zeros(0, np.int64)
             return none, none, none
@@ -88,72 +60,118 @@ class Lookup:
 
 def document_frequency(docs: DataFrame, lookup: Lookup) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and how many documents there are."""
+    shared = docs.sparkSession.sparkContext.broadcast(lookup)
 
     def count(batches):
-        df, n = np.zeros(len(lookup.terms), np.int64), 0
+        found = shared.value
+        df, n = np.zeros(len(found.terms), np.int64), 0
         for part in slices(batches):
-            df += np.bincount(lookup.counts(part.column("text"))[1], minlength=len(df))
+            df += np.bincount(found.counts(part.column("text"))[1], minlength=len(df))
             n += part.num_rows
         some = np.flatnonzero(df)
         yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(df[some], n))], ["term", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df, total = np.zeros(len(lookup.terms), np.int64), 0
-    for r in rows:
-        if r.term < 0:
-            total = r.n
-        else:
-            df[r.term] = r.n
-    return df, total
+    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = rows.column("term").to_numpy(), rows.column("n").to_numpy()
+    df = np.zeros(len(lookup.terms), np.int64)
+    df[term[term >= 0]] = n[term >= 0]
+    return df, int(n[term < 0].sum())
+
+
+def relevance(n: np.ndarray, ones: np.ndarray, rate: float) -> np.ndarray:
+    """Factor of a term by what the sample tells of it: FAINT for most; up to 1 as the count of label 1 among its n examples
+    lies SURE standard deviations and more above chance."""
+    z = (ones - n * rate) / np.sqrt(np.maximum(n * rate * (1 - rate), 1e-9))
+    return FAINT + (1 - FAINT) * np.clip((z - SURE) / 5, 0, 1)
+
+
+def _runs(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges lo to hi, one range after the other."""
+    n = hi - lo
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 class Index:
-    """Examples as unit TF-IDF vectors, inverted by term in blocks of BLOCK examples with each block's largest weight."""
+    """Examples as unit vectors, inverted by term in blocks of BLOCK examples with each block's largest weight.
+    `factor` is each term's inverse document frequency times its relevance."""
 
-    def __init__(self, lookup: Lookup, idf: np.ndarray, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, y: np.ndarray, ids: np.ndarray):
-        self.lookup, self.idf = lookup, idf
+    def __init__(self, lookup: Lookup, factor: np.ndarray, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, y: np.ndarray, ids: np.ndarray):
+        self.lookup, self.factor = lookup, factor
         rows, terms, weight = self.unit(rows, terms, counts, len(y))
         held = np.unique(rows)
-        self.ids, self.y = ids[held], y[held]
         bare = np.setdiff1d(np.arange(len(y)), held)
         #: Score of a text without any term: the share of label 1 among such examples.
         self.bare = (y[bare].sum() + 0.1) / (len(bare) + 1.0)
-        rows = np.searchsorted(held, rows)
-        blocks = -(-len(held) // BLOCK)
+        order = self._alike(np.searchsorted(held, rows), terms, weight, len(held))
+        self.ids, self.y = ids[held][order], y[held][order]
+        place = np.empty(len(held), np.int64)
+        place[order] = np.arange(len(held))
+        rows = place[np.searchsorted(held, rows)]
+        self.blocks = -(-len(held) // BLOCK)
         order = np.lexsort((rows, terms))
-        self.row, self.weight = rows[order], weight[order]
-        self.at = np.searchsorted(terms[order] * blocks + self.row // BLOCK, np.arange(len(idf) * blocks + 1))
-        self.most = np.zeros((len(idf), blocks))
-        np.maximum.at(self.most, (terms, rows // BLOCK), weight)
-        self.blocks = blocks
+        self.row, self.weight, terms = rows[order].astype(np.int32), weight[order], terms[order]
+        block = self.row // BLOCK
+        first = np.ones(len(terms), bool)
+        first[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
+        #: One entry per term and block: its block, largest weight, and where its postings begin.
+        self.begin = np.append(np.flatnonzero(first), len(terms))
+        self.block = block[self.begin[:-1]].astype(np.int16 if self.blocks < 1 << 15 else np.int32)
+        self.most = np.maximum.reduceat(self.weight, self.begin[:-1]) if len(terms) else np.zeros(0)
+        self.entry = np.searchsorted(terms[self.begin[:-1]], np.arange(len(factor) + 1))
         self.slope, self.shift = 1.0, 0.0
 
+    @staticmethod
+    def _alike(rows: np.ndarray, terms: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """An order that puts like examples side by side, so that blocks have tight bounds: by the signs of three
+        principal components over the commonest terms, then by the largest weight. Any order gives the same results."""
+        common = np.argsort(-np.bincount(terms, minlength=1), kind="stable")[:128]
+        seat = np.full(terms.max(initial=0) + 1, -1)
+        seat[common] = np.arange(len(common))
+        some = seat[terms] >= 0
+        dense = np.zeros((n, 128))
+        dense[rows[some], seat[terms[some]]] = weight[some]
+        _, axes = np.linalg.eigh(dense.T @ dense)
+        side = (dense - dense.sum(0) / max(n, 1)) @ axes[:, -4:-1] > 0
+        top = np.zeros(n)
+        np.maximum.at(top, rows, weight)
+        return np.lexsort((top, side @ np.array([1, 2, 4])))
+
     def unit(self, rows, terms, counts, n):
-        weight = (1 + np.log(counts)) * self.idf[terms]
+        weight = (1 + np.log(counts)) * self.factor[terms]
         norm = np.sqrt(np.bincount(rows, weight * weight, n))
         return rows, terms, weight / np.where(norm[rows] > 0, norm[rows], 1)
 
-    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest cosine above zero, exactly: blocks in the order of their bound,
-        until no bound beats the k-th cosine so far. Ties go to the example that comes first."""
-        bound = weight @ self.most[terms]
+    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples with the largest cosine above zero, exactly: blocks in the order of their bound, twice as many a round,
+        until no bound beats the k-th cosine so far. Ties go to the example that comes first. `skip` is the id of one to leave out."""
+        lo, hi = self.entry[terms], self.entry[terms + 1]
+        entries = _runs(lo, hi)
+        load = np.repeat(weight, hi - lo)
+        block = self.block[entries]
+        bound = np.bincount(block, load * self.most[entries], self.blocks)
         order = np.argsort(-bound, kind="stable")
-        best_id, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in order:
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, weight):
-                lo, hi = self.at[t * self.blocks + b], self.at[t * self.blocks + b + 1]
-                score[self.row[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            if 0 <= skip - b * BLOCK < BLOCK:
-                score[skip - b * BLOCK] = 0
-            some = np.flatnonzero(score > 0)
-            best_id = np.concatenate([best_id, some + b * BLOCK])
-            best = np.concatenate([best, score[some]])
-            top = np.lexsort((best_id, -np.round(best, 12)))[:k]
-            best_id, best = best_id[top], best[top]
-        return best_id, best
+        order = order[bound[order] > 0]
+        score = np.zeros(self.blocks * BLOCK)
+        done, many, least = 0, 4, 0.0
+        while done < len(order) and bound[order[done]] >= least - 1e-12:
+            now = order[done : done + many]
+            now = now[bound[now] >= least - 1e-12]
+            chosen = np.zeros(self.blocks, bool)
+            chosen[now] = True
+            take = np.flatnonzero(chosen[block])
+            begin, end = self.begin[entries[take]], self.begin[entries[take] + 1]
+            at = _runs(begin, end)
+            score += np.bincount(self.row[at], np.repeat(load[take], end - begin) * self.weight[at], len(score))
+            if skip is not None:
+                score[: len(self.ids)][self.ids == skip] = 0
+            if len(score) > k:
+                least = max(0.0, np.partition(score, len(score) - k)[len(score) - k])
+            done, many = done + len(now), many * 2
+        some = np.flatnonzero(score > 0)
+        if len(some) > 4 * k:
+            some = some[score[some] >= least - 1e-9]
+        top = some[np.lexsort((some, -np.round(score[some], 12)))[:k]]
+        return top, score[top]
 
     def vote(self, ids: np.ndarray, cosine: np.ndarray) -> float:
         """Share of label 1 among neighbours, each weighted by the inverse of its distance."""
@@ -162,19 +180,27 @@ class Index:
         w = 1 / (1.02 - np.minimum(cosine, 1))
         return float((w * self.y[ids]).sum() / w.sum())
 
-    def calibrate(self) -> None:
+    def votes(self, column: pa.Array, skip: list | None = None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Of each text: whether it has neighbours, its vote, and the voting examples, nearest first."""
+        n = len(column)
+        rows, terms, weight = self.unit(*self.lookup.counts(column), n)
+        at = np.searchsorted(rows, np.arange(n + 1))
+        near, votes, evidence = np.zeros(n, bool), np.full(n, self.bare), [np.zeros(0, np.int64)] * n
+        for i in np.unique(rows) if self.blocks else ():
+            ids, cosine = self.nearest(terms[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], NEAREST, skip[i] if skip else None)
+            if len(ids):
+                near[i], votes[i], evidence[i] = True, self.vote(ids, cosine), self.ids[ids]
+        return near, votes, evidence
+
+    def calibrate(self, votes: np.ndarray, y: np.ndarray) -> None:
         """Fit score = sigmoid(slope * logit(vote) + shift) to the examples, each voted on by the others."""
-        if len(np.unique(self.y)) < 2:
+        if len(np.unique(y)) < 2:
             return
-        order = np.lexsort((self.term_of(), self.row))
-        at = np.searchsorted(self.row[order], np.arange(len(self.y) + 1))
-        term, weight = self.term_of()[order], self.weight[order]
-        votes = [self.vote(*self.nearest(term[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], NEAREST, i)) for i in range(len(self.y))]
-        z = _logit(np.array(votes))
+        z = _logit(votes)
         a, c = 1.0, 0.0
         for _ in range(30):
             p = 1 / (1 + np.exp(-(a * z + c)))
-            g, h = p - self.y, np.maximum(p * (1 - p), 1e-6)
+            g, h = p - y, np.maximum(p * (1 - p), 1e-6)
             m = np.array([[(h * z * z).sum() + 1, (h * z).sum()], [(h * z).sum(), h.sum() + 1]])
             step = np.linalg.solve(m, [(g * z).sum() + a - 1, g.sum() + c])
             a, c = a - step[0], c - step[1]
@@ -182,21 +208,10 @@ class Index:
                 break
         self.slope, self.shift = max(a, 0.1), c
 
-    def term_of(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.idf)), np.diff(self.at[:: self.blocks]) if self.blocks else 0)
-
     def score(self, column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
         """Calibrated score and the voting examples of each text."""
-        n = len(column)
-        rows, terms, weight = self.unit(*self.lookup.counts(column), n)
-        at = np.searchsorted(rows, np.arange(n + 1))
-        scores, evidence = np.full(n, self.bare), [np.zeros(0, np.int64)] * n
-        for i in np.unique(rows) if self.blocks else ():
-            ids, cosine = self.nearest(terms[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], NEAREST)
-            if len(ids):
-                scores[i] = 1 / (1 + np.exp(-(self.slope * _logit(self.vote(ids, cosine)) + self.shift)))
-                evidence[i] = self.ids[ids]
-        return scores, evidence
+        near, votes, evidence = self.votes(column)
+        return np.where(near, 1 / (1 + np.exp(-(self.slope * _logit(votes) + self.shift))), self.bare), evidence
 
 
 def _logit(p):
@@ -205,28 +220,44 @@ def _logit(p):
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0, limit: int = SAMPLE) -> Index:
-    """An index of at most `limit` labelled examples over at most TERMS terms; frequencies are over all of docs.
-    Without labels of both kinds there are no terms, and every text gets the same score."""
+    """An index of at most `limit` labelled examples over all of their terms; frequencies are over all of docs. Only the
+    examples' terms reach the driver. Without labels of both kinds every text gets the same score."""
     sample = materialize(labelled_sample(docs, labels, "toxic", modulus, held_out, limit).repartition(8))
-    lookup = Lookup(associated_terms(sample, TERMS))
-    df, total = document_frequency(docs, lookup)
-    idf = np.log((total + 1) / (df + 1)) + 1
 
     def count(batches):
         for part in slices(batches):
-            rows, terms, n = lookup.counts(part.column("text"))
-            at = np.searchsorted(rows, np.arange(part.num_rows + 1))
-            pair = [[terms[a:b], n[a:b]] for a, b in zip(at[:-1], at[1:])]
-            kind = pa.list_(pa.int64())
-            yield pa.record_batch([part.column("doc_id"), part.column("y"), pa.array([p[0] for p in pair], kind), pa.array([p[1] for p in pair], kind)], ["doc_id", "y", "terms", "counts"])
-
-    found = sample.mapInArrow(count, "doc_id long, y int, terms array<long>, counts array<long>").collect()
-    found.sort(key=lambda r: (r.doc_id, r.terms, r.counts))
-    rows = np.repeat(np.arange(len(found)), [len(r.terms) for r in found])
-    flat = lambda k: np.array([x for r in found for x in r[k]], np.int64)
-    y = np.array([r.y for r in found], float)
-    index = Index(lookup, idf, rows, flat("terms"), flat("counts"), y, np.array([r.doc_id for r in found], np.int64))
-    index.calibrate()
+            rows, terms = _terms(part.column("text"))
+            order = np.lexsort((terms, rows))
+            rows, terms = rows[order], terms[order]
+            first = np.ones(len(rows), bool)
+            first[1:] = (rows[1:] != rows[:-1]) | (terms[1:] != terms[:-1])
+            begin = np.flatnonzero(first)
+            n = np.diff(np.append(begin, len(rows))).astype(np.int32)
+            at = pa.array(np.searchsorted(rows[begin], np.arange(part.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (terms[begin].view(np.int64), n)]
+            yield pa.record_batch([part.column("doc_id"), part.column("y"), *lists], ["doc_id", "y", "terms", "counts"])
+
+    found = sample.mapInArrow(count, "doc_id long, y int, terms array<long>, counts array<int>").toArrow().combine_chunks().sort_by("doc_id")
+    y, ids = found.column("y").to_numpy().astype(float), found.column("doc_id").to_numpy()
+    flat = lambda name: found.column(name).combine_chunks().flatten().to_numpy()
+    rows = np.repeat(np.arange(len(y)), found.column("terms").combine_chunks().value_lengths().to_numpy()) if len(y) else np.zeros(0, np.int64)
+    if not 0 < y.sum() < len(y):
+        none = np.zeros(0, np.int64)
+        return Index(Lookup(none.view(np.uint64)), np.zeros(0), none, none, none, y, ids)
+    vocabulary, place = np.unique(flat("terms").view(np.uint64), return_inverse=True)
+    lookup = Lookup(vocabulary)
+    df, total = document_frequency(docs, lookup)
+    told = relevance(np.bincount(place, minlength=len(vocabulary)), np.bincount(place, y[rows], len(vocabulary)), y.mean())
+    index = Index(lookup, (np.log((total + 1) / (df + 1)) + 1) * told, rows, place, flat("counts"), y, ids)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def others(batches):
+        for part in slices(batches):
+            _, votes, _ = shared.value.votes(part.column("text"), part.column("doc_id").to_pylist())
+            yield pa.record_batch([part.column("y"), pa.array(votes)], ["y", "vote"])
+
+    judged = sample.mapInArrow(others, "y int, vote double").toArrow()
+    index.calibrate(judged.column("vote").to_numpy(), judged.column("y").to_numpy().astype(float))
     return index
 
 
@@ -234,9 +265,10 @@ def scored(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
     """(doc_id, text) -> doc_id, held_out, score (probability of toxic 1), predicted, evidence (ids of the voting examples, nearest
     first) for every row and whole text.
 
-    Labels are learnt from rows whose crc32(doc_id as text) mod modulus is not held_out. Texts without any term of the index,
-    null and empty ones among them, get the share of label 1 among such examples. Repeated rows repeat
-    their scores; a null id hashes as empty text. Other columns are not read.
+    Labels are learnt from rows whose crc32(doc_id as text) mod modulus is not held_out. Vectors hold every term of the examples,
+    weighted by (1 + log count) * inverse document frequency * relevance; terms that no example has can meet none. Texts
+    without any such term, null and empty ones among them, get the share of label 1 among such examples. Repeated rows
+    repeat their scores; a null id hashes as empty text. An empty table gives no rows. Other columns are not read.
     """
     index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, modulus, held_out, limit))
 
@@ -254,7 +286,9 @@ def scored(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs that are not predicted toxic, each row judged by its own text; all columns kept, nothing shuffled."""
+    """docs that are not predicted toxic, each row judged by its own text; all columns kept, whatever they are called, nothing
+    shuffled. Null and empty texts have no term and stay unless most such examples are toxic; repeated rows stay
+    or go together; an empty table stays empty. Without labels of both kinds all rows stay or go by the constant score."""
     index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def keep(batches):

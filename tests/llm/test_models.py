@@ -1,10 +1,14 @@
+import math
 import os
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from duolog.llm import language_id, quality, toxicity
 
@@ -82,7 +86,77 @@ def test_block_max_search_is_exact():
     for i in range(0, 400, 7):
         at = rows == i
         ids, found = index.nearest(terms[at], weight[at], 15)
-        assert np.allclose(np.sort(cosine[i])[::-1][:15], found) and np.allclose(cosine[i][ids], found)
+        assert np.allclose(np.sort(cosine[i])[::-1][:15], found) and np.allclose(cosine[i][index.ids[ids]], found)
+        ids, found = index.nearest(terms[at], weight[at], 15, i)
+        assert i not in index.ids[ids] and np.allclose(np.sort(np.delete(cosine[i], i))[::-1][:15], found)
+
+
+def test_toxicity_equals_dense_cosine_over_whole_texts(tables):
+    """Words, frequencies, weights, neighbours and votes anew, without the index."""
+    docs, labels = tables
+    docs = docs.where("doc_id between 0 and 499")
+    found = {r.doc_id: r for r in toxicity.scored(docs, labels).collect()}
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    mark = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in text}
+    learn = sorted(d for d in mark if zlib.crc32(str(d).encode()) % 5)
+
+    def terms(t):
+        out = Counter()
+        for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", t.encode()):
+            w = bytes(c + 32 if 65 <= c <= 90 else c for c in w)
+            out[w] += 1
+            if len(w) > 6:
+                out[b"<" + w[:6]] += 1
+        return out
+
+    bags = {d: terms(t) for d, t in text.items()}
+    df = Counter(w for b in bags.values() for w in b)
+    seen, ones = Counter(w for d in learn for w in bags[d]), Counter(w for d in learn if mark[d] for w in bags[d])
+    rate = sum(mark[d] for d in learn) / len(learn)
+    names = {w: k for k, w in enumerate(seen)}
+    factor = np.array([(math.log((len(text) + 1) / (df[w] + 1)) + 1) * (0.1 + 0.9 * min(1, max(0, ((ones[w] - n * rate) / math.sqrt(n * rate * (1 - rate)) - 3) / 5))) for w, n in seen.items()])
+    ids = sorted(text)
+    dense = np.zeros((len(ids), len(names)))
+    for k, d in enumerate(ids):
+        for w, n in bags[d].items():
+            if w in names:
+                dense[k, names[w]] = (1 + math.log(n)) * factor[names[w]]
+    dense /= np.maximum(np.sqrt((dense**2).sum(1, keepdims=True)), 1e-300)
+    at = [ids.index(d) for d in learn]
+    cosine = dense @ dense[at].T
+    pairs = []
+    for k, d in enumerate(ids):
+        best = np.sort(cosine[k])[::-1][:15]
+        best = best[best > 1e-12]
+        mine = [cosine[k, learn.index(e)] for e in found[d].evidence]
+        assert np.allclose(best, mine)
+        if len(mine):
+            w = 1 / (1.02 - np.minimum(best, 1))
+            pairs.append((float((w * [mark[e] for e in found[d].evidence]).sum() / w.sum()), found[d].score))
+    assert len(pairs) > 400
+    pairs.sort()
+    assert all(a[1] <= b[1] + 1e-9 for a, b in zip(pairs, pairs[1:]))  # scores follow votes
+
+
+def test_repeated_ids_are_combined_before_they_reach_the_driver(tables, spark):
+    docs, labels = tables
+    few = docs.where("doc_id between 0 and 300")
+    known = labels.where("doc_id < 300").first().doc_id
+    many = few.unionByName(few.where(F.col("doc_id") == known).crossJoin(spark.range(3000)).drop("id"))
+    for module, label in ((quality, "quality"), (toxicity, "toxic")):
+        sample = quality.labelled_sample(many, labels, label, 3, 5, 1000)
+        assert sample.where(F.col("doc_id") == known).count() == 1
+        assert module.scored(many, labels).count() == many.count()
+    one = lambda df: {r.doc_id: round(r.score, 9) for r in quality.scored(df, labels).collect()}
+    assert one(many) == one(few)
+
+
+def test_clashing_columns(tables, spark):
+    docs, labels = tables
+    few = docs.where("doc_id between 0 and 300").withColumns({c: F.lit("x") for c in ("y", "_id", "score", "held_out", "predicted", "terms", "lang_pred", "s", "log_chars")})
+    for module in (quality, toxicity):
+        assert module.scored(few, labels).count() == few.count()
+    assert language_id.identified(few).count() == few.count()
 
 
 def test_languages(tables, spark):
