@@ -16,20 +16,27 @@ from pyspark.sql import functions as F
 from duolog.llm._arrow import slices
 
 CRLF = "\r\n"
+VERSION = "WARC/1.1" + CRLF
 #: Capture time of responses whose source has none.
 DATE = "2024-01-01T00:00:00Z"
 SCHEMA = (
-    "page_id long, warc_type string, record_id string, refers_to string, target_uri string, warc_date string, content_type string, "
-    "content_length long, block_digest string, source_content_type string, source_payload_digest string, n_outlinks int, content string"
+    "page_id long, warc_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, content_type string, "
+    "content_length long, block_digest string, source_status string, source_headers string, source_content_type string, source_payload_digest string, n_outlinks int, content string"
 )
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|$)|<([/!?]?[A-Za-z][A-Za-z0-9]*)[^>]*>|<![^>]*>", re.S | re.I)
-_BREAKS = frozenset("p div br h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr table article section header footer nav aside main blockquote pre hr title body".split())
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_HREF = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+# No pattern looks past the next angle bracket, so that a page takes time in proportion to its length.
+_TAG = re.compile(r"<!--|<(/?)([A-Za-z][A-Za-z0-9]*)([^<>]*)>|<[!?/][^<>]*>")
+_LANG = re.compile(r"\blang\s{0,9}=\s{0,9}[\"']?([A-Za-z0-9-]+)", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s{0,9}=\s{0,9}(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))", re.I)
+_CLOSE = {name: re.compile(f"</{name}[^<>]*>", re.I) for name in ("script", "style", "title")}
+_BREAKS = frozenset("p div br h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr table article section header footer nav aside main blockquote pre hr body".split())
+_UNSEEN = frozenset(("head", "noscript", "template"))
 _SPACES = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
+_FIELDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+
+
+def _arrow(schema: str) -> pa.Schema:
+    return pa.schema([(name, _FIELDS[kind]) for name, kind in (x.split() for x in schema.split(", "))])
 
 
 def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
@@ -46,82 +53,114 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _turn(tag: re.Match) -> str:
-    if tag[1]:
-        return "\n"
-    return "\n" if tag[2] and tag[2].lstrip("/!?").lower() in _BREAKS else ""
-
-
-def plain_text(page: str) -> str:
-    """Visible text: comments, head, scripts and styles go, block tags break lines, other tags vanish, entities are resolved,
-    white space is folded. Unclosed comments and scripts hide the rest."""
-    text = entities.unescape(_TAG.sub(_turn, page)).replace("\r", "\n")
-    return _LINES.sub("\n", _SPACES.sub(" ", text)).strip()
-
+def read_page(page: str, uri: str) -> tuple[str, str, list[str], str]:
+    """Title, declared language, absolute outlinks in order of first mention, and visible text, in one pass.
 
-def facts(page: str, uri: str) -> tuple[str, str, list[str]]:
-    """Title, declared language, and absolute outlinks in order of first mention."""
-    seen = _HIDDEN.sub("", page)
-    title = _TITLE.search(seen)
-    lang = _LANG.search(seen)
+    Text: comments, head, scripts and styles go, block tags break lines, other tags vanish, entities are resolved, white space
+    is folded. Unclosed comments, scripts, styles and titles hide the rest; a head ends at the body at the latest. A tag ends
+    at the next angle bracket; < before another < is text."""
+    out: list[str] = []
     links: dict[str, None] = {}
-    for m in _HREF.finditer(seen):
-        try:
-            links[urljoin(uri, entities.unescape(m[1] or m[2] or m[3] or "").strip())] = None
-        except ValueError:
+    title, lang, unseen, at = None, "", "", 0
+    for_next = _TAG.search
+    while (tag := for_next(page, at)) is not None:
+        if not unseen:
+            out.append(page[at : tag.start()])
+        at = tag.end()
+        if tag.group(2) is None:
+            if tag.group(0) == "<!--":
+                end = page.find("-->", at)
+                at = len(page) if end < 0 else end + 3
             continue
-    return (" ".join(entities.unescape(title[1]).split()) if title else ""), (lang[1] if lang else ""), list(links)
-
-
-def split_block(block: str) -> tuple[dict[str, str], str]:
-    """HTTP header fields (names lower-cased, last one wins) and payload. Without a blank line all is payload."""
+        name, closing = tag.group(2).lower(), tag.group(1)
+        if name in _BREAKS:
+            out.append("\n")
+        if name == "body" and not closing or closing and name == unseen:
+            unseen = ""
+        elif closing:
+            continue
+        elif name in _CLOSE:
+            end = _CLOSE[name].search(page, at)
+            if name == "title" and title is None and end:
+                title = page[at : end.start()]
+            at = end.end() if end else len(page)
+            out.append("\n")
+        elif name in _UNSEEN and not unseen:
+            unseen = name
+            out.append("\n")
+        elif name == "html" and not lang and (found := _LANG.search(tag.group(3))):
+            lang = found[1]
+        elif name == "a" and (found := _HREF.search(tag.group(3))):
+            try:
+                links[urljoin(uri, entities.unescape(found[1] or found[2] or found[3] or "").strip())] = None
+            except ValueError:
+                continue
+    if not unseen:
+        out.append(page[at:])
+    text = entities.unescape("".join(out)).replace("\r", "\n")
+    return " ".join(entities.unescape(title or "").split()), lang, list(links), _LINES.sub("\n", _SPACES.sub(" ", text)).strip()
+
+
+def split_block(block: str) -> tuple[str, list[tuple[str, str]], str]:
+    """HTTP status line, header fields in order with repeats, and payload. Without a blank line all is payload."""
     head, found, payload = block.partition(CRLF + CRLF)
-    if not found or not head.startswith("HTTP/"):
-        return {}, block
-    fields = (line.partition(":") for line in head.split(CRLF)[1:])
-    return {name.strip().lower(): value.strip() for name, _, value in fields}, payload
+    if not head.startswith("HTTP/") or not found:
+        return "", [], block
+    status, *lines = head.split(CRLF)
+    fields: list[tuple[str, str]] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and fields:  # a folded line goes on
+            fields[-1] = (fields[-1][0], f"{fields[-1][1]} {line.strip()}")
+        elif line:
+            name, _, value = line.partition(":")
+            fields.append((name.strip(), value.strip()))
+    return status, fields, payload
 
 
 def _derived(record: dict) -> list[tuple]:
-    head, payload = split_block(record["block"] or "")
+    status, fields, payload = split_block(record["block"] or "")
     uri, source = record["target_uri"] or "", record["record_id"] or ""
     source_digest = digest(payload.encode())
-    title, lang, links = facts(payload, uri)
-    text = plain_text(payload)
-    lines = [("title", title), ("language", lang), ("source-content-type", head.get("content-type", "")), ("source-payload-digest", source_digest)]
+    kind_of = next((value for name, value in reversed(fields) if name.lower() == "content-type"), "")
+    title, lang, links, text = read_page(payload, uri)
+    lines = [("title", title), ("language", lang), ("source-status", status), *((f"source-header-{name.lower()}", value) for name, value in fields), ("source-payload-digest", source_digest)]
     lines += [("outlink", link) for link in links]
     meta = "".join(f"{k}: {' '.join(v.split())}{CRLF}" for k, v in lines if v)
+    headers = CRLF.join(f"{name}: {value}" for name, value in fields)
+    names = {kind: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}|{source}|{source_digest}')}>" for kind in ("metadata", "conversion")}
     out = []
-    for kind, mime, content in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", text)):
-        name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}|{source}|{source_digest}')}>"
+    for kind, other, mime, content in (("metadata", "conversion", "application/warc-fields", meta), ("conversion", "metadata", "text/plain; charset=utf-8", text)):
         data = content.encode()
-        out.append((record["page_id"], kind, name, source, uri, record["warc_date"], mime, len(data), digest(data), head.get("content-type", ""), source_digest, len(links), content))
+        out.append((record["page_id"], kind, names[kind], source, names[other], uri, record["warc_date"], mime, len(data), digest(data), status, headers, kind_of, source_digest, len(links), content))
     return out
 
 
 def derivatives(records: DataFrame) -> DataFrame:
     """Response records -> two rows per record (see SCHEMA): a metadata and a conversion record. Both name the response in
-    refers_to and keep its URI, date, content type and payload digest; each has a digest and length of its own.
+    refers_to and each other in concurrent_to, and keep its URI, date, status line, header fields (all, in order), content type
+    and payload digest; each has a digest and length of its own. The metadata record's content lists them too.
 
     Rows are independent: nothing is shuffled, repeated responses give repeated records, an empty table gives none. Null blocks
-    are empty payloads. Only page_id, record_id, target_uri, warc_date and block are read."""
+    are empty payloads, other nulls empty texts. Only page_id, record_id, target_uri, warc_date and block are read, whatever other
+    columns are called. Work grows with a page's length, whatever it holds."""
+    fields = _arrow(SCHEMA)
 
     def derive(batches):
         for part in slices(batches, "block"):
             rows = [row for record in part.to_pylist() for row in _derived(record)]
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 
-    fields = pa.schema(
-        [(n, {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[t]) for n, t in (x.split() for x in SCHEMA.split(", "))]
-    )
     return records.select("page_id", "record_id", "target_uri", "warc_date", "block").mapInArrow(derive, SCHEMA)
 
 
 def record_text(records: DataFrame) -> DataFrame:
     """Whole WARC/1.1 records as a single string column `value`, without the two line ends that follow each."""
-    field = lambda name, c: F.concat(F.lit(f"{name}: "), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(CRLF))
-    named = [("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", "warc_date"), ("WARC-Block-Digest", "block_digest"), ("Content-Type", "content_type"), ("Content-Length", "content_length")]
-    return records.select(F.concat(F.lit("WARC/1.1" + CRLF), *[field(n, c) for n, c in named], F.lit(CRLF), "content").alias("value"))
+    field = lambda name, c: F.concat(F.lit(f"{name}: "), F.col(c).cast("string"), F.lit(CRLF))
+    named = [
+        ("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"), ("WARC-Concurrent-To", "concurrent_to"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", "warc_date"),
+        ("WARC-Block-Digest", "block_digest"), ("WARC-Source-Payload-Digest", "source_payload_digest"), ("Content-Type", "content_type"), ("Content-Length", "content_length"),
+    ]
+    return records.select(F.concat(F.lit(VERSION), *[F.coalesce(field(n, c), F.lit("")) for n, c in named if c in records.columns], F.lit(CRLF), "content").alias("value"))
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -129,17 +168,50 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
     record_text(records).write.option("lineSep", CRLF + CRLF).option("compression", compression).text(path)
 
 
+READ = "page_id long, warc_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, block_digest string, content_type string, content string, block string, whole boolean"
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC/1.1 files: warc_type, record_id, refers_to, target_uri, warc_date, block_digest, content_type, content, whole.
-    Files are split at version lines; `whole` is false where the content's length is not the declared one, as when a
-    payload itself holds a version line."""
-    raw = spark.read.option("lineSep", "WARC/1.1" + CRLF).text(path).where("value <> ''")
-    head = F.concat(F.lit(CRLF), F.substring_index("value", CRLF + CRLF, 1), F.lit(CRLF))
-    body = F.expr(f"substr(value, instr(value, '{CRLF}{CRLF}') + 4)")
-    get = lambda name: F.regexp_extract(head, f"(?i)\r\n{name}: ([^\r\n]*)\r\n", 1)
-    content = F.regexp_replace(body, "\r\n\r\n$", "")
-    return raw.select(
-        get("WARC-Type").alias("warc_type"), get("WARC-Record-ID").alias("record_id"), get("WARC-Refers-To").alias("refers_to"), get("WARC-Target-URI").alias("target_uri"),
-        get("WARC-Date").alias("warc_date"), get("WARC-Block-Digest").alias("block_digest"), get("Content-Type").alias("content_type"), content.alias("content"),
-        (F.octet_length(content) == get("Content-Length").try_cast("long")).alias("whole"),
-    )
+    """Records of WARC/1.1 files, see READ. `block` is the content of a response and null for other records, so that response
+    records can go to `derivatives`; page_id is null.
+
+    Spark cuts files at version lines. A record whose content is shorter than declared goes on through the next cuts, so version
+    lines inside a payload do no harm. `whole` tells whether the declared length was met; it can be false at the edge of a split
+    of an uncompressed file, or for a record with a wrong length. Files without records give no rows."""
+    raw = spark.read.option("lineSep", VERSION).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    names = ("warc-type", "warc-record-id", "warc-refers-to", "warc-concurrent-to", "warc-target-uri", "warc-date", "warc-block-digest", "content-type")
+    fields = _arrow(READ)
+
+    def parse(record: str) -> tuple[dict, str, int]:
+        head, _, content = record.partition(CRLF + CRLF)
+        found = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in head.split(CRLF))}
+        size = found.get("content-length", "")
+        return found, content, int(size) if size.isdigit() else -1
+
+    def row(found: dict, data: bytes, size: int) -> tuple:
+        whole = size >= 0 and len(data) >= size and data[size:].strip(b"\r\n") == b""
+        content = data[:size].decode(errors="replace") if whole else data.decode(errors="replace").removesuffix(CRLF + CRLF)
+        kept = [found.get(n, "") for n in names]
+        return (None, *kept, content, content if kept[0] == "response" else None, whole)
+
+    def join(batches):
+        open_record, last = None, None  # header fields, bytes so far, declared size
+        for batch in batches:
+            done = []
+            for value, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                same, last = file == last, file
+                if open_record is not None and same and len(open_record[1]) < open_record[2]:
+                    open_record[1] += VERSION.encode() + value.encode()
+                    continue
+                if open_record is not None:
+                    done.append(row(*open_record))
+                    open_record = None
+                if value.strip():
+                    found, content, size = parse(value)
+                    open_record = [found, bytearray(content.encode()), size]
+            if done:
+                yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*done), fields)], schema=fields)
+        if open_record is not None:
+            yield pa.record_batch([pa.array([c], f.type) for c, f in zip(row(*open_record), fields)], schema=fields)
+
+    return raw.mapInArrow(join, READ)

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import textwrap
+from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ def test_derivatives_link_to_their_response(spark):
         assert r.refers_to == source[page].record_id and r.target_uri == source[page].target_uri
         assert r.content_length == len(r.content.encode()) and r.block_digest == "sha1:" + base64.b32encode(hashlib.sha1(r.content.encode()).digest()).decode()
     meta, text = got[1, "metadata"], got[1, "conversion"]
-    assert "title: A & B\r\nlanguage: fr\r\nsource-content-type: text/html; charset=utf-8\r\n" in meta.content
+    assert "title: A & B\r\nlanguage: fr\r\nsource-status: HTTP/1.1 200 OK\r\nsource-header-content-type: text/html; charset=utf-8\r\n" in meta.content
     assert meta.n_outlinks == 1 and "outlink: http://e.org/x?a=1&b=2\r\n" in meta.content
     assert text.source_payload_digest == warc.digest(PAGE.encode()) and text.content == "Hi you\none two\nthree él l".replace("l l", "ll")
     assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
@@ -33,6 +34,88 @@ def test_files_round_trip(spark, tmp_path):
     assert key(back) == key(records) and back.where("not whole").count() == 0
 
 
+def test_all_source_headers_stay_and_records_name_each_other(spark):
+    head = "HTTP/1.1 404 Not Found\r\nDate: Mon\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nX-Long: one\r\n two\r\ncontent-type: text/html"
+    blocks = [(1, "<r1>", "http://e.org/", None, head + "\r\n\r\n<p>hi", 0), (2, None, None, "d", None, 0), (3, "<r3>", "u", "d", "no head at all", 0), (3, "<r3>", "u", "d", "no head at all", 0)]
+    df = spark.createDataFrame(blocks, "page_id long, record_id string, target_uri string, warc_date string, block string, content int")
+    got = warc.derivatives(df).collect()
+    assert len(got) == 8
+    pair = {r.warc_type: r for r in got if r.page_id == 1}
+    for r in pair.values():
+        assert r.source_status == "HTTP/1.1 404 Not Found" and r.source_content_type == "text/html"
+        assert r.source_headers == "Date: Mon\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nX-Long: one two\r\ncontent-type: text/html"
+    assert pair["metadata"].concurrent_to == pair["conversion"].record_id and pair["conversion"].concurrent_to == pair["metadata"].record_id
+    assert "source-header-set-cookie: a=1\r\nsource-header-set-cookie: b=2\r\n" in pair["metadata"].content and pair["conversion"].content == "hi"
+    assert [r.content for r in got if r.page_id == 3 and r.warc_type == "conversion"] == ["no head at all"] * 2
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    for page in ("<a " * 350_000, "<title>" * 150_000, "<" * 1_000_000, "<!--" * 250_000, "<script>" * 130_000, "<a href='" * 110_000, "<html lang" * 100_000, "<p>" * 330_000, "<head><p>x" * 100_000, "</" * 500_000, "a href=" * 140_000, "<a href" + " " * 1_000_000 + ">"):
+        began = time.time()
+        warc.read_page(page, "http://e.org/")
+        assert time.time() - began < 5
+
+
+def parsed(data):
+    """WARC records by their declared lengths alone."""
+    at, out = 0, []
+    while at < len(data):
+        assert data[at : at + 10] == b"WARC/1.1\r\n"
+        end = data.index(b"\r\n\r\n", at)
+        head = dict(line.split(": ", 1) for line in data[at + 10 : end].decode().split("\r\n"))
+        size = int(head["Content-Length"])
+        out.append((head, data[end + 4 : end + 4 + size]))
+        assert data[end + 4 + size :][:4] == b"\r\n\r\n"
+        at = end + 8 + size
+    return out
+
+
+def test_independent_parser_reads_the_files_of_all_pages(spark, tmp_path):
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a" and (href := dict(attrs).get("href")) is not None:
+                self.found.append(urljoin(self.base, href.strip()))
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    records = warc.derivatives(warc.responses(pages))
+    warc.write_warc(records, str(tmp_path / "w"), "none")
+    found = [r for f in sorted((tmp_path / "w").glob("part-*")) for r in parsed(f.read_bytes())]
+    assert len(found) == 2 * pages.count()
+    responses = {r.record_id: r for r in warc.responses(pages).collect()}
+    seen = {}
+    for head, content in found:
+        source = responses[head["WARC-Refers-To"]]
+        assert head["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(content).digest()).decode()
+        assert head["WARC-Target-URI"] == source.target_uri
+        seen[head["WARC-Record-ID"]] = head
+        if head["WARC-Type"] == "metadata":
+            p = Links()
+            p.base = source.target_uri
+            p.feed(source.block.partition("\r\n\r\n")[2])
+            mine = [line[9:] for line in content.decode().split("\r\n") if line.startswith("outlink: ")]
+            assert mine == list(dict.fromkeys(" ".join(x.split()) for x in p.found))
+    assert all(seen[h["WARC-Concurrent-To"]]["WARC-Concurrent-To"] == k for k, h in seen.items())
+    back = warc.read_warc(spark, str(tmp_path / "w"))
+    assert back.count() == len(found) and back.where("not whole").count() == 0
+
+
+def test_version_lines_in_a_payload_and_responses_read_back(spark, tmp_path):
+    block = "HTTP/1.1 200 OK\r\nServer: s\r\n\r\n<p>WARC/1.1\r\nWARC-Type: no\r\n\r\nWARC/1.1\r\n</p>"
+    record = lambda k: f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r{k}>\r\nWARC-Target-URI: http://e.org/{k}\r\nContent-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes("".join(record(k) for k in range(4)).encode())
+    got = warc.read_warc(spark, str(tmp_path / "a.warc"))
+    assert sorted((r.record_id, r.block, r.whole) for r in got.collect()) == [(f"<r{k}>", block, True) for k in range(4)]
+    assert warc.derivatives(got).where("source_headers = 'Server: s'").count() == 8
+
+
 def test_rules_want_order_and_the_longer_rule_wins(spark):
     s = licenses.SENTENCES
     full = ". ".join(s[k].upper() for k in ("mit.grant", "mit.keep", "mit.asis", "mit.liability")) + "."
