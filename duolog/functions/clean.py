@@ -25,6 +25,18 @@ LABELS = {
     "regular season": "Regular Season",
     "playoffs": "Playoffs",
 }
+# Label of a fetched log -> vocabulary.
+FETCHED_LABELS = {
+    "regular season": "Regular Season",
+    "pre season": "Pre Season",
+    "preseason": "Pre Season",
+    "playin": "PlayIn",
+    "play-in": "PlayIn",
+    "playoffs": "Playoffs",
+    "post season": "Playoffs",
+    "in season tournament": "In-Season Tournament",
+    "in-season tournament": "In-Season Tournament",
+}
 # Id prefixes that are in use.
 KNOWN_PREFIXES = ("001", "002", "003", "004", "005")
 # Label by the id's first three digits.
@@ -65,6 +77,19 @@ def canonical_label(c: Column, labels: Mapping[str, str] = LABELS) -> Column:
     return F.coalesce(known[F.lower(c)], c)
 
 
+def fetched_label(c: Column) -> Column:
+    """Vocabulary label of a fetched one, blanks around it aside; the label as it is where it is unknown."""
+    known = F.create_map(*[F.lit(x) for pair in FETCHED_LABELS.items() for x in pair])
+    return F.coalesce(known[F.lower(F.trim(c))], c)
+
+
+def keep_known_ids(df: DataFrame, column: str, prefixes: Sequence[str] = KNOWN_PREFIXES) -> DataFrame:
+    """df with the column as digits, padded with zeros to ten (longer ids stay whole); rows whose id has no known prefix go."""
+    digits = F.coalesce(F.regexp_extract(F.col(column).cast("string"), r"(\d+)", 1), F.lit(""))
+    padded = F.when(F.length(digits) < 10, F.lpad(digits, 10, "0")).otherwise(digits)
+    return df.withColumn(column, padded).where(F.substring(column, 1, 3).isin(*prefixes))
+
+
 def prefix_label(label: Column, padded: Column) -> Column:
     """The label, or the one that the id's prefix stands for."""
     known = F.create_map(*[F.lit(x) for pair in PREFIX_LABELS.items() for x in pair])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duolog.operators.quality import quantiles
+
 METRICS = ("pts", "fga", "tpm", "fta", "reb", "tov", "pf")
 DECILES = tuple(k / 10 for k in range(1, 10))
 
@@ -25,7 +27,7 @@ def baseline(facts: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
 
 def decile_cuts(facts: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     """One row of arrays of nine continuous quantiles."""
-    return baseline_rows(facts).agg(*[F.percentile(F.col(m).cast("double"), [float(d) for d in DECILES]).alias(f"q_{m}") for m in metrics])
+    return quantiles(baseline_rows(facts), metrics, DECILES).toDF(*[f"q_{m}" for m in metrics])
 
 
 def decile_bin(value: Column, cuts: Column) -> Column:

@@ -82,17 +82,19 @@ def side_fact(wide: DataFrame, line: DataFrame, events: DataFrame, overrides: Da
     events; overrides as in `apply_side_overrides`; teams (team_id) known teams. Sides come from line, else from "vs."
     or "@" in the matchup, then from overrides. Points come from line, else from made shots. Shares are clamped to [0, 1]; minutes
     outside 200-330 are dropped and flagged; points that differ by more than 2 are flagged. The result is by comparison
-    with the opponent, else the raw letter. Of repeated rows that with a result, letter, matchup and the latest date stays.
+    with the opponent, else the raw letter. Columns that wide lacks are null. Of repeated rows that with a result, letter, matchup and the latest date stays.
     """
-    whole = ["pts", "fgm", "fga", "fg3m", "fg3a", "ftm", "fta"]
-    long = unpivot_sides(wide, ["game_id", "season_id", "season_type", "game_date", "min"], ["team_id", "matchup", "wl", *whole])
+    whole = ["pts", "fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk", "tov", "pf", "plus_minus"]
+    shares, names = ["fg_pct", "fg3_pct", "ft_pct"], ["team_abbreviation", "team_name", "matchup", "wl"]
+    long = unpivot_sides(wide, ["game_id", "season_id", "season_type", "game_date", "min"], ["team_id", "video_available", *names, *whole, *shares])
     raw = blank_to_null(F.col("season_type"))
     rows = long.select(
         padded_id(F.col("game_id")).alias("game_id"), blank_to_null(F.col("team_id")).alias("team_id"), "season_id", raw.alias("season_type_raw"),
         canonical_label(raw).alias("season_type"), tolerant(F.col("game_date"), "date").alias("game_date"), tolerant(F.col("min"), "double").alias("minutes_raw"),
-        blank_to_null(F.col("matchup")).alias("matchup"), blank_to_null(F.col("wl")).alias("wl"), *[tolerant(F.col(c), "double").alias(c) for c in whole],
+        tolerant(F.col("video_available"), "boolean").alias("video_available"), *[blank_to_null(F.col(c)).alias(c) for c in names],
+        *[tolerant(F.col(c), "double").alias(c) for c in whole], *[tolerant(F.col(c), "double").alias(f"{c}_raw") for c in shares],
     )
-    rows = rows.withColumn("prefix_known", known_prefix(F.col("game_id")))
+    rows = rows.withColumns({"game_id_prefix": F.substring("game_id", 1, 3), "prefix_known": known_prefix(F.col("game_id"))})
     rows = rows.join(line, ["game_id", "team_id"], "left")
     rows = flag_known(rows, events.select(padded_id(F.col("game_id")).alias("game_id")), ["game_id"], "has_events")
     guess = (
@@ -109,7 +111,8 @@ def side_fact(wide: DataFrame, line: DataFrame, events: DataFrame, overrides: Da
     made = (none("fgm") - none("fg3m")) * 2 + none("fg3m") * 3 + none("ftm")
     rows = rows.withColumns(
         {
-            "fg_pct": share("fgm", "fga"), "fg3_pct": share("fg3m", "fg3a"), "ft_pct": share("ftm", "fta"), "pts_final": F.coalesce("bx_pts", made, "pts"),
+            "fg_pct": share("fgm", "fga"), "fg3_pct": share("fg3m", "fg3a"), "ft_pct": share("ftm", "fta"), "pts_calc": made, "pts_final": F.coalesce("bx_pts", made, "pts"),
+            "has_pts_from_bx": F.col("bx_pts").isNotNull(),
             "min_final": F.when(F.col("minutes_raw").between(200, 330), F.col("minutes_raw")),
             "min_bad": F.coalesce((F.col("minutes_raw") < 200) | (F.col("minutes_raw") > 330), F.lit(False)),
             "pts_mismatch": F.coalesce(F.abs(F.col("bx_pts") - F.col("pts")) > 2, F.lit(False)), "has_line": F.col("bx_side").isNotNull(),
@@ -117,11 +120,9 @@ def side_fact(wide: DataFrame, line: DataFrame, events: DataFrame, overrides: Da
         }
     )
     rows = flag_known(rows, teams, ["team_id"], "team_known")
-    rows = rows.withColumn("row_valid", F.col("team_known") & (F.col("start_year") >= 2010) & F.col("is_home").isNotNull())
-    other = rows.select("game_id", F.col("team_id").alias("_team"), F.col("pts_final").alias("_pts"))
-    joined = rows.join(other, "game_id", "left").where("_team <> team_id or _team is null")
-    alone = rows.join(joined.select("game_id", "team_id").distinct(), ["game_id", "team_id"], "left_anti").withColumns({"_team": F.lit(None).cast("string"), "_pts": F.lit(None).cast("double")})
-    rows = joined.unionByName(alone)
+    rows = rows.withColumn("row_valid_any", F.col("team_known")).withColumn("row_valid", F.col("team_known") & (F.col("start_year") >= 2010) & F.col("is_home").isNotNull())
+    other = rows.select(F.col("game_id").alias("_game"), F.col("team_id").alias("_team"), F.col("pts_final").alias("_pts"))
+    rows = rows.join(other, (F.col("game_id") == F.col("_game")) & (F.col("team_id") != F.col("_team")), "left").drop("_game")
     rows = rows.withColumn("wl_final", result_of(F.col("pts_final"), F.col("_pts"), F.upper("wl"))).drop("_team")
     order = [F.col("wl_final").isNull(), F.col("wl").isNull(), F.col("matchup").isNull(), F.col("game_date").desc_nulls_last(), F.col("_pts").desc_nulls_last(), F.col("pts_final").desc_nulls_last(), F.col("pts").desc_nulls_last()]
     return first_per_key(rows, ["game_id", "team_id"], order).drop("_pts")

@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: column, n, nulls, pct_null, n_distinct, min, max (as text); one pass over the table."""
+    """One row per column: column, n, nulls, n_distinct, min, max (as text), pct_null. Plain counts take one scan without a
+    shuffle of rows; distinct values are counted from (column, value) pairs, combined before the shuffle."""
     aggregates = [F.count("*").alias("_n")]
     for c in columns:
-        aggregates += [F.count_if(F.col(c).isNull()).alias(f"_u_{c}"), F.count_distinct(c).alias(f"_d_{c}"), F.min(c).cast("string").alias(f"_l_{c}"), F.max(c).cast("string").alias(f"_h_{c}")]
+        aggregates += [F.count(c).alias(f"_u_{c}"), F.min(c).cast("string").alias(f"_l_{c}"), F.max(c).cast("string").alias(f"_h_{c}")]
     one = df.agg(*aggregates)
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col("_n").alias("n"), F.col(f"_u_{c}").alias("nulls"), F.col(f"_d_{c}").alias("n_distinct"), F.col(f"_l_{c}").alias("min"), F.col(f"_h_{c}").alias("max")) for c in columns])
-    return one.select(F.explode(rows).alias("_r")).select("_r.*").withColumn("pct_null", F.col("nulls") * F.lit(100.0) / F.nullif("n", F.lit(0)))
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col("_n").alias("n"), (F.col("_n") - F.col(f"_u_{c}")).alias("nulls"), F.col(f"_l_{c}").alias("min"), F.col(f"_h_{c}").alias("max")) for c in columns])
+    plain = one.select(F.explode(rows).alias("_r")).select("_r.*")
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_p")).select("_p.*")
+    distinct = pairs.where("value is not null").distinct().groupBy("column").agg(F.count("*").alias("_d"))
+    joined = plain.join(F.broadcast(distinct), "column", "left")
+    return joined.select("column", "n", "nulls", F.coalesce("_d", F.lit(0)).alias("n_distinct"), "min", "max", (F.col("nulls") * F.lit(100.0) / F.nullif("n", F.lit(0))).alias("pct_null"))
+
+
+def profile_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """`null_profile` of several tables in one report: table_name, column_name, n_rows, n_null, pct_null (three digits), n_distinct,
+    v_min, v_max; by table, worst columns first."""
+    union = None
+    for name, (df, columns) in tables.items():
+        one = null_profile(df, columns).select(
+            F.lit(name).alias("table_name"), F.col("column").alias("column_name"), F.col("n").alias("n_rows"), F.col("nulls").alias("n_null"), F.round("pct_null", 3).alias("pct_null"),
+            "n_distinct", F.col("min").alias("v_min"), F.col("max").alias("v_max"),
+        )
+        union = one if union is None else union.unionByName(one)
+    return union.orderBy("table_name", F.desc("pct_null"), "column_name")
 
 
 def missing_by_group(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -23,16 +41,43 @@ def missing_by_group(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
 
 
 def missing_hotspots(df: DataFrame, keys: Sequence[str], columns: Sequence[str], least: float = 20.0) -> DataFrame:
-    """Clusters and metrics with at least `least` percent missing."""
+    """Clusters and metrics with at least `least` percent missing, worst and largest first."""
     counts = missing_by_group(df, keys, columns)
     long = counts.select(*keys, "n", *[F.col(f"null_{c}").alias(c) for c in columns]).unpivot([*keys, "n"], list(columns), "metric", "nulls")
-    return long.withColumn("pct", F.col("nulls") * F.lit(100.0) / F.col("n")).where(F.col("pct") >= least)
+    return long.withColumn("pct", F.col("nulls") * F.lit(100.0) / F.col("n")).where(F.col("pct") >= least).orderBy(F.desc("pct"), F.desc("n"), *keys, "metric")
+
+
+#: Equal parts of a column's range in which `quantiles` seeks ranks.
+PARTS = 4096
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Exact continuous quantiles of whole columns: one row of arrays, null without values. No task sees a whole column: counts of PARTS equal
+    parts of each column's range tell which parts hold the ranks, and only the distinct values of those parts are ranked."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "_c", "_v").where("_v is not null")
+    span = F.broadcast(long.groupBy("_c").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n")))
+    part = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PARTS), F.lit(PARTS - 1))).otherwise(0)
+    values = long.join(span, "_c").withColumn("_b", part.cast("int")).groupBy("_c", "_n", "_b", "_v").agg(F.count("*").alias("_k"))
+    before = lambda w: F.coalesce(F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = values.groupBy("_c", "_n", "_b").agg(F.sum("_k").alias("_k"))
+    parts = parts.withColumn("_at", before(Window.partitionBy("_c").orderBy("_b")))
+    place = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(shares)]))
+    ranks = span.select("_c", "_n", place.alias("_q")).select("_c", F.col("_q.i").alias("_i"), ((F.col("_n") - 1) * F.col("_q.q")).alias("_h"))
+    ends = ranks.withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))))
+    held = ends.join(F.broadcast(parts.withColumnRenamed("_k", "_w").drop("_n")), "_c").where("_r >= _at and _r < _at + _w").select("_c", "_i", "_h", "_r", "_b", "_at")
+    some = values.join(F.broadcast(held.select("_c", "_b", "_at").distinct()), ["_c", "_b"])
+    ranked = some.withColumn("_from", F.col("_at") + before(Window.partitionBy("_c", "_b").orderBy("_v"))).select("_c", "_v", "_from", "_k")
+    found = ranked.join(F.broadcast(held.select("_c", "_i", "_h", "_r")), "_c").where("_r >= _from and _r < _from + _k")
+    low = F.min_by("_v", "_r")
+    value = found.groupBy("_c", "_i", "_h").agg((low + (F.max_by("_v", "_r") - low) * (F.col("_h") - F.floor("_h"))).alias("_x"))
+    return value.groupBy().agg(*[F.transform(F.sort_array(F.collect_list(F.when(F.col("_c") == c, F.struct("_i", "_x")))), lambda x: x["_x"]).alias(c) for c in columns])
 
 
 def medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str) -> DataFrame:
-    """Exact medians; without keys one row."""
-    aggregates = [F.median(c).alias(f"{prefix}{c}") for c in columns]
-    return df.groupBy(*keys).agg(*aggregates) if keys else df.agg(*aggregates)
+    """Exact medians per key; without keys one row, see `quantiles`."""
+    if keys:
+        return df.groupBy(*keys).agg(*[F.median(c).alias(f"{prefix}{c}") for c in columns])
+    return quantiles(df, columns, [0.5]).select(*[F.get(c, F.lit(0)).alias(f"{prefix}{c}") for c in columns])
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
@@ -46,14 +91,9 @@ def impute_medians(df: DataFrame, columns: Sequence[str], levels: Sequence[Seque
     return out.withColumns(flags).withColumns(filled).drop(*[f"_m{n}_{c}" for n in range(len(levels)) for c in columns])
 
 
-RULES = (
-    "fgm is null or fga is null or fgm <= fga",
-    "tpm is null or tpa is null or tpm <= tpa",
-    "fgm is null or tpm is null or fgm >= tpm",
-    "fga is null or fta is null or (fga >= 0 and fta >= 0)",
-    "pts is null or pts >= 0",
-    "oreb is null or dreb is null or (oreb >= 0 and dreb >= 0)",
-)
+#: Pairs of which neither may be missing for the rule to count, and what must hold of them.
+_BOUNDS = (("fgm", "fga", "{0} <= {1}"), ("tpm", "tpa", "{0} <= {1}"), ("tpm", "fgm", "{0} <= {1}"), ("fga", "fta", "({0} >= 0 and {1} >= 0)"), ("pts", "pts", "{0} >= 0"), ("oreb", "dreb", "({0} >= 0 and {1} >= 0)"))
+RULES = tuple(" or ".join([*dict.fromkeys(f"{c} is null" for c in (a, b)), rule.format(a, b)]) for a, b, rule in _BOUNDS)
 #: The rules joined as they once were, without brackets: "and" binds tighter, so nearly every row passes.
 LOOSE = " and ".join(RULES)
 
@@ -109,5 +149,21 @@ def newest(df: DataFrame, n: int, date: str, ties: Sequence[str]) -> DataFrame:
     return df.orderBy(F.col(date).desc_nulls_last(), *ties).limit(n)
 
 
+def minutes_gate(minutes: DataFrame, targets: DataFrame, cutoff: str, newest_rows: int = 20_000, most: float = 1.0) -> DataFrame:
+    """The newest rows of minutes (game_id, team_id, minutes_raw) with their game's target (game_id, game_date, target_minutes) and
+    min_bad: both are known and differ by more than `most`. level: failure from the cutoff on, else legacy; null for good rows."""
+    rows = minutes.join(targets, "game_id").withColumn("min_bad", F.coalesce(F.abs(F.col("minutes_raw") - F.col("target_minutes")) > most, F.lit(False)))
+    level = F.when(F.col("min_bad"), F.when(F.col("game_date") >= F.lit(cutoff).cast("date"), "failure").otherwise("legacy"))
+    return newest(rows, newest_rows, "game_date", ["game_id", "team_id"]).withColumn("level", level)
+
+
+def require_none(df: DataFrame, what: str) -> DataFrame:
+    """One row with bad_rows, or an error where there are any."""
+    bad = df.agg(F.count("*").alias("bad_rows"))
+    if found := bad.first().bad_rows:
+        raise ValueError(f"{found} rows: {what}")
+    return bad
+
+
 def label_counts(df: DataFrame, label: str, missing: str = "MISSING") -> DataFrame:
     return df.groupBy(F.coalesce(F.nullif(F.trim(label), F.lit("")), F.lit(missing)).alias(label)).agg(F.count("*").alias("n"))

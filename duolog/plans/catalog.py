@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,13 @@ _SQL: dict[str, str] = {}
 
 
 def queries() -> dict[str, Callable]:
+    from duolog.plans import reports  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -43,7 +47,8 @@ def oracle(uses: str, body: str, digits: dict[int, str] | None = None, extra: st
 
 
 class Tables:
-    """What queries share; every attribute is a lazy plan over the given tables."""
+    """What queries share; every attribute is a lazy plan over the given tables. What many branches of one query read (games, season
+    totals, league and external scores) is kept by Spark on executors, on disk where memory is short, and computed anew if lost."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -55,25 +60,27 @@ class Tables:
     calendar = property(lambda t: lens.calendar(t.spark, t.sf_dir))
     stats = property(lambda t: lens.stats(t.spark, t.sf_dir))
     games = property(lambda t: facts.with_opponent(t.stats, t.pairs.join(t.calendar, "game_id")).select("game_id", "team_id", *STATS, "game_date", "season", "season_type", "is_home", "opp_team_id"))
-    reb = property(lambda t: t.games.withColumn("reb", F.col("oreb") + F.col("dreb")))
+    kept_games = cached_property(lambda t: t.games.persist())
+    reb = property(lambda t: t.kept_games.withColumn("reb", F.col("oreb") + F.col("dreb")))
     raw = property(lambda t: lens.raw_log(t.games))
     schedule = property(lambda t: features.schedule_features(t.games))
+    kept_schedule = property(lambda t: features.schedule_features(t.kept_games))
     rated = property(lambda t: features.derived_ratings(features.opponent_box(t.games)))
     formed = property(lambda t: features.rolling_form(t.rated))
     month = property(lambda t: features.calendar_features(t.formed, t.schedule))
     players = property(lambda t: facts.player_games(lens.player_box(t.spark, t.sf_dir), t.calendar, lens.PLAYER_STATS))
-    totals = property(lambda t: features.season_totals(t.players, ("season", "player_id")))
+    totals = cached_property(lambda t: features.season_totals(t.players, ("season", "player_id")).persist())
     league = property(lambda t: features.league_efficiency(t.games))
-    shooting = property(lambda t: features.shooting_profile(t.totals, t.league))
+    shooting = cached_property(lambda t: features.shooting_profile(t.totals, t.league).persist())
     rates = property(lambda t: features.rate_stats(t.totals))
-    load = property(lambda t: features.load_index(t.totals, t.shooting))
+    load = cached_property(lambda t: features.load_index(t.totals, t.shooting).persist())
     scores = property(lambda t: features.external_scores(lens.external(t.spark, t.sf_dir)))
-    composites = property(lambda t: features.external_composites(t.scores))
-    passer = property(lambda t: features.passer_index(t.load, t.totals, lens.bio(t.spark, t.sf_dir)))
+    composites = cached_property(lambda t: features.external_composites(t.scores).persist())
+    passer = cached_property(lambda t: features.passer_index(t.load, t.totals, lens.bio(t.spark, t.sf_dir)).persist())
     port = property(lambda t: features.portability_index(t.rates, t.shooting, t.composites, t.passer, t.load, lens.versatility(t.spark, t.sf_dir)))
-    cuts = property(lambda t: drift.decile_cuts(t.reb))
+    cuts = cached_property(lambda t: drift.decile_cuts(t.reb).persist())
     base = property(lambda t: drift.baseline(t.reb))
-    monthly = property(lambda t: drift.monthly(t.reb, t.schedule))
+    monthly = property(lambda t: drift.monthly(t.reb, t.kept_schedule))
     shift = property(lambda t: drift.mean_shift(drift.monthly_league(t.monthly), t.base))
     psi_base = property(lambda t: drift.psi_baseline(t.reb, t.cuts))
     psi = property(lambda t: drift.psi_monthly(t.reb, t.cuts, t.psi_base))
@@ -359,7 +366,9 @@ def mart_fact(t: Tables) -> DataFrame:
     )
 
 
-_SIDE_OUT = "game_id team_id start_year season_type game_date prefix_known matchup wl wl_final is_home pts pts_final bx_pts pts_mismatch fg_pct fg3_pct ft_pct minutes_raw min_final min_bad has_line has_events team_known row_valid".split()
+_SIDE_OUT = """game_id team_id season_id start_year season_type season_type_raw game_date game_id_prefix prefix_known team_abbreviation team_name matchup wl wl_final is_home video_available pts pts_final bx_pts
+  pts_calc pts_mismatch fgm fga fg_pct_raw fg_pct fg3m fg3a fg3_pct_raw fg3_pct ftm fta ft_pct_raw ft_pct oreb dreb reb ast stl blk tov pf plus_minus minutes_raw min_final min_bad has_pts_from_bx has_line has_events
+  team_known row_valid_any row_valid""".split()
 
 
 def _raw_wide(t: Tables) -> DataFrame:
@@ -367,20 +376,25 @@ def _raw_wide(t: Tables) -> DataFrame:
     k = F.col("game_id")
     label = F.when(k % 4 == 0, " pre season ").when(k % 4 == 1, "").when(k % 4 == 2, "Playoffs").otherwise("Cup")
     text = lambda c: F.col(c).cast("string")
+    names = [F.when(k % 7 == 0, " ").otherwise(F.concat(F.lit(f" {n}"), text("team_id"))).alias(c) for n, c in (("T", "team_abbreviation"), ("Team ", "team_name"))]
+    more = {"oreb": text("oreb"), "dreb": text("dreb"), "reb": F.when(k % 8 == 0, "none").otherwise(text("stl")), "plus_minus": F.concat(F.lit("-"), text("tov")), "fg_pct": F.lit("0.5"), "fg3_pct": F.lit(""), "ft_pct": F.lit("x")}
     long = t.long.select(
         "game_id", "side", F.concat(F.lit("2"), text("season")).alias("season_id"), label.alias("season_type"), F.when(k % 9 == 0, "").otherwise(text("game_date")).alias("game_date"),
-        F.when(k % 3 == 0, "240").when(k % 3 == 1, "12").otherwise("").alias("min"), text("team_id").alias("team_id"),
+        F.when(k % 3 == 0, "240").when(k % 3 == 1, "12").otherwise("").alias("min"), text("team_id").alias("team_id"), *names, F.when(k % 4 == 0, "true").when(k % 4 == 1, "0").otherwise("").alias("video_available"),
         F.when(k % 3 == 0, F.when(F.col("is_home"), "A vs. B").otherwise("B @ A")).when(k % 3 == 1, "A - B").otherwise("").alias("matchup"), F.when(k % 2 == 0, " w ").otherwise("").alias("wl"),
         F.when(k % 5 == 0, (F.col("fga") + 3).cast("string")).otherwise(text("fga")).alias("pts"), text("fgm").alias("fgm"), text("fga").alias("fga"), text("tpm").alias("fg3m"), text("tpa").alias("fg3a"), text("ftm").alias("ftm"), text("fta").alias("fta"),
+        *[c.alias(n) for n, c in more.items()], *[text(c).alias(c) for c in ("ast", "stl", "blk", "tov", "pf")],
     )
-    return reshape.pivot_sides(long, ["game_id", "season_id", "season_type", "game_date", "min"], ["team_id", "matchup", "wl", "pts", "fgm", "fga", "fg3m", "fg3a", "ftm", "fta"])
+    return reshape.pivot_sides(long, ["game_id", "season_id", "season_type", "game_date", "min"], [c for c in long.columns if c not in ("game_id", "season_id", "season_type", "game_date", "min", "side")])
 
 
 _SIDE = """
 wl0 as (select game_id as gid, lpad(cast(game_id as varchar), 10, '0') as game_id, cast(team_id as varchar) as team_id, team_id as tid, season, is_home as home,
   case game_id % 4 when 0 then 'Pre Season' when 2 then 'Playoffs' when 3 then 'Cup' end as season_type, case when game_id % 9 <> 0 then game_date end as game_date,
   case game_id % 3 when 0 then 240.0::double when 1 then 12.0::double end as minutes_raw, case game_id % 3 when 0 then case when is_home then 'A vs. B' else 'B @ A' end when 1 then 'A - B' end as matchup,
-  case when game_id % 2 = 0 then 'w' end as wl, cast(case when game_id % 5 = 0 then fga + 3 else fga end as double) as pts, fgm, fga, tpm, tpa, ftm, fta from games),
+  case when game_id % 2 = 0 then 'w' end as wl, cast(case when game_id % 5 = 0 then fga + 3 else fga end as double) as pts, fgm, fga, tpm, tpa, ftm, fta, oreb, dreb, ast, stl, blk, tov, pf,
+  case when game_id % 7 <> 0 then 'T' || team_id end as team_abbreviation, case when game_id % 7 <> 0 then 'Team ' || team_id end as team_name, case game_id % 4 when 0 then true when 1 then false end as video_available,
+  case when game_id % 8 <> 0 then stl end as reb, -tov as plus_minus, case game_id % 4 when 0 then 'pre season' when 2 then 'Playoffs' when 3 then 'Cup' end as season_type_raw from games),
 wl1 as (select w.*, bx_side, bx_pts from wl0 w left join (select game_id, team_id, case when is_home then 'home' else 'away' end as bx_side, cast(fga as double) as bx_pts from games where game_id % 6 <> 0) b on b.game_id = w.gid and b.team_id = w.tid),
 wl2 as (select wl1.*, coalesce(case when home_override and tid = home_id then true when away_override and tid = away_id then false end,
     case when bx_side = 'home' then true when bx_side = 'away' then false when matchup like '%vs.%' then true when matchup like '%@%' then false end) as is_home from wl1 left join ov on ov.game_id = gid),
@@ -390,7 +404,11 @@ wl3 as (select *, coalesce(bx_pts, cast((coalesce(fgm, 0) - coalesce(tpm, 0)) *
 
 @oracle(
     "games pair",
-    """select a.game_id, a.team_id, a.start_year, a.season_type, a.game_date, substr(a.game_id, 1, 3) in ('001', '002', '003', '004', '005') as prefix_known, a.matchup, a.wl,
+    """select a.game_id, a.team_id, '2' || a.season as season_id, a.season_type_raw, substr(a.game_id, 1, 3) as game_id_prefix, a.team_abbreviation, a.team_name, a.video_available,
+      cast((coalesce(a.fgm, 0) - coalesce(a.tpm, 0)) * 2 + coalesce(a.tpm, 0) * 3 + coalesce(a.ftm, 0) as double) as pts_calc, cast(a.fgm as double) as fgm, cast(a.fga as double) as fga, 0.5::double as fg_pct_raw, cast(a.tpm as double) as fg3m,
+      cast(a.tpa as double) as fg3a, cast(null as double) as fg3_pct_raw, cast(a.ftm as double) as ftm, cast(a.fta as double) as fta, cast(null as double) as ft_pct_raw, cast(a.oreb as double) as oreb, cast(a.dreb as double) as dreb,
+      cast(a.reb as double) as reb, cast(a.ast as double) as ast, cast(a.stl as double) as stl, cast(a.blk as double) as blk, cast(a.tov as double) as tov, cast(a.pf as double) as pf, cast(a.plus_minus as double) + 0.0 as plus_minus,
+      a.bx_pts is not null as has_pts_from_bx, a.tid % 10 <> 0 as row_valid_any, a.start_year, a.season_type, a.game_date, substr(a.game_id, 1, 3) in ('001', '002', '003', '004', '005') as prefix_known, a.matchup, a.wl,
       case when b.pts_final is not null then case when a.pts_final > b.pts_final then 'W' when a.pts_final < b.pts_final then 'L' end else upper(a.wl) end as wl_final, a.is_home, a.pts, a.pts_final, a.bx_pts,
       coalesce(abs(a.bx_pts - a.pts) > 2, false) as pts_mismatch, case when a.fga > 0 then greatest(0, least(1, a.fgm / a.fga)) end as fg_pct, case when a.tpa > 0 then greatest(0, least(1, a.tpm / a.tpa)) end as fg3_pct,
       case when a.fta > 0 then greatest(0, least(1, a.ftm / a.fta)) end as ft_pct, a.minutes_raw, case when a.minutes_raw between 200 and 330 then a.minutes_raw end as min_final,
@@ -533,15 +551,18 @@ def player_feature_union(t: Tables) -> DataFrame:
     return rows.select("season", "player_id", *_UNION.split(), none.alias("pts_gained"), none.alias("pts_saved"))
 
 
+_WRITTEN = ["comp", "shoot", "rates", "load", "passer", "port"]
+
+
 @oracle(
-    "comp shoot load",
-    """select coalesce(c.season, s.season, l.season) as season, coalesce(c.player_id, s.player_id, l.player_id) as player_id, crafted_opm_z, shooting_proficiency, offensive_load from comp c full join shoot s on s.season = c.season and s.player_id = c.player_id
-      full join load l on l.season = c.season and l.player_id = c.player_id""",
-    {4: "crafted_opm_z shooting_proficiency offensive_load"},
+    " ".join(_WRITTEN),
+    f"select {', '.join(f'coalesce({chr(44).join(f'{x}.{k}' for x in _WRITTEN)}) as {k}' for k in ('season', 'player_id'))}, {_UNION.replace(' ', ', ')}, trb_per100_min, ast_per100_min, tov_per100_min from comp "
+    + " ".join(f"full join {x} on {x}.season = comp.season and {x}.player_id = comp.player_id" for x in _WRITTEN[1:]),
+    {4: _UNION + " trb_per100_min ast_per100_min tov_per100_min"},
 )
 def player_feature_union_as_written(t: Tables) -> DataFrame:
-    rows = features.full_union([t.composites, t.shooting, t.load], ["season", "player_id"], as_written=True)
-    return rows.select("season", "player_id", "crafted_opm_z", "shooting_proficiency", "offensive_load")
+    rows = features.full_union([t.composites, t.shooting, t.rates, t.load, t.passer, t.port], ["season", "player_id"], as_written=True)
+    return rows.select("season", "player_id", *_UNION.split(), "trb_per100_min", "ast_per100_min", "tov_per100_min")
 
 
 # Quality
@@ -748,11 +769,11 @@ def watermark_start(t: Tables) -> DataFrame:
 
 @oracle(
     "",
-    """select greatest(lo, m) as from_date, least(hi, cast(m + interval 1 month - interval 1 day as date)) as to_date, label,
-      (y || '-' || lpad(cast((y + 1) % 100 as varchar), 2, '0')) as season from (
-        select lo, hi, m, label, year(greatest(lo, m)) - case when month(greatest(lo, m)) >= 7 then 0 else 1 end as y from (
-          select lo, hi, cast(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), interval 1 month)) as date) as m from (select cast(min(o_orderdate) as date) + 10 as lo, cast(max(o_orderdate) as date) - 3 as hi from orders)) s
-        join (values ('Regular Season', 1), ('Regular Season', 2), ('Regular Season', 3), ('Regular Season', 4), ('Playoffs', 4), ('Playoffs', 5), ('Playoffs', 6), ('Playoffs', 7), ('Regular Season', 8), ('Playoffs', 8), ('Pre Season', 8), ('Pre Season', 9), ('Pre Season', 10), ('Regular Season', 10), ('Regular Season', 11), ('Regular Season', 12)) v(label, mm) on mm = month(m))""",
+    """select *, (y || '-' || lpad(cast((y + 1) % 100 as varchar), 2, '0')) as season from (select from_date, to_date, unnest(list_filter([
+          case when month(from_date) <= 10 and month(to_date) >= 10 or month(from_date) = 9 or month(to_date) = 9 then 'Pre Season' end, 'Regular Season', case when month(to_date) in (11, 12) then 'In-Season Tournament' end,
+          case when month(to_date) > 3 then 'PlayIn' end, case when month(to_date) > 3 then 'Playoffs' end], lambda x: x is not null)) as label, year(from_date) - cast(month(from_date) < 7 as int) as y
+        from (select greatest(lo, m) as from_date, least(hi, cast(m + interval 1 month - interval 1 day as date)) as to_date from (select lo, hi, cast(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), interval 1 month)) as date) as m
+          from (select cast(min(o_orderdate) as date) + 10 as lo, cast(max(o_orderdate) as date) - 3 as hi from orders))))""".replace("select *, (y", "select * exclude (y), (y"),
 )
 def fetch_window_plan(t: Tables) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
@@ -781,13 +802,14 @@ def merge_coalesce(t: Tables) -> DataFrame:
 
 @oracle(
     "",
-    """select cast(s as int) as season, s || '-' || lpad(cast((s + 1) % 100 as varchar), 2, '0') as label, n as n_rows, case when s < 1998 then 'skipped' else 'processed' end as status, least(make_date(s + 1, 6, 30), date '2001-03-01') as last_updated
-      from (select year(o_orderdate) - case when month(o_orderdate) >= 7 then 0 else 1 end as s, count(*) as n from orders group by 1)""",
+    """select cast(s as int) as season, s || '-' || lpad(cast((s + 1) % 100 as varchar), 2, '0') as label, coalesce(n, 0) as n_rows, case when n is not null and s < 1998 then 'skipped' when n is null then 'empty' else 'processed' end as status,
+      least(make_date(s + 1, 6, 30), date '2003-03-01') as last_updated from range(1990, 2003) c(s)
+      left join (select year(o_orderdate) - case when month(o_orderdate) >= 7 then 0 else 1 end as s, count(*) as n from orders group by 1) using (s)""",
 )
 def season_partition_plan(t: Tables) -> DataFrame:
     log = t("orders").select(F.col("o_orderdate").cast("date").alias("day"))
     existing = log.select(clean.season(F.col("day"), 7, "start").alias("season")).where("season < 1998").distinct()
-    return incremental.partition_plan(log, "day", existing, "2001-03-01")
+    return incremental.partition_plan(log, "day", existing, "1990-09-01", "2003-03-01")
 
 
 @oracle("", "select event_id, event_type as kind, cast(user_id as varchar) as player_id, cast(cast(value * 100 as bigint) as varchar) as pts from events where event_id % 5 <> 0")
@@ -801,24 +823,28 @@ def json_resultset_rows(t: Tables) -> DataFrame:
     return rows.select("event_id", *[F.col("row")[c].alias(c) for c in ("kind", "player_id", "pts")])
 
 
-def _landed(t: Tables, df: DataFrame, name: str) -> str:
-    """Write df as CSV to a new place that drivers and executors share."""
+def _landed(t: Tables, tables: dict[str, DataFrame]) -> str:
+    """Write CSV folders to a new place that the driver and executors share."""
     import tempfile
     import uuid
 
-    shared = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="duolog-")
+    shared = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="duolog-")
     folder = f"{shared}/duolog-csv-{uuid.uuid4().hex}"
-    df.write.option("header", True).csv(f"{folder}/{name}")
+    for name, df in tables.items():
+        df.write.option("header", True).csv(f"{folder}/{name}")
     return folder
 
 
 @oracle("", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def csv_roundtrip_scan(t: Tables) -> DataFrame:
-    return landing.read_csv(t.spark, f"{_landed(t, t('supplier'), 'supplier')}/supplier", t("supplier").schema)
+    return landing.read_csv(t.spark, f"{_landed(t, {'supplier': t('supplier')})}/supplier", t("supplier").schema)
 
 
-@oracle("", "select 'files' as source, count(*) as n from customer")
+@oracle("", "select 'customer_rows' as source, count(*) as n from customer union all select 'supplier_1', count(*) from supplier union all select 'line_items', count(*) from lineitem where l_quantity < 10")
 def load_summary(t: Tables) -> DataFrame:
-    folder = _landed(t, t("customer"), "in")
-    summary = landing.load_summary(t.spark, folder)
-    return summary.groupBy(F.lit("files").alias("source")).agg(F.sum("n").alias("n"))
+    lines = t("lineitem").where("l_quantity < 10").select("l_orderkey", "l_quantity")
+    return landing.load_summary(t.spark, _landed(t, {"Customer-Rows.csv": t("customer"), "more/Supplier--1.csv": t("supplier"), "more/deep/LINE_items.csv": lines}))

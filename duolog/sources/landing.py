@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from duolog.functions.clean import align
+from duolog.operators.reshape import unpivot_sides
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with a header and a given schema; lines that don't fit are dropped."""
@@ -15,7 +18,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
 
 
 def load_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per file of a CSV folder and its subfolders: source (sanitised file name), n."""
+    """Rows per source of a CSV folder and its subfolders: source, n. A source is a file `name.csv`, or a folder of that name with all
+    its files; its name is in small letters, digits and underscores."""
     lines = spark.read.option("recursiveFileLookup", True).option("header", True).csv(folder)
     name = F.regexp_replace(F.lower(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv", 1)), "[^0-9a-z]+", "_")
     return lines.groupBy(name.alias("source")).agg(F.count("*").alias("n"))
@@ -30,14 +34,50 @@ def result_set(payloads: DataFrame, column: str, name: str, keep: Sequence[str]
     return rows.where(F.size("_h") == F.size("_v")).select(*keep, F.map_from_arrays("_h", "_v").alias("row"))
 
 
+#: Inputs that a user may not have.
+EXTERNAL = "season int, player_id int, " + ", ".join(f"{c} double" for c in ("odarko", "o_lebron", "o_drip", "o_bpm", "o_la3rapm", "ddarko", "d_lebron", "d_drip", "d_bpm", "d_la3rapm"))
+BIO = "player_id int, height_inches double"
+VERSATILITY = "season int, player_id int, versatility double"
+
+
+def optional(spark: SparkSession, df: DataFrame | None, schema: str) -> DataFrame:
+    """df with the columns and types of an optional input, or an empty frame of that schema where there is none."""
+    kind = StructType.fromDDL(schema)
+    return spark.createDataFrame([], kind) if df is None else align(df, kind)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a path is there, in whatever file system Spark reads it from."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 def write_seasons(df: DataFrame, folder: str, season: str = "season", order: Sequence[str] = (), force: bool = False) -> None:
-    """Partition by season, in row order within files. Seasons that exist are left alone unless forced; others never change."""
+    """Partition by season, in row order within files. Seasons that exist are left alone unless forced; others never change.
+    Rows are dealt by ranges of season and order, so a large season is written by several tasks."""
     spark = df.sparkSession
-    if not force:
-        try:
-            old = spark.read.parquet(folder).select(season).distinct()
-            df = df.join(F.broadcast(old.limit(100_000)), season, "left_anti")
-        except Exception as error:  # no folder yet
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-    df.repartition(season).sortWithinPartitions(season, *order).write.partitionBy(season).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)
+    if not force and exists(spark, folder):
+        df = df.join(spark.read.parquet(folder).select(season).distinct(), season, "left_anti")
+    dealt = df.repartitionByRange(season, *order).sortWithinPartitions(season, *order)
+    dealt.write.partitionBy(season).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)
+
+
+# Columns of a bootstrapped log in order.
+LOG = (
+    "season_id string, team_id string, team_abbreviation string, team_name string, game_id string, game_date date, matchup string, wl string, min double, fgm double, fga double, fg_pct double, "
+    "fg3m double, fg3a double, fg3_pct double, ftm double, fta double, ft_pct double, oreb double, dreb double, reb double, ast double, stl double, blk double, tov double, pf double, pts double, "
+    "plus_minus double, video_available int, season_type string"
+)
+
+
+def bootstrap_log(wide: DataFrame) -> DataFrame:
+    """One row per side of wide text games, in the columns and types of LOG: results in capitals, missing labels regular, missing
+    flags 0, numbers that can't be read null. Rows without date, team or game go; rows are in order of those."""
+    fields = StructType.fromDDL(LOG).fields
+    base = ["season_id", "game_id", "game_date", "season_type", "min"]
+    long = unpivot_sides(wide, [c for c in base if c in wide.columns], [f.name for f in fields if f.name not in base])
+    text = lambda name: F.trim(F.col(name).cast("string")) if name in long.columns else F.lit(None).cast("string")
+    kinds = {"string": text, "double": lambda n: text(n).try_cast("double"), "date": lambda n: text(n).try_cast("date"), "int": lambda n: F.coalesce(text(n).try_cast("double").cast("int"), F.lit(0))}
+    special = {"wl": F.upper(text("wl")), "season_type": F.coalesce(F.col("season_type").cast("string") if "season_type" in long.columns else F.lit(None), F.lit("Regular Season"))}
+    rows = long.select(*[special.get(f.name, kinds[f.dataType.simpleString()](f.name)).alias(f.name) for f in fields])
+    return rows.where("game_date is not null and team_id is not null and game_id is not null").orderBy("game_date", "game_id", "team_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -85,41 +86,64 @@ def watermark(spark: SparkSession, sources: Sequence[tuple[DataFrame, str]], exp
     return found.select(mark.alias("watermark"), F.coalesce(F.lit(explicit).cast("date"), F.date_add(mark, 1)).alias("start"))
 
 
-#: Labels that can occur in a month.
-PLAUSIBLE = {m: ("Regular Season", "Playoffs", "Pre Season") for m in range(1, 13)} | {m: ("Regular Season",) for m in (11, 12, 1, 2, 3)} | {m: ("Playoffs",) for m in (5, 6, 7)} | {9: ("Pre Season",), 10: ("Pre Season", "Regular Season"), 4: ("Regular Season", "Playoffs")}
+def plausible_labels(start: Column, end: Column) -> Column:
+    """Labels that games between two dates of one year may have. Regular games are always possible."""
+    first, last = F.month(start), F.month(end)
+    before = (first <= 10) & (last >= 10) | (first == 9) | (last == 9)
+    found = [(before, "Pre Season"), (F.lit(True), "Regular Season"), (last >= 11, "In-Season Tournament"), (last >= 4, "PlayIn"), (last >= 4, "Playoffs")]
+    return F.array_compact(F.array(*[F.when(condition, label) for condition, label in found]))
 
 
 def window_plan(span: DataFrame) -> DataFrame:
     """(start, end) rows -> slices of calendar months by plausible label: from_date, to_date, season, label."""
     months = span.withColumn("_m", F.explode(F.sequence(F.trunc("start", "month"), F.trunc("end", "month"), F.expr("interval 1 month"))))
-    plausible = F.create_map(*[x for m, v in PLAUSIBLE.items() for x in (F.lit(m), F.array(*[F.lit(s) for s in v]))])
-    rows = months.select(F.greatest("start", "_m").alias("from_date"), F.least("end", F.last_day("_m")).alias("to_date"), F.explode(plausible[F.month("_m")]).alias("label"))
-    return rows.withColumn("season", season_label(season(F.col("from_date"), 7, "start"))).where("from_date <= to_date")
+    slices = months.select(F.greatest("start", "_m").alias("from_date"), F.least("end", F.last_day("_m")).alias("to_date")).where("from_date <= to_date")
+    rows = slices.withColumn("label", F.explode(plausible_labels(F.col("from_date"), F.col("to_date"))))
+    return rows.withColumn("season", season_label(season(F.col("from_date"), 7, "start")))
 
 
-def partition_plan(log: DataFrame, date: str, existing: DataFrame, stop: str, force: bool = False) -> DataFrame:
-    """Per season of log: rows, status (processed, or skipped if the partition exists and is not forced) and last_updated (the
-    season's last day, 30 June, or stop if that is earlier)."""
+def partition_plan(log: DataFrame, date: str, existing: DataFrame, start: str, stop: str, force: bool = False) -> DataFrame:
+    """Per season of the calendar from start to stop: its rows in log, status (skipped if the partition exists and is not forced,
+    else empty or processed) and last_updated (the season's last day, 30 June, or stop if that is earlier)."""
+    spark = log.sparkSession
+    year = lambda d: season(F.lit(d).cast("date"), 7, "start")
+    calendar = spark.range(1).select(F.explode(F.sequence(year(start), year(stop))).alias("season"))
     rows = log.groupBy(season(F.col(date), 7, "start").alias("season")).agg(F.count("*").alias("n_rows"))
-    joined = rows.join(existing.select("season").distinct().withColumn("_old", F.lit(True)), "season", "left")
-    status = F.when(F.col("_old") & F.lit(not force), "skipped").otherwise("processed")
+    joined = calendar.join(rows, "season", "left").join(existing.select("season").distinct().withColumn("_old", F.lit(True)), "season", "left")
+    n = F.coalesce("n_rows", F.lit(0))
+    status = F.when(F.col("_old") & F.lit(not force), "skipped").when(n == 0, "empty").otherwise("processed")
     ends = F.make_date(F.col("season") + 1, F.lit(6), F.lit(30))
-    return joined.select("season", season_label(F.col("season")).alias("label"), "n_rows", status.alias("status"), F.least(ends, F.lit(stop).cast("date")).alias("last_updated"))
+    return joined.select("season", season_label(F.col("season")).alias("label"), n.alias("n_rows"), status.alias("status"), F.least(ends, F.lit(stop).cast("date")).alias("last_updated"))
+
+
+def append_counts(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row on `append_keep_first`: final_rows, and added_rows (never below 0, though repeats among existing rows go)."""
+    before = existing.agg(F.count("*").alias("_n"))
+    after = append_keep_first(existing, new, keys).agg(F.count("*").alias("final_rows"))
+    return after.crossJoin(F.broadcast(before)).select(F.greatest(F.col("final_rows") - F.col("_n"), F.lit(0)).alias("added_rows"), "final_rows")
+
+
+def stamped(updates: DataFrame, column: str = "updated_at") -> DataFrame:
+    """updates with the time of the run."""
+    return updates.withColumn(column, F.current_timestamp())
 
 
 def publish(df: DataFrame, folder: str, keys: Sequence[str]) -> str:
-    """Write a new version beside the old ones, check its keys, then point `current` to it: readers never see half a table. Returns the version's path."""
+    """Write a new version beside the old ones, check its keys, then add a pointer to it. Pointers are only ever added, and a
+    file appears whole, so that readers find the old version or the new one, never none and never half a table. Returns the
+    version's path."""
     spark = df.sparkSession
     path = f"{folder}/version={uuid.uuid4().hex}"
     df.write.parquet(path)
     require_unique(spark.read.parquet(path), keys)
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(f"{folder}/current")
+    pointer = spark.createDataFrame([(f"{time.time_ns():020d} {path}",)], "value string")
+    pointer.coalesce(1).write.mode("append").text(f"{folder}/current")
     return path
 
 
 def current(spark: SparkSession, folder: str) -> DataFrame:
     """The version that `publish` pointed to last."""
-    return spark.read.parquet(spark.read.text(f"{folder}/current").first().value)
+    return spark.read.parquet(spark.read.text(f"{folder}/current").agg(F.max("value")).first()[0].partition(" ")[2])
 
 
 def upsert_stream(source: DataFrame, folder: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column] = ()):

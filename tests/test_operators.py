@@ -142,3 +142,68 @@ def test_season_partitions_stay_unless_forced(spark, tmp_path, rows):
     assert rows(spark.read.parquet(folder), "v", "season") == [(1, 2020), (2, 2021)]
     landing.write_seasons(both, folder, force=True)
     assert rows(spark.read.parquet(folder), "v", "season") == [(2, 2021), (9, 2020)]
+
+
+def test_quantiles_equal_numpy_on_ties_nulls_and_outliers(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    columns = {"a": rng.integers(0, 9, 500), "b": rng.normal(size=500), "c": np.concatenate([rng.normal(size=499), [1e12]]), "d": np.full(500, 3)}
+    values = [tuple(None if k == 0 and i % 7 == 0 else float(v[i]) for k, v in enumerate(columns.values())) + (None,) for i in range(500)]
+    df = spark.createDataFrame(values, "a double, b double, c double, d double, e double").repartition(5)
+    got = quality.quantiles(df, ["a", "b", "c", "d", "e"], drift.DECILES).first()
+    for k, c in enumerate("abcd"):
+        known = [v[k] for v in values if v[k] is not None]
+        assert np.allclose(got[c], np.quantile(known, drift.DECILES))
+    assert got["e"] == [] and quality.quantiles(df.limit(0), ["a"], [0.5]).first()["a"] == []
+    assert quality.medians(df.limit(0), [], ["a"], "m_").first()["m_a"] is None
+
+
+def test_reports_are_in_order(spark):
+    df = spark.createDataFrame([(1, None, 2), (1, None, None), (2, 1, None), (2, 1, 1), (2, 1, 1)], "g int, a int, b int")
+    spots = [(r.g, r.metric) for r in quality.missing_hotspots(df, ["g"], ["a", "b"]).collect()]
+    assert spots == [(1, "a"), (1, "b"), (2, "b")]
+    report = [(r.table_name, r.column_name, r.pct_null, r.n_distinct) for r in quality.profile_tables({"y": (df, ["g", "a", "b"]), "x": (df, ["g"])}).collect()]
+    assert report == [("x", "g", 0.0, 2), ("y", "a", 40.0, 1), ("y", "b", 40.0, 2), ("y", "g", 0.0, 2)]
+
+
+def test_readers_find_a_version_while_another_is_published(spark, tmp_path, rows):
+    folder = str(tmp_path / "t")
+    for v in "abc":
+        incremental.publish(spark.createDataFrame([(1, v)], "k int, v string"), folder, ["k"])
+        assert rows(incremental.current(spark, folder)) == [(1, v)]
+    with pytest.raises(ValueError):
+        incremental.publish(spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), folder, ["k"])
+    assert rows(incremental.current(spark, folder)) == [(1, "c")]
+
+
+def test_labels_of_windows_and_empty_seasons(spark):
+    spans = spark.createDataFrame([(dt.date(2024, m, 2), dt.date(2024, m, 20)) for m in (1, 4, 9, 10, 11)] + [(dt.date(2024, 8, 1), dt.date(2024, 12, 1))], "s date, e date")
+    got = [r.x for r in spans.select(incremental.plausible_labels(F.col("s"), F.col("e")).alias("x")).collect()]
+    late = ["PlayIn", "Playoffs"]
+    assert got == [["Regular Season"], ["Regular Season", *late], ["Pre Season", "Regular Season", *late], ["Pre Season", "Regular Season", *late], ["Regular Season", "In-Season Tournament", *late], ["Pre Season", "Regular Season", "In-Season Tournament", *late]]
+    log = spark.createDataFrame([(dt.date(2023, 10, 5),), (dt.date(2024, 6, 12),), (dt.date(2024, 10, 26),)], "d date")
+    plan = {r.label: (r.n_rows, r.status) for r in incremental.partition_plan(log, "d", spark.createDataFrame([(2024,)], "season int"), "2022-07-01", "2024-11-01").collect()}
+    assert plan == {"2022-23": (0, "empty"), "2023-24": (2, "processed"), "2024-25": (1, "skipped")}
+
+
+def test_invalid_ids_go_and_optional_inputs_are_typed(spark):
+    df = spark.createDataFrame([("22300001",), ("id 0042300001 x",), ("99",), (None,), ("none",), ("00123456789012",)], "game_id string")
+    assert [r.game_id for r in clean.keep_known_ids(df, "game_id").collect()] == ["0022300001", "0042300001", "00123456789012"]
+    none = landing.optional(spark, None, landing.EXTERNAL)
+    assert none.count() == 0 and len(none.columns) == 12
+    some = landing.optional(spark, spark.createDataFrame([("7", "80.5", 1)], "`Player ID` string, HEIGHT_INCHES string, extra int"), landing.BIO)
+    assert tuple(some.first()) == (7, 80.5)
+    with pytest.raises(ValueError):
+        quality.require_none(df, "no rows wanted")
+    assert quality.require_none(df.limit(0), "").first().bad_rows == 0
+
+
+def test_large_season_is_written_by_several_tasks(spark, tmp_path):
+    folder = str(tmp_path / "s")
+    df = spark.range(4000).select(F.lit(2020).alias("season"), (F.col("id") * 7919 % 4000).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    landing.write_seasons(df, folder, order=["v"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(folder).groupBy(F.input_file_name()).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).orderBy("lo").collect()
+    assert len(files) > 1 and sum(r.n for r in files) == 4000 and all(a.hi < b.lo for a, b in zip(files, files[1:]))
