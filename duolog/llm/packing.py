@@ -19,7 +19,7 @@ from duolog.llm._scratch import fresh, materialize
 from duolog.llm.word_bpe import encoded
 
 #: Pieces packed together in one task.
-SHARD = 20_000
+SHARD = 10_000
 #: Donors in a row that a local search tries in vain before it ends.
 PATIENCE = 32
 
@@ -54,6 +54,7 @@ class Bins:
     def __init__(self, lengths: np.ndarray, capacity: int):
         self.lengths, self.capacity = np.asarray(lengths, np.int64), capacity
         self.steps, self.sizes = 0, self.lengths.tolist()
+        self.choices: dict[int, dict[int, list]] = {1: {}, 2: {}}
         self.items, self.fill = self._best_fit()
 
     def _best_fit(self) -> tuple[list[list[int]], np.ndarray]:
@@ -129,6 +130,9 @@ class Bins:
             self.owner[self.where[i]] = b
         for i in takes:
             self.owner[self.where[i]] = donor
+        for kept in self.choices.values():
+            kept.pop(donor, None)
+            kept.pop(b, None)
         self.steps += 1
 
     def _moves(self, donor: int) -> bool:
@@ -180,8 +184,15 @@ class Bins:
         return self.steps > before
 
     def _sums(self, b: int, many: int) -> list[tuple[int, tuple[int, ...]]]:
-        """Sizes of all choices of so many items of a bin, with the items, in order."""
-        return sorted((sum(self.sizes[i] for i in some), some) for some in combinations(self.items[b], many))
+        """Sizes of all choices of so many items of a bin, with the items, in order; kept until the bin changes."""
+        if (kept := self.choices[many].get(b)) is None:
+            sizes = self.sizes
+            if many == 1:
+                kept = sorted((sizes[i], (i,)) for i in self.items[b])
+            else:
+                kept = sorted((sizes[i] + sizes[j], (i, j)) for i, j in combinations(self.items[b], 2))
+            self.choices[many][b] = kept
+        return kept
 
 
 _first = itemgetter(0)

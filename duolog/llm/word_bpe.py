@@ -18,9 +18,9 @@ from duolog.llm._arrow import LOWER, SPACE, Rolling, slices, text_bytes, words
 
 #: Slots of a worker's table of encoded chunks at its start and at most, and ids that it keeps at most. A full table starts anew;
 #: only for a single run of texts that holds more may it be larger, until the next run.
-FEW, SLOTS, KEPT = 1 << 14, 1 << 20, 1 << 22
-#: Symbols of a word up to which the least rank is sought in a list and not on a heap.
-SHORT = 48
+FEW, SLOTS, KEPT = 1 << 14, 1 << 21, 1 << 22
+#: Symbols of a word up to which words are merged together, and how many of them; longer ones are merged on a heap.
+SHORT, TOGETHER = 48, 4096
 END = "</w>"
 NEVER = 1 << 40
 class Vocabulary:
@@ -45,7 +45,11 @@ class Vocabulary:
         for b in range(256):
             shown.setdefault(b, chr(256 + b - sum(v < b for v in visible)))
         self.shown = [shown[b] for b in range(256)]
-        self.longest = max(map(len, self.ids))
+        #: Longest token inside and at the end of a word, by its first three symbols.
+        self.inner, self.final = {}, {}
+        for t in self.ids:
+            body, reach = (t[: -len(END)], self.final) if t.endswith(END) else (t, self.inner)
+            reach[body[:3]] = max(len(body), reach.get(body[:3], 0))
         spelled = [(self.names.get(i, "") + " ").encode() for i in range(max(self.names) + 1)]
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in spelled])])
         self._spines(model["merges"])
@@ -64,6 +68,8 @@ class Vocabulary:
                 made[z], parts[z] = k, (x, y)
         self.size, order = n, np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], order
+        self.result = np.array([self.ids[a + b] for a, b in merges], np.int64)
+        self.single = np.array([[self.ids.get(c + end, -1) for c in self.shown] for end in ("", END)], np.int64)
         never = len(merges) + 1
         out = []
         for side in (1, 0):
@@ -107,8 +113,8 @@ class Vocabulary:
         if self.cut is not None and "<|" in text and len(pieces := self.cut.split(text)) > 1:
             return [w for p in pieces for w in ([p] if p in self.special else self.words(p))]
         if text.isascii():
-            return self.exact.findall(text.lower())
-        if any(unicodedata.category(c) == "Cn" for c in text):
+            return [text.lower()] if text.isalpha() else self.exact.findall(text.lower())
+        if not text.isalpha() and any(unicodedata.category(c) == "Cn" for c in text):
             if self.library is None:
                 self.library = Tokenizer.from_file(self.path)
             plain = self.library.normalizer.normalize_str(text)
@@ -117,14 +123,16 @@ class Vocabulary:
 
     def greedy(self, word: str) -> list[int]:
         """Longest match from the left."""
-        s = "".join([self.shown[b] for b in word.encode()])
-        ids, out, at, n = self.ids, [], 0, len(s)
+        s = word if word.isascii() and word.isalnum() else "".join([self.shown[b] for b in word.encode()])
+        get, out, at, n = self.ids.get, [], 0, len(s)
+        inner, final = self.inner.get, self.final.get
         while at < n:
-            found = ids.get(s[at:] + END) if n - at <= self.longest else None
+            start = s[at : at + 3]
+            found = get(s[at:] + END) if n - at <= final(start, 0) else None
             to = n
             if found is None:
-                to = min(n - 1, at + self.longest)
-                while to > at and (found := ids.get(s[at:to])) is None:
+                to = min(n - 1, at + max(inner(start, 0), 2))
+                while to > at and (found := get(s[at:to])) is None:
                     to -= 1
                 if found is None:
                     return []
@@ -132,27 +140,56 @@ class Vocabulary:
             at = to
         return out
 
-    def merged(self, word: str) -> list[int]:
-        """Exact merging by rank; the leftmost pair goes first."""
-        s = [self.shown[b] for b in word.encode()]
-        s[-1] += END
-        if len(s) > SHORT:
-            return self._merged_on_heap(s)
-        rank = self.ranks.get
-        ranks = [rank(pair, NEVER) for pair in zip(s, s[1:])]
-        while ranks and (least := min(ranks)) < NEVER:
-            at = ranks.index(least)
-            s[at : at + 2] = [s[at] + s[at + 1]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank((s[at - 1], s[at]), NEVER)
-            if at < len(ranks):
-                ranks[at] = rank((s[at], s[at + 1]), NEVER)
-        return [self.ids[x] for x in s if x in self.ids]
+    def merged(self, found: list[str]) -> list[list[int]]:
+        """Exact merging of words by rank; the leftmost pair goes first. Short words are merged together, one pair of each at a time."""
+        raw = [w.encode() for w in found]
+        size = np.array([len(r) for r in raw], np.int64)
+        out: list[list[int]] = [[]] * len(found)
+        for k in np.flatnonzero(size > SHORT).tolist():
+            out[k] = self._merged_on_heap(raw[k])
+        order = np.argsort(size, kind="stable")[: int((size <= SHORT).sum())]
+        for at in range(0, len(order), TOGETHER):
+            some = order[at : at + TOGETHER]
+            n = size[some]
+            symbols = np.full((len(some), int(n[-1])), -1, np.int64)
+            data = np.frombuffer(b"".join([raw[k] for k in some.tolist()]), np.uint8)
+            symbols[np.arange(symbols.shape[1]) < n[:, None]] = self.single[0][data]
+            symbols[np.arange(len(some)), n - 1] = self.single[1][data[np.cumsum(n) - 1]]
+            for k, row in self._merge_rows(symbols):
+                out[some[k]] = row
+        return out
 
-    def _merged_on_heap(self, s: list[str]) -> list[int]:
-        """The same in n log n steps: symbols are a linked list, pairs wait on a heap by rank and place. An entry whose symbols
-        have since been merged with others is passed over."""
+    def _merge_rows(self, symbols: np.ndarray):
+        """Rows of symbol ids, filled up with -1, until no pair of a row merges: (row number, its ids)."""
+        ranked = lambda a, b: np.where((r := self.rank_of(a, b)) >= 0, r, NEVER)
+        rank, row = ranked(symbols[:, :-1], symbols[:, 1:]), np.arange(len(symbols))
+        while len(row):
+            done = np.ones(len(row), bool)
+            if rank.shape[1]:
+                at = rank.argmin(1)
+                least = rank[np.arange(len(row)), at]
+                done = least >= NEVER
+            for k in np.flatnonzero(done).tolist():
+                ids = symbols[k]
+                yield int(row[k]), ids[ids >= 0].tolist()
+            if done.all():
+                return
+            symbols, rank, row, at, least = symbols[~done], rank[~done], row[~done], at[~done, None], least[~done]
+            from_place = np.arange(symbols.shape[1] - 1)
+            each = np.arange(len(row))
+            symbols = np.take_along_axis(symbols, from_place + (from_place > at), 1)
+            rank = np.take_along_axis(rank, from_place[:-1] + (from_place[:-1] > at), 1)
+            at = at[:, 0]
+            symbols[each, at] = self.result[least]
+            for pair, there in ((at - 1, at > 0), (at, at < rank.shape[1])):
+                k = each[there]
+                rank[k, pair[there]] = ranked(symbols[k, pair[there]], symbols[k, pair[there] + 1])
+
+    def _merged_on_heap(self, word: bytes) -> list[int]:
+        """The same for one word in n log n steps: symbols are a linked list, pairs wait on a heap by rank and place. An entry whose
+        symbols have since been merged with others is passed over."""
+        s = [self.shown[b] for b in word]
+        s[-1] += END
         rank, n = self.ranks.get, len(s)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, k, s[k], s[k + 1]) for k in range(n - 1) if (r := rank((s[k], s[k + 1]))) is not None]
@@ -185,8 +222,9 @@ class Vocabulary:
             pairs, which = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
             fine = self.compatible(pairs // self.size, pairs % self.size)[which]
             bad[owner[inner[~fine]]] = True
-        for k in np.flatnonzero(bad):
-            proposed[k] = self.merged(found[k])
+        failing = np.flatnonzero(bad).tolist()
+        for k, ids in zip(failing, self.merged([found[k] for k in failing])):
+            proposed[k] = ids
         return proposed, int(bad.sum())
 
 
@@ -216,7 +254,7 @@ class _Store:
 
     def _table(self, slots: int) -> None:
         self.keys = np.zeros((2, slots), np.uint64)
-        self.start = np.full(slots, -1, np.int64)
+        self.start = np.full(slots, -1, np.int32)
         self.count = np.zeros(slots, np.int32)
 
     def find(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
