@@ -35,3 +35,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges = edges.join(a, "src").join(b, "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
         edges = materialize(edges.where("src <> dst").distinct())
     return found if found is not None else edges.toDF("node", "root")
+
+
+def with_least(placed: DataFrame, root: str, value: str, name: str, hot: int = 256, most: int = 100_000) -> DataFrame:
+    """placed (materialised) with the least `value` of each root, null only where it has no other. Roots of many rows don't meet in
+    one task: they hold more than `hot` rows and more than one in `most`, so there are fewer than `most` of them, and theirs is broadcast."""
+    counts = materialize(placed.groupBy(root).agg(F.min(value).alias(name), F.count("*").alias("n_of_root")))
+    total = counts.agg(F.sum("n_of_root")).first()[0] or 0
+    large = F.col("n_of_root") > max(hot, total // most)
+    big, small = counts.where(large).drop("n_of_root"), counts.where(~large).drop("n_of_root")
+    there = placed.join(F.broadcast(big), root)
+    rest = placed.join(F.broadcast(big.select(root)), root, "left_anti").join(small.hint("merge"), root)
+    return there.select(*placed.columns, name).unionByName(rest.select(*placed.columns, name))

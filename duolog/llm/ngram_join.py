@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from duolog.llm._arrow import LOWER, SPACE, Rolling, mix, slices, text_bytes, words
-from duolog.llm._components import connected_components
+from duolog.llm._components import connected_components, with_least
 from duolog.llm._scratch import keep_ids, materialize
 
 #: Shingles whose frequency order is known exactly; the others are ordered by hash.
@@ -26,6 +26,10 @@ WINDOW = 1 << 22
 CARRIED = 256
 #: Classes in a list that is joined without more ado.
 LIGHT = 64
+#: Lists probed for a set before its chances are reckoned anew.
+PROBED = 32
+#: Candidates of one query that one task verifies.
+CANDIDATES = 64
 _FOLD = np.random.default_rng(5).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -151,44 +155,45 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return materialize(_keyed(docs).mapInArrow(sign, "doc_id long, key long, n long, digest binary, cls long, prefix array<long>"))
 
 
+def merged_lists(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted lists merged on a heap: the members, and in how many lists each is."""
+    members, times, last = [], [], None
+    for k in heapq.merge(*lists):
+        if k != last:
+            members.append(k)
+            times.append(0)
+            last = k
+        times[-1] += 1
+    return np.array(members, np.int64), np.array(times, np.int64)
+
+
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], need: list[int]) -> list[int]:
     """Overlap of query with each of sets (sorted, distinct), or -1 below its need.
 
-    T is the least need. The inverted lists of the query's tokens are ordered by length; the longest L
-    are set aside, the rest merged on a heap. A set that occurs at least T - L times there is looked up in
-    the long lists by binary search.
-    """
+    T is the least need. L lists of the query's tokens are set aside, at most T - 1; only the other lists, which name the sets that
+    hold a token, are made, and merged on a heap. A set that occurs less than T - L times there can't reach T. For the
+    others, the lists set aside are probed by binary search, until the need can't be met any more."""
     if not sets:
         return []
-    lists: dict[int, list[int]] = {}
-    for k, tokens in enumerate(sets):
-        place = np.searchsorted(query, tokens)
-        place[place == len(query)] = 0
-        for p in place[query[place] == tokens].tolist():
-            lists.setdefault(p, []).append(k)
-    order = sorted(lists.values(), key=len)
     out = [-1] * len(sets)
     least = max(1, min(need))
-    if len(order) < least:
+    if len(query) < least:
         return out
-    aside = min(least - 1, int(least / (0.0085 * math.log2(max(2, len(order[-1]))) + 1)), len(order))
-    short, long = order[: len(order) - aside], order[len(order) - aside :]
-    merged, current, times = [], -1, 0
-    for k in heapq.merge(*short):
-        if k != current:
-            merged.append((current, times))
-            current, times = k, 0
-        times += 1
-    merged.append((current, times))
-    for k, times in merged:
-        if k < 0 or times < least - aside:
-            continue
-        for left, one in enumerate(long):
-            at = bisect_left(one, k)
-            if at < len(one) and one[at] == k:
-                times += 1
-            elif times + len(long) - left - 1 < need[k]:
+    aside = min(least - 1, int(least / (0.0085 * math.log2(max(2, len(sets))) + 1)))
+    short, long = query[: len(query) - aside], query[len(query) - aside :]
+    lists: dict[int, list[int]] = {}
+    for k, tokens in enumerate(sets):
+        few = tokens[: np.searchsorted(tokens, short[-1], side="right")]
+        place = np.minimum(np.searchsorted(short, few), len(short) - 1)
+        for p in place[short[place] == few].tolist():
+            lists.setdefault(p, []).append(k)
+    for k, times in zip(*(x.tolist() for x in merged_lists(list(lists.values())))):
+        for at in range(0, len(long), PROBED):
+            if times + len(long) - at < need[k]:
                 break
+            some = long[at : at + PROBED]
+            place = np.minimum(np.searchsorted(sets[k], some), len(sets[k]) - 1)
+            times += int((sets[k][place] == some).sum())
         if times >= need[k]:
             out[k] = times
     return out
@@ -202,8 +207,8 @@ def _need(na: int, nb: int, percent: int) -> int:
 def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of pairs (a, b: classes) whose sets reach the threshold, with their overlap. Materialised.
 
-    Sets are computed anew for the documents that stand for the candidates, found by their keys. Pairs arrive sorted by a;
-    consecutive pairs with the same a, at most one Arrow batch, share an inverted index."""
+    Sets are computed anew for the documents that stand for the candidates, found by their keys. A query's set travels once, before
+    its candidates; queries with more than CANDIDATES are dealt to several tasks."""
     pairs = materialize(pairs)
     wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("cls")
     chosen = materialize(classes.join(wanted, "cls").select(F.col("rep.key").alias("key")).distinct())
@@ -227,24 +232,32 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width:
     sets = sets.join(classes.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]).select("cls", "tokens")
     sets = materialize(sets)
 
+    many = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / CANDIDATES).cast("int").alias("parts")))
+    queries = sets.toDF("a", "tokens").join(many.hint("merge"), "a")
+    queries = queries.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "tokens")
+    dealt = pairs.join(many.where("parts > 1"), "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0)).alias("part"))
+    candidates = dealt.join(sets.toDF("b", "tokens").hint("merge"), "b").select("a", "part", "b", "tokens")
+
     def search(batches):
+        name, query = None, None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            at = [i for i in range(len(a)) if not i or a[i] != a[i - 1]] + [len(a)]
+            a, part, b = (batch.column(c).to_pylist() for c in ("a", "part", "b"))
+            view = lambda i: batch.column("tokens")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)  # noqa: B023, E731
+            at = [i for i in range(len(a)) if not i or (a[i], part[i]) != (a[i - 1], part[i - 1])] + [len(a)]
             kept, overlap = [], []
-            view = lambda c, i: c[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
             for lo, hi in zip(at[:-1], at[1:]):
-                query = view(batch.column("ta"), lo)
-                others = [view(batch.column("tb"), i) for i in range(lo, hi)]
-                need = [_need(len(query), len(o), percent) for o in others]
-                for i, n in zip(range(lo, hi), divide_skip(query, others, need)):
+                if (a[lo], part[lo]) != name:  # a group begins with its query
+                    name, query = (a[lo], part[lo]), view(lo).copy()
+                    lo += 1
+                others = [view(i) for i in range(lo, hi)]
+                for i, n in zip(range(lo, hi), divide_skip(query, others, [_need(len(query), len(o), percent) for o in others])):
                     if n >= 0:
                         kept.append(i)
                         overlap.append(n)
             yield pa.record_batch([pa.array([a[i] for i in kept], pa.int64()), pa.array([b[i] for i in kept], pa.int64()), pa.array(overlap, pa.int64())], ["a", "b", "overlap"])
 
-    joined = pairs.join(sets.toDF("b", "tb").hint("merge"), "b").join(sets.toDF("a", "ta").hint("merge"), "a")
-    return materialize(joined.select("a", "b", "ta", "tb").mapInArrow(search, "a long, b long, overlap long"))
+    grouped = queries.unionByName(candidates).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return materialize(grouped.select("a", "part", "b", "tokens").mapInArrow(search, "a long, b long, overlap long"))
 
 
 def _least_shared(percent: int) -> str:
@@ -258,9 +271,10 @@ def _least_shared(percent: int) -> str:
 def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str, bound) -> DataFrame:
     """Pairs (a, b, na, nb) of classes with different roots that may share as many postings as their sizes ask for.
 
-    Lists of at most LIGHT classes are joined as they are. For longer ones: a pair of sizes na, nb must share at least
-    `bound` of the postings left to each, so one of the shared ones is among the first l - bound + 1 of either's l, shortest
-    lists first. Bounds depend on both sizes: sizes are dealt into classes, and a posting goes to each class of
+    A pair of sizes na, nb must share at least `bound` of the postings left to each, so one of the shared ones is among the first
+    l - bound + 1 of either's l, shortest lists first: the other lists of a class are its long ones, set aside. Lists of at most LIGHT classes go
+    to the classes that search them, which merge theirs on a heap. For longer ones, which would travel too often, bounds
+    depend on both sizes: sizes are dealt into classes, and a posting goes to each class of
     partners for which it is early enough; most postings of long lists come too late for any. A class's postings
     travel along, up to CARRIED of them, so that the join counts what a pair shares before it makes a row; longer ones are
     counted by the caller."""
@@ -268,9 +282,54 @@ def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str
     ranked = placed.withColumns({"rank": F.row_number().over(own.orderBy("df", "token")), "total": F.count("*").over(own)})
     ranked = materialize(ranked)
     side = lambda rows, x, *more: rows.select("token", *more, *[F.col(c).alias(f"{k}{x}") for c, k in (("cls", ""), ("n", "n"), ("live", "l"), ("root", "r"))])
-    light = ranked.where(F.col("df") <= LIGHT)
-    found = side(light, "a").join(side(light, "b").hint("merge"), "token").where(f"(na < nb or na = nb and a < b) and ra <> rb and {possible}")
-    found = found.select("a", "b", "na", "nb")
+    sizes = {"low": F.ceil(F.col("n") * percent / 100).cast("bigint"), "high": F.floor(F.col("n") * 100 / percent).cast("bigint")}
+    light = ranked.where(F.col("df") <= LIGHT).withColumns(sizes).where(f"rank <= total + 1 - {_least_shared(percent)}")
+    light = light.select("token", "cls", "n", "live", "root")
+    entry = F.struct("cls", "n", "live", "root")
+    lists = light.groupBy("token").agg(F.sort_array(F.collect_list(entry)).alias("e")).where("size(e) > 1")  # at most LIGHT
+    lists = lists.select("token", *[F.col(f"e.{c}").alias(f"{c}s") for c in ("cls", "n", "live", "root")])
+    searched = light.join(lists.hint("merge"), "token").drop("token").repartition("cls").sortWithinPartitions("cls")
+
+    def search(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held).combine_chunks()
+            cls = table.column("cls").to_numpy()
+            edge = np.flatnonzero(cls[1:] != cls[:-1]) + 1
+            if len(edge):
+                yield from found(table.slice(0, int(edge[-1])), np.concatenate([[0], edge]))
+                table = table.slice(int(edge[-1]))
+            held = table.to_batches()
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield from found(table, np.array([0, table.num_rows]))
+
+    def found(table, edges):
+        number = {c: table.column(c).to_numpy() for c in ("cls", "n", "live", "root")}
+        lists = {c: table.column(f"{c}s").combine_chunks() for c in number}
+        begin = np.concatenate([[0], np.cumsum(lists["cls"].value_lengths().to_numpy())])
+        flat = {c: v.flatten().to_numpy() for c, v in lists.items()}
+        out = []
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            one = {c: int(v[lo]) for c, v in number.items()}
+            member = {c: v[begin[lo] : begin[hi]] for c, v in flat.items()}
+            na, nb = one["n"], member["n"]
+            larger = np.maximum(na, nb)
+            most = np.minimum(one["live"], member["live"]) + -(-percent * larger // 100) - 1
+            ok = (member["root"] != one["root"]) & ((na < nb) | (na == nb) & (one["cls"] < member["cls"])) & (100 * na >= percent * nb) & ((100 + percent) * most >= percent * (na + nb))
+            if not ok.any():
+                continue
+            of = np.repeat(np.arange(hi - lo), np.diff(begin[lo : hi + 1]))[ok]
+            name, size = member["cls"][ok], nb[ok]
+            cuts = np.searchsorted(of, np.arange(hi - lo + 1))
+            members, _ = merged_lists([name[i:j].tolist() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if j > i])
+            at = np.argsort(name, kind="stable")
+            out.append((np.full(len(members), one["cls"]), members, np.full(len(members), na), size[at[np.searchsorted(name[at], members)]]))
+        if out:
+            yield pa.record_batch([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], ["a", "b", "na", "nb"])
+
+    merged = searched.select("cls", "n", "live", "root", "clss", "ns", "lives", "roots").mapInArrow(search, "a long, b long, na long, nb long")
 
     step = 1.04
     kind = F.floor(F.log(F.col("n")) / math.log(step)).cast("int")
@@ -290,7 +349,7 @@ def _pairs_apart(placed: DataFrame, held: DataFrame, percent: int, possible: str
     joined = a.join(b.hint("merge"), ["token", "lo", "hi"]).where(f"(lo < hi or na < nb or na = nb and a < b) and ra <> rb and {possible}")
     shared = F.size(F.array_intersect("oa", "ob")) >= bound
     joined = joined.where(F.col("oa").isNull() | F.col("ob").isNull() | shared)
-    return found.union(joined.select("a", "b", "na", "nb")).distinct()
+    return merged.union(joined.select("a", "b", "na", "nb")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -351,8 +410,8 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     roots = connected_components(links).toDF("cls", "root")
     rooted = classes.join(roots.hint("merge"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rooted = materialize(rooted.select("digest", "root", "rep"))
-    least = materialize(rooted.groupBy("root").agg(F.min("rep").alias("least")))
-    by_class = materialize(rooted.join(least.hint("merge"), "root").select("digest", F.col("least.doc_id").alias("component_id")))
+    by_class = materialize(with_least(rooted, "root", "rep", "least").select("digest", F.col("least.doc_id").alias("component_id")))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("least"))
     return sig, by_class, least.select("least.doc_id", "least.key")
 
 

@@ -78,6 +78,24 @@ def test_divide_skip_counts_like_sets():
         assert divide_skip(query, sets, need) == want
 
 
+def test_long_lists_are_only_probed(monkeypatch):
+    made = []
+    monkeypatch.setattr(ngram_join, "merged_lists", lambda lists, real=ngram_join.merged_lists: made.append(sum(map(len, lists))) or real(lists))
+    query = np.arange(0, 2000, 2, dtype=np.uint64)
+    near = [np.delete(query, range(k, k + 20)) for k in range(0, 400, 4)]
+    far = [np.concatenate([query[k : k + 100], np.arange(5001 + k, 5801 + k, dtype=np.uint64)]) for k in range(300, 700, 4)]
+    need = [ngram_join._need(len(query), len(s), 80) for s in near + far]
+    found = divide_skip(query, near + far, need)
+    assert found == [980] * 100 + [-1] * 100
+    assert 0 < made[0] < 0.35 * sum(len(np.intersect1d(query, s)) for s in near + far)
+
+
+def test_merged_lists_count_members():
+    members, times = ngram_join.merged_lists([[1, 5, 9], [5], [2, 5, 9], []])
+    assert members.tolist() == [1, 2, 5, 9] and times.tolist() == [1, 1, 3, 2]
+    assert [x.tolist() for x in ngram_join.merged_lists([])] == [[], []]
+
+
 def test_hot_group_of_near_copies(spark):
     base = [f"w{i}" for i in range(150)]
     edit = F.concat(F.lit("edit"), F.col("id").cast("string"))
