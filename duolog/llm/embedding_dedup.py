@@ -10,15 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duolog.llm._components import connected_components
+from duolog.llm._components import connected_components, with_least
 from duolog.llm._scratch import materialize
 
-#: Classes compared with each other in one block of a bucket.
-BLOCK = 1024
+#: Classes that a bucket holds on average, and classes compared with each other in one block of a bucket.
+BUCKET, BLOCK = 1024, 2048
 #: Chance that a pair exactly at the threshold meets in some table; closer pairs meet more surely.
 RECALL = 0.98
 #: Standard deviations of the estimate's error that a pair may lie below the threshold and still be recomputed.
 CONFIDENCE = 4.0
+#: Rotations whose signs make up a code.
+ROTATIONS = 2
+#: Rows of a table of large buckets up to which it is broadcast.
+FEW = 200_000
 
 
 @lru_cache(maxsize=256)
@@ -30,8 +34,8 @@ def rotation(size: int, number: int) -> np.ndarray:
 
 def tables_for(count: int, threshold: float) -> tuple[int, int]:
     """Bits of a bucket's key, and number of tables: keys grow with the logarithm of the input, so that buckets
-    stay small, and tables follow until RECALL is reached at the threshold."""
-    bits = min(31, max(6, math.ceil(math.log2(max(2, count))) - 5))
+    hold about BUCKET classes, and tables follow until RECALL is reached at the threshold."""
+    bits = min(31, max(4, math.ceil(math.log2(max(2, count) / BUCKET))))
     meet = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - meet))
 
@@ -64,24 +68,54 @@ def bucket_keys(x: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return out + (size << 32)
 
 
-def close_pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of x (unit vectors) with cosine >= threshold: rows of left with rows of right, or among left.
+def _turned(x: np.ndarray) -> np.ndarray:
+    """Coordinates of unit vectors after each of ROTATIONS rotations, side by side."""
+    return np.concatenate([x @ rotation(x.shape[1], 1_000_000 + k) for k in range(ROTATIONS)], 1).astype(np.float32)
 
-    A vector's code is the signs of its rotated coordinates; f, the inner product of code and vector, is stored.
-    <code, query> / f estimates the cosine without bias, with an error of about sqrt((1 - f^2) / (f^2 (d - 1))).
-    Where the estimate plus CONFIDENCE errors reaches the threshold, the pair is recomputed exactly."""
-    size = x.shape[1]
-    turned = (x @ rotation(size, 0)).astype(np.float32)
-    code = np.where(turned > 0, np.float32(1), np.float32(-1)) / np.float32(math.sqrt(size))
-    f = np.abs(turned).sum(1) / math.sqrt(size)
-    error = np.sqrt(np.maximum(1 - f * f, 0) / (f * f * max(1, size - 1)))
+
+def encode(x: np.ndarray) -> np.ndarray:
+    """Unit vectors as bytes, one row each: the signs of the rotated coordinates; f, the inner product of code and vector, as
+    the stored correction factor; and the vector itself in four bits a coordinate with its scale, for the part of the query.
+    Coordinates are rounded up or down by a dither that depends on place and value, so that the rounding has no bias."""
+    n, size = x.shape
+    turned = _turned(x)
+    bits = np.packbits(turned > 0, axis=1)
+    f = (np.abs(turned).sum(1) / math.sqrt(ROTATIONS * size * ROTATIONS)).astype(np.float32)
+    scale = (np.abs(x).max(1) / 7.5).astype(np.float32)
+    level = x / scale[:, None] + 7.5
+    dither = ((x.astype(np.float32).view(np.uint32) * np.uint32(2654435761)) >> np.uint32(8)) / np.float64(1 << 24)
+    level = np.clip(np.floor(level + dither), 0, 15).astype(np.uint8)
+    level = np.concatenate([level, np.zeros((n, size % 2), np.uint8)], 1)
+    return np.concatenate([f[:, None].view(np.uint8).reshape(n, 4), scale[:, None].view(np.uint8).reshape(n, 4), level[:, ::2] << 4 | level[:, 1::2], bits], 1)
+
+
+def likely(codes: np.ndarray, size: int, left: np.ndarray, right: np.ndarray | None, threshold: float) -> np.ndarray:
+    """Which rows of left and right (or of left among each other) may have a cosine of at least the threshold, by their codes.
+
+    <code, query> / f estimates the cosine without bias, with an error of about sqrt((1 - f^2) / (f^2 (D - 1))) for D bits. Each of a pair is
+    code once and query once; both estimates plus CONFIDENCE errors must reach the threshold."""
+    f, scale = (np.ascontiguousarray(codes[:, k : k + 4]).view(np.float32)[:, 0] for k in (0, 4))
+    half = -(-size // 2)
+    nibbles = codes[:, 8 : 8 + half]
+    level = np.stack([nibbles >> 4, nibbles & 15], 2).reshape(len(codes), -1)[:, :size]
+    turned = _turned((level - np.float32(7.5)) * scale[:, None])
+    wide = ROTATIONS * size
+    sign = np.unpackbits(codes[:, 8 + half :], axis=1)[:, :wide].astype(np.float32) * 2 - 1
+    sign /= math.sqrt(wide * ROTATIONS) * f[:, None]
+    error = np.sqrt(np.maximum(1 - f * f, 0) / (f * f * max(1, wide - 1)) + scale * scale / 4)
+    floor = (threshold - 1e-4 - CONFIDENCE * error).astype(np.float32)
     other = left if right is None else right
-    estimate = (code[left] @ turned[other].T) / f[left][:, None]
-    maybe = estimate >= (threshold - 1e-4 - CONFIDENCE * error[left])[:, None]
-    if right is None:
-        maybe = np.triu(maybe | maybe.T, 1)
-    i, j = np.nonzero(maybe)
-    i, j = left[i], other[j]
+    one = sign[left] @ turned[other].T
+    two = one.T if right is None else sign[other] @ turned[left].T
+    maybe = (one >= floor[left][:, None]) & (two.T >= floor[other][None, :])
+    return np.triu(maybe, 1) if right is None else maybe
+
+
+def close_pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of x (unit vectors) with cosine >= threshold: rows of left with rows of right, or among left. Only pairs that
+    their codes let through are recomputed."""
+    i, j = np.nonzero(likely(encode(x), x.shape[1], left, right, threshold))
+    i, j = left[i], (left if right is None else right)[j]
     exact = np.concatenate([np.zeros(0)] + [(x[i[k : k + 65536]] * x[j[k : k + 65536]]).sum(1) for k in range(0, len(i), 65536)])
     return i[exact >= threshold], j[exact >= threshold]
 
@@ -99,6 +133,24 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         low = new
 
 
+def _by_blocks(batches, block: list[str]):
+    """Tables whose rows begin and end with whole blocks, with the edges of those, from batches sorted by block."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        names = np.stack([table.column(c).to_numpy() for c in block], 1)
+        edge = np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1
+        if len(edge):
+            yield table.slice(0, int(edge[-1])).combine_chunks(), np.concatenate([[0], edge])
+            table = table.slice(int(edge[-1]))
+        held = table.to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        if table.num_rows:
+            yield table, np.array([0, table.num_rows])
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(vec_id, embedding) -> vec_id, n_links, component_id, kept: links of cosine >= threshold in double precision.
 
@@ -107,95 +159,98 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     other; a class is compared once, and its size counts in the others' links. A null id never names a component unless all its
     members' ids are null; its kept is then false. An empty table gives no rows. Only vec_id and embedding are read.
 
-    Classes meet in buckets of equal sign keys of several rotations. A bucket of more than BLOCK classes is
-    split into blocks, and pairs of blocks are compared in tasks of their own. A pair counts in the first table where it meets.
-    A block returns link counts and one local root per class, never its pairs.
+    Classes meet in buckets of equal sign keys of several rotations; only codes with their factors travel there, see `encode`.
+    A bucket of more than BLOCK classes is split into blocks, and pairs of blocks are compared in tasks of their own. Vectors are
+    fetched for those classes only that a code lets through with another one of their block, and compared exactly. A pair counts in the first
+    table where it meets. A block returns classes, link counts and one local root per class, never its pairs.
     """
     kind = "double" if "array<double>" in vectors.select("embedding").schema[0].dataType.simpleString() else "float"
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     sound = "size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)"
     usable = F.coalesce(F.expr(sound), F.lit(False))
-    classes = materialize(plain.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("size")))
+    alike = F.sha2(F.transform("embedding", lambda x: x + F.lit(0).cast(kind)).cast("string"), 256)  # 0 and -0 are equal
+    rows = materialize(plain.select("vec_id", F.when(usable, F.unhex(alike)).alias("digest")))
+    classes = plain.where(usable).withColumn("digest", F.unhex(alike)).groupBy("digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"), F.first("embedding").alias("embedding"))
+    classes = materialize(classes)
     classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()))
-    bits, tables = tables_for(classes.count(), threshold)
+    count = classes.count()
+    bits, tables = tables_for(count, threshold)
 
     def deal(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = np.zeros((batch.num_rows, tables), np.int64)
-            for rows, x in _matrices(batch.column("embedding")):
-                keys[rows] = bucket_keys(x, bits, tables)
+            codes: list[bytes] = [b""] * batch.num_rows
+            for part, x in _matrices(batch.column("embedding")):
+                keys[part] = bucket_keys(x, bits, tables)
+                for k, code in zip(part.tolist(), encode(x)):
+                    codes[k] = code.tobytes()
             at = pa.array(np.arange(0, keys.size + 1, tables, dtype=np.int32))
-            yield pa.record_batch([batch.column("cls"), batch.column("size"), batch.column("embedding"), pa.ListArray.from_arrays(at, pa.array(keys.ravel()))], ["cls", "size", "embedding", "keys"])
+            yield pa.record_batch([batch.column("cls"), pa.array(codes, pa.binary()), pa.ListArray.from_arrays(at, pa.array(keys.ravel()))], ["cls", "code", "keys"])
 
-    keyed = classes.select("cls", "size", "embedding").mapInArrow(deal, f"cls long, size long, embedding array<{kind}>, keys array<long>")
-    keyed = materialize(keyed)
-    large = keyed.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").count()
-    large = large.select("tab", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"), F.col("count").alias("held")).where("held > 1")
-    dealt = keyed.select("cls", "size", "embedding", "keys", F.posexplode("keys").alias("tab", "key")).join(large.hint("merge"), ["tab", "key"])
+    keyed = materialize(classes.select("cls", "embedding").mapInArrow(deal, "cls long, code binary, keys array<long>"))
+    posted = keyed.select("cls", "code", F.posexplode("keys").alias("tab", "key"))
+    large = posted.groupBy("tab", "key").count().where(F.col("count") > BLOCK)
+    large = materialize(large.select("tab", "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")))
+    few = large.limit(FEW + 1).count() <= FEW
+    dealt = posted.join(F.broadcast(large) if few else large.hint("merge"), ["tab", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     dealt = dealt.withColumn("part", part).withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumn("lo", F.least("part", "mate")).withColumn("hi", F.greatest("part", "mate"))
     block = ["tab", "key", "lo", "hi"]
-    dealt = dealt.select(*block, "part", "cls", "size", "embedding", "keys")
+    dealt = dealt.select(*block, "part", "cls", "code").repartition(*block).sortWithinPartitions(*block)
+
+    def sift(batches):
+        for table, edges in _by_blocks(batches, block):
+            part, lo, hi, key = (table.column(c).to_numpy() for c in ("part", "lo", "hi", "key"))
+            code, kept = table.column("code").combine_chunks(), []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if b - a < 2:
+                    continue
+                codes = np.frombuffer(b"".join(code.slice(a, b - a).to_pylist()), np.uint8).reshape(b - a, -1)
+                number, mine = np.arange(b - a), part[a:b] == lo[a]
+                left, right = (number, None) if lo[a] == hi[a] else (number[mine], number[~mine])
+                maybe = likely(codes, int(key[a] >> 32), left, right, threshold)
+                hit = np.zeros(b - a, bool)
+                hit[left] |= maybe.any(1)
+                hit[left if right is None else right] |= maybe.any(0)
+                kept.append(a + np.flatnonzero(hit))
+            if kept:
+                yield from table.select([*block, "part", "cls"]).take(np.concatenate(kept)).combine_chunks().to_batches()
+
+    near = materialize(dealt.mapInArrow(sift, "tab int, key long, lo int, hi int, part int, cls long"))
+    wanted = near.join(classes.select("cls", "size", "embedding").hint("merge"), "cls").select(*block, "part", "cls", "size", "embedding")
+    wanted = wanted.repartition(*block).sortWithinPartitions(*block)
 
     def compare(batches):
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            table = pa.Table.from_batches(held).combine_chunks()
-            names = np.stack([table.column(c).to_numpy() for c in block], 1)
-            edge = np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1
-            last = int(edge[-1]) if len(edge) else 0
-            if last:
-                yield from _blocks(table.slice(0, last), np.concatenate([[0], edge]))
-            held = table.slice(last).to_batches()
-        if held:
-            table = pa.Table.from_batches(held).combine_chunks()
-            yield from _blocks(table, np.array([0, table.num_rows]))
-
-    def _blocks(table, edges):
-        batch = table.combine_chunks().to_batches()[0]
-        cls, size = (batch.column(c).to_numpy() for c in ("cls", "size"))
-        tab, part = batch.column("tab").to_numpy(), batch.column("part").to_numpy()
-        lo, hi = batch.column("lo").to_numpy(), batch.column("hi").to_numpy()
-        keys = batch.column("keys").flatten().to_numpy().reshape(-1, tables)
-        unit: dict[int, tuple[int, np.ndarray]] = {}
-        place = np.zeros(batch.num_rows, np.int64)
-        which = np.zeros(batch.num_rows, np.int64)
-        for number, (rows, y) in enumerate(_matrices(batch.column("embedding"))):
-            unit[number] = y
-            place[rows], which[rows] = np.arange(len(rows)), number
-        for a, b in zip(edges[:-1], edges[1:]):
-            if b - a < 2:
-                continue
-            x = unit[int(which[a])][place[a:b]]
-            rows = np.arange(b - a)
-            if lo[a] == hi[a]:
-                i, j = close_pairs(x, rows, None, threshold)
-            else:
-                mine = part[a:b] == lo[a]
-                i, j = close_pairs(x, rows[mine], rows[~mine], threshold)
-            first = ~(keys[a:b][i, : tab[a]] == keys[a:b][j, : tab[a]]).any(1)
-            i, j = i[first], j[first]
-            if not len(i):
-                continue
-            n = b - a
-            links = np.bincount(i, size[a:b][j], n) + np.bincount(j, size[a:b][i], n)
-            root = _roots(n, i, j)
-            some = np.flatnonzero(links)
-            yield pa.record_batch([pa.array(cls[a:b][some]), pa.array(links[some].astype(np.int64)), pa.array(cls[a:b][root[some]])], ["cls", "links", "root"])
-
-    sorted_blocks = dealt.repartition(*block).sortWithinPartitions(*block)
-    found = materialize(sorted_blocks.mapInArrow(compare, "cls long, links long, root long"))
+        for table, edges in _by_blocks(batches, block):
+            cls, size, tab, part, lo, hi = (table.column(c).to_numpy() for c in ("cls", "size", "tab", "part", "lo", "hi"))
+            place, which, unit = np.zeros(len(cls), np.int64), np.zeros(len(cls), np.int64), []
+            for number, (rows, y) in enumerate(_matrices(table.column("embedding").combine_chunks())):
+                unit.append((y, bucket_keys(y, bits, tables)))
+                place[rows], which[rows] = np.arange(len(rows)), number
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                x, keys = (v[place[a:b]] for v in unit[which[a]])
+                number, mine = np.arange(b - a), part[a:b] == lo[a]
+                i, j = close_pairs(x, number, None, threshold) if lo[a] == hi[a] else close_pairs(x, number[mine], number[~mine], threshold)
+                first = ~(keys[i, : tab[a]] == keys[j, : tab[a]]).any(1)
+                i, j = i[first], j[first]
+                if not len(i):
+                    continue
+                n = b - a
+                links = np.bincount(i, size[a:b][j], n) + np.bincount(j, size[a:b][i], n)
+                root = _roots(n, i, j)
+                some = np.flatnonzero(links)
+                yield pa.record_batch([pa.array(cls[a:b][some]), pa.array(links[some].astype(np.int64)), pa.array(cls[a:b][root[some]])], ["cls", "links", "root"])
+
+    found = materialize(wanted.mapInArrow(compare, "cls long, links long, root long"))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("cls").alias("src"), F.col("root").alias("dst"))).toDF("cls", "root")
-    placed = classes.join(roots.hint("merge"), "cls", "left").join(links.hint("merge"), "cls", "left")
-    placed = materialize(placed.select("embedding", "least", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root")))
-    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    verdict = materialize(placed.join(names.hint("merge"), "root").select("embedding", "n_links", "component_id"))
-    sound_rows = plain.where(usable).join(verdict.hint("merge"), "embedding").select("vec_id", "n_links", "component_id")
-    alone = plain.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    placed = classes.drop("embedding").join(roots.hint("merge"), "cls", "left").join(links.hint("merge"), "cls", "left")
+    placed = materialize(placed.select("digest", "least", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root")))
+    verdict = materialize(with_least(placed, "root", "least", "component_id").select("digest", "n_links", "component_id"))
+    sound_rows = rows.where("digest is not null").join(verdict.hint("merge"), "digest").select("vec_id", "n_links", "component_id")
+    alone = rows.where("digest is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = sound_rows.unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from duolog.llm import embedding_dedup as E
 
@@ -52,6 +53,41 @@ def test_unusable_copies_and_lengths(spark, rows):
     assert [(r.n_links, r.component_id) for r in again] == [(3, 7)] * 2
 
 
+def at_cosine(rng, n, size, low, high):
+    a = rng.normal(size=(n, size))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=(n, size))
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = rng.uniform(low, high, (n, 1))
+    return a, c * a + np.sqrt(1 - c * c) * b
+
+
+@pytest.mark.parametrize("size", [16, 64, 200])
+def test_codes_let_close_pairs_through_and_few_others(size):
+    a, b = at_cosine(np.random.default_rng(size), 400, size, 0.9, 0.93)
+    x = np.concatenate([a, b])
+    i, j = E.close_pairs(x, np.arange(800), None, 0.9 - 1e-9)
+    assert len({(p, q) for p, q in zip(i, j) if q == p + 400}) >= 398
+    maybe = E.likely(E.encode(x), size, np.arange(400), np.arange(400, 800), 0.9)
+    assert maybe.sum() < (0.6 if size == 16 else 0.05) * maybe.size
+    f = np.ascontiguousarray(E.encode(x)[:, :4]).view(np.float32)[:, 0]
+    assert abs(f - E._turned(x).__abs__().sum(1) / np.sqrt(2 * size * 2)).max() < 1e-5
+
+
+@pytest.mark.parametrize("size", [16, 64])
+def test_recall_end_to_end(spark, size):
+    a, b = at_cosine(np.random.default_rng(7), 1500, size, 0.901, 0.92)
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([a, b]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {r.vec_id: r.component_id for r in E.near_duplicates(df).collect()}
+    assert np.mean([found[k] == found[k + 1500] for k in range(1500)]) >= 0.97
+    linked = {r.vec_id for r in E.near_duplicates(df).where("n_links > 0").collect()}
+    unit = np.concatenate([a, b])
+    cosine = unit @ unit.T - 2 * np.eye(3000)
+    assert linked <= set(np.flatnonzero((cosine >= 0.9 - 1e-12).any(1)).tolist())
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(4)
     a = rng.normal(size=(3000, 64))
