@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Identifier -> known sentence of a licence text or notice, normalised to lower-case letters and digits with single blanks.
 SENTENCES = {
     "mit.name": "the mit license",
+    "mit.title": "mit license",
     "mit.notice": "released under the mit license",
     "mit.notice2": "licensed under the mit license",
     "mit.notice3": "this project is licensed under the mit license",
@@ -15,6 +16,7 @@ SENTENCES = {
     "mit.keep": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit.asis": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
     "mit.liability": "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "apache2.title": "apache license version 2 0 january 2004",
     "apache2.notice": "licensed under the apache license version 2 0",
     "apache2.notice2": "licensed under the apache license version 2 0 the license",
     "apache2.may": "you may not use this file except in compliance with the license",
@@ -23,6 +25,15 @@ SENTENCES = {
     "apache2.see": "see the license for the specific language governing permissions and limitations under the license",
     "gpl3.notice": "this work is licensed under the gnu general public license version 3",
     "gpl3.notice2": "licensed under the gnu general public license version 3",
+    "gpl2.notice": "licensed under the gnu general public license version 2",
+    "gpl2.title": "gnu general public license version 2 june 1991",
+    "gpl3.title": "gnu general public license version 3 29 june 2007",
+    "agpl3.title": "gnu affero general public license version 3 19 november 2007",
+    "lgpl21.title": "gnu lesser general public license version 2 1 february 1999",
+    "lgpl3.title": "gnu lesser general public license version 3 29 june 2007",
+    "gpl.only2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "agpl.free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl.details": "see the gnu affero general public license for more details",
     "gpl.free2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl.free3": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl.hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
@@ -35,6 +46,13 @@ SENTENCES = {
     "bsd.binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd.endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "isc.permit": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "zlib.asis": "this software is provided as is without any express or implied warranty",
+    "zlib.liable": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib.grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "bsl.title": "boost software license version 1 0 august 17th 2003",
+    "bsl.notice": "distributed under the boost software license version 1 0",
+    "epl2.notice": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "mpl2.title": "mozilla public license version 2 0",
     "mpl2.form": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "mpl2.obtain": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     "unlicense.free": "this is free and unencumbered software released into the public domain",
@@ -50,20 +68,35 @@ SENTENCES = {
 RULES = (
     ("mit-full", "MIT", ("mit.grant", "mit.keep", "mit.asis", "mit.liability")),
     ("mit-name", "MIT", ("mit.name",)),
+    ("mit-title", "MIT", ("mit.title",)),
     ("mit-notice", "MIT", ("mit.notice",)),
     ("mit-notice2", "MIT", ("mit.notice2",)),
     ("mit-notice3", "MIT", ("mit.notice3",)),
     ("apache2-header", "Apache-2.0", ("apache2.notice2", "apache2.may", "apache2.copy")),
+    ("apache2-text", "Apache-2.0", ("apache2.title",)),
     ("apache2-notice", "Apache-2.0", ("apache2.notice",)),
     ("apache2-notice2", "Apache-2.0", ("apache2.notice2",)),
     ("gpl3-notice", "GPL-3.0-only", ("gpl3.notice",)),
     ("gpl3-notice2", "GPL-3.0-only", ("gpl3.notice2",)),
+    ("gpl2-notice", "GPL-2.0-only", ("gpl2.notice",)),
+    ("gpl2-text", "GPL-2.0-only", ("gpl2.title",)),
+    ("gpl3-text", "GPL-3.0-only", ("gpl3.title",)),
+    ("agpl3-text", "AGPL-3.0-only", ("agpl3.title",)),
+    ("lgpl21-text", "LGPL-2.1-only", ("lgpl21.title",)),
+    ("lgpl3-text", "LGPL-3.0-only", ("lgpl3.title",)),
+    ("gpl2-only-header", "GPL-2.0-only", ("gpl.only2",)),
+    ("agpl3-header", "AGPL-3.0-or-later", ("agpl.free", "gpl.hope", "agpl.details")),
     ("gpl2-header", "GPL-2.0-or-later", ("gpl.free2", "gpl.hope", "gpl.details")),
     ("gpl3-header", "GPL-3.0-or-later", ("gpl.free3", "gpl.hope", "gpl.details")),
     ("lgpl21-header", "LGPL-2.1-or-later", ("lgpl.free", "lgpl.hope", "lgpl.details")),
     ("bsd3", "BSD-3-Clause", ("bsd.permit", "bsd.source", "bsd.binary", "bsd.endorse")),
     ("bsd2", "BSD-2-Clause", ("bsd.permit", "bsd.source", "bsd.binary")),
     ("isc", "ISC", ("isc.permit",)),
+    ("zlib", "Zlib", ("zlib.asis", "zlib.liable", "zlib.grant")),
+    ("bsl1-text", "BSL-1.0", ("bsl.title",)),
+    ("bsl1-notice", "BSL-1.0", ("bsl.notice",)),
+    ("epl2", "EPL-2.0", ("epl2.notice",)),
+    ("mpl2-text", "MPL-2.0", ("mpl2.title",)),
     ("mpl2", "MPL-2.0", ("mpl2.form", "mpl2.obtain")),
     ("unlicense", "Unlicense", ("unlicense.free",)),
     ("cc-by-nc-4", "CC-BY-NC-4.0", ("ccbync4.notice",)),
@@ -83,7 +116,7 @@ _LINE, _PAUSE = "\x02", "\x03"
 
 def _folded(sentence: str) -> str:
     """Pattern of a known sentence whose words may be parted by one line end, by ; or :, and by the stop of an abbreviated v."""
-    gap = lambda stop: f"(?:{stop}? ?{_LINE} ?|{stop}? )"
+    gap = lambda stop: f"(?:{stop}? ?{_LINE} ?(?:{_PAUSE} ?)?|{stop}? )"
     first, *others = sentence.split(" ")
     out, last = first, first
     for word in others:

@@ -160,6 +160,34 @@ def test_wrapped_texts_and_leading_words(spark):
     assert got == {1: "Apache-2.0", 2: "GPL-2.0-or-later", 3: "GPL-2.0-or-later", 4: "MIT", 5: "ISC", 6: "BSD-3-Clause", 7: "MPL-2.0", 8: "MIT", 9: "", 10: ""}
 
 
+FILES = {
+    "MIT": ["MIT License", "Copyright (c) 2020 Some One", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"],
+    "Zlib": ["Copyright (C) 2020", "This software is provided 'as-is', without any express or implied warranty.  In no event will the authors be held liable for any damages arising from the use of this software.", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:", "1. The origin must not be misrepresented."],
+    "AGPL-3.0-or-later": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU Affero General Public License for more details."],
+    "GPL-2.0-only": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "(See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+}
+HEADS = {"GPL-3.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-2.0-only": "\t\t    GNU GENERAL PUBLIC LICENSE\n\t\t       Version 2, June 1991\n\n Copyright", "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/", "LGPL-2.1-only": "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999\n"}
+
+
+def test_licence_files_wrapped_at_60_and_80_columns_behind_signs(spark):
+    rows, want = [], {}
+    for width in (60, 80):
+        for sign in ("", "# ", " * ", "// ", ";; "):
+            for name, paragraphs in FILES.items():
+                text = f"\n{sign.rstrip()}\n".join(textwrap.fill(p, width, initial_indent=sign, subsequent_indent=sign) for p in paragraphs)
+                want[len(rows)] = name
+                rows.append((len(rows), "x = 1\n\n" + text + "\n\ncode();\n"))
+    for name, head in HEADS.items():
+        want[len(rows)] = name
+        rows.append((len(rows), head))
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_oracle_agrees_on_the_tables(spark):
     import duckdb
 
