@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from duolog.llm._arrow import LOWER, SPACE, Rolling, mix, slices, text_bytes, words
 from duolog.llm._components import connected_components, with_least
-from duolog.llm._scratch import keep_ids, materialize
+from duolog.llm._scratch import fresh, keep_ids, materialize
 
 #: Shingles whose frequency order is known exactly; the others are ordered by hash.
 FREQUENT = 1 << 18
@@ -419,10 +419,11 @@ def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """docs with one row of each group of near-copies, of the smallest id (null only where no row has one); all columns kept.
 
     The row is found by its id and a hash of id and text, so where an id repeats, its other texts go. Of rows that are equal in
-    both, any one stays. Rows without words are near-copies of none and all stay."""
+    both, any one stays. Rows without words, null texts among them, are near-copies of none and all stay. An empty table stays empty.
+    docs may have columns of any other names."""
     worded = F.coalesce(F.col("text").rlike(r"[^\t-\r ]"), F.lit(False))
     doc_id = F.col("doc_id").cast("long")
-    place = ["_near_none", "_near_id", "_near_key"]
+    place = fresh(docs, "_near_none", "_near_id", "_near_key")
     at = lambda rows, doc_id, key: rows.withColumns(dict(zip(place, (doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), key))))
     kept = at(_grouped(docs, width, percent)[2], F.col("doc_id"), F.col("key")).select(*place)
     rows = at(docs.where(worded), doc_id, F.xxhash64(doc_id, "text")).join(kept.hint("merge"), place, "left_semi").dropDuplicates(place)

@@ -17,8 +17,8 @@ SAMPLE = 4_000
 STEMS = (6,)
 #: Least relevance of a term, and standard deviations from which it grows.
 FAINT, SURE = 0.1, 3.0
-#: Neighbours that vote, and examples in a block of the index.
-NEAREST, BLOCK = 15, 64
+#: Neighbours that vote, examples in a block of the index, and blocks that are read before the others are judged.
+NEAREST, BLOCK, FIRST = 15, 64, 6
 _WHOLE = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -92,8 +92,8 @@ def _runs(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Examples as unit vectors, inverted by term in blocks of BLOCK examples with each block's largest weight.
-    `factor` is each term's inverse document frequency times its relevance."""
+    """Examples as unit vectors, inverted by term in blocks of BLOCK examples with each block's largest weight. Terms that more than
+    a tenth of the examples hold are rows of a matrix instead. `factor` is each term's inverse document frequency times its relevance."""
 
     def __init__(self, lookup: Lookup, factor: np.ndarray, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, y: np.ndarray, ids: np.ndarray):
         self.lookup, self.factor = lookup, factor
@@ -108,6 +108,13 @@ class Index:
         place[order] = np.arange(len(held))
         rows = place[np.searchsorted(held, rows)]
         self.blocks = -(-len(held) // BLOCK)
+        common = np.flatnonzero(np.bincount(terms, minlength=len(factor)) * 10 > len(held))
+        self.seat = np.full(len(factor), -1)
+        self.seat[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.blocks * BLOCK))
+        often = self.seat[terms] >= 0
+        self.matrix[self.seat[terms[often]], rows[often]] = weight[often]
+        rows, terms, weight = rows[~often], terms[~often], weight[~often]
         order = np.lexsort((rows, terms))
         self.row, self.weight, terms = rows[order].astype(np.int32), weight[order], terms[order]
         block = self.row // BLOCK
@@ -141,35 +148,42 @@ class Index:
         norm = np.sqrt(np.bincount(rows, weight * weight, n))
         return rows, terms, weight / np.where(norm[rows] > 0, norm[rows], 1)
 
-    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest cosine above zero, exactly: blocks in the order of their bound, twice as many a round,
-        until no bound beats the k-th cosine so far. Ties go to the example that comes first. `skip` is the id of one to leave out."""
+    def start(self, rows: np.ndarray, terms: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """Of n texts, what the common terms add to the cosine with each example."""
+        often = self.seat[terms] >= 0
+        dense = np.zeros((n, len(self.matrix)))
+        dense[rows[often], self.seat[terms[often]]] = weight[often]
+        return dense @ self.matrix
+
+    def nearest(self, terms: np.ndarray, weight: np.ndarray, start: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples with the largest cosine above zero, exactly: the FIRST blocks by their bounds, then those of the others whose
+        bound may still beat the k-th cosine found there. A bound is the largest start of the block and the largest weights of its lists.
+        Ties go to the example that comes first. `skip` is the id of one to leave out."""
+        rare = self.seat[terms] < 0
+        terms, weight = terms[rare], weight[rare]
         lo, hi = self.entry[terms], self.entry[terms + 1]
         entries = _runs(lo, hi)
         load = np.repeat(weight, hi - lo)
         block = self.block[entries]
-        bound = np.bincount(block, load * self.most[entries], self.blocks)
+        bound = start.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, load * self.most[entries], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         score = np.zeros(self.blocks * BLOCK)
-        done, many, least = 0, 4, 0.0
-        while done < len(order) and bound[order[done]] >= least - 1e-12:
-            now = order[done : done + many]
+        least = 0.0
+        for now in (order[:FIRST], order[FIRST:]):
             now = now[bound[now] >= least - 1e-12]
             chosen = np.zeros(self.blocks, bool)
             chosen[now] = True
             take = np.flatnonzero(chosen[block])
             begin, end = self.begin[entries[take]], self.begin[entries[take] + 1]
             at = _runs(begin, end)
+            score.reshape(self.blocks, BLOCK)[now] = start.reshape(self.blocks, BLOCK)[now]
             score += np.bincount(self.row[at], np.repeat(load[take], end - begin) * self.weight[at], len(score))
             if skip is not None:
                 score[: len(self.ids)][self.ids == skip] = 0
-            if len(score) > k:
+            if least == 0 and len(score) > k:
                 least = max(0.0, np.partition(score, len(score) - k)[len(score) - k])
-            done, many = done + len(now), many * 2
-        some = np.flatnonzero(score > 0)
-        if len(some) > 4 * k:
-            some = some[score[some] >= least - 1e-9]
+        some = np.flatnonzero((score > 0) & (score >= least - 1e-9))
         top = some[np.lexsort((some, -np.round(score[some], 12)))[:k]]
         return top, score[top]
 
@@ -185,9 +199,10 @@ class Index:
         n = len(column)
         rows, terms, weight = self.unit(*self.lookup.counts(column), n)
         at = np.searchsorted(rows, np.arange(n + 1))
+        start = self.start(rows, terms, weight, n)
         near, votes, evidence = np.zeros(n, bool), np.full(n, self.bare), [np.zeros(0, np.int64)] * n
         for i in np.unique(rows) if self.blocks else ():
-            ids, cosine = self.nearest(terms[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], NEAREST, skip[i] if skip else None)
+            ids, cosine = self.nearest(terms[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], start[i], NEAREST, skip[i] if skip else None)
             if len(ids):
                 near[i], votes[i], evidence[i] = True, self.vote(ids, cosine), self.ids[ids]
         return near, votes, evidence

@@ -83,11 +83,13 @@ def test_block_max_search_is_exact():
     dense = np.zeros((400, len(idf)))
     dense[rows, terms] = weight
     cosine = dense @ dense.T
+    start = index.start(rows, terms, weight, 400)
+    assert 0 < len(index.matrix) < len(idf)
     for i in range(0, 400, 7):
         at = rows == i
-        ids, found = index.nearest(terms[at], weight[at], 15)
+        ids, found = index.nearest(terms[at], weight[at], start[i], 15)
         assert np.allclose(np.sort(cosine[i])[::-1][:15], found) and np.allclose(cosine[i][index.ids[ids]], found)
-        ids, found = index.nearest(terms[at], weight[at], 15, i)
+        ids, found = index.nearest(terms[at], weight[at], start[i], 15, i)
         assert i not in index.ids[ids] and np.allclose(np.sort(np.delete(cosine[i], i))[::-1][:15], found)
 
 
