@@ -42,12 +42,15 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Learnt models, components and bin packing are beyond SQL; tests hold run() against brute force.
+#: Learnt models, components and bin packing are beyond SQL. Tests hold each stage against the scores of its rows or plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written as Parquet in the shared folder and read again."""
+    """All stages over documents; each result is written as Parquet in the shared folder and read again.
+
+    Null texts and ids, repeated rows, empty tables and further columns pass through every stage; what a stage makes of them is
+    told by its operator. All stages but the last return the columns of documents."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
