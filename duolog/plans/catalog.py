@@ -823,8 +823,8 @@ def json_resultset_rows(t: Tables) -> DataFrame:
     return rows.select("event_id", *[F.col("row")[c].alias(c) for c in ("kind", "player_id", "pts")])
 
 
-def _landed(t: Tables, tables: dict[str, DataFrame]) -> str:
-    """Write CSV folders to a new place that the driver and executors share."""
+def _shared(t: Tables, name: str) -> str:
+    """A new folder that the driver and executors share."""
     import tempfile
     import uuid
 
@@ -833,7 +833,12 @@ def _landed(t: Tables, tables: dict[str, DataFrame]) -> str:
         if not t.spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="duolog-")
-    folder = f"{shared}/duolog-csv-{uuid.uuid4().hex}"
+    return f"{shared}/duolog-{name}-{uuid.uuid4().hex}"
+
+
+def _landed(t: Tables, tables: dict[str, DataFrame]) -> str:
+    """Write CSV folders to a new place."""
+    folder = _shared(t, "csv")
     for name, df in tables.items():
         df.write.option("header", True).csv(f"{folder}/{name}")
     return folder

@@ -1,4 +1,4 @@
-"""Further registered queries: reports, gates, counts and optional inputs, each beside its SQL."""
+"""Further registered queries: reports, gates, counts, sinks and optional inputs, each beside its SQL."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duolog.functions import clean
-from duolog.operators import dims, facts, features, quality
+from duolog.operators import dims, facts, quality
 from duolog.plans import lens
-from duolog.plans.catalog import _BAD, _BOTH, _LINE, _OVERRIDE, STATS, Tables, _line, _new_orders, _old_orders, _overrides, _raw_wide, oracle
+from duolog.plans.catalog import _BAD, _BOTH, _LINE, STATS, Tables, _line, _new_orders, _old_orders, _raw_wide, _shared, mart_fact, oracle
 from duolog.sources import landing
 from duolog.streaming import incremental
 
@@ -109,3 +109,29 @@ def merge_stamped(t: Tables) -> DataFrame:
 @oracle("games pair", "select game_id, min(team_id) as home_id, max(team_id) as away_id from games group by 1")
 def resolve_sides_by_columns(t: Tables) -> DataFrame:
     return dims.resolve_sides(t.pairs.join(t.calendar, "game_id").select("game_id", "home_id", "away_id"))
+
+
+# Sinks: written to the shared folder and read again
+
+
+@oracle("games", "select season, game_id, team_id, case when season < 1998 then pts else pts + 1 end as pts from games")
+def season_sink(t: Tables) -> DataFrame:
+    folder, rows = _shared(t, "seasons"), t.kept_games.select("season", "game_id", "team_id", "pts")
+    landing.write_seasons(rows.where("season < 1998"), folder, order=["game_id", "team_id"])
+    landing.write_seasons(rows.withColumn("pts", F.col("pts") + 1), folder, order=["game_id", "team_id"])
+    return t.spark.read.parquet(folder).select("season", "game_id", "team_id", "pts")
+
+
+@oracle("", "select * from new union all select * from old o where not exists (select 1 from new n where n.o_custkey = o.o_custkey and n.o_orderkey = o.o_orderkey and lower(n.label) = lower(o.label))", extra=_BOTH)
+def published_upsert(t: Tables) -> DataFrame:
+    folder, keys = _shared(t, "table"), ["o_custkey", "o_orderkey", "label"]
+    incremental.publish(_old_orders(t), folder, keys)
+    incremental.publish(incremental.upsert(incremental.current(t.spark, folder), _new_orders(t), keys, label="label"), folder, keys)
+    return incremental.current(t.spark, folder)
+
+
+@oracle("games", "select game_id, team_id, opp_team_id as opponent_id, game_date, season as season_id, season_type, is_home as home, pts, pts as points, fgm as field_goals_made, fga as field_goals_tried, oreb + dreb as rebounds, ast as assists from games")
+def mart_sink(t: Tables) -> DataFrame:
+    folder = _shared(t, "mart")
+    incremental.publish(mart_fact(t), folder, ["game_id", "team_id"])
+    return incremental.current(t.spark, folder)
