@@ -52,12 +52,14 @@ PARTS = 4096
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Exact continuous quantiles of whole columns: one row of arrays, null without values. No task sees a whole column: counts of PARTS equal
-    parts of each column's range tell which parts hold the ranks, and only the distinct values of those parts are ranked."""
+    """Exact continuous quantiles of whole columns: one row of arrays, null without values. The rows are
+    read once, into counts of distinct values. No task sees a whole column: counts of PARTS equal parts of each column's range tell
+    which parts hold the ranks, and only the values of those parts are ranked."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "_c", "_v").where("_v is not null")
-    span = F.broadcast(long.groupBy("_c").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n")))
+    counted = long.groupBy("_c", "_v").agg(F.count("*").alias("_k"))
+    span = F.broadcast(counted.groupBy("_c").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_k").alias("_n")))
     part = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PARTS), F.lit(PARTS - 1))).otherwise(0)
-    values = long.join(span, "_c").withColumn("_b", part.cast("int")).groupBy("_c", "_n", "_b", "_v").agg(F.count("*").alias("_k"))
+    values = counted.join(span, "_c").select("_c", "_n", part.cast("int").alias("_b"), "_v", "_k")
     before = lambda w: F.coalesce(F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = values.groupBy("_c", "_n", "_b").agg(F.sum("_k").alias("_k"))
     parts = parts.withColumn("_at", before(Window.partitionBy("_c").orderBy("_b")))

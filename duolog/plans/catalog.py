@@ -422,7 +422,7 @@ def side_fact(t: Tables) -> DataFrame:
     line = t.long.where("game_id % 6 <> 0").select(clean.padded_id(F.col("game_id")).alias("game_id"), F.col("team_id").cast("string").alias("team_id"), F.col("side").alias("bx_side"), F.col("fga").cast("double").alias("bx_pts"))
     events = t("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("game_id"))
     teams = t("supplier").where("s_suppkey % 10 <> 0").select(F.col("s_suppkey").cast("string").alias("team_id"))
-    return facts.side_fact(_raw_wide(t), line, events, _overrides(t), teams).select(*_SIDE_OUT)
+    return facts.side_fact(_raw_wide(t).persist(), line, events, _overrides(t), teams).select(*_SIDE_OUT)
 
 
 # Features
