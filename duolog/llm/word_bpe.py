@@ -23,6 +23,11 @@ FEW, SLOTS, KEPT = 1 << 14, 1 << 21, 1 << 22
 SHORT, TOGETHER = 48, 4096
 END = "</w>"
 NEVER = 1 << 40
+_STOP, _PLAIN = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[[ord(c) for c in ".,;:!?"]] = True
+_PLAIN[65:91] = _PLAIN[97:123] = True
+
+
 class Vocabulary:
     """A vocabulary file of the tokenizers library: BPE over UTF-8 bytes whose last symbol in a word carries an end mark."""
 
@@ -321,6 +326,20 @@ class _Store:
 _stores: dict[str, _Store] = {}
 
 
+def _parted(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks with a last stop after an ASCII letter become two, as the words in them are, so that fewer chunks are distinct."""
+    if not len(starts):
+        return starts, ends, at
+    cut = (ends - starts > 1) & _STOP[data[ends - 1]] & _PLAIN[data[np.maximum(ends - 2, 0)]]
+    n = 1 + cut
+    place = np.concatenate([[0], np.cumsum(n)])
+    second = place[1:][cut] - 1
+    starts, ends = np.repeat(starts, n), np.repeat(ends, n)
+    starts[second] = ends[second] - 1
+    ends[second - 1] -= 1
+    return starts, ends, place[at]
+
+
 def _distinct(h: np.ndarray, g: np.ndarray) -> np.ndarray:
     """A place of each distinct pair."""
     order = np.lexsort((g, h))
@@ -338,6 +357,7 @@ def encoded(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     if not (data[:-1] == 60)[data[1:] == 124].any():  # special tokens keep their case
         data = LOWER[data]
     starts, ends, at = words(data, offsets, SPACE[data])
+    starts, ends, at = _parted(data, starts, ends, at)
     h, g = Rolling(data, 0)(starts, ends), Rolling(data, 1)(starts, ends)
     slots = store.find(h, g)
     new = np.flatnonzero(slots < 0)
