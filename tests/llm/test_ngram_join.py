@@ -52,6 +52,13 @@ def test_random_edits_chains_and_passages(spark, rows):
     assert rows(near_duplicates(df)) == brute(docs)
 
 
+def test_two_letter_words_and_their_complements_stay_apart(spark, rows):
+    order = lambda n, letters: "".join(letters[i.bit_count() % 2] for i in range(n))
+    docs = [(k, w) for k, w in enumerate(t.format(order(n, letters)) for n in (64, 1024, 2048, 4096) for t in ("{}", "one two {} three four five") for letters in ("ab", "ba"))]
+    docs.append((99, docs[-1][1]))
+    assert rows(near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))) == brute(docs)
+
+
 def test_nulls_empty_short_long_repeats_and_clashing_names(spark, rows):
     long = " ".join(f"w{i % 977}x{i}" for i in range(30000))
     docs = [(4, None), (3, ""), (2, " \t\n"), (9, "One two"), (8, "one  TWO"), (7, "one two three"), (6, long), (5, long + " tail"), (1, "a a a a a a a a"), (0, "a a a a a")]

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -104,6 +105,27 @@ def test_long_words_and_more_chunks_than_the_first_table(library):
         assert ids[at[k] : at[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def thue_morse(n, letters="ab"):
+    return "".join(letters[i.bit_count() % 2] for i in range(n))
+
+
+def complements():
+    """Two-letter words whose polynomial hashes modulo 2^64 agree with those of their complements, alone and in sentences."""
+    return [w for n in (16, 64, 512, 1024, 2048, 4096) for t in ("{}", "the {} cat.") for letters in ("ab", "ba") for w in [t.format(thue_morse(n, letters))]]
+
+
+def test_words_and_their_complements_keep_their_own_ids(spark, library):
+    given = complements()
+    expected = [library.encode(t, add_special_tokens=False).ids for t in given]
+    ids, at = word_bpe.encoded(pa.array(given), PATH)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == expected
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(2)
+    digests = {r.doc_id: r.ids_sha256 for r in word_bpe.code_digests(df, PATH).collect()}
+    assert digests == {k: hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest() for k, e in enumerate(expected)}
+    pieces = {r.doc_id: (r.length, r.ids_crc32) for r in packing.packed(df, PATH).collect()}
+    assert pieces == {k: (len(e) + 1, zlib.crc32(np.array([*e, 1], "<u4").tobytes())) for k, e in enumerate(expected)}
+
+
 def test_table_starts_anew_and_grows(monkeypatch, library):
     monkeypatch.setattr(word_bpe, "SLOTS", 64)
     monkeypatch.setattr(word_bpe, "FEW", 16)
