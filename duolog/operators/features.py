@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from duolog.operators.facts import opponent_values, win_label
+from duolog.operators.ranges import numbered, with_history
 
 BOX = ("pts", "fga", "fta", "tpm", "tov", "oreb", "dreb", "pf")
 
@@ -18,17 +18,17 @@ def ratio(a: Column, b: Column) -> Column:
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
 
 
-def before(order: Window, rows: int) -> Window:
-    """The last `rows` rows before the current one."""
-    return order.rowsBetween(-rows, -1)
-
-
 def schedule_features(facts: DataFrame) -> DataFrame:
     """Game number, rest, back-to-backs and form before each game. Game numbers and rest restart every season, form does not.
-    Ties on a date go by game_id. No rest (a first game) falls into the longest bucket."""
-    in_season = Window.partitionBy("team_id", "season").orderBy("game_date", "game_id")
-    career = Window.partitionBy("team_id").orderBy("game_date", "game_id")
-    rows = facts.withColumns({f"_d{k}": F.lag("game_date", k).over(in_season) for k in (1, 2, 3)} | {"gnum": F.row_number().over(in_season)})
+    Ties on a date go by game_id. No rest (a first game) falls into the longest bucket. A team's history is never in one task: its
+    games are numbered in sorted ranges and looked back on in blocks, see `ranges`."""
+    rows = numbered(facts, ["team_id"], ["game_date", "game_id"], {"_c": ["team_id"], "gnum": ["team_id", "season"]}).withColumn("gnum", F.col("gnum").cast("int"))
+    rows = with_history(rows, ["team_id", "season"], "gnum", 3, lambda w: {f"_d{k}": F.lag("game_date", k).over(w) for k in (1, 2, 3)})
+    form = lambda w: {
+        "pts_l5": F.avg("pts").over(w.rowsBetween(-5, -1)), "tov_l5": F.avg("tov").over(w.rowsBetween(-5, -1)),
+        "tpm_l10": F.avg("tpm").over(w.rowsBetween(-10, -1)), "reb_l10": F.avg(F.col("oreb") + F.col("dreb")).over(w.rowsBetween(-10, -1)),
+    }
+    rows = with_history(rows, ["team_id"], "_c", 10, form)
     rest = F.datediff("game_date", "_d1")
     rows = rows.withColumns({"prev_date": F.col("_d1"), "days_rest": rest})
     bucket = (
@@ -39,10 +39,8 @@ def schedule_features(facts: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "rest_bucket": bucket, "is_0in2": F.col("days_rest") == 0, "is_b2b": F.col("days_rest") == 1, "is_3in4": near(3, 2, 4), "is_4in6": near(4, 3, 6),
-            "pts_l5": F.avg("pts").over(before(career, 5)), "tov_l5": F.avg("tov").over(before(career, 5)),
-            "tpm_l10": F.avg("tpm").over(before(career, 10)), "reb_l10": F.avg(F.col("oreb") + F.col("dreb")).over(before(career, 10)),
         }
-    ).drop("_d1", "_d2", "_d3")
+    ).drop("_c", "_d1", "_d2", "_d3")
 
 
 def opponent_box(facts: DataFrame) -> DataFrame:
@@ -68,12 +66,15 @@ def derived_ratings(box: DataFrame) -> DataFrame:
 
 
 def rolling_form(rated: DataFrame, rows: int = 10) -> DataFrame:
-    """Means of the last games before each one within team, season and type, and the opponent's defence in its own sequence."""
-    own = before(Window.partitionBy("team_id", "season", "season_type").orderBy("game_date", "game_id"), rows)
-    other = before(Window.partitionBy("opp_team_id", "season", "season_type").orderBy("game_date", "game_id"), rows)
+    """Means of the last games before each one within team, season and type, and the opponent's defence in its own sequence. Both
+    sequences are numbered in sorted ranges and looked back on in blocks, see `ranges`."""
     source = {"win_pct": "y_win", "ortg": "ortg", "drtg": "drtg_opp", "pace": "poss_game", "efg": "efg", "tov_pct": "tov_pct", "orb_pct": "orb_pct", "ftr": "ftr"}
-    formed = {f"{name}_l{rows}": F.avg(c).over(own) for name, c in source.items()}
-    return rated.withColumns(formed | {f"opp_drtg_l{rows}": F.avg("drtg_opp").over(other)})
+    out = rated
+    for team, means in (("team_id", source), ("opp_team_id", {"opp_drtg": "drtg_opp"})):
+        keys = [team, "season", "season_type"]
+        out = numbered(out, keys, ["game_date", "game_id"], {"_n": keys})
+        out = with_history(out, keys, "_n", rows, lambda w: {f"{name}_l{rows}": F.avg(c).over(w.rowsBetween(-rows, -1)) for name, c in means.items()}).drop("_n")  # noqa: B023
+    return out
 
 
 def calendar_features(formed: DataFrame, schedule: DataFrame) -> DataFrame:

@@ -1,0 +1,46 @@
+"""Intermediates in the shared folder that spark.checkpoint.dir names."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_own: list[str] = []
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the session names in spark.checkpoint.dir. Where it is unset, a local session (tests) gets a folder
+    of its own; on a cluster that is an error, for a folder of one machine would not be seen by the others."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="duolog-"))
+    return _own[0]
+
+
+def shared_path(spark: SparkSession, name: str = "") -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark)}/duolog-{name}{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of df has it, whatever the case of its letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
