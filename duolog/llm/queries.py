@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duolog.llm import embedding_dedup, exact_dedup, language_id, licenses, mixing, ngram_join, packing, quality, toxicity, warc, word_bpe
+from duolog.llm import embedding_dedup, exact_dedup, language_id, licenses, mixing, ngram_join, packing, quality, toxicity, warc, whitening, word_bpe
 
 
 def vocabulary_path() -> str:
@@ -63,8 +63,12 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "repetitions")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_warc, op5_word_bpe, op6_licenses, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id, op12_mixing)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_warc, op5_word_bpe, op6_licenses, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id, op12_mixing, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
