@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duolog.llm import embedding_dedup, exact_dedup, language_id, licenses, mixing, ngram_join, packing, quality, toxicity, warc, whitening, word_bpe
+from duolog.llm import embedding_dedup, exact_dedup, language_id, licenses, mixing, ngram_join, packing, prefix_trie, quality, toxicity, warc, whitening, word_bpe
 
 
 def vocabulary_path() -> str:
@@ -58,6 +58,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"), modulus=4, held_out=2)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), stride=20, most=4)
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.repetitions(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share="3/2", epochs=2)
     return plan.select("doc_id", "size", "source_size", "target", "taken", "repetitions")
@@ -68,7 +72,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_warc, op5_word_bpe, op6_licenses, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id, op12_mixing, op13_whitening)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_warc, op5_word_bpe, op6_licenses, op7_embedding_dedup, op8_quality, op9_toxicity, op10_language_id, op11_prefix_trie, op12_mixing, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
