@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duolog.operators.quality import quantiles
+from duolog.sources.scratch import materialize
+from duolog.streaming import incremental
 
 METRICS = ("pts", "fga", "tpm", "fta", "reb", "tov", "pf")
 DECILES = tuple(k / 10 for k in range(1, 10))
@@ -20,14 +22,9 @@ def baseline_rows(facts: DataFrame, label: str = "REG", seasons: int = 2) -> Dat
     return regular.join(F.broadcast(last), "season", "left_semi")
 
 
-def baseline(facts: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
-    """One row of means and deviations of the baseline."""
-    return baseline_rows(facts).agg(*[f(m).alias(f"{k}_{m}") for m in metrics for k, f in (("mean", F.avg), ("sd", F.stddev_samp))])
-
-
 def decile_cuts(facts: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     """One row of arrays of nine continuous quantiles."""
-    return quantiles(baseline_rows(facts), metrics, DECILES).toDF(*[f"q_{m}" for m in metrics])
+    return quantiles(materialize(baseline_rows(facts).select(*metrics)), metrics, DECILES).toDF(*[f"q_{m}" for m in metrics])
 
 
 def decile_bin(value: Column, cuts: Column) -> Column:
@@ -35,14 +32,68 @@ def decile_bin(value: Column, cuts: Column) -> Column:
     return F.when(value.isNotNull(), F.size(F.filter(cuts, lambda q: q < value)) + 1)
 
 
-def monthly(facts: DataFrame, schedule: DataFrame, metrics: Sequence[str] = METRICS, form: Sequence[str] = ("pts_l5", "tpm_l10", "reb_l10")) -> DataFrame:
-    """Means per month, season and team: metrics of regular games, form of all. Both sides are averaged before the
-    full join, which gives the same means as joining their rows."""
-    keys = ["ym", "season", "team_id"]
+FORM = ("pts_l5", "tpm_l10", "reb_l10")
+KEYS = ("ym", "season", "team_id")
+
+
+def month_state(facts: DataFrame, schedule: DataFrame, cuts: DataFrame, metrics: Sequence[str] = METRICS, form: Sequence[str] = FORM) -> DataFrame:
+    """What drift reports need, one row per month, season and team: of its regular games their number, and for each metric its count, sum and squared sum
+    (in double precision) and the numbers of its values in bins 1 to 10, with nulls first (`b_<metric>`); of all its games count and sum of each form.
+
+    States of disjoint rows add up, see `merged_state`. Facts and schedule are tagged and united, so that a null month or team is one row, as in
+    a join of rows. cuts is the one row of `decile_cuts`; a state counts in the bins of its cuts, so new cuts need a new state."""
     month = F.trunc("game_date", "month").alias("ym")
-    a = facts.where("season_type = 'REG'").groupBy(month, "season", "team_id").agg(*[F.avg(m).alias(f"mean_{m}") for m in metrics])
-    b = schedule.groupBy(month, "season", "team_id").agg(*[F.avg(m).alias(f"mean_{m}") for m in form])
-    return a.join(b, keys, "full")
+    regular = facts.where("season_type = 'REG'").crossJoin(F.broadcast(cuts))
+    a = regular.select(month, "season", "team_id", F.lit(1).alias("_g"), *[F.col(m).cast("double").alias(m) for m in metrics], *[F.coalesce(decile_bin(F.col(m), F.col(f"q_{m}")), F.lit(0)).alias(f"_b_{m}") for m in metrics])
+    b = schedule.select(month, "season", "team_id", *[F.col(f).cast("double").alias(f) for f in form])
+    rows = a.unionByName(b, allowMissingColumns=True)
+    amounts = [F.count("_g").alias("n_games")]
+    for m in metrics:
+        amounts += [F.count(m).alias(f"n_{m}"), F.sum(m).alias(f"s_{m}"), F.sum(F.col(m) * F.col(m)).alias(f"ss_{m}")]
+        amounts.append(F.array(*[F.count_if(F.col(f"_b_{m}") == k) for k in range(11)]).alias(f"b_{m}"))
+    for f in form:
+        amounts += [F.count(f).alias(f"n_{f}"), F.sum(f).alias(f"s_{f}")]
+    return rows.groupBy(*KEYS).agg(*amounts)
+
+
+def merged_state(*states: DataFrame) -> DataFrame:
+    """The state of all rows of states."""
+    rows = states[0]
+    for other in states[1:]:
+        rows = rows.unionByName(other)
+    bins = [c for c in rows.columns if c.startswith("b_")]
+    plain = [c for c in rows.columns if c not in KEYS and c not in bins]
+    sums = rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in plain], *[F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(11)]).alias(c) for c in bins])
+    return sums.select(*rows.columns)
+
+
+def add_months(spark: SparkSession, folder: str, new: DataFrame) -> list[int]:
+    """Add a state of new rows to the published one: cells that both have add up, others are added. Only buckets that hold
+    a cell of new are read and written; returns them. new must count in the same bins."""
+    new = materialize(new)
+    cells = new.select(*KEYS).distinct()
+    met = incremental.current_of(spark, folder, cells)
+    return incremental.upsert_published(spark, folder, merged_state(new, met))
+
+
+def _last_seasons(state: DataFrame, seasons: int) -> DataFrame:
+    """Cells of regular games in the last seasons that have any."""
+    regular = state.where("n_games > 0")
+    last = regular.agg(F.max("season").alias("_last"))
+    return regular.crossJoin(F.broadcast(last)).where(F.col("season").between(F.col("_last") - (seasons - 1), F.col("_last")))
+
+
+def baseline(state: DataFrame, metrics: Sequence[str] = METRICS, seasons: int = 2) -> DataFrame:
+    """One row of means and deviations of the regular games of the last seasons."""
+    one = _last_seasons(state, seasons).agg(*[F.sum(f"{k}_{m}").alias(f"{k}_{m}") for m in metrics for k in ("n", "s", "ss")])
+    mean = lambda m: F.col(f"s_{m}") / F.nullif(F.col(f"n_{m}"), F.lit(0))
+    spread = lambda m: F.sqrt(F.greatest(F.lit(0.0), F.col(f"ss_{m}") - F.col(f"s_{m}") * mean(m)) / F.nullif(F.col(f"n_{m}") - 1, F.lit(0)))
+    return one.select(*[c for m in metrics for c in (mean(m).alias(f"mean_{m}"), spread(m).alias(f"sd_{m}"))])
+
+
+def monthly(state: DataFrame, metrics: Sequence[str] = METRICS, form: Sequence[str] = FORM) -> DataFrame:
+    """Means per month, season and team: metrics of regular games, form of all."""
+    return state.select(*KEYS, *[(F.col(f"s_{c}") / F.nullif(F.col(f"n_{c}"), F.lit(0))).alias(f"mean_{c}") for c in [*metrics, *form]])
 
 
 def monthly_league(by_team: DataFrame) -> DataFrame:
@@ -59,25 +110,26 @@ def mean_shift(league: DataFrame, base: DataFrame, metrics: Sequence[str] = METR
     return rows.withColumns({f"flag_{m}": F.abs(f"z_{m}") >= sigmas for m in metrics})
 
 
-def _binned(rows: DataFrame, cuts: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    binned = rows.crossJoin(F.broadcast(cuts)).select(*keys, *[decile_bin(F.col(m), F.col(f"q_{m}")).alias(m) for m in metrics])
-    return binned.unpivot(list(keys), list(metrics), "metric", "bin")
+def _bin_counts(state: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """keys, metric, bin (null for null values), n: bins that have values."""
+    sums = state.groupBy(*keys).agg(*[F.array(*[F.sum(F.get(f"b_{m}", F.lit(k))) for k in range(11)]).alias(m) for m in metrics])
+    rows = sums.unpivot(list(keys), list(metrics), "metric", "counts")
+    rows = rows.select(*keys, "metric", F.posexplode("counts").alias("bin", "n")).where("n > 0")
+    return rows.withColumn("bin", F.nullif("bin", F.lit(0)))
 
 
-def psi_baseline(facts: DataFrame, cuts: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+def psi_baseline(state: DataFrame, metrics: Sequence[str] = METRICS, seasons: int = 2) -> DataFrame:
     """metric, bin, p: share of each bin in the baseline. Null values count in the total only."""
-    long = _binned(baseline_rows(facts), cuts, [], metrics)
-    counts = long.groupBy("metric", "bin").count()
-    totals = counts.groupBy("metric").agg(F.sum("count").alias("_n"))
-    return counts.join(F.broadcast(totals), "metric").select("metric", "bin", (F.col("count").cast("double") / F.col("_n")).alias("p"))
+    counts = _bin_counts(_last_seasons(state, seasons), [], metrics)
+    totals = counts.groupBy("metric").agg(F.sum("n").alias("_n"))
+    return counts.join(F.broadcast(totals), "metric").select("metric", "bin", (F.col("n").cast("double") / F.col("_n")).alias("p"))
 
 
-def psi_monthly(facts: DataFrame, cuts: DataFrame, shares: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+def psi_monthly(state: DataFrame, shares: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     """ym, metric, psi: sum of (p - q) * ln(p / q) over bins that both have; regular games."""
-    rows = facts.where("season_type = 'REG'").withColumn("ym", F.trunc("game_date", "month"))
-    counts = _binned(rows, cuts, ["ym"], metrics).groupBy("ym", "metric", "bin").count()
-    totals = counts.groupBy("ym", "metric").agg(F.sum("count").alias("_n"))
-    q = counts.join(totals, ["ym", "metric"]).select("ym", "metric", "bin", (F.col("count").cast("double") / F.col("_n")).alias("q"))
+    counts = _bin_counts(state.where("n_games > 0"), ["ym"], metrics)
+    totals = counts.groupBy("ym", "metric").agg(F.sum("n").alias("_n"))
+    q = counts.join(totals, ["ym", "metric"]).select("ym", "metric", "bin", (F.col("n").cast("double") / F.col("_n")).alias("q"))
     joined = q.join(F.broadcast(shares), ["metric", "bin"])
     term = (F.col("p") - F.col("q")) * F.ln(F.nullif("p", F.lit(0.0)) / F.nullif("q", F.lit(0.0)))
     return joined.groupBy("ym", "metric").agg(F.sum(term).alias("psi"))

@@ -204,13 +204,19 @@ def portability_index(rates, shooting, composites, passer, load, versatility) ->
 
 
 def full_union(frames: Sequence[DataFrame], keys: Sequence[str], as_written: bool = False) -> DataFrame:
-    """Full outer join of all frames. By default on coalesced keys, one row per key; as_written matches every frame with the first
-    one's keys only, so keys that the first lacks come once per frame."""
+    """Full outer join of all frames, each with one row per key. By default on coalesced keys, one row per key: all frames are tagged and united, and one
+    grouping by the keys takes each frame's columns, so the rows are shuffled once, whatever the number of frames. Rows with a null key match none.
+    as_written matches every frame with the first one's keys only, so keys that the first lacks come once per frame."""
     first, *rest = frames
     if not as_written:
-        for df in rest:
-            first = first.join(df, list(keys), "full")
-        return first
+        rows, lone = None, None
+        for k in keys:
+            lone = F.col(k).isNull() if lone is None else lone | F.col(k).isNull()
+        for number, df in enumerate(frames):
+            tagged = df.withColumn("_frame", F.when(lone, F.lit(number)).otherwise(F.lit(-1)))
+            rows = tagged if rows is None else rows.unionByName(tagged, allowMissingColumns=True)
+        columns = [c for c in rows.columns if c not in (*keys, "_frame")]
+        return rows.groupBy(*keys, "_frame").agg(*[F.any_value(c, True).alias(c) for c in columns]).drop("_frame")
     out = first.withColumns({f"_k0_{k}": F.col(k) for k in keys}).drop(*keys)
     for n, df in enumerate(rest, 1):
         df = df.withColumns({f"_k{n}_{k}": F.col(k) for k in keys}).drop(*keys)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from duolog.operators.ranges import same
+from duolog.sources.scratch import materialize
+
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: column, n, nulls, n_distinct, min, max (as text), pct_null. Plain counts take one scan without a
@@ -47,39 +51,95 @@ def missing_hotspots(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     return long.withColumn("pct", F.col("nulls") * F.lit(100.0) / F.col("n")).where(F.col("pct") >= least).orderBy(F.desc("pct"), F.desc("n"), *keys, "metric")
 
 
-#: Equal parts of a column's range in which `quantiles` seeks ranks.
-PARTS = 4096
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Exact continuous quantiles of whole columns: one row of arrays, null without values. The rows are
-    read once, into counts of distinct values. No task sees a whole column: counts of PARTS equal parts of each column's range tell
-    which parts hold the ranks, and only the values of those parts are ranked."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "_c", "_v").where("_v is not null")
-    counted = long.groupBy("_c", "_v").agg(F.count("*").alias("_k"))
-    span = F.broadcast(counted.groupBy("_c").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_k").alias("_n")))
-    part = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * PARTS), F.lit(PARTS - 1))).otherwise(0)
-    values = counted.join(span, "_c").select("_c", "_n", part.cast("int").alias("_b"), "_v", "_k")
-    before = lambda w: F.coalesce(F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = values.groupBy("_c", "_n", "_b").agg(F.sum("_k").alias("_k"))
-    parts = parts.withColumn("_at", before(Window.partitionBy("_c").orderBy("_b")))
-    place = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(shares)]))
-    ranks = span.select("_c", "_n", place.alias("_q")).select("_c", F.col("_q.i").alias("_i"), ((F.col("_n") - 1) * F.col("_q.q")).alias("_h"))
-    ends = ranks.withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))))
-    held = ends.join(F.broadcast(parts.withColumnRenamed("_k", "_w").drop("_n")), "_c").where("_r >= _at and _r < _at + _w").select("_c", "_i", "_h", "_r", "_b", "_at")
-    some = values.join(F.broadcast(held.select("_c", "_b", "_at").distinct()), ["_c", "_b"])
-    ranked = some.withColumn("_from", F.col("_at") + before(Window.partitionBy("_c", "_b").orderBy("_v"))).select("_c", "_v", "_from", "_k")
-    found = ranked.join(F.broadcast(held.select("_c", "_i", "_h", "_r")), "_c").where("_r >= _from and _r < _from + _k")
+#: Rows of a group up to which its values may meet in one task, and distinct values of a bracket that a window ranks.
+SMALL = 10_000
+#: Accuracy of the rank sketches, and how far beside a rank a bracket begins and ends: twice the sketches' error.
+ACCURACY = 1000
+MARGIN = 2 / ACCURACY
+#: Parts into which a bracket of many values is cut.
+PARTS = 64
+#: Groups of which a table is broadcast.
+FEW = 10_000
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact continuous quantiles: per group of keys (one row without keys) an array a column, null without values. Null keys are a group.
+    df is read three times, so it should be stored.
+
+    Groups of at most SMALL rows are aggregated as they are. Values of larger ones never meet in one task: mergeable rank sketches of each
+    group and column give a bracket around each rank, values below it are only counted, and only those within it, about 4 in 1,000 wherever
+    they lie, are counted one by one, narrowed further while they are many, and ranked."""
+    keys = list(keys)
+    values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    if not keys:
+        return _selected(values, columns, shares, keys)
+    large = materialize(values.groupBy(*keys).count().where(F.col("count") > SMALL).drop("count"))
+    n = large.limit(FEW + 1).count()
+    plain = lambda rows: rows.groupBy(*keys).agg(*[F.percentile(c, F.array(*map(F.lit, shares))).alias(c) for c in columns])
+    if not n:
+        return plain(values)
+    named = large.toDF(*[f"_l{k}" for k in range(len(keys))])
+    match = same(values, named, dict(zip(keys, named.columns)))
+    named = F.broadcast(named) if n <= FEW else named
+    some = _selected(values.join(named, match, "left_semi"), columns, shares, keys)
+    return plain(values.join(named, match, "left_anti")).unionByName(some)
+
+
+def _selected(values: DataFrame, columns: Sequence[str], shares: Sequence[float], keys: list[str]) -> DataFrame:
+    """`quantiles` of large groups by rank selection, all groups, columns and shares at once. values has keys and columns only."""
+    long = values.unpivot(keys, list(columns), "_c", "_v").where("_v is not null")
+    cell = [*keys, "_c"]
+    edges = [p for q in shares for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    sketch = long.groupBy(*cell).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.percentile_approx("_v", edges, ACCURACY).alias("_p"))
+    # groups with too few values for the sketch's error to cover a rank's neighbours are their own bracket
+    whole = F.col("_n") < 4 / MARGIN
+    side = lambda name, k: F.when(whole, F.col(name)).otherwise(F.get("_p", F.lit(k)))
+    brackets = materialize(sketch.select(*cell, "_n", F.array(*[F.struct(F.lit(i).alias("i"), side("_low", 2 * i).alias("a"), side("_high", 2 * i + 1).alias("b")) for i in range(len(shares))]).alias("_e")))
+    near = brackets.drop("_n")
+    near = F.broadcast(near) if brackets.limit(FEW + 1).count() <= FEW else near
+    place = F.transform("_e", lambda e: F.when(F.col("_v") <= e["b"], F.struct(e["i"].alias("_i"), F.when(F.col("_v") >= e["a"], F.col("_v")).alias("_v"))))
+    met = _joined(long, near, cell).select(*cell, F.explode(F.filter(place, lambda x: x.isNotNull())).alias("_x"))
+    cell = [*cell, "_i"]
+    held = materialize(met.select(*cell[:-1], "_x.*").groupBy(*cell, "_v").agg(F.count("*").alias("_k")))  # a null value stands for all below the bracket
+
+    share = F.element_at(F.array(*map(F.lit, shares)), F.col("_i") + 1)
+    ranks = brackets.select(*cell[:-1], "_n", F.explode(F.sequence(F.lit(0), F.lit(len(shares) - 1))).alias("_i")).withColumn("_h", (F.col("_n") - 1) * share)
+    ranks = _joined(ranks, held.where("_v is null").select(*cell, F.col("_k").alias("_at")), cell, "left").withColumn("_at", F.coalesce("_at", F.lit(0)))
+    ranks = ranks.withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h"))))).drop("_n")
+    held = held.where("_v is not null")
+    size = held.groupBy(*cell).count().agg(F.max("count")).first()[0] or 0
+    rows, cell_of = _joined(held, ranks, cell), [*cell, "_r"]
+    while size > SMALL:
+        rows = materialize(_narrowed(rows, cell_of))
+        size = rows.groupBy(*cell_of).count().agg(F.max("count")).first()[0] or 0
+    ahead = F.coalesce(F.sum("_k").over(Window.partitionBy(*cell_of).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = rows.withColumn("_from", F.col("_at") + ahead).where("_r >= _from and _r < _from + _k")
     low = F.min_by("_v", "_r")
-    value = found.groupBy("_c", "_i", "_h").agg((low + (F.max_by("_v", "_r") - low) * (F.col("_h") - F.floor("_h"))).alias("_x"))
-    return value.groupBy().agg(*[F.transform(F.sort_array(F.collect_list(F.when(F.col("_c") == c, F.struct("_i", "_x")))), lambda x: x["_x"]).alias(c) for c in columns])
+    value = found.groupBy(*cell, "_h").agg((low + (F.max_by("_v", "_r") - low) * (F.col("_h") - F.floor("_h"))).alias("_y"))
+    arrays = [F.sort_array(F.collect_list(F.when(F.col("_c") == c, F.struct("_i", "_y")))) for c in columns]
+    out = value.groupBy(*keys).agg(*[F.when(F.size(a) > 0, F.transform(a, lambda x: x["_y"])).alias(c) for a, c in zip(arrays, columns)])
+    return _joined(values.select(*keys).distinct(), out, keys, "left") if keys else out
+
+
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, null matching null."""
+    other = right.withColumnsRenamed({c: f"_j{n}" for n, c in enumerate(on)})
+    return left.join(other, same(left, other, {c: f"_j{n}" for n, c in enumerate(on)}), how).drop(*[f"_j{n}" for n in range(len(on))])
+
+
+def _narrowed(held: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """held (cells, _at, _h, _v, _k) with the values of the one part of PARTS, cut at ranks of distinct values, in which a cell's rank _r lies."""
+    cuts = held.groupBy(*cells).agg(F.percentile_approx("_v", [k / PARTS for k in range(1, PARTS)], 4 * PARTS).alias("_cuts"))
+    parted = _joined(held, cuts, cells).withColumn("_part", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
+    parts = parted.groupBy(*cells, "_at", "_part").agg(F.sum("_k").alias("_w"))
+    ahead = F.coalesce(F.sum("_w").over(Window.partitionBy(*cells).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    right = parts.withColumn("_to", F.col("_at") + ahead).where("_r >= _to and _r < _to + _w").select(*cells, "_part", "_to")
+    return _joined(parted, right, [*cells, "_part"]).withColumn("_at", F.col("_to")).drop("_part", "_to")
 
 
 def medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str) -> DataFrame:
     """Exact medians per key; without keys one row, see `quantiles`."""
-    if keys:
-        return df.groupBy(*keys).agg(*[F.median(c).alias(f"{prefix}{c}") for c in columns])
-    return quantiles(df, columns, [0.5]).select(*[F.get(c, F.lit(0)).alias(f"{prefix}{c}") for c in columns])
+    return quantiles(df, columns, [0.5], keys).select(*keys, *[F.get(c, F.lit(0)).alias(f"{prefix}{c}") for c in columns])
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
@@ -93,16 +153,33 @@ def impute_medians(df: DataFrame, columns: Sequence[str], levels: Sequence[Seque
     return out.withColumns(flags).withColumns(filled).drop(*[f"_m{n}_{c}" for n in range(len(levels)) for c in columns])
 
 
-#: Pairs of which neither may be missing for the rule to count, and what must hold of them.
-_BOUNDS = (("fgm", "fga", "{0} <= {1}"), ("tpm", "tpa", "{0} <= {1}"), ("tpm", "fgm", "{0} <= {1}"), ("fga", "fta", "({0} >= 0 and {1} >= 0)"), ("pts", "pts", "{0} >= 0"), ("oreb", "dreb", "({0} >= 0 and {1} >= 0)"))
-RULES = tuple(" or ".join([*dict.fromkeys(f"{c} is null" for c in (a, b)), rule.format(a, b)]) for a, b, rule in _BOUNDS)
-#: The rules joined as they once were, without brackets: "and" binds tighter, so nearly every row passes.
-LOOSE = " and ".join(RULES)
+@dataclass(frozen=True)
+class Rule:
+    """A rule that rows must keep: it counts only where none of its columns is null."""
+
+    columns: tuple[str, ...]
+    predicate: str
+
+    @property
+    def sql(self) -> str:
+        return " or ".join([*(f"{c} is null" for c in self.columns), self.predicate])
+
+
+# The physical rules of a box.
+RULES = (
+    Rule(("fgm", "fga"), "fgm <= fga"),
+    Rule(("tpm", "tpa"), "tpm <= tpa"),
+    Rule(("fgm", "tpm"), "fgm >= tpm"),
+    Rule(("fga", "fta"), "fga >= 0 and fta >= 0"),
+    Rule(("pts",), "pts >= 0"),
+    Rule(("oreb", "dreb"), "oreb >= 0 and dreb >= 0"),
+)
 
 
-def constraint_guard(facts: DataFrame, strict: bool = True) -> DataFrame:
-    """Rows that keep all physical rules; strict=False applies them as LOOSE joins them."""
-    return facts.where(" and ".join(f"({r})" for r in RULES) if strict else LOOSE)
+def constraint_guard(facts: DataFrame, strict: bool = True, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Rows that keep all rules. strict=False joins the rules by "and" without brackets, as they once were: "and" binds tighter than
+    "or", so nearly every row passes."""
+    return facts.where(" and ".join(f"({r.sql})" if strict else r.sql for r in rules))
 
 
 def points_identity(facts: DataFrame) -> DataFrame:

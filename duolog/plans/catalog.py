@@ -13,6 +13,7 @@ from duolog.operators import dims, drift, facts, features, quality, reshape
 from duolog.plans import lens
 from duolog.plans.sql import METRICS, NUDGE, STATS, sql
 from duolog.sources import landing
+from duolog.sources.scratch import materialize, shared_path
 from duolog.streaming import incremental
 
 _QUERIES: dict[str, Callable] = {}
@@ -48,7 +49,7 @@ def oracle(uses: str, body: str, digits: dict[int, str] | None = None, extra: st
 
 class Tables:
     """What queries share; every attribute is a lazy plan over the given tables. What many branches of one query read (games, season
-    totals, league and external scores) is kept by Spark on executors, on disk where memory is short, and computed anew if lost."""
+    totals, league and external scores) is written once to the shared folder: lost executors lose none of it, and sessions keep nothing in memory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -60,30 +61,31 @@ class Tables:
     calendar = property(lambda t: lens.calendar(t.spark, t.sf_dir))
     stats = property(lambda t: lens.stats(t.spark, t.sf_dir))
     games = property(lambda t: facts.with_opponent(t.stats, t.pairs.join(t.calendar, "game_id")).select("game_id", "team_id", *STATS, "game_date", "season", "season_type", "is_home", "opp_team_id"))
-    kept_games = cached_property(lambda t: t.games.persist())
+    kept_games = cached_property(lambda t: materialize(t.games))
     reb = property(lambda t: t.kept_games.withColumn("reb", F.col("oreb") + F.col("dreb")))
     raw = property(lambda t: lens.raw_log(t.games))
     schedule = property(lambda t: features.schedule_features(t.games))
-    kept_schedule = property(lambda t: features.schedule_features(t.kept_games))
+    kept_schedule = cached_property(lambda t: materialize(features.schedule_features(t.kept_games)))
     rated = property(lambda t: features.derived_ratings(features.opponent_box(t.games)))
     formed = property(lambda t: features.rolling_form(t.rated))
     month = property(lambda t: features.calendar_features(t.formed, t.schedule))
     players = property(lambda t: facts.player_games(lens.player_box(t.spark, t.sf_dir), t.calendar, lens.PLAYER_STATS))
-    totals = cached_property(lambda t: features.season_totals(t.players, ("season", "player_id")).persist())
+    totals = cached_property(lambda t: materialize(features.season_totals(t.players, ("season", "player_id"))))
     league = property(lambda t: features.league_efficiency(t.games))
-    shooting = cached_property(lambda t: features.shooting_profile(t.totals, t.league).persist())
+    shooting = cached_property(lambda t: materialize(features.shooting_profile(t.totals, t.league)))
     rates = property(lambda t: features.rate_stats(t.totals))
-    load = cached_property(lambda t: features.load_index(t.totals, t.shooting).persist())
+    load = cached_property(lambda t: materialize(features.load_index(t.totals, t.shooting)))
     scores = property(lambda t: features.external_scores(lens.external(t.spark, t.sf_dir)))
-    composites = cached_property(lambda t: features.external_composites(t.scores).persist())
-    passer = cached_property(lambda t: features.passer_index(t.load, t.totals, lens.bio(t.spark, t.sf_dir)).persist())
+    composites = cached_property(lambda t: materialize(features.external_composites(t.scores)))
+    passer = cached_property(lambda t: materialize(features.passer_index(t.load, t.totals, lens.bio(t.spark, t.sf_dir))))
     port = property(lambda t: features.portability_index(t.rates, t.shooting, t.composites, t.passer, t.load, lens.versatility(t.spark, t.sf_dir)))
-    cuts = cached_property(lambda t: drift.decile_cuts(t.reb).persist())
-    base = property(lambda t: drift.baseline(t.reb))
-    monthly = property(lambda t: drift.monthly(t.reb, t.kept_schedule))
+    cuts = cached_property(lambda t: materialize(drift.decile_cuts(t.reb)))
+    state = cached_property(lambda t: materialize(drift.month_state(t.reb, t.kept_schedule, t.cuts)))
+    base = property(lambda t: drift.baseline(t.state))
+    monthly = property(lambda t: drift.monthly(t.state))
     shift = property(lambda t: drift.mean_shift(drift.monthly_league(t.monthly), t.base))
-    psi_base = property(lambda t: drift.psi_baseline(t.reb, t.cuts))
-    psi = property(lambda t: drift.psi_monthly(t.reb, t.cuts, t.psi_base))
+    psi_base = property(lambda t: drift.psi_baseline(t.state))
+    psi = property(lambda t: drift.psi_monthly(t.state, t.psi_base))
     long = property(lambda t: t.games.withColumn("side", F.when(F.col("is_home"), "home").otherwise("away")))
     wide = property(lambda t: reshape.pivot_sides(t.long, ["game_id", "game_date", "season", "season_type"], ["team_id", *STATS]))
 
@@ -422,7 +424,7 @@ def side_fact(t: Tables) -> DataFrame:
     line = t.long.where("game_id % 6 <> 0").select(clean.padded_id(F.col("game_id")).alias("game_id"), F.col("team_id").cast("string").alias("team_id"), F.col("side").alias("bx_side"), F.col("fga").cast("double").alias("bx_pts"))
     events = t("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("game_id"))
     teams = t("supplier").where("s_suppkey % 10 <> 0").select(F.col("s_suppkey").cast("string").alias("team_id"))
-    return facts.side_fact(_raw_wide(t).persist(), line, events, _overrides(t), teams).select(*_SIDE_OUT)
+    return facts.side_fact(materialize(_raw_wide(t)), line, events, _overrides(t), teams).select(*_SIDE_OUT)
 
 
 # Features
@@ -595,7 +597,7 @@ def comissing_matrix(t: Tables) -> DataFrame:
 
 @oracle("games", "select 'team' as level, team_id, season, median(fgm) as fgm, median(tpm) as tpm from games group by 2, 3 union all select 'season', null, season, median(fgm), median(tpm) from games group by 3 union all select 'league', null, null, median(fgm), median(tpm) from games")
 def median_levels(t: Tables) -> DataFrame:
-    level = lambda name, keys: quality.medians(t.games, keys, ["fgm", "tpm"], "").select(F.lit(name).alias("level"), *[(F.col(k) if k in keys else F.lit(None).cast(d)).alias(k) for k, d in (("team_id", "bigint"), ("season", "int"))], "fgm", "tpm")
+    level = lambda name, keys: quality.medians(t.kept_games, keys, ["fgm", "tpm"], "").select(F.lit(name).alias("level"), *[(F.col(k) if k in keys else F.lit(None).cast(d)).alias(k) for k, d in (("team_id", "bigint"), ("season", "int"))], "fgm", "tpm")
     return level("team", ["team_id", "season"]).unionByName(level("season", ["season"])).unionByName(level("league", []))
 
 
@@ -607,15 +609,23 @@ def median_levels(t: Tables) -> DataFrame:
     + f" left join (select season, {', '.join(f'median({c}) as y_{c}' for c in STATS)} from games group by 1) y on y.season = g.season, (select {', '.join(f'median({c}) as z_{c}' for c in STATS)} from games) z",
 )
 def impute_median(t: Tables) -> DataFrame:
-    return quality.impute_medians(t.games, STATS, [["team_id", "season"], ["season"], []]).select("game_id", "team_id", *[x for c in STATS for x in (c, f"was_imputed_{c}")])
+    return quality.impute_medians(t.kept_games, STATS, [["team_id", "season"], ["season"], []]).select("game_id", "team_id", *[x for c in STATS for x in (c, f"was_imputed_{c}")])
 
 
-@oracle("games", "select game_id, team_id from games where " + " and ".join(f"({r})" for r in quality.RULES))
+@oracle(
+    "games",
+    """select game_id, team_id from games where coalesce(fgm <= fga, true) and coalesce(tpm <= tpa, true) and coalesce(tpm <= fgm, true) and coalesce(pts >= 0, true)
+      and case when fga is not null and fta is not null then least(fga, fta) >= 0 else true end and case when oreb is not null and dreb is not null then least(oreb, dreb) >= 0 else true end""",
+)
 def constraint_guard(t: Tables) -> DataFrame:
     return quality.constraint_guard(t.games).select("game_id", "team_id")
 
 
-@oracle("games", f"select game_id, team_id from games where {quality.LOOSE}")
+@oracle(
+    "games",
+    """select game_id, team_id from games where fgm is null or fga is null or (fgm <= fga and tpm is null) or tpa is null or (tpm <= tpa and fgm is null) or tpm is null or (fgm >= tpm and fga is null) or fta is null
+      or (fga >= 0 and fta >= 0 and pts is null) or (pts >= 0 and oreb is null) or dreb is null or (oreb >= 0 and dreb >= 0)""",
+)
 def constraint_guard_as_written(t: Tables) -> DataFrame:
     return quality.constraint_guard(t.games, strict=False).select("game_id", "team_id")
 
@@ -825,15 +835,7 @@ def json_resultset_rows(t: Tables) -> DataFrame:
 
 def _shared(t: Tables, name: str) -> str:
     """A new folder that the driver and executors share."""
-    import tempfile
-    import uuid
-
-    shared = t.spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not t.spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = tempfile.mkdtemp(prefix="duolog-")
-    return f"{shared}/duolog-{name}-{uuid.uuid4().hex}"
+    return shared_path(t.spark, f"{name}-")
 
 
 def _landed(t: Tables, tables: dict[str, DataFrame]) -> str:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duolog.functions import clean
-from duolog.operators import dims, facts, quality
+from duolog.operators import dims, drift, facts, quality
 from duolog.plans import lens
-from duolog.plans.catalog import _BAD, _BOTH, _LINE, STATS, Tables, _line, _new_orders, _old_orders, _raw_wide, _shared, mart_fact, oracle
+from duolog.plans.catalog import _BAD, _BOTH, _LINE, _OLD, STATS, Tables, _line, _new_orders, _old_orders, _raw_wide, _shared, mart_fact, oracle
 from duolog.sources import landing
+from duolog.sources.scratch import materialize
 from duolog.streaming import incremental
 
 
@@ -125,8 +126,8 @@ def season_sink(t: Tables) -> DataFrame:
 @oracle("", "select * from new union all select * from old o where not exists (select 1 from new n where n.o_custkey = o.o_custkey and n.o_orderkey = o.o_orderkey and lower(n.label) = lower(o.label))", extra=_BOTH)
 def published_upsert(t: Tables) -> DataFrame:
     folder, keys = _shared(t, "table"), ["o_custkey", "o_orderkey", "label"]
-    incremental.publish(_old_orders(t), folder, keys)
-    incremental.publish(incremental.upsert(incremental.current(t.spark, folder), _new_orders(t), keys, label="label"), folder, keys)
+    incremental.publish(_old_orders(t), folder, keys, label="label")
+    incremental.upsert_published(t.spark, folder, _new_orders(t))
     return incremental.current(t.spark, folder)
 
 
@@ -135,3 +136,27 @@ def mart_sink(t: Tables) -> DataFrame:
     folder = _shared(t, "mart")
     incremental.publish(mart_fact(t), folder, ["game_id", "team_id"])
     return incremental.current(t.spark, folder)
+
+
+@oracle("", "select max(day) as watermark, max(day) + 1 as start from old", extra=_OLD)
+def watermark_from_footers(t: Tables) -> DataFrame:
+    folder = _shared(t, "log")
+    _old_orders(t).write.parquet(folder)
+    latest = incremental.footer_latest(t.spark, folder, "day")
+    return incremental.watermark(t.spark, [(latest.where("false"), "latest"), (latest, "latest")])
+
+
+_ALERTS = f"select ym, {' or '.join(f'flag_{m}' for m in drift.METRICS)} as any_3sigma, " + ", ".join(f"coalesce((select max(case when psi > 0.25 then 1 else 0 end) from psim p where p.ym = f.ym and metric = '{m}'), 0) as psi_{m}_major" for m in drift.METRICS) + " from flags f"
+
+
+@oracle("flags psim", _ALERTS)
+def drift_alerts_in_batches(t: Tables) -> DataFrame:
+    """The state of recent seasons is published; then older months arrive, and only they are read and only their buckets rewritten."""
+    folder, keys = _shared(t, "drift"), list(drift.KEYS)
+    old = F.col("season") < 1998
+    state = lambda part: drift.month_state(t.reb.where(part), t.kept_schedule.where(part), t.cuts)
+    incremental.publish(state(~old), folder, keys)
+    drift.add_months(t.spark, folder, state(old))
+    whole = materialize(incremental.current(t.spark, folder))
+    shift = drift.mean_shift(drift.monthly_league(drift.monthly(whole)), drift.baseline(whole))
+    return drift.alerts(shift, drift.psi_monthly(whole, drift.psi_baseline(whole)))

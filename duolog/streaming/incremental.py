@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from duolog.functions.clean import season, season_label
 from duolog.operators.dims import first_per_key
 from duolog.operators.quality import require_unique
+from duolog.operators.ranges import same
+from duolog.sources.scratch import materialize
+
+#: Bits of the filter of incoming keys.
+BLOOM_BITS = 1 << 23
 
 
 def folded_label(c: str) -> Column:
@@ -26,12 +33,13 @@ def _tag(df: DataFrame, keys: Sequence[str], label: str | None) -> tuple[DataFra
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], label: str | None = None, order: Sequence[Column] = (), replace: bool = False) -> DataFrame:
     """Rows of updates, and those of target whose key they lack; of a key repeated in updates the first by order stays.
-    `label` names a key column compared by `folded_label`. replace keeps updates only."""
+    `label` names a key column compared by `folded_label`; a null in another key column matches null. replace keeps updates only."""
     new, tags = _tag(updates, keys, label)
     new = first_per_key(new, tags, [*order, *[F.col(c) for c in updates.columns]])
     if not replace:
         old, _ = _tag(target, keys, label)
-        new = old.join(new.select(*tags), tags, "left_anti").unionByName(new)
+        named = new.select(*[F.col(t).alias(f"_w{n}") for n, t in enumerate(tags)])
+        new = old.join(named, same(old, named, {t: f"_w{n}" for n, t in enumerate(tags)}), "left_anti").unionByName(new)
     return new.select(*target.columns)
 
 
@@ -86,6 +94,27 @@ def watermark(spark: SparkSession, sources: Sequence[tuple[DataFrame, str]], exp
     return found.select(mark.alias("watermark"), F.coalesce(F.lit(explicit).cast("date"), F.date_add(mark, 1)).alias("start"))
 
 
+def footer_latest(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row, `latest`: the largest value of a date or number column of Parquet files, answered from the statistics in their footers, so no
+    column is read. Null for files without values. Row groups without statistics make it fail; use an aggregate over the rows there.
+
+    The aggregate is pushed into the scan by Spark's reader of the second version, which the session's settings choose while the plan is made."""
+    wanted = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        found = spark.read.parquet(path).agg(F.max(column).alias("latest"))
+        plan = found._jdf.queryExecution().executedPlan().toString()  # planned here, under these settings
+        if "PushedAggregation: [MAX" not in plan:
+            raise ValueError(f"the largest {column} can't be told from footers")
+        value, kind = found.first().latest, found.schema
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.createDataFrame([(value,)], kind)
+
+
 def plausible_labels(start: Column, end: Column) -> Column:
     """Labels that games between two dates of one year may have. Regular games are always possible."""
     first, last = F.month(start), F.month(end)
@@ -128,28 +157,120 @@ def stamped(updates: DataFrame, column: str = "updated_at") -> DataFrame:
     return updates.withColumn(column, F.current_timestamp())
 
 
-def publish(df: DataFrame, folder: str, keys: Sequence[str]) -> str:
-    """Write a new version beside the old ones, check its keys, then add a pointer to it. Pointers are only ever added, and a
-    file appears whole, so that readers find the old version or the new one, never none and never half a table. Returns the
-    version's path."""
-    spark = df.sparkSession
+def _bucket(keys: Sequence[str], label: str | None, buckets: int) -> Column:
+    """Bucket of a key: a hash of its columns, the label without case."""
+    return F.pmod(F.xxhash64(*[folded_label(k) if k == label else F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _write_version(df: DataFrame, folder: str, keys: Sequence[str], label: str | None, buckets: int) -> str:
+    """df as a new version with a folder per bucket. Rows are rebalanced by bucket: small ones share a task, large ones are split."""
     path = f"{folder}/version={uuid.uuid4().hex}"
-    df.write.parquet(path)
-    require_unique(spark.read.parquet(path), keys)
-    pointer = spark.createDataFrame([(f"{time.time_ns():020d} {path}",)], "value string")
-    pointer.coalesce(1).write.mode("append").text(f"{folder}/current")
+    df.withColumn("_bucket", _bucket(keys, label, buckets)).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(path)
+    return path
+
+
+def _point(spark: SparkSession, folder: str, state: dict) -> None:
+    """Add a pointer: which version holds each bucket. Pointers are only ever added, and a file appears whole, so that readers find the old
+    state or the new one, never a part of it."""
+    line = f"{time.time_ns():020d} {json.dumps(state)}"
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{folder}/current")
+
+
+def _state(spark: SparkSession, folder: str) -> dict:
+    return json.loads(spark.read.text(f"{folder}/current").agg(F.max("value")).first()[0].partition(" ")[2])
+
+
+def _bucket_files(spark: SparkSession, state: dict, some: Sequence[int] | None = None) -> DataFrame:
+    """Rows of the buckets (all by default), each read from the version that holds it; buckets that hold none are not read."""
+    schema = StructType.fromJson(state["schema"])
+    by_version: dict[str, list[int]] = {}
+    for b, v in state["at"].items():
+        if some is None or int(b) in some:
+            by_version.setdefault(v, []).append(int(b))
+    rows = spark.createDataFrame([], schema)
+    for version, held in by_version.items():
+        stored = spark.read.schema(StructType([*schema.fields, StructField("_bucket", IntegerType())])).parquet(version)
+        rows = rows.unionByName(stored.where(F.col("_bucket").isin(held)).select(*schema.names))
+    return rows
+
+
+def _held(spark: SparkSession, path: str) -> list[int]:
+    """Buckets that a version has rows in; at most as many as there are buckets."""
+    return [r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect()]
+
+
+def require_unique_keys(df: DataFrame, incoming: DataFrame, keys: Sequence[str], label: str | None = None) -> None:
+    """An error if a key of incoming repeats in df. A Bloom filter of the incoming keys, one bit array of fixed size per task's share of hashes, combined before
+    it is sent, turns most rows of df away while they are scanned; only rows that pass meet the keys themselves."""
+    old, tags = _tag(df, keys, label)
+    new, _ = _tag(incoming, keys, label)
+    hashes = [F.pmod(F.xxhash64(F.lit(k), *tags), F.lit(BLOOM_BITS)) for k in range(2)]
+    bits = new.select(F.explode(F.array(*hashes)).alias("_h")).groupBy(F.bitmap_bucket_number("_h").alias("_n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_b"))
+    table = F.broadcast(bits.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("_n", "_b"))).alias("_m")))  # BLOOM_BITS / 8 bytes at most
+    rows = old.select(*tags).crossJoin(table)
+    for h in hashes:
+        byte = F.substring(F.col("_m")[F.bitmap_bucket_number(h)], (F.floor(F.bitmap_bit_position(h) / 8) + 1).cast("int"), F.lit(1))
+        value = F.conv(F.hex(byte), 16, 10).cast("int")
+        rows = rows.where(F.coalesce(F.bit_get(value, (F.bitmap_bit_position(h) % 8).cast("int")) == 1, F.lit(False)))
+    met = rows.select(*tags).join(new.select(*tags).distinct(), tags, "left_semi")
+    if not met.groupBy(*tags).count().where("count > 1").isEmpty():
+        raise ValueError(f"repeated keys in {', '.join(keys)}")
+
+
+def publish(df: DataFrame, folder: str, keys: Sequence[str], label: str | None = None, buckets: int = 64) -> str:
+    """Write df as a new version of a table, one folder per bucket of its keys, check that no key repeats, then add a pointer to it, see `_point`.
+    Returns the version's path. `upsert_published` changes such a table."""
+    spark = df.sparkSession
+    path = _write_version(df, folder, keys, label, buckets)
+    state = {"schema": df.schema.jsonValue(), "buckets": buckets, "keys": list(keys), "label": label, "at": {b: path for b in _held(spark, path)}}
+    tagged, tags = _tag(_bucket_files(spark, state), keys, label)
+    require_unique(tagged, tags)
+    _point(spark, folder, state)
     return path
 
 
 def current(spark: SparkSession, folder: str) -> DataFrame:
-    """The version that `publish` pointed to last."""
-    return spark.read.parquet(spark.read.text(f"{folder}/current").agg(F.max("value")).first()[0].partition(" ")[2])
+    """The table that the last pointer describes."""
+    return _bucket_files(spark, _state(spark, folder))
+
+
+def current_of(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """Rows of a published table whose keys are in wanted, null matching null; only the buckets of those keys are read."""
+    state = _state(spark, folder)
+    keys, label = state["keys"], state["label"]
+    some = [r[0] for r in wanted.select(_bucket(keys, label, state["buckets"])).distinct().collect()]  # at most the number of buckets
+    rows, _ = _tag(_bucket_files(spark, state, some), keys, label)
+    asked, tags = _tag(wanted, keys, label)
+    named = asked.select(*[F.col(t).alias(f"_w{n}") for n, t in enumerate(tags)])
+    return rows.join(named, same(rows, named, {t: f"_w{n}" for n, t in enumerate(tags)}), "left_semi").drop(*tags)
+
+
+def upsert_published(spark: SparkSession, folder: str, updates: DataFrame, order: Sequence[Column] = (), replace: bool = False) -> list[int]:
+    """`upsert` into a published table, of touched buckets only: those that hold a key of updates are read, merged and written as a new version, their
+    keys checked (`require_unique_keys`), and a pointer to the new files and the old ones of all other buckets is added. Returns the buckets.
+
+    updates is stored first, so it is computed once. An update without rows changes nothing. Failing leaves the old state."""
+    state = _state(spark, folder)
+    keys, label = state["keys"], state["label"]
+    names = [f["name"] for f in state["schema"]["fields"]]
+    new, tags = _tag(updates.select(*names), keys, label)
+    new = materialize(first_per_key(new, tags, [*order, *[F.col(c) for c in names]]).select(*names))
+    touched = sorted(r[0] for r in new.select(_bucket(keys, label, state["buckets"])).distinct().collect())  # at most the number of buckets
+    if not touched:
+        return []
+    old = _bucket_files(spark, state, touched)
+    path = _write_version(upsert(old, new, keys, label, order, replace), folder, keys, label, state["buckets"])
+    at = {int(b): v for b, v in state["at"].items() if int(b) not in touched} | {b: path for b in _held(spark, path)}
+    state["at"] = at
+    require_unique_keys(_bucket_files(spark, state, touched), new, keys, label)
+    _point(spark, folder, state)
+    return touched
 
 
 def upsert_stream(source: DataFrame, folder: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column] = ()):
     """Apply a stream of updates to the published table, batch by batch, until the source is exhausted."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        publish(upsert(current(batch.sparkSession, folder), batch, keys, order=order), folder, keys)
+        upsert_published(batch.sparkSession, folder, batch, order)
 
     return source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -99,7 +99,8 @@ def test_side_fact_of_a_lonely_row(spark):
 def test_psi_of_the_baseline_against_itself_is_zero(spark):
     df = spark.createDataFrame([(2024, "REG", day(1), i % 17) for i in range(60)], "season int, season_type string, game_date date, x int")
     cuts = drift.decile_cuts(df, ["x"])
-    got = drift.psi_monthly(df, cuts, drift.psi_baseline(df, cuts, ["x"]), ["x"]).collect()
+    state = drift.month_state(df.withColumn("team_id", F.lit(1)), df.select("game_date", "season", F.lit(1).alias("team_id"), F.col("x").alias("f")), cuts, ["x"], ["f"])
+    got = drift.psi_monthly(state, drift.psi_baseline(state, ["x"]), ["x"]).collect()
     assert len(got) == 1 and abs(got[0].psi) < 1e-12
 
 
@@ -155,7 +156,7 @@ def test_quantiles_equal_numpy_on_ties_nulls_and_outliers(spark):
     for k, c in enumerate("abcd"):
         known = [v[k] for v in values if v[k] is not None]
         assert np.allclose(got[c], np.quantile(known, drift.DECILES))
-    assert got["e"] == [] and quality.quantiles(df.limit(0), ["a"], [0.5]).first()["a"] == []
+    assert got["e"] is None and quality.quantiles(df.limit(0), ["a"], [0.5]).first()["a"] is None
     assert quality.medians(df.limit(0), [], ["a"], "m_").first()["m_a"] is None
 
 
@@ -207,3 +208,117 @@ def test_large_season_is_written_by_several_tasks(spark, tmp_path):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = spark.read.parquet(folder).groupBy(F.input_file_name()).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).orderBy("lo").collect()
     assert len(files) > 1 and sum(r.n for r in files) == 4000 and all(a.hi < b.lo for a, b in zip(files, files[1:]))
+
+
+def test_quantiles_of_hot_groups_and_outliers_in_bounded_windows(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    n = 30_000
+    group = rng.choice(["hot", "hot", "hot", "mid", None, "few"], n, p=[0.3, 0.3, 0.2, 0.1, 0.0999, 0.0001])
+    value = np.concatenate([rng.normal(size=n - 1), [1e12]])
+    ties = rng.integers(0, 3, n).astype(float)
+    data = [(g, float(v), None if k % 5 == 0 else float(t), None) for k, (g, v, t) in enumerate(zip(group.tolist(), value, ties))]
+    df = spark.createDataFrame(data, "g string, a double, b double, c double").repartition(6).cache()
+    sizes = []
+    narrowed = quality._narrowed
+    monkeypatch.setattr(quality, "_narrowed", lambda *a: sizes.append(1) or narrowed(*a))
+    for small in (10_000, 20):
+        monkeypatch.setattr(quality, "SMALL", small)
+        got = {r.g: r for r in quality.quantiles(df, ["a", "b", "c"], [0.0, 0.1, 0.5, 0.999, 1.0], ["g"]).collect()}
+        assert got.keys() == {r[0] for r in data}
+        for g, row in got.items():
+            for k, c in enumerate("ab", 1):
+                known = [r[k] for r in data if r[0] == g and r[k] is not None]
+                assert np.allclose(row[c], np.quantile(known, [0.0, 0.1, 0.5, 0.999, 1.0]), rtol=1e-12) if known else row[c] is None
+            assert row["c"] is None
+        whole = quality.quantiles(df, ["a", "b"], drift.DECILES).first()
+        assert np.allclose(whole["a"], np.quantile(value, drift.DECILES)) and np.allclose(whole["b"], np.quantile([r[2] for r in data if r[2] is not None], drift.DECILES))
+    assert sizes  # brackets of more than 20 values were cut
+    df.unpersist()
+
+
+def test_upsert_rewrites_touched_buckets_only_and_rejects_repeats(spark, tmp_path, rows):
+    folder = str(tmp_path / "t")
+    old = spark.createDataFrame([(k, "Reg" if k % 2 else None, "old") for k in range(200)], "k int, label string, v string")
+    incremental.publish(old, folder, ["k", "label"], label="label", buckets=16)
+    before = incremental._state(spark, folder)["at"]
+    files = {b: sorted(p.name for p in (tmp_path / "t").glob(f"version=*/_bucket={b}/*.parquet")) for b in range(16)}
+    new = spark.createDataFrame([(3, "REG", "new"), (3, "reg", "second"), (4, "", "new"), (999, None, "added")], "k int, label string, v string")
+    touched = incremental.upsert_published(spark, folder, new)
+    after = incremental._state(spark, folder)["at"]
+    assert 0 < len(touched) <= 3 and {b for b in after if after[b] != before.get(b)} == {str(b) for b in touched}
+    now = {b: sorted(p.name for p in (tmp_path / "t").glob(f"version=*/_bucket={b}/*.parquet")) for b in range(16)}
+    assert all(now[b] == files[b] for b in range(16) if b not in touched)
+    expected = rows(incremental.upsert(old, new, ["k", "label"], label="label"))
+    assert rows(incremental.current(spark, folder)) == expected and len(expected) == 201
+    assert incremental.upsert_published(spark, folder, new.limit(0)) == [] and rows(incremental.current(spark, folder)) == expected
+    planted = spark.createDataFrame([(3, "rEG", "a"), (3, "reg", "b"), (8, None, "c")], old.schema)
+    with pytest.raises(ValueError):
+        incremental.require_unique_keys(planted, new, ["k", "label"], "label")
+    incremental.require_unique_keys(planted.where("v <> 'a'"), new, ["k", "label"], "label")
+    incremental.require_unique_keys(planted, new.where("k = 999"), ["k", "label"], "label")  # a repeat that no incoming key touches
+    at, state = incremental._state(spark, folder)["at"], incremental._state(spark, folder)
+    (bucket,) = incremental.upsert_published(spark, folder, new.where("k = 999"))
+    path = incremental._state(spark, folder)["at"][str(bucket)]
+    assert path != at[str(bucket)] and rows(incremental.current(spark, folder)) == expected
+    stale = incremental._bucket_files(spark, state)
+    assert rows(stale) == expected  # readers of the old pointer still find their files
+
+
+def test_drift_state_of_two_batches_and_null_keys(spark, rows):
+    days = [dt.date(2001, 1, 5), dt.date(2001, 2, 7), None]
+    facts = [(days[k % 3], 2001 + k % 2, None if k % 7 == 0 else k % 4, "REG" if k % 5 else "PRE", None if k % 6 == 0 else k % 11) for k in range(120)]
+    df = spark.createDataFrame(facts, "game_date date, season int, team_id int, season_type string, pts int")
+    schedule = df.select("game_date", "season", "team_id", F.col("pts").cast("double").alias("pts_l5"))
+    cuts = drift.decile_cuts(df, ["pts"])
+    state = lambda part: drift.month_state(df.where(part), schedule.where(part), cuts, ["pts"], ["pts_l5"])
+    whole = state("true")
+    early = F.coalesce(F.col("game_date") < dt.date(2001, 2, 1), F.lit(False))
+    halves = drift.merged_state(drift.month_state(df.where(early), schedule.where(early), cuts, ["pts"], ["pts_l5"]), drift.month_state(df.where(~early), schedule.where(~early), cuts, ["pts"], ["pts_l5"]))
+    assert rows(whole, *whole.columns) == rows(halves, *whole.columns)
+    assert whole.count() == whole.select("ym", "season", "team_id").distinct().count()  # one row for a null month or team, too
+    means = {(r.ym, r.season, r.team_id): r.mean_pts for r in drift.monthly(whole, ["pts"], ["pts_l5"]).collect()}
+    for (ym, season, team), mean in means.items():
+        known = [p for d, s, t, kind, p in facts if (d and d.replace(day=1)) == ym and s == season and t == team and kind == "REG" and p is not None]
+        assert mean == (pytest.approx(sum(known) / len(known)) if known else None)
+    base = drift.baseline(whole, ["pts"]).first()
+    known = [p for _, s, _, kind, p in facts if kind == "REG" and p is not None]
+    assert base.mean_pts == pytest.approx(sum(known) / len(known))
+    shares = {r.bin: r.p for r in drift.psi_baseline(whole, ["pts"]).collect()}
+    assert sum(shares.values()) == pytest.approx(1) and shares[None] == pytest.approx(sum(p is None for _, _, _, kind, p in facts if kind == "REG") / sum(kind == "REG" for *_, kind, _ in facts))
+
+
+def test_union_of_frames_takes_one_exchange(spark, rows):
+    frames = [spark.createDataFrame([(1, 2, "a"), (None, 3, "b")], "season int, player_id int, x string"), spark.createDataFrame([(1, 2, 5), (4, 4, None), (None, 3, 6)], "season int, player_id int, y int"), spark.createDataFrame([(4, 4, 1.5)], "season int, player_id int, z double")]
+    out = features.full_union(frames, ["season", "player_id"])
+    joined = frames[0]
+    for df in frames[1:]:
+        joined = joined.join(df, ["season", "player_id"], "full")
+    assert rows(out, *joined.columns) == rows(joined)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+
+
+def test_latest_date_comes_from_footers(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.createDataFrame([(dt.date(2020, 1, k + 1), "x") for k in range(9)] + [(None, "y")], "day date, v string").repartition(3).write.parquet(path)
+    assert incremental.footer_latest(spark, path, "day").first().latest == dt.date(2020, 1, 9)
+    mark = incremental.watermark(spark, [(incremental.footer_latest(spark, path, "day"), "latest")]).first()
+    assert (mark.watermark, mark.start) == (dt.date(2020, 1, 9), dt.date(2020, 1, 10))
+    with pytest.raises(ValueError):  # text has no exact statistics
+        incremental.footer_latest(spark, path, "v")
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList", "parquet")
+    spark.createDataFrame([], "day date").write.parquet(str(tmp_path / "none"))
+    assert incremental.footer_latest(spark, str(tmp_path / "none"), "day").first().latest is None
+
+
+def test_added_months_meet_null_keys(spark, tmp_path, rows):
+    folder = str(tmp_path / "d")
+    cell = lambda ym, season, team, n: (ym, season, team, n, n, float(n), float(n * n), [0] * 10 + [n])
+    schema = "ym date, season int, team_id int, n_games long, n_pts long, s_pts double, ss_pts double, b_pts array<long>"
+    old = spark.createDataFrame([cell(dt.date(2001, 1, 1), 2001, 1, 2), cell(None, 2001, None, 3)], schema)
+    incremental.publish(old, folder, list(drift.KEYS), buckets=8)
+    new = spark.createDataFrame([cell(None, 2001, None, 4), cell(dt.date(2001, 2, 1), 2001, 1, 5)], schema)
+    drift.add_months(spark, folder, new)
+    got = {(r.ym, r.team_id): (r.n_games, r.s_pts, r.b_pts[10]) for r in incremental.current(spark, folder).collect()}
+    assert got == {(dt.date(2001, 1, 1), 1): (2, 2.0, 2), (None, None): (7, 7.0, 7), (dt.date(2001, 2, 1), 1): (5, 5.0, 5)}
