@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html as entities
+import os
 import re
 import uuid
 from urllib.parse import urljoin
 
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +45,9 @@ def _arrow(schema: str) -> pa.Schema:
 
 def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     """(page_id, url, html) -> response records: page_id, record_id, target_uri, warc_date, block (HTTP head and payload).
-    Null url and html count as empty; equal pages have equal record ids."""
+    Null url and html count as empty; record ids follow from id, url and html, so only equal pages have equal ones."""
     url, page = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
-    seed = F.md5(F.concat_ws("|", F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), url))
+    seed = F.md5(F.concat_ws("|", F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.char_length(url), url, F.md5(page)))
     name = F.regexp_replace(seed, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(page), F.lit(CRLF + CRLF))
     return pages.select(F.col("page_id").cast("long").alias("page_id"), name.alias("record_id"), url.alias("target_uri"), F.lit(date).alias("warc_date"), F.concat(head, page).alias("block"))
@@ -120,7 +124,7 @@ def split_block(block: str) -> tuple[str, list[tuple[str, str]], str]:
 def _derived(record: dict) -> list[tuple]:
     status, fields, payload = split_block(record["block"] or "")
     uri, source = record["target_uri"] or "", record["record_id"] or ""
-    source_digest = digest(payload.encode())
+    source_digest = record.get("payload_digest") or digest(payload.encode())
     kind_of = next((value for name, value in reversed(fields) if name.lower() == "content-type"), "")
     title, lang, links, text = read_page(payload, uri)
     lines = [("title", title), ("language", lang), ("source-status", status), *((f"source-header-{name.lower()}", value) for name, value in fields), ("source-payload-digest", source_digest)]
@@ -141,8 +145,8 @@ def derivatives(records: DataFrame) -> DataFrame:
     and payload digest; each has a digest and length of its own. The metadata record's content lists them too.
 
     Rows are independent: nothing is shuffled, repeated responses give repeated records, an empty table gives none. Null blocks
-    are empty payloads, other nulls empty texts. Only page_id, record_id, target_uri, warc_date and block are read, whatever other
-    columns are called. Work grows with a page's length, whatever it holds."""
+    are empty payloads, other nulls empty texts. Only page_id, record_id, target_uri, warc_date, block and, where there is one, payload_digest (of
+    the bytes that the block was decoded from, see `read_warc`) are read, whatever other columns are called. Work grows with a page's length, whatever it holds."""
     fields = _arrow(SCHEMA)
 
     def derive(batches):
@@ -150,7 +154,7 @@ def derivatives(records: DataFrame) -> DataFrame:
             rows = [row for record in part.to_pylist() for row in _derived(record)]
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 
-    return records.select("page_id", "record_id", "target_uri", "warc_date", "block").mapInArrow(derive, SCHEMA)
+    return records.select("page_id", "record_id", "target_uri", "warc_date", "block", *[c for c in records.columns if c == "payload_digest"]).mapInArrow(derive, SCHEMA)
 
 
 def record_text(records: DataFrame) -> DataFrame:
@@ -164,51 +168,113 @@ def record_text(records: DataFrame) -> DataFrame:
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """One WARC file per partition, by Spark's text writer."""
-    record_text(records).write.option("lineSep", CRLF + CRLF).option("compression", compression).text(path)
-
-
-READ = "page_id long, warc_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, block_digest string, content_type string, content string, block string, whole boolean"
+    """WARC files in a new folder, one per task that has records, written by the tasks themselves through pyarrow's file systems: path is a local
+    (shared) folder or an address of one of them. "gzip": one member a record, as readers that seek by record want it; "none": plain.
+
+    A task writes to a name of its own attempt and moves the file at its end, so tasks that are run again leave whole files only."""
+    if compression not in ("gzip", "none"):
+        raise ValueError("compression is gzip or none")
+    store, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{os.path.abspath(path)}")
+    if store.get_file_info(folder).type != fs.FileType.NotFound:
+        raise ValueError(f"{path} exists")
+    store.create_dir(folder)
+    end = (CRLF + CRLF).encode()
+
+    def write(batches):
+        task = TaskContext.get()
+        store, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{os.path.abspath(path)}")
+        name = f"{folder}/part-{task.partitionId():06d}.warc" + ".gz" * (compression == "gzip")
+        draft, out, n = f"{folder}/.draft-{task.taskAttemptId()}", None, 0
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                out = out or store.open_output_stream(draft, compression=None)
+                out.write(gzip.compress(raw + end, mtime=0) if compression == "gzip" else raw + end)
+                n += 1
+        if out is not None:
+            out.close()
+            store.move(draft, name)
+        yield pa.record_batch([pa.array([n], pa.int64())], ["n"])
+
+    record_text(records).select(F.col("value").cast("binary")).mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+READ = "page_id long, version string, warc_type string, record_id string, refers_to string, concurrent_to string, target_uri string, warc_date string, block_digest string, content_type string, content string, block string, payload_digest string, whole boolean"
+#: Where records begin, up to the minor version.
+_START = b"WARC/1."
+_VERSION = re.compile(rb"[0-9]+\r\n")
+_CHARSET = re.compile(r"charset\s{0,9}=\s{0,9}[\"']?([A-Za-z0-9_.:-]+)", re.I)
+
+
+def decoded(data: bytes, charset: str) -> str:
+    """Bytes as text of a charset, UTF-8 where it is unknown; what is no text of it becomes the replacement character."""
+    try:
+        return data.decode(charset, errors="replace")
+    except (LookupError, ValueError):
+        return data.decode(errors="replace")
+
+
+def decoded_block(block: bytes) -> tuple[str, str]:
+    """An HTTP response as text, and the digest of its payload's bytes. The charset is that of Content-Type, else that which the page's first 2,048 bytes
+    name, else UTF-8; a head is read as UTF-8, or as Latin-1 where it is none."""
+    head, found, payload = block.partition(b"\r\n\r\n")
+    if not head.startswith(b"HTTP/") or not found:
+        head, found, payload = b"", b"", block
+    try:
+        top = head.decode()
+    except UnicodeDecodeError:
+        top = head.decode("latin-1")
+    kinds = [line for line in top.split(CRLF) if line.lower().startswith("content-type:")]
+    named = _CHARSET.search(kinds[-1]) if kinds else None
+    named = named or _CHARSET.search(payload[:2048].decode("latin-1"))
+    return top + found.decode() + decoded(payload, named[1] if named else "utf-8"), digest(payload)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC/1.1 files, see READ. `block` is the content of a response and null for other records, so that response
-    records can go to `derivatives`; page_id is null.
+    """Records of WARC/1.x files, plain or compressed, see READ. `block` is the content of a response, decoded by its charset (see
+    `decoded_block`), and null for other records, so that response records can go to `derivatives`; page_id is null. Other contents are read as UTF-8, with
+    replacement characters for what is none.
 
-    Spark cuts files at version lines. A record whose content is shorter than declared goes on through the next cuts, so version
+    Spark cuts files at version lines, as bytes. A record whose content is shorter than declared goes on through the next cuts, so version
     lines inside a payload do no harm. `whole` tells whether the declared length was met; it can be false at the edge of a split
-    of an uncompressed file, or for a record with a wrong length. Files without records give no rows."""
-    raw = spark.read.option("lineSep", VERSION).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    of an uncompressed file, or for a record with a wrong length, which is returned as far as it goes. Bytes before a file's first record that are not blank are returned as a
+    record without type that is not whole. Files without records give no rows."""
+    raw = spark.read.option("lineSep", _START.decode()).text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"))
     names = ("warc-type", "warc-record-id", "warc-refers-to", "warc-concurrent-to", "warc-target-uri", "warc-date", "warc-block-digest", "content-type")
     fields = _arrow(READ)
 
-    def parse(record: str) -> tuple[dict, str, int]:
-        head, _, content = record.partition(CRLF + CRLF)
-        found = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in head.split(CRLF))}
+    def parse(record: bytes) -> tuple[str, dict, bytes, int]:
+        version = _VERSION.match(record)
+        head, _, content = record.partition(b"\r\n\r\n")
+        found = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in head.decode(errors="replace").split(CRLF)[1:])}
         size = found.get("content-length", "")
-        return found, content, int(size) if size.isdigit() else -1
+        if version is None:
+            return "", {}, record, -1
+        return f"WARC/1.{version[0].decode().strip()}", found, content, int(size) if size.isdigit() else -1
 
-    def row(found: dict, data: bytes, size: int) -> tuple:
-        whole = size >= 0 and len(data) >= size and data[size:].strip(b"\r\n") == b""
-        content = data[:size].decode(errors="replace") if whole else data.decode(errors="replace").removesuffix(CRLF + CRLF)
+    def row(version: str, found: dict, data: bytes, size: int) -> tuple:
+        whole = size >= 0 and len(data) >= size and bytes(data[size:]).strip(b"\r\n") == b""
+        content = bytes(data[:size]) if whole else bytes(data).removesuffix(b"\r\n\r\n")
         kept = [found.get(n, "") for n in names]
-        return (None, *kept, content, content if kept[0] == "response" else None, whole)
+        if kept[0] != "response":
+            return (None, version, *kept, content.decode(errors="replace"), None, None, whole)
+        block, sha = decoded_block(content)
+        return (None, version, *kept, block, block, sha, whole)
 
     def join(batches):
-        open_record, last = None, None  # header fields, bytes so far, declared size
+        open_record, last = None, None  # version, header fields, bytes so far, declared size
         for batch in batches:
             done = []
             for value, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 same, last = file == last, file
-                if open_record is not None and same and len(open_record[1]) < open_record[2]:
-                    open_record[1] += VERSION.encode() + value.encode()
+                if open_record is not None and same and (len(open_record[2]) < open_record[3] or _VERSION.match(value) is None):
+                    open_record[2] += _START + value
                     continue
                 if open_record is not None:
                     done.append(row(*open_record))
                     open_record = None
                 if value.strip():
-                    found, content, size = parse(value)
-                    open_record = [found, bytearray(content.encode()), size]
+                    version, found, content, size = parse(value)
+                    open_record = [version, found, bytearray(content), size]
             if done:
                 yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*done), fields)], schema=fields)
         if open_record is not None:

@@ -3,6 +3,7 @@ import hashlib
 import textwrap
 from urllib.parse import urljoin
 
+import pytest
 from pyspark.sql import functions as F
 
 from duolog.llm import licenses, warc
@@ -116,6 +117,54 @@ def test_version_lines_in_a_payload_and_responses_read_back(spark, tmp_path):
     assert warc.derivatives(got).where("source_headers = 'Server: s'").count() == 8
 
 
+def test_other_charsets_versions_and_lengths(spark, tmp_path):
+    import gzip
+
+    def record(k, block, version="1.0", size=None, kind="response"):
+        head = f"WARC/{version}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <r{k}>\r\nWARC-Target-URI: http://e.org/{k}\r\nContent-Length: {len(block) if size is None else size}\r\n\r\n"
+        return head.encode() + block + b"\r\n\r\n"
+
+    http = lambda kind: b"HTTP/1.1 200 OK\r\nContent-Type: text/html" + kind + b"\r\n\r\n"
+    latin, meta, greek = "<p>caf\u00e9</p>".encode("latin-1"), '<meta charset="windows-1253"><p>\u0391\u0392'.encode("cp1253"), "<p>caf\u00e9".encode()
+    junk = b"<p>a\xff\xfeb WARC/1.0 and WARC/1.x WARC/1.1\r\nWARC-Type: no\r\n\r\n</p>"
+    blocks = [http(b"; charset=ISO-8859-1") + latin, http(b"") + meta, http(b"; charset=none-such") + greek, http(b"") + junk, b"\xe9 no head"]
+    records = [record(9, b"software: x\xe9", kind="warcinfo"), *(record(k, b, "1.1" if k % 2 else "1.0") for k, b in enumerate(blocks)), record(7, b"short", size=999)]
+    (tmp_path / "plain.warc").write_bytes(b"".join(records))
+    (tmp_path / "packed.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    for name in ("plain.warc", "packed.warc.gz"):
+        got = {r.record_id: r for r in warc.read_warc(spark, str(tmp_path / name)).collect()}
+        assert got.keys() == {"<r9>", "<r7>", *(f"<r{k}>" for k in range(5))}
+        assert [r.version for k, r in sorted(got.items())] == ["WARC/1.0", "WARC/1.1", "WARC/1.0", "WARC/1.1", "WARC/1.0", "WARC/1.0", "WARC/1.0"]
+        assert {k for k, r in got.items() if not r.whole} == {"<r7>"} and got["<r7>"].content == "short" and got["<r9>"].block is None
+        assert got["<r0>"].block.endswith("caf\u00e9</p>") and got["<r1>"].block.endswith("<p>\u0391\u0392") and got["<r2>"].block.endswith("caf\u00e9")
+        assert got["<r3>"].block.encode().count(b"WARC/1.") == 3 and "\ufffd" in got["<r3>"].block and got["<r4>"].block == "\ufffd no head"
+        text = {r.refers_to: r for r in warc.derivatives(warc.read_warc(spark, str(tmp_path / name)).where("block is not null")).where("warc_type = 'conversion'").collect()}
+        assert text["<r0>"].content == "caf\u00e9" and text["<r0>"].source_payload_digest == warc.digest(latin)
+
+
+def test_one_gzip_member_a_record_and_ids_by_content(spark, tmp_path):
+    import zlib
+
+    pages = spark.createDataFrame([(1, "http://e.org/", "<p>a"), (1, "http://e.org/", "<p>b"), (None, None, None)], "page_id long, url string, html string")
+    ids = [r.record_id for r in warc.responses(pages).collect()]
+    assert len(set(ids)) == 3
+    records = warc.derivatives(warc.responses(pages)).repartition(2)
+    warc.write_warc(records, str(tmp_path / "w"))
+    members = []
+    for file in sorted((tmp_path / "w").iterdir()):
+        left = file.read_bytes()
+        while left:
+            one = zlib.decompressobj(31)
+            members.append(one.decompress(left))
+            left = one.unused_data
+    assert len(members) == 6 and all(len(parsed(m)) == 1 for m in members)
+    assert warc.read_warc(spark, str(tmp_path / "w")).where("whole").count() == 6
+    with pytest.raises(ValueError):
+        warc.write_warc(records, str(tmp_path / "w"))
+    warc.write_warc(records.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").iterdir())
+
+
 def test_rules_want_order_and_the_longer_rule_wins(spark):
     s = licenses.SENTENCES
     full = ". ".join(s[k].upper() for k in ("mit.grant", "mit.keep", "mit.asis", "mit.liability")) + "."
