@@ -22,6 +22,8 @@ from duolog.llm._scratch import fresh, keep_ids, materialize
 FREQUENT = 1 << 18
 #: Shingles counted together before a task reports the repeated ones.
 WINDOW = 1 << 22
+#: Steps of the histogram of counts for each doubling.
+STEPS = 16
 #: Postings of a class that travel with each of them at most.
 CARRIED = 256
 #: Classes in a list that is joined without more ado.
@@ -65,7 +67,8 @@ def frequent_shingles(docs: DataFrame, width: int, keep: int = FREQUENT) -> tupl
     """The shingles that most distinct sets hold, with a level (log2 of their count); at most `keep` of them.
 
     Tasks count all shingles of all documents and report those seen at least three times within a
-    window; sums of the reports decide. The list only orders shingles, so that rare ones are indexed
+    window; sums of the reports decide. A histogram of the sums tells from which count on at most `keep` are left, and only those
+    come to the driver, so tasks don't offer it `keep` rows each. The list only orders shingles, so that rare ones are indexed
     first; any order gives the same links. Its size is fixed, whatever the input.
     """
 
@@ -97,8 +100,16 @@ def frequent_shingles(docs: DataFrame, width: int, keep: int = FREQUENT) -> tupl
             yield last
 
     counts = docs.select("text").mapInArrow(count, "token long, n long")
-    top = counts.groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4").orderBy(F.desc("n"), "token").limit(keep)
-    rows = top.collect()
+    counts = materialize(counts.groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4"))
+    step = F.floor(F.log2("n") * STEPS).cast("int")
+    held = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)  # 64 * STEPS rows at most
+    least, total = None, 0
+    for r in held:
+        total += r["count"]
+        if total > keep:
+            break
+        least = r.step
+    rows = counts.where(step >= least).collect() if least is not None else []
     token = np.array([r.token for r in rows], np.int64).view(np.uint64)
     level = np.array([int(r.n).bit_length() for r in rows], np.int64)
     order = np.argsort(token)

@@ -153,3 +153,17 @@ def test_null_and_repeated_ids(spark, rows):
     assert kept.columns == df.columns
     found = [r.key for r in kept.collect()]
     assert sorted(group[k] for k in found) == sorted(set(group)) and all(docs[k][0] == name([i for i in range(len(docs)) if group[i] == group[k]]) for k in found)
+
+
+def test_frequent_shingles_keep_to_their_limit(spark):
+    docs = [(k, " ".join(f"{'abcdefgh'[j]}{k % (1 << j)}" for j in range(8))) for k in range(600)]
+    df = spark.createDataFrame([(k, t + f" own{k}") for k, t in docs], "doc_id long, text string").coalesce(1)
+    token, level = ngram_join.frequent_shingles(df, 1)
+    count = {}
+    for _, t in docs:
+        for w in t.split():
+            count[w] = count.get(w, 0) + 1
+    assert len(token) == sum(n >= 4 for n in count.values()) and sorted(set(level.tolist())) == sorted({n.bit_length() for n in count.values() if n >= 4})
+    few, high = ngram_join.frequent_shingles(df, 1, keep=20)
+    assert 0 < len(few) <= 20 and high.min() >= np.sort(level)[-20] and set(few.tolist()) < set(token.tolist())
+    assert len(ngram_join.frequent_shingles(df, 1, keep=0)[0]) == 0
