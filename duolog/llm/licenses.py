@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Identifier -> known sentence of a licence text or notice, normalised to lower-case letters and digits with single blanks.
 SENTENCES = {
     "mit.name": "the mit license",
     "mit.title": "mit license",
+    "mit.short": "mit licensed",
     "mit.notice": "released under the mit license",
     "mit.notice2": "licensed under the mit license",
     "mit.notice3": "this project is licensed under the mit license",
@@ -69,6 +72,7 @@ RULES = (
     ("mit-full", "MIT", ("mit.grant", "mit.keep", "mit.asis", "mit.liability")),
     ("mit-name", "MIT", ("mit.name",)),
     ("mit-title", "MIT", ("mit.title",)),
+    ("mit-short", "MIT", ("mit.short",)),
     ("mit-notice", "MIT", ("mit.notice",)),
     ("mit-notice2", "MIT", ("mit.notice2",)),
     ("mit-notice3", "MIT", ("mit.notice3",)),
@@ -107,71 +111,101 @@ RULES = (
     ("cc-by-sa-4-long", "CC-BY-SA-4.0", ("ccbysa4.long",)),
     ("cc0", "CC0-1.0", ("cc0.notice",)),
 )
-#: Where sentences end: line ends that close a line, and stops followed by white space or the end.
-BREAK = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+\z|[\r\n]+"
-_MARK = "\x01"
-# Marks of the second reading: stops are _MARK.
-_LINE, _PAUSE = "\x02", "\x03"
-
-
-def _folded(sentence: str) -> str:
-    """Pattern of a known sentence whose words may be parted by one line end, by ; or :, and by the stop of an abbreviated v."""
-    gap = lambda stop: f"(?:{stop}? ?{_LINE} ?(?:{_PAUSE} ?)?|{stop}? )"
-    first, *others = sentence.split(" ")
-    out, last = first, first
-    for word in others:
-        out, last = out + gap(_MARK if last == "v" else _PAUSE) + word, word
-    return out
+#: Licence tags: the licence's name in lower-case letters and digits -> its identifier. Tags have rules of their own.
+TAGS = {" ".join(re.findall("[a-z0-9]+", name.lower())).replace(" or later", " orlater"): f"spdx.{name}" for _, name, _ in RULES}
+ALL_RULES = RULES + tuple((f"spdx-{key[5:].lower()}", key[5:], (key,)) for key in dict.fromkeys(TAGS.values()))
+TAG = "spdx license identifier"
+#: Characters of a marked text: where a sentence ends, and where a line or a clause does.
+_END, _SOFT = "\x01", "\x02"
+#: Steps to a marked text, each a pattern and what replaces it (groups as $1): line ends of one kind; stops after v that belong to it; stops before white space; lines without letters or digits;
+#: line ends and ; or : before white space; all else but letters and digits.
+STEPS = (
+    (r"[\x01\x02]", " "),
+    (r"\r\n?", "\n"),
+    (r"(^|[^A-Za-z0-9])([vV])[.]", "$1$2 "),
+    (r"[.!?]+([ \t\n]+|$)", _END),
+    (r"\n([^A-Za-z0-9\x01\n]*\n)+", _END),
+    (r"\n+|[;:]+[ \t]+", _SOFT),
+    (r"[^A-Za-z0-9\x01\x02]+", " "),
+)
+#: What may come before a notice in its sentence.
+LEAD = r"^(this|these|the) (.* )?(is|are) ((licensed|released) under .*)$"
+LED = " (is|are) (licensed|released) under "
+#: Lines over which a known sentence goes at most: a word a line.
+LINES = max(len(v.split(" ")) for v in SENTENCES.values())
 
 
-def _pattern() -> str:
-    """Known sentences, longest first, from one mark to the next; notices also after 'this ... is' and the like."""
-    longest = sorted(SENTENCES.values(), key=lambda v: -len(v))
-    led = [v for v in longest if v.startswith(("licensed under ", "released under "))]
-    gap = f"(?:{_PAUSE}? ?{_LINE} ?| )"
-    lead = f"(?:this|these|the)(?:{gap}[a-z0-9]+){{1,6}}{gap}(?:is|are){gap}"
-    return f"(?:^|(?<=[{_MARK}-{_PAUSE}])) ?((?:{'|'.join(map(_folded, longest))})|{lead}(?:{'|'.join(map(_folded, led))})) ?(?=[{_MARK}-{_PAUSE}]|\\z)"
+def beginnings() -> list[str]:
+    """First words of known sentences, up to the whole sentence, in order."""
+    return sorted({" ".join(words[:k]) for v in SENTENCES.values() for words in [v.split(" ")] for k in range(1, len(words) + 1)})
 
 
 def _hits(sequence: str, what: int) -> list[str]:
     """SQL for each rule's name or licence where its identifiers follow each other, else null. A rule whose sequence
     begins a longer rule that also matches gives way to it."""
     out = []
-    for rule in RULES:
+    for rule in ALL_RULES:
         has = f"{sequence} like '%|{'|'.join(rule[2])}|%'"
-        for other in RULES:
+        for other in ALL_RULES:
             if other is not rule and other[2][: len(rule[2])] == rule[2]:
                 has += f" and {sequence} not like '%|{'|'.join(other[2])}|%'"
         out.append(f"case when {has} then '{rule[what]}' end")
     return out
 
 
-def _marked():
-    """Text as lower-case letters and digits, blanks, and marks for stops, line ends, and ; or : before white space."""
-    text = F.translate(F.coalesce("text", F.lit("")), _LINE + _PAUSE, "  ")
-    text = F.regexp_replace(text, r"[;:]+(?=[ \t\r\n])", _PAUSE)
-    text = F.regexp_replace(text, rf"[.!?]+(?=[ \t\r\n{_PAUSE}]|\z)", _MARK)
-    text = F.regexp_replace(text, r"\r\n?|\n", _LINE)
-    return F.lower(F.regexp_replace(text, f"[^A-Za-z0-9{_MARK}{_LINE}{_PAUSE}]+", " "))
+def _lookup(pairs: dict[str, str]):
+    table = F.create_map(*[F.lit(x) for key, value in pairs.items() for x in (key, value)])
+    return lambda key: F.try_element_at(table, key)
+
+
+def _identifiers(sentences: Column) -> Column:
+    """Identifiers that sentences (each the parts between its soft marks) hold, in order.
+
+    A known sentence is looked up as a run of whole parts, joined by blanks: the whole sentence or some of its lines. Runs are tried only
+    from parts that begin a known sentence, that begin with a notice's lead where the sentence has one, or that are a licence tag; the longest known
+    run from a part counts, and none that lies within another. Each step makes an array for the next one, so nothing is computed anew for each part."""
+    known = _lookup({v: k for k, v in SENTENCES.items()})
+    tagged = _lookup(TAGS)
+    run = lambda s, i, n: F.array_join(F.slice(s["p"], i, n), " ")
+    name = lambda text: F.coalesce(known(text), known(F.regexp_replace(text, LEAD, "$4")))
+    places = lambda p: F.sequence(F.lit(1), F.size(p))
+    first = lambda s, i: F.element_at(s["p"], i)
+    begins = lambda x: x.isin(beginnings())
+    led = F.transform(sentences, lambda p: F.struct(p.alias("p"), F.array_join(p, " ").rlike(LED).alias("led")))
+    some = F.filter(led, lambda s: s["led"] | F.exists(s["p"], lambda x: begins(x) | x.startswith(TAG)))
+    starts = lambda s: F.filter(places(s["p"]), lambda i: begins(first(s, i)) | (s["led"] & first(s, i).rlike("^(this|these|the) ")))
+    tags = lambda s: F.filter(places(s["p"]), lambda i: first(s, i).startswith(TAG))
+    begun = F.transform(some, lambda s: F.struct(s["p"].alias("p"), starts(s).alias("starts"), tags(s).alias("tags")))
+    lengths = lambda s, i: F.sequence(F.lit(1), F.least(F.lit(LINES), F.size(s["p"]) - i + 1))
+    longest = lambda s, i: F.array_max(F.filter(lengths(s, i), lambda n: name(run(s, i, n)).isNotNull()))
+    runs = lambda s: F.filter(F.transform(s["starts"], lambda i: F.struct(i.alias("i"), longest(s, i).alias("n"))), lambda r: r["n"].isNotNull())
+    tried = F.transform(begun, lambda s: F.struct(s["p"].alias("p"), runs(s).alias("runs"), s["tags"].alias("tags")))
+    apart = lambda s: F.filter(s["runs"], lambda r: ~F.exists(s["runs"], lambda o: (o["i"] < r["i"]) & (o["i"] + o["n"] >= r["i"] + r["n"])))
+    named = lambda s: F.transform(apart(s), lambda r: F.struct(r["i"].alias("i"), F.array(name(run(s, r["i"], r["n"]))).alias("ids")))
+    listed = lambda s, i: F.regexp_replace(F.when(first(s, i) == TAG, run(s, i, F.lit(2))).otherwise(first(s, i)), f"^{TAG} ?", "")
+    ids = lambda s, i: F.filter(F.transform(F.split(F.replace(listed(s, i), F.lit(" or later"), F.lit(" orlater")), " (or|and|with) "), lambda x: tagged(x)), lambda x: x.isNotNull())
+    both = lambda s: F.array_sort(F.concat(named(s), F.transform(s["tags"], lambda i: F.struct(i.alias("i"), ids(s, i).alias("ids")))))
+    return F.flatten(F.transform(tried, lambda s: F.flatten(F.transform(both(s), lambda r: r["ids"]))))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_sentences, n_known, sentence_ids ('|' between), rules and licenses (',' between, in rule order,
     a licence once), for every row and whole text.
 
-    Sentences are normalised to lower-case ASCII letters and digits and looked up in SENTENCES; the sequence of known
-    identifiers, others skipped, is matched against RULES. n_sentences counts a line end as the end of a sentence; known sentences
-    are also found where single line ends, comment signs beside them, and ; or : part their words. Blank lines end them. Licence lines keep their sense in the middle of other text.
+    A text is cut into sentences at stops before white space and at lines without letters or digits, so single line ends, with comment signs beside
+    them, do not end one; a sentence is lower-case ASCII letters and digits. Sentences, and runs of whole lines or clauses of one, are looked up in SENTENCES, notices also
+    after "this ... is" and the like; licence tags name licences joined by or, and, with. The sequence of known identifiers, others skipped, is matched
+    against ALL_RULES. n_sentences counts sentences with letters or digits, n_known identifiers found. Licence lines keep their sense in the middle of other text.
     Null and empty texts have no sentences; repeated rows and null ids repeat. Other columns are not read. Only built-in
     functions run, and nothing is shuffled. No table lookup joins: the known sentences are literals of fixed number.
     """
-    known = F.create_map(*[F.lit(x) for key, value in SENTENCES.items() for x in (value, key)])
-    wordy = F.lower(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), BREAK, _MARK), f"[^A-Za-z0-9{_MARK}]+", " "))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.transform(F.split(wordy, _MARK), lambda s: F.trim(s)), lambda s: s != "").alias("s"), _marked().alias("t"))
-    found = F.transform(F.regexp_extract_all("t", F.lit(_pattern()), 1), lambda m: F.trim(F.regexp_replace(m, f"[{_MARK}-{_PAUSE} ]+", " ")))
-    led = lambda m: F.regexp_replace(m, "^.* (?:is|are) (?=(?:licensed|released) under )", "")
-    ids = F.filter(F.transform(found, lambda m: F.coalesce(known[m], known[led(m)])), lambda k: k.isNotNull())
-    rows = rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), ids.alias("k"))
+    text = F.coalesce("text", F.lit(""))
+    for pattern, by in STEPS:
+        text = F.regexp_replace(text, pattern, by)
+    sentences = F.filter(F.split(F.lower(text), _END), lambda s: s.rlike("[a-z0-9]"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), sentences.alias("s"))
+    parts = lambda s: F.filter(F.transform(F.split(s, _SOFT), lambda p: F.trim(p)), lambda p: p != "")
+    rows = rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), _identifiers(F.transform("s", parts)).alias("k"))
     rows = rows.select("doc_id", "n_sentences", F.size("k").cast("long").alias("n_known"), F.array_join("k", "|").alias("sentence_ids"))
     sequence = "concat('|', sentence_ids, '|')"
     return rows.select(
@@ -181,37 +215,50 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
 
-def oracle() -> str:
-    """The same in DuckDB SQL."""
-    pairs = ", ".join(f"('{v}', '{k}')" for k, v in SENTENCES.items())
-    sequence = "concat('|', sentence_ids, '|')"
-    return rf"""
-with known(sentence, id) as (values {pairs}),
-names as (select map_from_entries(list((sentence, id))) as m from known),
-s as (
-  select doc_id, list_filter(list_transform(string_split(
-    lower(regexp_replace(regexp_replace(coalesce(text, ''), '{BREAK}', chr(1), 'g'), '[^A-Za-z0-9\x01]+', ' ', 'g')), chr(1)),
-    lambda x: trim(x)), lambda x: x <> '') as s
-  from documents),
-k as (
-  select doc_id, cast(len(s) as bigint) as n_sentences,
-    list_filter(list_transform(s, lambda x: m[x]), lambda x: x is not null) as k
-  from s, names),
-q as (
-  select doc_id, n_sentences, cast(len(k) as bigint) as n_known, coalesce(array_to_string(k, '|'), '') as sentence_ids from k)
-select *, concat_ws(',', {', '.join(_hits(sequence, 0))}) as rules,
-  concat_ws(',', {', '.join(_once())}) as licenses
-from q
-"""
-
-
 def _once() -> list[str]:
     """Each licence once, at its first rule that holds."""
     sequence = "concat('|', sentence_ids, '|')"
     hits = _hits(sequence, 1)
     out = []
-    for k, (case, rule) in enumerate(zip(hits, RULES)):
-        earlier = [hits[i].removeprefix("case when ").partition(" then ")[0] for i in range(k) if RULES[i][1] == rule[1]]
+    for k, (case, rule) in enumerate(zip(hits, ALL_RULES)):
+        earlier = [hits[i].removeprefix("case when ").partition(" then ")[0] for i in range(k) if ALL_RULES[i][1] == rule[1]]
         before = "".join(f" and not ({e})" for e in earlier)
         out.append(case.replace(" then ", f"{before} then "))
     return out
+
+
+def oracle() -> str:
+    """The same in DuckDB SQL, with a row per sentence, part and run."""
+    values = lambda pairs: ", ".join(f"('{a}', '{b}')" for a, b in pairs)
+    marked = "coalesce(text, '')"
+    for pattern, by in STEPS:
+        plain = {"\n": "chr(10)", _END: "chr(1)", _SOFT: "chr(2)"}
+        marked = f"regexp_replace({marked}, '{pattern}', {plain.get(by) or repr(by.replace('$', chr(92))).replace(chr(92) * 2, chr(92))}, 'g')"
+    firsts = ", ".join(f"('{b}')" for b in beginnings())
+    sequence = "concat('|', sentence_ids, '|')"
+    return rf"""
+with known(sentence, id) as (values {values((v, k) for k, v in SENTENCES.items())}),
+tags(tag, id) as (values {values(TAGS.items())}),
+firsts(part) as (values {firsts}),
+d as (select row_number() over () as r, doc_id, lower({marked}) as t from documents),
+cut as (select r, doc_id, list_filter(string_split(t, chr(1)), lambda s: regexp_matches(s, '[a-z0-9]')) as ss from d),
+s as (select r, unnest(ss) as s, generate_subscripts(ss, 1) as k from cut),
+p as (select r, k, list_filter(list_transform(string_split(s, chr(2)), lambda x: trim(x)), lambda x: x <> '') as ps from s),
+each as (select r, k, ps, array_to_string(ps, ' ') as whole, unnest(ps) as part, generate_subscripts(ps, 1) as i from p),
+starts as (select * from each where part in (select part from firsts) or regexp_matches(whole, '{LED}') and regexp_matches(part, '^(this|these|the) ')),
+tried as (select r, k, i, ps, unnest(range(1, least({LINES}, len(ps) - i + 1) + 1)) as n from starts),
+runs as (select r, k, i, n, array_to_string(list_slice(ps, i, i + n - 1), ' ') as run from tried),
+named as (
+  select x.r, x.k, x.i, x.n, coalesce(a.id, b.id) as id from runs x left join known a on a.sentence = run left join known b on b.sentence = regexp_replace(run, '{LEAD}', '\4')
+  where a.id is not null or b.id is not null),
+longest as (select * from named qualify row_number() over (partition by r, k, i order by n desc) = 1),
+apart as (select * from longest x where not exists (select 1 from longest o where o.r = x.r and o.k = x.k and o.i < x.i and o.i + o.n >= x.i + x.n)),
+tagged as (select r, k, i, regexp_replace(case when part = '{TAG}' then array_to_string(list_slice(ps, i, i + 1), ' ') else part end, '^{TAG} ?', '') as t from each where starts_with(part, '{TAG}')),
+listed as (select r, k, i, unnest(x) as tag, generate_subscripts(x, 1) as j from (select *, regexp_split_to_array(replace(t, ' or later', ' orlater'), ' (or|and|with) ') as x from tagged)),
+found as (select r, k, i, 0 as j, id from apart union all select r, k, i, j, id from listed join tags using (tag)),
+q as (
+  select doc_id, cast(len(ss) as bigint) as n_sentences, coalesce(n, 0) as n_known, coalesce(ids, '') as sentence_ids
+  from cut left join (select r, count(*) as n, string_agg(id, '|' order by k, i, j) as ids from found group by 1) using (r))
+select *, concat_ws(',', {', '.join(_hits(sequence, 0))}) as rules, concat_ws(',', {', '.join(_once())}) as licenses
+from q
+"""

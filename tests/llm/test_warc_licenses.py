@@ -179,6 +179,29 @@ def test_rules_want_order_and_the_longer_rule_wins(spark):
     assert "Python" not in plan and "Exchange" not in plan and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_tags_leads_and_repeated_rows(spark):
+    docs = [
+        (1, "// SPDX-License-Identifier: MIT\nint x;"), (2, "/* SPDX-License-Identifier:  (MIT OR Apache-2.0) */"), (3, "# SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0\r\ncode"), (4, "SPDX-License-Identifier:\tNOASSERTION"),
+        (5, "MIT licensed."), (6, "This program and all of the many files that come with it are licensed under the MIT License."), (7, "The library is\nlicensed under\nthe MIT License\nand a line"), (8, "the code that is not licensed under the MIT License"),
+        (9, "Prose without a stop\nLicensed under CC BY 4.0\nmore prose"), (9, "Prose without a stop\nLicensed under CC BY 4.0\nmore prose"), (None, "MIT licensed!"), (10, "x" * 300_000 + " " + "y z " * 100_000 + "\nMIT License\n" + "q\n" * 50_000), (11, "Released under\nthe MIT License"),
+    ]
+    got = sorted(((r.doc_id or 0, r.licenses, r.n_known) for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
+    assert got == [(0, "MIT", 1), (1, "MIT", 1), (2, "MIT,Apache-2.0", 2), (3, "GPL-2.0-or-later", 1), (4, "", 0), (5, "MIT", 1), (6, "MIT", 1), (7, "MIT", 1), (8, "", 0), (9, "CC-BY-4.0", 1), (9, "CC-BY-4.0", 1), (10, "MIT", 1), (11, "MIT", 1)]
+
+
+def agrees(spark, docs):
+    """Sentences and all, against the SQL."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    found = con.execute(licenses.oracle())
+    names = [c[0] for c in found.description]
+    mine = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).select(*names)
+    assert sorted(map(tuple, mine.collect()), key=repr) == sorted(found.fetchall(), key=repr)
+
+
 def test_oracle_agrees(spark):
     import duckdb
 
@@ -235,6 +258,8 @@ def test_licence_files_wrapped_at_60_and_80_columns_behind_signs(spark):
         rows.append((len(rows), head))
     got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
+    odd = ["", "v. 2.0. V.x", "a.\r\rb\n\r\nc", "x;y: z;\n\nq", "SPDX-License-Identifier: MIT\nMIT License\nReleased under\nthe MIT License.", "the the MIT License\nthe\nMIT License", "\x01MIT License\x02", "this is licensed under the\nMIT License"]
+    agrees(spark, rows + [(1000 + k, t) for k, t in enumerate(odd)] + [(None, None), (5000, None)])
 
 
 def test_oracle_agrees_on_the_tables(spark):
