@@ -12,17 +12,35 @@ from duolog.operators.ranges import same
 from duolog.sources.scratch import materialize
 
 
+#: Numbers that one bitmap of Spark's covers.
+BITS = 32_768
+
+
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: column, n, nulls, n_distinct, min, max (as text), pct_null. Plain counts take one scan without a
-    shuffle of rows; distinct values are counted from (column, value) pairs, combined before the shuffle."""
+    shuffle of rows. Distinct integers and dates that lie close enough are counted exactly by bitmaps of fixed size, one for each 32,768 numbers of
+    a column's span, so what is shuffled depends on the span and not on values; others from (column, value) pairs, combined before the shuffle."""
     aggregates = [F.count("*").alias("_n")]
     for c in columns:
         aggregates += [F.count(c).alias(f"_u_{c}"), F.min(c).cast("string").alias(f"_l_{c}"), F.max(c).cast("string").alias(f"_h_{c}")]
-    one = df.agg(*aggregates)
+    kinds = dict(df.dtypes)
+    number = {c: F.unix_date(c) if kinds[c] == "date" else F.col(c).cast("bigint") for c in columns if kinds[c] in ("tinyint", "smallint", "int", "bigint", "date")}
+    for c, value in number.items():
+        aggregates += [F.min(value).alias(f"_a_{c}"), F.max(value).alias(f"_b_{c}")]
+    one = materialize(df.agg(*aggregates))
+    plain_row = one.first()
+    dense = [c for c in number if plain_row[f"_u_{c}"] and (plain_row[f"_b_{c}"] - plain_row[f"_a_{c}"]) // BITS <= max(1, plain_row[f"_u_{c}"] // BITS * 8)]
+    sparse = [c for c in columns if c not in dense]
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col("_n").alias("n"), (F.col("_n") - F.col(f"_u_{c}")).alias("nulls"), F.col(f"_l_{c}").alias("min"), F.col(f"_h_{c}").alias("max")) for c in columns])
     plain = one.select(F.explode(rows).alias("_r")).select("_r.*")
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_p")).select("_p.*")
-    distinct = pairs.where("value is not null").distinct().groupBy("column").agg(F.count("*").alias("_d"))
+    distinct = df.sparkSession.createDataFrame([], "column string, _d bigint")
+    if dense:
+        numbers = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), (number[c] - F.lit(plain_row[f"_a_{c}"])).alias("value")) for c in dense])).alias("_p")).select("_p.*").where("value is not null")
+        bitmaps = numbers.groupBy("column", F.bitmap_bucket_number("value").alias("_k")).agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("value"))).alias("_d"))
+        distinct = distinct.unionByName(bitmaps.groupBy("column").agg(F.sum("_d").alias("_d")))
+    if sparse:
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in sparse])).alias("_p")).select("_p.*")
+        distinct = distinct.unionByName(pairs.where("value is not null").distinct().groupBy("column").agg(F.count("*").alias("_d")))
     joined = plain.join(F.broadcast(distinct), "column", "left")
     return joined.select("column", "n", "nulls", F.coalesce("_d", F.lit(0)).alias("n_distinct"), "min", "max", (F.col("nulls") * F.lit(100.0) / F.nullif("n", F.lit(0))).alias("pct_null"))
 

@@ -574,7 +574,7 @@ _PROFILED = ["season", "season_type", "team_id", *STATS]
 
 @oracle("games", " union all ".join(f"select '{c}' as \"column\", count(*) as n, count(*) filter (where {c} is null) as nulls, count(*) filter (where {c} is null) * 100.0::double / count(*) as pct_null, count(distinct {c}) as n_distinct, cast(min({c}) as varchar) as min, cast(max({c}) as varchar) as max from games" for c in _PROFILED), {6: "pct_null"})
 def null_profile(t: Tables) -> DataFrame:
-    return quality.null_profile(t.games, _PROFILED)
+    return quality.null_profile(t.kept_games, _PROFILED)
 
 
 _SOMETIMES = ["fgm", "ftm", "tpm", "ast"]
@@ -851,7 +851,49 @@ def csv_roundtrip_scan(t: Tables) -> DataFrame:
     return landing.read_csv(t.spark, f"{_landed(t, {'supplier': t('supplier')})}/supplier", t("supplier").schema)
 
 
-@oracle("", "select 'customer_rows' as source, count(*) as n from customer union all select 'supplier_1', count(*) from supplier union all select 'line_items', count(*) from lineitem where l_quantity < 10")
+@oracle("", "select 'customer_rows' as source, count(*) as n from customer union all select 'supplier_1', count(*) from supplier union all select 'line_items', count(*) from lineitem")
 def load_summary(t: Tables) -> DataFrame:
-    lines = t("lineitem").where("l_quantity < 10").select("l_orderkey", "l_quantity")
+    lines = t("lineitem").select("l_orderkey", "l_quantity")
     return landing.load_summary(t.spark, _landed(t, {"Customer-Rows.csv": t("customer"), "more/Supplier--1.csv": t("supplier"), "more/deep/LINE_items.csv": lines}))
+
+
+def _dropped(t: Tables) -> landing.Landed:
+    """People in two files of different columns, and orders of which some lines have a field too many or too few."""
+    folder = _shared(t, "drop")
+    raw = lambda name, header, df, line: df.select(F.expr(line).alias(header)).write.option("header", True).option("sep", chr(1)).option("quote", chr(2)).csv(f"{folder}/{name}")
+    raw("People.csv/a", "id,name,nation,open", t("supplier"), "concat_ws(',', s_suppkey, s_name, s_nationkey, if(s_suppkey % 2 = 0, 'true', 'FALSE'))")
+    raw("People.csv/b", "id,balance,name", t("customer"), "concat_ws(',', c_custkey, if(c_custkey % 5 = 0, '', cast(c_acctbal as string)), c_name)")
+    fields = "concat_ws(',', o_orderkey, cast(o_orderdate as date), o_orderdate, o_custkey, o_orderstatus)"
+    raw("more/Order-Log.csv", "key,day,at,customer,status", t("orders"), f"case o_orderkey % 50 when 0 then concat({fields}, ',more') when 1 then concat_ws(',', o_orderkey, 'short') else {fields} end")
+    return landing.read_tables(t.spark, folder)
+
+
+@oracle("", "select id, name, nation, open, balance from (select s_suppkey as id, s_name as name, cast(s_nationkey as bigint) as nation, s_suppkey % 2 = 0 as open, cast(null as double) as balance from supplier union all select c_custkey, c_name, null, null, case when c_custkey % 5 <> 0 then c_acctbal end from customer)")
+def landed_rows(t: Tables) -> DataFrame:
+    return _dropped(t).tables["people"].select("id", "name", "nation", "open", "balance")
+
+
+_KINDS = {"people": {"id": "bigint", "name": "string", "nation": "bigint", "open": "boolean", "balance": "double"}, "order_log": {"key": "bigint", "day": "date", "at": "timestamp_ntz", "customer": "bigint", "status": "string"}}
+
+
+@oracle(
+    "",
+    "select table_name, column_name, column_type, n from (values "
+    + ", ".join(f"('{table}', '{c}', '{k}')" for table, kinds in _KINDS.items() for c, k in kinds.items())
+    + ") k(table_name, column_name, column_type), lateral (select case when table_name = 'order_log' then (select count(*) from orders where o_orderkey % 50 > 1) when column_name in ('nation', 'open') then (select count(*) from supplier)"
+    + " when column_name = 'balance' then (select count(*) from customer where c_custkey % 5 <> 0) else (select count(*) from supplier) + (select count(*) from customer) end as n)",
+)
+def landed_types(t: Tables) -> DataFrame:
+    out = None
+    for name, df in _dropped(t).tables.items():
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "n")
+        kinds = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+        one = counts.select(F.lit(name).alias("table_name"), "column_name", kinds[F.col("column_name")].alias("column_type"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@oracle("", "select 'order_log' as source, cast(o_orderkey as varchar) as first_field, case when o_orderkey % 50 = 0 then 6 else 2 end as n_fields, 'not 5 fields' as reason from orders where o_orderkey % 50 <= 1")
+def landed_rejects(t: Tables) -> DataFrame:
+    fields = F.split("line", ",")
+    return _dropped(t).rejects.select("source", fields[0].alias("first_field"), F.size(fields).alias("n_fields"), "reason")

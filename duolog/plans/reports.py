@@ -69,6 +69,7 @@ _EDGES = ("pts_l5", "tov_l5", "tpm_l10", "reb_l10")  # means: their text differs
 )
 def null_profile_tables(t: Tables) -> DataFrame:
     frames = {"game_dim": t.calendar.join(t.pairs, "game_id", "left"), "side_games": t.reb, "schedule": t.kept_schedule}
+    frames["game_dim"] = materialize(frames["game_dim"])
     report = quality.profile_tables({name: (frames[name], columns) for name, (columns, _) in _TABLES.items()})
     edge = lambda c: F.when(~F.col("column_name").isin(*_EDGES), F.col(c)).alias(c)
     return report.select("table_name", "column_name", "n_rows", "n_null", "pct_null", "n_distinct", edge("v_min"), edge("v_max"))

@@ -322,3 +322,32 @@ def test_added_months_meet_null_keys(spark, tmp_path, rows):
     drift.add_months(spark, folder, new)
     got = {(r.ym, r.team_id): (r.n_games, r.s_pts, r.b_pts[10]) for r in incremental.current(spark, folder).collect()}
     assert got == {(dt.date(2001, 1, 1), 1): (2, 2.0, 2), (None, None): (7, 7.0, 7), (dt.date(2001, 2, 1), 1): (5, 5.0, 5)}
+
+
+def test_distinct_counts_by_bitmaps_and_pairs(spark, monkeypatch):
+    big = 2**62
+    data = [(k % 7 - 3, None if k % 3 else k * big // 99, dt.date(1969, 12, 1) + dt.timedelta(days=k % 50), f"t{k % 5}", None, k * 40_000 % 1_000_003) for k in range(99)]
+    df = spark.createDataFrame(data, "small int, wide bigint, day date, text string, none int, spread bigint").repartition(3)
+    expected = {c: len({r[k] for r in data if r[k] is not None}) for k, c in enumerate(df.columns)}
+    assert {r.column: r.n_distinct for r in quality.null_profile(df, df.columns).collect()} == expected
+    monkeypatch.setattr(quality, "BITS", 1 << 60)  # all spans count as dense
+    narrow = ["small", "day", "spread", "none"]
+    assert {r.column: r.n_distinct for r in quality.null_profile(df, narrow).collect()} == {c: expected[c] for c in narrow}
+    assert {r.column: (r.n, r.n_distinct) for r in quality.null_profile(df.limit(0), df.columns).collect()} == {c: (0, 0) for c in df.columns}
+
+
+def test_csv_files_of_different_columns_types_and_bad_lines(spark, tmp_path, rows):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "A b.csv").write_text("id, when ,flag,x,,x\n1,2020-01-02,true,1e3,q,z\n\n2,,FALSE,.5,,\n3,2020-02-03\n4,2020-02-03,true,1,2,3,4\n")
+    (tmp_path / "deep" / "a-B.csv").write_text("ID2,id,flag\n00012345678901234567890,9,true\n")
+    (tmp_path / "c.csv").write_text('at,name,n\n2020-01-01,"x, ""y""",1\n2020-01-01 10:00:00,,2.5\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "head.csv").write_text("a,b\n")
+    (tmp_path / "other.txt").write_text("no,table\n")
+    got = landing.read_tables(spark, str(tmp_path))
+    assert got.tables.keys() == {"a_b", "c", "head"}
+    assert dict(got.tables["a_b"].dtypes) == {"id": "bigint", "when": "date", "flag": "boolean", "x": "double", "column5": "string", "x_6": "string", "ID2": "string"}
+    assert rows(got.tables["a_b"], "id", "when", "flag", "x", "column5", "x_6", "ID2") == sorted([(1, dt.date(2020, 1, 2), True, 1000.0, "q", "z", None), (2, None, False, 0.5, None, None, None), (9, None, True, None, None, None, "00012345678901234567890")], key=repr)
+    assert rows(got.tables["c"]) == sorted([(dt.datetime(2020, 1, 1), 'x, "y"', 1.0), (dt.datetime(2020, 1, 1, 10), None, 2.5)], key=repr)
+    assert dict(got.tables["head"].dtypes) == {"a": "string", "b": "string"} and got.tables["head"].count() == 0
+    assert sorted((r.source, r.file.rsplit("/", 1)[1], r.line, r.reason) for r in got.rejects.collect()) == [("a_b", "A%20b.csv", "3,2020-02-03", "not 6 fields"), ("a_b", "A%20b.csv", "4,2020-02-03,true,1,2,3,4", "not 6 fields")]
