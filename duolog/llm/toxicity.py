@@ -13,6 +13,8 @@ from duolog.llm._scratch import materialize
 
 #: Labelled rows that the index holds at most, chosen by a hash of the id.
 SAMPLE = 4_000
+#: Texts whose products with all examples are held at once: 8 bytes times texts times examples.
+TOGETHER = 256
 #: Lengths in bytes of word beginnings that are terms beside whole words.
 STEMS = (6,)
 #: Least relevance of a term, and standard deviations from which it grows.
@@ -199,12 +201,15 @@ class Index:
         n = len(column)
         rows, terms, weight = self.unit(*self.lookup.counts(column), n)
         at = np.searchsorted(rows, np.arange(n + 1))
-        start = self.start(rows, terms, weight, n)
         near, votes, evidence = np.zeros(n, bool), np.full(n, self.bare), [np.zeros(0, np.int64)] * n
-        for i in np.unique(rows) if self.blocks else ():
-            ids, cosine = self.nearest(terms[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], start[i], NEAREST, skip[i] if skip else None)
-            if len(ids):
-                near[i], votes[i], evidence[i] = True, self.vote(ids, cosine), self.ids[ids]
+        for low in range(0, n if self.blocks else 0, TOGETHER):
+            high = min(n, low + TOGETHER)
+            a, b = at[low], at[high]
+            start = self.start(rows[a:b] - low, terms[a:b], weight[a:b], high - low)
+            for i in np.unique(rows[a:b]):
+                ids, cosine = self.nearest(terms[at[i] : at[i + 1]], weight[at[i] : at[i + 1]], start[i - low], NEAREST, skip[i] if skip else None)
+                if len(ids):
+                    near[i], votes[i], evidence[i] = True, self.vote(ids, cosine), self.ids[ids]
         return near, votes, evidence
 
     def calibrate(self, votes: np.ndarray, y: np.ndarray) -> None:
