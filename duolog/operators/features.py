@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duolog.operators.facts import opponent_values, win_label
-from duolog.operators.ranges import numbered, with_history
+from duolog.operators.ranges import by_size, numbered, with_history
 
 BOX = ("pts", "fga", "fta", "tpm", "tov", "oreb", "dreb", "pf")
 
@@ -20,15 +20,21 @@ def ratio(a: Column, b: Column) -> Column:
 
 def schedule_features(facts: DataFrame) -> DataFrame:
     """Game number, rest, back-to-backs and form before each game. Game numbers and rest restart every season, form does not.
-    Ties on a date go by game_id. No rest (a first game) falls into the longest bucket. A team's history is never in one task: its
-    games are numbered in sorted ranges and looked back on in blocks, see `ranges`."""
-    rows = numbered(facts, ["team_id"], ["game_date", "game_id"], {"_c": ["team_id"], "gnum": ["team_id", "season"]}).withColumn("gnum", F.col("gnum").cast("int"))
-    rows = with_history(rows, ["team_id", "season"], "gnum", 3, lambda w: {f"_d{k}": F.lag("game_date", k).over(w) for k in (1, 2, 3)})
+    Ties on a date go by game_id. No rest (a first game) falls into the longest bucket. facts is read twice, so it should be stored. Teams of at most
+    `ranges.BLOCK` games are dealt once and windowed as they are; those of more are numbered in sorted ranges and looked back on in blocks, see `ranges`."""
+    order = ["game_date", "game_id"]
+    days = lambda w: {f"_d{k}": F.lag("game_date", k).over(w) for k in (1, 2, 3)}
     form = lambda w: {
         "pts_l5": F.avg("pts").over(w.rowsBetween(-5, -1)), "tov_l5": F.avg("tov").over(w.rowsBetween(-5, -1)),
         "tpm_l10": F.avg("tpm").over(w.rowsBetween(-10, -1)), "reb_l10": F.avg(F.col("oreb") + F.col("dreb")).over(w.rowsBetween(-10, -1)),
     }
-    rows = with_history(rows, ["team_id"], "_c", 10, form)
+    some, large = by_size(facts, ["team_id"])
+    career, year = (Window.partitionBy(*keys).orderBy(*order) for keys in (["team_id"], ["team_id", "season"]))
+    rows = some.withColumns(form(career)).withColumns({"gnum": F.row_number().over(year), **days(year)})
+    if large is not None:
+        held = numbered(large, ["team_id"], order, {"_c": ["team_id"], "gnum": ["team_id", "season"]}).withColumn("gnum", F.col("gnum").cast("int"))
+        held = with_history(with_history(held, ["team_id", "season"], "gnum", 3, days), ["team_id"], "_c", 10, form)
+        rows = rows.unionByName(held.drop("_c"))
     rest = F.datediff("game_date", "_d1")
     rows = rows.withColumns({"prev_date": F.col("_d1"), "days_rest": rest})
     bucket = (
@@ -40,7 +46,7 @@ def schedule_features(facts: DataFrame) -> DataFrame:
         {
             "rest_bucket": bucket, "is_0in2": F.col("days_rest") == 0, "is_b2b": F.col("days_rest") == 1, "is_3in4": near(3, 2, 4), "is_4in6": near(4, 3, 6),
         }
-    ).drop("_c", "_d1", "_d2", "_d3")
+    ).drop("_d1", "_d2", "_d3")
 
 
 def opponent_box(facts: DataFrame) -> DataFrame:
@@ -65,15 +71,20 @@ def derived_ratings(box: DataFrame) -> DataFrame:
     )
 
 
-def rolling_form(rated: DataFrame, rows: int = 10) -> DataFrame:
-    """Means of the last games before each one within team, season and type, and the opponent's defence in its own sequence. Both
-    sequences are numbered in sorted ranges and looked back on in blocks, see `ranges`."""
+def rolling_form(rated: DataFrame, rows: int = 10, sizes: DataFrame | None = None) -> DataFrame:
+    """Means of the last games before each one within team, season and type, and the opponent's defence in its own sequence. Sequences of at most
+    `ranges.BLOCK` games are dealt once and windowed as they are; longer ones are numbered in sorted ranges and looked back on in blocks, see
+    `ranges`. sizes: the stored facts that rated was made of, row by row, to count sequences in; otherwise rated is read for that."""
     source = {"win_pct": "y_win", "ortg": "ortg", "drtg": "drtg_opp", "pace": "poss_game", "efg": "efg", "tov_pct": "tov_pct", "orb_pct": "orb_pct", "ftr": "ftr"}
     out = rated
     for team, means in (("team_id", source), ("opp_team_id", {"opp_drtg": "drtg_opp"})):
-        keys = [team, "season", "season_type"]
-        out = numbered(out, keys, ["game_date", "game_id"], {"_n": keys})
-        out = with_history(out, keys, "_n", rows, lambda w: {f"{name}_l{rows}": F.avg(c).over(w.rowsBetween(-rows, -1)) for name, c in means.items()}).drop("_n")  # noqa: B023
+        keys, order = [team, "season", "season_type"], ["game_date", "game_id"]
+        before = lambda w: {f"{name}_l{rows}": F.avg(c).over(w.rowsBetween(-rows, -1)) for name, c in means.items()}  # noqa: B023, E731
+        some, large = by_size(out, keys, rated if sizes is None else sizes)
+        out = some.withColumns(before(Window.partitionBy(*keys).orderBy(*order)))
+        if large is not None:
+            held = numbered(large, keys, order, {"_n": keys})
+            out = out.unionByName(with_history(held, keys, "_n", rows, before).drop("_n"))
     return out
 
 

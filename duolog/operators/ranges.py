@@ -22,6 +22,18 @@ def same(left: DataFrame, right: DataFrame, columns: Mapping[str, str]) -> Colum
     return match
 
 
+def by_size(df: DataFrame, by: Sequence[str], sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """df as rows of groups of at most BLOCK rows, which one window may hold, and rows of larger groups (None without any). Groups are counted in sizes,
+    a frame with the same rows as far as their keys go, or in df; either should be stored. Null keys are one group."""
+    counts = (df if sizes is None else sizes).groupBy(*by).count().where(F.col("count") > BLOCK).drop("count")
+    if counts.isEmpty():
+        return df, None
+    large = materialize(counts)
+    large = large.toDF(*fresh(df, *[f"_l{k}" for k in range(len(by))]))
+    match = same(df, large, dict(zip(by, large.columns)))
+    return df.join(large, match, "left_anti"), df.join(large, match, "left_semi")
+
+
 def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], numbers: Mapping[str, Sequence[str]], sums: Mapping[str, tuple[Sequence[str], str]] | None = None) -> DataFrame:
     """df with row numbers from 1 (name -> group columns) and sums of what comes before a row (name -> group columns, value), all in
     the order given, nulls first. Every group's columns include `by`.
