@@ -24,3 +24,17 @@ def shuffles(df):
 def test_lines_are_dealt_by_game_once(spark):
     games = Tables(spark, DATA).games
     assert shuffles(games) <= 3 and plan(games).count("REPARTITION_BY_COL") == 1  # lines, sides and calendar at most
+
+
+def test_form_of_short_histories_takes_what_a_query_reads(spark):
+    t = Tables(spark, DATA)
+    assert shuffles(t.schedule) == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # two sides of the opponent's join, one window, two sides of the schedule's join, whose windows are not needed
+        some = t.month.select("game_id", "drtg_l10", "pace")
+        assert shuffles(some) == 5 and "opp_drtg_l10" not in plan(some)
+        assert shuffles(t.month.select("pace", "gnum")) <= 5
+        assert shuffles(t.formed) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
