@@ -38,3 +38,13 @@ def test_form_of_short_histories_takes_what_a_query_reads(spark):
         assert shuffles(t.formed) == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_features_of_large_and_small_teams_agree(spark, rows, monkeypatch):
+    names = ["game_id", "team_id", "gnum", "days_rest", "pts_l5", "reb_l10"]
+    whole, form = rows(Tables(spark, DATA).schedule, *names), rows(Tables(spark, DATA).formed, "game_id", "team_id", "ortg_l10", "opp_drtg_l10")
+    sizes = sorted(r["count"] for r in Tables(spark, DATA).games.groupBy("team_id").count().collect())
+    monkeypatch.setattr(ranges, "BLOCK", sizes[len(sizes) // 2])
+    assert rows(Tables(spark, DATA).schedule, *names) == whole
+    monkeypatch.setattr(ranges, "BLOCK", 11)
+    assert rows(Tables(spark, DATA).formed, "game_id", "team_id", "ortg_l10", "opp_drtg_l10") == form
