@@ -214,10 +214,19 @@ def portability_index(rates, shooting, composites, passer, load, versatility) ->
     return z.select(*on, (F.col("ts_pct") + weighted({f"z_{c}": w for c, w in parts.items()})).alias("portability_raw"))
 
 
+def _equal(keys: Sequence[str], other: Mapping[str, str]) -> Column:
+    """Equality of each key with the column that other names; null equals nothing."""
+    match = F.lit(True)
+    for k in keys:
+        match = match & (F.col(k) == F.col(other[k]))
+    return match
+
+
 def full_union(frames: Sequence[DataFrame], keys: Sequence[str], as_written: bool = False) -> DataFrame:
     """Full outer join of all frames, each with one row per key. By default on coalesced keys, one row per key: all frames are tagged and united, and one
     grouping by the keys takes each frame's columns, so the rows are shuffled once, whatever the number of frames. Rows with a null key match none.
-    as_written matches every frame with the first one's keys only, so keys that the first lacks come once per frame."""
+    as_written matches every frame with the first one's keys only, so keys that the first lacks come once per frame: the first's rows are joined with each frame, and
+    each frame's rows that the first lacks are added, rather than carried through the joins under null keys, which all meet in one task."""
     first, *rest = frames
     if not as_written:
         rows, lone = None, None
@@ -228,12 +237,11 @@ def full_union(frames: Sequence[DataFrame], keys: Sequence[str], as_written: boo
             rows = tagged if rows is None else rows.unionByName(tagged, allowMissingColumns=True)
         columns = [c for c in rows.columns if c not in (*keys, "_frame")]
         return rows.groupBy(*keys, "_frame").agg(*[F.any_value(c, True).alias(c) for c in columns]).drop("_frame")
-    out = first.withColumns({f"_k0_{k}": F.col(k) for k in keys}).drop(*keys)
+    out = first
     for n, df in enumerate(rest, 1):
-        df = df.withColumns({f"_k{n}_{k}": F.col(k) for k in keys}).drop(*keys)
-        match = None
-        for k in keys:
-            match = (F.col(f"_k0_{k}") == F.col(f"_k{n}_{k}")) if match is None else match & (F.col(f"_k0_{k}") == F.col(f"_k{n}_{k}"))
-        out = out.join(df, match, "full")
-    named = {k: F.coalesce(*[F.col(f"_k{n}_{k}") for n in range(len(frames))]) for k in keys}
-    return out.withColumns(named).drop(*[f"_k{n}_{k}" for n in range(len(frames)) for k in keys])
+        own = df.withColumnsRenamed({k: f"_k{n}_{k}" for k in keys})
+        out = out.join(own, _equal(keys, {k: f"_k{n}_{k}" for k in keys}), "left").drop(*[f"_k{n}_{k}" for k in keys])
+    known = first.select(*[F.col(k).alias(f"_k0_{k}") for k in keys])
+    for df in rest:
+        out = out.unionByName(df.join(known, _equal(keys, {k: f"_k0_{k}" for k in keys}), "left_anti"), allowMissingColumns=True)
+    return out

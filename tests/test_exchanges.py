@@ -48,3 +48,16 @@ def test_features_of_large_and_small_teams_agree(spark, rows, monkeypatch):
     assert rows(Tables(spark, DATA).schedule, *names) == whole
     monkeypatch.setattr(ranges, "BLOCK", 11)
     assert rows(Tables(spark, DATA).formed, "game_id", "team_id", "ortg_l10", "opp_drtg_l10") == form
+
+
+def test_union_as_written_carries_no_null_keys(spark, rows):
+    keys = ["season", "player_id"]
+    frames = [
+        spark.createDataFrame([(1, 2, "a"), (None, 3, "b"), (7, 7, "c")], "season int, player_id int, x string"),
+        spark.createDataFrame([(1, 2, 5), (4, 4, None), (None, 3, 6), (9, 9, 1)], "season int, player_id int, y int"),
+        spark.createDataFrame([(4, 4, 1.5), (7, 7, 2.5), (9, 9, 3.5)], "season int, player_id int, z double"),
+    ]
+    out = features.full_union(frames, keys, as_written=True)
+    expected = [(1, 2, "a", 5, None), (None, 3, "b", None, None), (7, 7, "c", None, 2.5), (4, 4, None, None, None), (None, 3, None, 6, None), (9, 9, None, 1, None), (4, 4, None, None, 1.5), (9, 9, None, None, 3.5)]
+    assert rows(out, "season", "player_id", "x", "y", "z") == sorted(expected, key=repr)
+    assert "FullOuter" not in plan(out)
