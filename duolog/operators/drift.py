@@ -41,12 +41,13 @@ def month_state(facts: DataFrame, schedule: DataFrame, cuts: DataFrame, metrics:
     (in double precision) and the numbers of its values in bins 1 to 10, with nulls first (`b_<metric>`); of all its games count and sum of each form.
 
     States of disjoint rows add up, see `merged_state`. Facts and schedule are tagged and united, so that a null month or team is one row, as in
-    a join of rows. cuts is the one row of `decile_cuts`; a state counts in the bins of its cuts, so new cuts need a new state."""
+    a join of rows. Rows are dealt by cell before they are binned and counted: a row has a tenth of a state's numbers, and a cell has few rows. cuts is the one row of `decile_cuts`; a state counts in the bins of its cuts, so new cuts need a new state."""
     month = F.trunc("game_date", "month").alias("ym")
-    regular = facts.where("season_type = 'REG'").crossJoin(F.broadcast(cuts))
-    a = regular.select(month, "season", "team_id", F.lit(1).alias("_g"), *[F.col(m).cast("double").alias(m) for m in metrics], *[F.coalesce(decile_bin(F.col(m), F.col(f"q_{m}")), F.lit(0)).alias(f"_b_{m}") for m in metrics])
-    b = schedule.select(month, "season", "team_id", *[F.col(f).cast("double").alias(f) for f in form])
-    rows = a.unionByName(b, allowMissingColumns=True)
+    a = facts.where("season_type = 'REG'").select(month, "season", "team_id", F.lit(1).alias("_g"), *metrics)
+    b = schedule.select(month, "season", "team_id", *form)
+    rows = a.unionByName(b, allowMissingColumns=True).repartition(*KEYS).crossJoin(F.broadcast(cuts))
+    bins = {f"_b_{m}": F.when(F.col("_g").isNotNull(), F.coalesce(decile_bin(F.col(m), F.col(f"q_{m}")), F.lit(0))) for m in metrics}
+    rows = rows.withColumns(bins | {c: F.col(c).cast("double") for c in [*metrics, *form]}).select(*KEYS, "_g", *metrics, *form, *bins)
     amounts = [F.count("_g").alias("n_games")]
     for m in metrics:
         amounts += [F.count(m).alias(f"n_{m}"), F.sum(m).alias(f"s_{m}"), F.sum(F.col(m) * F.col(m)).alias(f"ss_{m}")]

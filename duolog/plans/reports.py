@@ -155,7 +155,7 @@ def drift_alerts_in_batches(t: Tables) -> DataFrame:
     """The state of recent seasons is published; then older months arrive, and only they are read and only their buckets rewritten."""
     folder, keys = _shared(t, "drift"), list(drift.KEYS)
     old = F.col("season") < 1998
-    state = lambda part: drift.month_state(t.reb.where(part), t.kept_schedule.where(part), t.cuts)
+    state = lambda part: drift.month_state(t.reb.where(part), t.kept_form.where(part), t.cuts)
     incremental.publish(state(~old), folder, keys)
     drift.add_months(t.spark, folder, state(old))
     whole = materialize(incremental.current(t.spark, folder))

@@ -61,3 +61,13 @@ def test_union_as_written_carries_no_null_keys(spark, rows):
     expected = [(1, 2, "a", 5, None), (None, 3, "b", None, None), (7, 7, "c", None, 2.5), (4, 4, None, None, None), (None, 3, None, 6, None), (9, 9, None, 1, None), (4, 4, None, None, 1.5), (9, 9, None, None, 3.5)]
     assert rows(out, "season", "player_id", "x", "y", "z") == sorted(expected, key=repr)
     assert "FullOuter" not in plan(out)
+
+
+def test_states_are_made_after_rows_are_dealt(spark):
+    facts = spark.createDataFrame([(2001, k % 3, "REG", dt.date(2001, 1 + k % 4, 1), k) for k in range(60)], "season int, team_id int, season_type string, game_date date, pts int")
+    schedule = facts.selectExpr("season", "team_id", "game_date", "cast(pts as double) as pts_l5")
+    cuts = materialize(drift.decile_cuts(facts, ["pts"]))
+    state = drift.month_state(facts, schedule, cuts, ["pts"], ["pts_l5"])
+    text = plan(state)
+    assert shuffles(state) == 1 and text.rindex("HashAggregate") < text.index("Exchange hashpartitioning")
+    assert sum(r.n_games for r in state.collect()) == 60
