@@ -12,14 +12,14 @@ from duolog.operators.ranges import same
 from duolog.sources.scratch import materialize
 
 
-#: Numbers that one bitmap of Spark's covers.
+#: A column is dense if its span has at most eight numbers for each of its values, or at most so many in all.
 BITS = 32_768
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: column, n, nulls, n_distinct, min, max (as text), pct_null. Plain counts take one scan without a
-    shuffle of rows. Distinct integers and dates that lie close enough are counted exactly by bitmaps of fixed size, one for each 32,768 numbers of
-    a column's span, so what is shuffled depends on the span and not on values; others from (column, value) pairs, combined before the shuffle."""
+    shuffle of rows. Distinct integers and dates that lie close enough are counted exactly as bits of words of 64 numbers, so what a task keeps and sends depends on the
+    span and not on values, and is hashed, not sorted; others from (column, value) pairs, combined before the shuffle."""
     aggregates = [F.count("*").alias("_n")]
     for c in columns:
         aggregates += [F.count(c).alias(f"_u_{c}"), F.min(c).cast("string").alias(f"_l_{c}"), F.max(c).cast("string").alias(f"_h_{c}")]
@@ -35,11 +35,15 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     plain = one.select(F.explode(rows).alias("_r")).select("_r.*")
     distinct = df.sparkSession.createDataFrame([], "column string, _d bigint")
     if dense:
-        numbers = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), (number[c] - F.lit(plain_row[f"_a_{c}"])).alias("value")) for c in dense])).alias("_p")).select("_p.*").where("value is not null")
-        bitmaps = numbers.groupBy("column", F.bitmap_bucket_number("value").alias("_k")).agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("value"))).alias("_d"))
-        distinct = distinct.unionByName(bitmaps.groupBy("column").agg(F.sum("_d").alias("_d")))
-    if sparse:
-        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in sparse])).alias("_p")).select("_p.*")
+        shift = {c: number[c] - F.lit(plain_row[f"_a_{c}"]) for c in dense}
+        words = F.array(*[F.struct(F.lit(k).alias("_c"), F.shiftright(shift[c], 6).alias("_w"), shift[c].alias("_v")) for k, c in enumerate(dense)])
+        words = df.select(F.explode(words).alias("_p")).select("_p.*").where("_v is not null")
+        words = words.groupBy("_c", "_w").agg(F.bit_or(F.expr("shiftleft(1L, cast(_v & 63 as int))")).alias("_b"))
+        named = F.element_at(F.array(*map(F.lit, dense)), F.col("_c") + 1).alias("column")
+        distinct = distinct.unionByName(words.groupBy(named).agg(F.sum(F.bit_count("_b")).cast("bigint").alias("_d")))
+    for kind in sorted({kinds[c] for c in sparse}):
+        some = [c for c in sparse if kinds[c] == kind]
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), (F.col(c) if kind in ("float", "double", "bigint", "int") else F.col(c).cast("string")).alias("value")) for c in some])).alias("_p")).select("_p.*")
         distinct = distinct.unionByName(pairs.where("value is not null").distinct().groupBy("column").agg(F.count("*").alias("_d")))
     joined = plain.join(F.broadcast(distinct), "column", "left")
     return joined.select("column", "n", "nulls", F.coalesce("_d", F.lit(0)).alias("n_distinct"), "min", "max", (F.col("nulls") * F.lit(100.0) / F.nullif("n", F.lit(0))).alias("pct_null"))

@@ -21,11 +21,13 @@ def shuffles(df):
     return plan(df).count("Exchange hashpartitioning") + plan(df).count("Exchange rangepartitioning")
 
 
+@tables
 def test_lines_are_dealt_by_game_once(spark):
     games = Tables(spark, DATA).games
     assert shuffles(games) <= 3 and plan(games).count("REPARTITION_BY_COL") == 1  # lines, sides and calendar at most
 
 
+@tables
 def test_form_of_short_histories_takes_what_a_query_reads(spark):
     t = Tables(spark, DATA)
     assert shuffles(t.schedule) == 1
@@ -40,6 +42,7 @@ def test_form_of_short_histories_takes_what_a_query_reads(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@tables
 def test_features_of_large_and_small_teams_agree(spark, rows, monkeypatch):
     names = ["game_id", "team_id", "gnum", "days_rest", "pts_l5", "reb_l10"]
     whole, form = rows(Tables(spark, DATA).schedule, *names), rows(Tables(spark, DATA).formed, "game_id", "team_id", "ortg_l10", "opp_drtg_l10")
@@ -63,6 +66,13 @@ def test_union_as_written_carries_no_null_keys(spark, rows):
     assert "FullOuter" not in plan(out)
 
 
+def test_profiles_hash_and_do_not_sort(spark):
+    df = spark.createDataFrame([(k, k % 7, float(k % 3), "t") for k in range(200)], "a bigint, b int, c double, d string").repartition(3)
+    out = quality.null_profile(df, df.columns)
+    assert {r.column: r.n_distinct for r in out.collect()} == {"a": 200, "b": 7, "c": 3, "d": 1}
+    assert "SortAggregate" not in plan(out)
+
+
 def test_states_are_made_after_rows_are_dealt(spark):
     facts = spark.createDataFrame([(2001, k % 3, "REG", dt.date(2001, 1 + k % 4, 1), k) for k in range(60)], "season int, team_id int, season_type string, game_date date, pts int")
     schedule = facts.selectExpr("season", "team_id", "game_date", "cast(pts as double) as pts_l5")
