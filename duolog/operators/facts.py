@@ -43,9 +43,10 @@ def collapse(rows: DataFrame, keys: Sequence[str], largest: Sequence[str], summe
 
 
 def player_games(rows: DataFrame, games: DataFrame, stats: Sequence[str]) -> DataFrame:
-    """rows (game_id, player_id, team_id, minutes_raw, stats) with minutes parsed, repeats collapsed, and the game's columns joined."""
-    timed = rows.where("game_id is not null and player_id is not null and team_id is not null").withColumn("minutes", clock_minutes(F.col("minutes_raw")))
-    return collapse(timed, ["game_id", "player_id", "team_id"], ["minutes"], stats).join(games, "game_id", "left")
+    """rows (game_id, player_id, team_id, minutes_raw, stats) with minutes parsed, repeats collapsed, and the game's columns joined. Rows are dealt by
+    game once, for both."""
+    timed = rows.where("game_id is not null and player_id is not null and team_id is not null").select("game_id", "player_id", "team_id", clock_minutes(F.col("minutes_raw")).alias("minutes"), *stats)
+    return collapse(timed.repartition("game_id"), ["game_id", "player_id", "team_id"], ["minutes"], stats).join(games, "game_id", "left")
 
 
 def overtime_targets(games: DataFrame, line: DataFrame, periods: int = 10) -> DataFrame:
