@@ -36,35 +36,65 @@ FORM = ("pts_l5", "tpm_l10", "reb_l10")
 KEYS = ("ym", "season", "team_id")
 
 
-def month_state(facts: DataFrame, schedule: DataFrame, cuts: DataFrame, metrics: Sequence[str] = METRICS, form: Sequence[str] = FORM) -> DataFrame:
+def month_state(facts: DataFrame, schedule: DataFrame | None, cuts: DataFrame | None, metrics: Sequence[str] = METRICS, form: Sequence[str] = FORM) -> DataFrame:
     """What drift reports need, one row per month, season and team: of its regular games their number, and for each metric its count, sum and squared sum
     (in double precision) and the numbers of its values in bins 1 to 10, with nulls first (`b_<metric>`); of all its games count and sum of each form.
 
     States of disjoint rows add up, see `merged_state`. Facts and schedule are tagged and united, so that a null month or team is one row, as in
-    a join of rows. Rows are dealt by cell before they are binned and counted: a row has a tenth of a state's numbers, and a cell has few rows. cuts is the one row of `decile_cuts`; a state counts in the bins of its cuts, so new cuts need a new state."""
+    a join of rows. Rows are dealt by cell before they are binned and counted: a row has a tenth of a state's numbers, and a cell has few rows. cuts is the one row of
+    `decile_cuts`; a state counts in the bins of its cuts, so new cuts need a new state. Without cuts it has no bins, which no report reads by team
+    (see `bin_state`): with few games in a cell they are larger than the games. Without a schedule it has no form, but a cell for every fact."""
     month = F.trunc("game_date", "month").alias("ym")
-    a = facts.where("season_type = 'REG'").select(month, "season", "team_id", F.lit(1).alias("_g"), *metrics)
-    b = schedule.select(month, "season", "team_id", *form)
-    rows = a.unionByName(b, allowMissingColumns=True).repartition(*KEYS).crossJoin(F.broadcast(cuts))
-    bins = {f"_b_{m}": F.when(F.col("_g").isNotNull(), F.coalesce(decile_bin(F.col(m), F.col(f"q_{m}")), F.lit(0))) for m in metrics}
+    regular = F.col("season_type") == "REG"
+    a = facts.select(month, "season", "team_id", *[F.when(regular, c).alias(n) for n, c in (("_g", F.lit(1)), *((m, F.col(m)) for m in metrics))])
+    if schedule is None:
+        form, rows = (), a
+    else:
+        rows = a.where("_g = 1").unionByName(schedule.select(month, "season", "team_id", *form), allowMissingColumns=True)
+    rows, bins = rows.repartition(*KEYS), {}
+    if cuts is not None:
+        rows = rows.crossJoin(F.broadcast(cuts))
+        bins = {f"_b_{m}": F.when(F.col("_g").isNotNull(), F.coalesce(decile_bin(F.col(m), F.col(f"q_{m}")), F.lit(0))) for m in metrics}
     rows = rows.withColumns(bins | {c: F.col(c).cast("double") for c in [*metrics, *form]}).select(*KEYS, "_g", *metrics, *form, *bins)
     amounts = [F.count("_g").alias("n_games")]
     for m in metrics:
         amounts += [F.count(m).alias(f"n_{m}"), F.sum(m).alias(f"s_{m}"), F.sum(F.col(m) * F.col(m)).alias(f"ss_{m}")]
-        amounts.append(F.array(*[F.count_if(F.col(f"_b_{m}") == k) for k in range(11)]).alias(f"b_{m}"))
+        amounts += [F.array(*[F.count_if(F.col(f"_b_{m}") == k) for k in range(11)]).alias(f"b_{m}")] if bins else []
     for f in form:
         amounts += [F.count(f).alias(f"n_{f}"), F.sum(f).alias(f"s_{f}")]
     return rows.groupBy(*KEYS).agg(*amounts)
 
 
+def bin_state(facts: DataFrame, cuts: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """The bins of `month_state` per month and season: number of regular games and, for each metric, of its values in bins 1 to 10, with nulls first.
+    Its size is that of the calendar, however many teams play."""
+    rows = facts.where("season_type = 'REG'").select(F.trunc("game_date", "month").alias("ym"), "season", *metrics).crossJoin(F.broadcast(cuts))
+    rows = rows.select("ym", "season", *[F.coalesce(decile_bin(F.col(m), F.col(f"q_{m}")), F.lit(0)).alias(f"_b_{m}") for m in metrics])
+    counts = [F.array(*[F.count_if(F.col(f"_b_{m}") == k) for k in range(11)]).alias(f"b_{m}") for m in metrics]
+    return rows.groupBy("ym", "season").agg(F.count("*").alias("n_games"), *counts)
+
+
+def league_state(state: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """A `month_state` added up per month and season, with the number and sum of its teams' means (`t_<metric>`, `m_<metric>`)."""
+    mean = lambda m: F.col(f"s_{m}") / F.nullif(F.col(f"n_{m}"), F.lit(0))
+    sums = [F.sum(f"{k}_{m}").alias(f"{k}_{m}") for m in metrics for k in ("n", "s", "ss")]
+    return state.groupBy("ym", "season").agg(F.sum("n_games").alias("n_games"), *sums, *[f(mean(m)).alias(f"{k}_{m}") for m in metrics for k, f in (("t", F.count), ("m", F.sum))])
+
+
+def league_means(league: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """`monthly_league` of the metrics, from a `league_state`."""
+    return league.groupBy("ym").agg(*[(F.sum(f"m_{m}") / F.nullif(F.sum(f"t_{m}"), F.lit(0))).alias(f"mean_{m}") for m in metrics])
+
+
 def merged_state(*states: DataFrame) -> DataFrame:
     """The state of all rows of states."""
     rows = states[0]
     for other in states[1:]:
         rows = rows.unionByName(other)
+    keys = [c for c in KEYS if c in rows.columns]
     bins = [c for c in rows.columns if c.startswith("b_")]
-    plain = [c for c in rows.columns if c not in KEYS and c not in bins]
-    sums = rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in plain], *[F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(11)]).alias(c) for c in bins])
+    plain = [c for c in rows.columns if c not in keys and c not in bins]
+    sums = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in plain], *[F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(11)]).alias(c) for c in bins])
     return sums.select(*rows.columns)
 
 
@@ -72,7 +102,7 @@ def add_months(spark: SparkSession, folder: str, new: DataFrame) -> list[int]:
     """Add a state of new rows to the published one: cells that both have add up, others are added. Only buckets that hold
     a cell of new are read and written; returns them. new must count in the same bins."""
     new = materialize(new)
-    cells = new.select(*KEYS).distinct()
+    cells = new.select(*[c for c in KEYS if c in new.columns]).distinct()
     met = incremental.current_of(spark, folder, cells)
     return incremental.upsert_published(spark, folder, merged_state(new, met))
 

@@ -14,9 +14,13 @@ from duolog.operators.reshape import unpivot_sides
 
 def with_opponent(stats: DataFrame, sides: DataFrame) -> DataFrame:
     """stats (game_id, team_id, ...) with is_home and opp_team_id from sides (game_id, home_id, away_id, ...); rows of no side go."""
-    joined = stats.join(sides, "game_id").where("team_id = home_id or team_id = away_id")
+    return opponents(stats.join(sides, "game_id"))
+
+
+def opponents(boxes: DataFrame) -> DataFrame:
+    """boxes (team_id, home_id, away_id, ...) with is_home and opp_team_id; rows of no side go."""
     home = F.col("team_id") == F.col("home_id")
-    return joined.withColumn("is_home", home).withColumn("opp_team_id", F.when(home, F.col("away_id")).otherwise(F.col("home_id"))).drop("home_id", "away_id")
+    return boxes.where("team_id = home_id or team_id = away_id").withColumn("is_home", home).withColumn("opp_team_id", F.when(home, F.col("away_id")).otherwise(F.col("home_id"))).drop("home_id", "away_id")
 
 
 def opponent_values(facts: DataFrame, columns: Sequence[str], suffix: str = "_opp") -> DataFrame:

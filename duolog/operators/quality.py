@@ -88,25 +88,56 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], ke
     """Exact continuous quantiles: per group of keys (one row without keys) an array a column, null without values. Null keys are a group.
     df is read three times, so it should be stored.
 
-    Groups of at most SMALL rows are aggregated as they are. Values of larger ones never meet in one task: mergeable rank sketches of each
+    Groups of at most SMALL rows are dealt by group and aggregated as they are. Values of larger ones never meet in one task. Integer columns that span at most SMALL
+    numbers are counted by value, see `_counted`. For others, mergeable rank sketches of each
     group and column give a bracket around each rank, values below it are only counted, and only those within it, about 4 in 1,000 wherever
     they lie, are counted one by one, narrowed further while they are many, and ranked."""
-    keys = list(keys)
+    keys, kinds = list(keys), dict(df.dtypes)
+    whole = [c for c in columns if kinds[c] in ("tinyint", "smallint", "int", "bigint")]
     values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     if not keys:
-        return _selected(values, columns, shares, keys)
+        return _ranked(values, columns, whole, shares, keys)
     large = materialize(values.groupBy(*keys).count().where(F.col("count") > SMALL).drop("count"))
     n = large.limit(FEW + 1).count()
-    plain = lambda rows: rows.groupBy(*keys).agg(*[F.percentile(c, F.array(*map(F.lit, shares))).alias(c) for c in columns])
+    plain = lambda rows: rows.repartition(*keys).groupBy(*keys).agg(*[F.percentile(c, F.array(*map(F.lit, shares))).alias(c) for c in columns])
     if not n:
         return plain(values)
     named = large.toDF(*[f"_l{k}" for k in range(len(keys))])
     match = same(values, named, dict(zip(keys, named.columns)))
     named = F.broadcast(named) if n <= FEW else named
-    some = _selected(values.join(named, match, "left_semi"), columns, shares, keys)
+    some = _ranked(values.join(named, match, "left_semi"), columns, whole, shares, keys)
     return plain(values.join(named, match, "left_anti")).unionByName(some)
 
 
+def _ranked(values: DataFrame, columns: Sequence[str], whole: Sequence[str], shares: Sequence[float], keys: list[str]) -> DataFrame:
+    """`quantiles` of large groups: columns of `whole` numbers of a small span by `_counted`, the others by `_selected`."""
+    span = values.agg(*[(F.max(c) - F.min(c)).alias(c) for c in whole]).first() if whole else {}
+    narrow = [c for c in whole if (span[c] or 0) <= SMALL]
+    wide = [c for c in columns if c not in narrow]
+    if not narrow:
+        return _selected(values, columns, shares, keys)
+    counted = _counted(values, narrow, shares, keys)
+    if not keys:
+        return (counted.crossJoin(_selected(values.select(*wide), wide, shares, keys)) if wide else counted).select(*columns)
+    other = _selected(values.select(*keys, *wide), wide, shares, keys) if wide else values.select(*keys).distinct()
+    return _joined(other, counted, keys, "left").select(*keys, *columns)
+
+
+def _counted(values: DataFrame, columns: Sequence[str], shares: Sequence[float], keys: list[str]) -> DataFrame:
+    """`quantiles` of whole numbers of a small span: tasks count values before the shuffle, so a group and column has no more rows than its span has numbers, and a window ranks them."""
+    cell = [*keys, "_c"]
+    counts = values.unpivot(keys, list(columns), "_c", "_v").where("_v is not null").groupBy(*cell, "_v").agg(F.count("*").alias("_k"))
+    all_of = Window.partitionBy(*cell).orderBy("_v")
+    ahead = F.coalesce(F.sum("_k").over(all_of.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = counts.select(*cell, "_v", "_k", ahead.alias("_from"), F.sum("_k").over(all_of.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"))
+    place = [(F.col("_n") - 1) * F.lit(float(q)) for q in shares]
+    at = lambda rank: F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_k")), F.col("_v")))
+    ends = [x for n, h in enumerate(place) for x in (at(F.floor(h)).alias(f"_a{n}"), at(F.ceil(h)).alias(f"_b{n}"))]
+    found = rows.groupBy(*cell).agg(F.first("_n").alias("_n"), *ends)
+    value = F.array(*[F.col(f"_a{n}") + (F.col(f"_b{n}") - F.col(f"_a{n}")) * (h - F.floor(h)) for n, h in enumerate(place)])
+    return found.withColumn("_y", value).groupBy(*keys).agg(*[F.max(F.when(F.col("_c") == c, F.col("_y"))).alias(c) for c in columns])
+
+
 def _selected(values: DataFrame, columns: Sequence[str], shares: Sequence[float], keys: list[str]) -> DataFrame:
     """`quantiles` of large groups by rank selection, all groups, columns and shares at once. values has keys and columns only."""
     long = values.unpivot(keys, list(columns), "_c", "_v").where("_v is not null")

@@ -153,11 +153,15 @@ _ALERTS = f"select ym, {' or '.join(f'flag_{m}' for m in drift.METRICS)} as any_
 @oracle("flags psim", _ALERTS)
 def drift_alerts_in_batches(t: Tables) -> DataFrame:
     """The state of recent seasons is published; then older months arrive, and only they are read and only their buckets rewritten."""
-    folder, keys = _shared(t, "drift"), list(drift.KEYS)
     old = F.col("season") < 1998
-    state = lambda part: drift.month_state(t.reb.where(part), t.kept_form.where(part), t.cuts)
-    incremental.publish(state(~old), folder, keys)
-    drift.add_months(t.spark, folder, state(old))
-    whole = materialize(incremental.current(t.spark, folder))
-    shift = drift.mean_shift(drift.monthly_league(drift.monthly(whole)), drift.baseline(whole))
-    return drift.alerts(shift, drift.psi_monthly(whole, drift.psi_baseline(whole)))
+    sums = lambda part: drift.month_state(t.reb.where(part), None, None)
+    bins = lambda part: drift.bin_state(t.reb.where(part), t.cuts)
+    whole = []
+    for name, state, keys in (("drift", sums, drift.KEYS), ("bins", bins, ("ym", "season"))):
+        folder = _shared(t, name)
+        incremental.publish(state(~old), folder, list(keys))
+        drift.add_months(t.spark, folder, state(old))
+        whole.append(incremental.current(t.spark, folder))
+    league, binned = materialize(drift.league_state(whole[0])), materialize(whole[1])
+    shift = drift.mean_shift(drift.league_means(league), drift.baseline(league))
+    return drift.alerts(shift, drift.psi_monthly(binned, drift.psi_baseline(binned)))

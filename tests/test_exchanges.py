@@ -2,10 +2,12 @@
 
 import datetime as dt
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from duolog.operators import drift, features, quality, ranges
+from duolog.operators import drift, facts, features, quality, ranges
 from duolog.plans.catalog import Tables
 from duolog.sources.scratch import materialize
 
@@ -81,3 +83,53 @@ def test_states_are_made_after_rows_are_dealt(spark):
     text = plan(state)
     assert shuffles(state) == 1 and text.rindex("HashAggregate") < text.index("Exchange hashpartitioning")
     assert sum(r.n_games for r in state.collect()) == 60
+
+
+@tables
+def test_sides_of_games_are_found_where_lines_are_dealt(spark, rows):
+    t = Tables(spark, DATA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(t.games) == 2 and plan(t.games).count("/lineitem.parquet") == 1  # lines and calendar; sides take no scan of their own
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(t.games) == rows(facts.with_opponent(t.stats, t.pairs.join(t.calendar, "game_id")).select(*t.games.columns))
+
+
+@tables
+def test_form_takes_no_shuffle_for_sides(spark):
+    t = Tables(spark, DATA)
+    assert "/lineitem.parquet" not in plan(t.formed) and "kept_games" in vars(t)  # games are stored once, from one scan
+
+
+def test_sums_by_team_hold_no_bins_and_bins_no_team(spark, rows):
+    days = [dt.date(2001, 1, 5), dt.date(2001, 2, 7), None]
+    data = [(days[k % 3], 2001 + k % 2, None if k % 7 == 0 else k % 4, "REG" if k % 5 else "PRE", None if k % 6 == 0 else k % 11) for k in range(120)]
+    df = spark.createDataFrame(data, "game_date date, season int, team_id int, season_type string, pts int")
+    schedule, cuts = df.select("game_date", "season", "team_id", F.col("pts").cast("double").alias("pts_l5")), drift.decile_cuts(df, ["pts"])
+    whole, sums, bins = drift.month_state(df, schedule, cuts, ["pts"], ["pts_l5"]), drift.month_state(df, None, None, ["pts"]), drift.bin_state(df, cuts, ["pts"])
+    assert rows(sums) == rows(whole, *sums.columns) and "b_pts" not in sums.columns
+    assert bins.count() <= 6 and rows(drift.psi_baseline(bins, ["pts"])) == rows(drift.psi_baseline(whole, ["pts"]))
+    pairs = lambda df: {r.ym: r.psi for r in df.collect()}
+    assert pairs(drift.psi_monthly(bins, drift.psi_baseline(bins, ["pts"]), ["pts"])) == pytest.approx(pairs(drift.psi_monthly(whole, drift.psi_baseline(whole, ["pts"]), ["pts"])))
+    league = drift.league_state(sums, ["pts"])
+    assert rows(drift.baseline(league, ["pts"])) == rows(drift.baseline(whole, ["pts"]))
+    means = lambda df: {r.ym: r.mean_pts for r in df.collect()}
+    assert means(drift.league_means(league, ["pts"])) == pytest.approx(means(drift.monthly_league(drift.monthly(whole, ["pts"], ["pts_l5"]))))
+
+
+def test_quantiles_of_narrow_integers_take_no_sketch(spark, monkeypatch):
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "a", "b", None]), None if k % 5 == 0 else rng.randrange(40) - 20, rng.random(), None, rng.randrange(10**6)) for k in range(900)]
+    df = spark.createDataFrame(data, "g string, x bigint, y double, none int, far bigint").repartition(4)
+    shares = [0.0, 0.1, 0.5, 0.77, 1.0]
+    plain = lambda keys: {r[0]: r[1:] for r in df.groupBy(*keys).agg(*([] if keys else [F.lit(0)]), *[F.percentile(c, F.array(*map(F.lit, shares))) for c in ("x", "y", "none", "far")]).collect()}
+    monkeypatch.setattr(quality, "SMALL", 100)
+    for keys in (["g"], []):
+        found = quality.quantiles(df, ["x", "y", "none", "far"], shares, keys)
+        got = {r[0] if keys else 0: r[len(keys) :] for r in found.collect()}
+        assert got.keys() == plain(keys).keys()
+        for g, expected in plain(keys).items():
+            for a, b in zip(got[g], expected):
+                assert a == (b and pytest.approx(b))
+    assert "percentile_approx" not in plan(quality._ranked(df.select("x", "none"), ["x", "none"], ["x", "none"], shares, []))
