@@ -63,6 +63,16 @@ def _class_of(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+def _often(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur at least three times in held, and how often. Empties held and sorts one copy in place: a window's shingles are kept twice at most."""
+    value = np.concatenate(held)
+    held.clear()
+    value.sort()
+    third = value[2:] == value[:-2]
+    found, times = np.unique(value[:-2][third], return_counts=True)
+    return found, times.astype(np.int64) + 2
+
+
 def frequent_shingles(docs: DataFrame, width: int, keep: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that most distinct sets hold, with a level (log2 of their count); at most `keep` of them.
 
@@ -78,9 +88,8 @@ def frequent_shingles(docs: DataFrame, width: int, keep: int = FREQUENT) -> tupl
         def flush():
             if not held:
                 return None
-            value, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= 3
-            return pa.record_batch([pa.array(value[often].view(np.int64)), pa.array(times[often].astype(np.int64))], ["token", "n"])
+            value, times = _often(held)
+            return pa.record_batch([pa.array(value.view(np.int64)), pa.array(times)], ["token", "n"])
 
         for part in slices(batches):
             for tokens in _shingle_sets(part.column("text"), width):
@@ -92,7 +101,6 @@ def frequent_shingles(docs: DataFrame, width: int, keep: int = FREQUENT) -> tupl
                 size += len(tokens)
             if size >= WINDOW:
                 yield flush()
-                held.clear()
                 seen.clear()
                 size = 0
         last = flush()

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -167,3 +168,16 @@ def test_frequent_shingles_keep_to_their_limit(spark):
     few, high = ngram_join.frequent_shingles(df, 1, keep=20)
     assert 0 < len(few) <= 20 and high.min() >= np.sort(level)[-20] and set(few.tolist()) < set(token.tolist())
     assert len(ngram_join.frequent_shingles(df, 1, keep=0)[0]) == 0
+
+
+def test_a_window_of_shingles_is_counted_without_many_copies():
+    held = [np.unique(np.random.default_rng(k).integers(0, 3000 if k % 2 else 2**62, 5000, dtype=np.uint64)) for k in range(200)]
+    value, times = np.unique(np.concatenate(held), return_counts=True)
+    size = sum(map(len, held)) * 8
+    tracemalloc.start()
+    found, counts = ngram_join._often(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist() == value[times >= 3].tolist() and counts.tolist() == times[times >= 3].tolist() and not held
+    assert peak < 2.6 * size
+    assert [x.tolist() for x in ngram_join._often([np.zeros(1, np.uint64)])] == [[], []]
