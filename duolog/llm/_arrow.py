@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -27,9 +28,20 @@ _BYTES = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), dtype=np.u
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def give_back() -> None:
+    """Return free memory to the system. Arrow's pool and the C library keep it else, and a Python worker serves task after task,
+    of other operators too, at the largest size that it ever had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with about CHUNK bytes of text."""
+    """Cut batches into runs of rows with about CHUNK bytes of text. Between batches and at their end free memory goes back."""
     for batch in batches:
+        give_back()
         if not batch.num_rows:
             continue
         ends = np.cumsum(np.maximum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), 1))
@@ -39,6 +51,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             to = max(at + 1, int(np.searchsorted(ends, base + CHUNK, side="right")))
             yield batch.slice(at, to - at)
             at = to
+        del batch
+    give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
